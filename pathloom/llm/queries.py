@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from . import packing, tokenfiles
+from pyspark.sql import functions as F
+
+from . import mixing, packing, tokenfiles
 
 
 def _table(spark, sf_dir, name):
@@ -13,6 +15,11 @@ def op5_token_files(spark, sf_dir):
     return tokenfiles.tokenize_to_files(_table(spark, sf_dir, "documents"))
 
 
+def op9_mix(spark, sf_dir):
+    plan = mixing.mix_plan(_table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op10_pack(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
