@@ -66,9 +66,12 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
-def words_of(text: str | None) -> list[bytes]:
-    """Words `[^\\x20\\x09-\\x0D]+` of a text as UTF-8; bytes.split() cuts at exactly these six characters."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """Words `[^\\x20\\x09-\\x0D]+` of a text as UTF-8; bytes.split() cuts at exactly these six characters, lower() turns A-Z."""
+    if not text:
+        return []
+    data = text.encode("utf-8", "surrogatepass")
+    return (data.lower() if lower else data).split()
 
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)

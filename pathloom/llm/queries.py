@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, packing, tokenfiles
+from . import mixing, neardup, packing, tokenfiles
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_near_duplicates(spark, sf_dir):
+    p = neardup.MinHash(width=3, percent=85, bands=20)
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), p)
+
+
 def op5_token_files(spark, sf_dir):
     return tokenfiles.tokenize_to_files(_table(spark, sf_dir, "documents"))
 
@@ -28,7 +33,23 @@ def queries():
     return {k: v for k, v in globals().items() if k[:2] == "op" and k[2].isdigit()}
 
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    # components are found by passing the smallest id along the links
+    "op1_near_duplicates": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS a FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(a) = 0 THEN [] WHEN len(a) < 3 THEN [array_to_string(a, ' ')]
+    ELSE list_transform(range(1, len(a) - 1), lambda i: a[i] || ' ' || a[i + 1] || ' ' || a[i + 2]) END) AS g FROM w
+), e AS (SELECT doc_id, unnest(g) AS x FROM s),
+n AS (SELECT doc_id, len(g) AS n FROM s),
+common AS (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM e p JOIN e q ON p.x = q.x AND p.doc_id < q.doc_id GROUP BY 1, 2),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT doc_id AS id, doc_id AS r FROM n UNION SELECT l.b, reach.r FROM reach JOIN both_ways l ON l.a = reach.id WHERE reach.r < l.b)
+SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r) AS component_id, min(r) = n.doc_id AS kept
+FROM n JOIN reach ON reach.id = n.doc_id GROUP BY n.doc_id, n.n""",
+}
 
 
 def oracle_sql():
