@@ -150,7 +150,7 @@ def _residual_pairs(members: DataFrame, p: MinHash) -> DataFrame:
     # a chunk meets itself and every other: it goes to (min, max) of the two numbers
     spread = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "id", "component", "packed")
 
-    def compare(table: pa.Table) -> pa.Table:
+    def compare(table):
         c, ids, comp = (table.column(k).to_numpy() for k in ("c", "id", "component"))
         sig = np.array([np.frombuffer(x, np.uint8) for x in table.column("packed").to_pylist()])
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()

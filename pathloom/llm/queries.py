@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, packing, tokenfiles
+from . import mixing, neardup, packing, substrings, tokenfiles
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,11 @@ def op1_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), p)
 
 
+def op4_repeated_passages(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_token_files(spark, sf_dir):
     return tokenfiles.tokenize_to_files(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,18 @@ def queries():
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_repeated_passages": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS a FROM documents),
+p AS (SELECT doc_id, a, unnest(range(1, len(a) - 11)) AS i FROM w WHERE len(a) >= 13),
+g AS (SELECT doc_id, i, array_to_string(a[i : i + 12], ' ') AS s FROM p),
+least AS (SELECT s, min(doc_id) AS m FROM g GROUP BY s),
+late AS (SELECT g.doc_id, unnest(range(g.i, g.i + 13)) AS k FROM g JOIN least USING (s) WHERE least.m < g.doc_id),
+gone AS (SELECT DISTINCT doc_id, k FROM late),
+one AS (SELECT doc_id, unnest(a) AS x, unnest(range(1, len(a) + 1)) AS k FROM w),
+kept AS (SELECT o.doc_id, string_agg(o.x, ' ' ORDER BY o.k) AS t FROM one o ANTI JOIN gone USING (doc_id, k) GROUP BY 1),
+n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT w.doc_id, CAST(len(w.a) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
     # components are found by passing the smallest id along the links
     "op1_near_duplicates": r"""
 WITH RECURSIVE w AS (
