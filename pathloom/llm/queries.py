@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, packing, substrings, tokenfiles
+from . import mixing, neardup, neighbours, packing, substrings, tokenfiles, vecdup
 
 
 def _table(spark, sf_dir, name):
@@ -16,6 +16,14 @@ def op1_near_duplicates(spark, sf_dir):
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), p)
 
 
+def op2_nearest(spark, sf_dir):
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+def op3_near_duplicate_vectors(spark, sf_dir):
+    return vecdup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_repeated_passages(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -39,6 +47,13 @@ def queries():
 
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_near_duplicate_vectors": r"""
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS id, vec_id AS r FROM embeddings UNION SELECT l.b, reach.r FROM reach JOIN link l ON l.a = reach.id WHERE reach.r < l.b),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(max(n.n), 0) AS BIGINT) AS n_links, min(reach.r) AS component_id, min(reach.r) = e.vec_id AS kept
+FROM embeddings e JOIN reach ON reach.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id GROUP BY e.vec_id""",
     "op4_repeated_passages": r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS a FROM documents),
 p AS (SELECT doc_id, a, unnest(range(1, len(a) - 11)) AS i FROM w WHERE len(a) >= 13),
