@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, neighbours, packing, substrings, tokenfiles, vecdup
+from . import mixing, neardup, neighbours, packing, substrings, tokenfiles, toxicity, vecdup
 
 
 def _table(spark, sf_dir, name):
@@ -33,6 +33,11 @@ def op5_token_files(spark, sf_dir):
     return tokenfiles.tokenize_to_files(_table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_toxicity(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_mix(spark, sf_dir):
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
