@@ -1,8 +1,64 @@
-"""The training-data pipeline."""
+"""A training corpus from `documents`, in stages: toxic documents go, one of each group of near duplicates stays,
+repeated passages go, sources are mixed to their weights, and what is left is packed into sequences.
 
-STAGES = []
+A stage takes the session, the documents its predecessor kept and the folder of the tables; all but the last return the
+columns of `documents`. Stages cope with nulls, empty texts and repeated rows as their operators say.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from pathloom.llm import common, mixing, neardup, packing, substrings, toxicity as tox
+
+
+def toxicity(spark, docs, sf_dir):
+    """Drops the documents that the classifier holds for toxic."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return tox.score_toxicity(docs, labels).filter(F.col("predicted") == 0).select(*names)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Keeps the document with the smallest doc_id of each group (five-word shingles, similarity 0.8 or more)."""
+    found = neardup.near_duplicates(docs.select("doc_id", "text"))
+    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def repeated_passages(spark, docs, sf_dir):
+    """Takes out passages of 13 words and more that an earlier document holds; n_chars follows the text."""
+    out = substrings.remove_repeats(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def mix_sources(spark, docs, sf_dir):
+    """Takes documents, some more than once, so that the sources meet their targets."""
+    return mixing.mix(docs)
+
+
+def pack(spark, docs, sf_dir):
+    """Cuts and packs the documents; a row for each piece."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("mix_sources", mix_sources),
+    ("pack", pack),
+]
+
+#: SQL can express neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The packed pieces of the whole table."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = common.written(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

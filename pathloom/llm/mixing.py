@@ -157,12 +157,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP)
 
     Rows that repeat (doc_id, text) share their decisions by number, whichever of them they are.
     """
-    spot = Window.partitionBy("_d", "_h").orderBy("_s")
-    plan = mix_plan(docs, weights, cap).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), F.col("source").alias("_s"), F.col("copies").alias("_c"))
-    plan = plan.withColumn("_n", F.row_number().over(spot))
-    names = docs.columns
-    own = docs.withColumn("_d2", F.col("doc_id").cast("long")).withColumn("_h2", F.xxhash64("text")).withColumn("_s2", F.col("source").cast("string"))
-    own = own.withColumn("_n2", F.row_number().over(Window.partitionBy("_d2", "_h2").orderBy("_s2")))
-    same = F.col("_d").eqNullSafe(F.col("_d2")) & (F.col("_h") == F.col("_h2")) & (F.col("_n") == F.col("_n2"))
-    taken = own.join(plan.filter(F.col("_c") > 0), same)
-    return taken.select(*[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(1), F.col("_c").cast("int")))).select(*[F.col(f"`{c}`") for c in names])
+    id_ = lambda c: (F.coalesce(F.col(c).cast("long"), F.lit(0)), F.col(c).isNull())
+    plan = mix_plan(docs, weights, cap)
+    a, b = id_("doc_id")
+    plan = plan.groupBy(a.alias("_d"), b.alias("_e"), F.col("h").alias("_h")).agg(F.sort_array(F.collect_list(F.struct("source", "copies"))).alias("_p"), F.sum("copies").alias("_t")).filter("_t > 0")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    own = docs.withColumn("_d", a).withColumn("_e", b).withColumn("_h", F.xxhash64("text"))
+    # joined and numbered by the same keys, so texts move once
+    own = own.join(plan, ["_d", "_e", "_h"]).withColumn("_n", F.row_number().over(Window.partitionBy("_d", "_e", "_h").orderBy("source")))
+    copies = F.element_at("_p", F.col("_n"))["copies"].cast("int")
+    return own.withColumn("_c", copies).filter("_c > 0").select(*names, F.explode(F.sequence(F.lit(1), F.col("_c"))).alias("_i")).select(*names)

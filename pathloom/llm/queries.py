@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, neardup, neighbours, packing, substrings, tokenfiles, toxicity, vecdup
+from . import htmltext, licences, mixing, neardup, neighbours, packing, substrings, tokenfiles, toxicity, vecdup
 
 
 def _table(spark, sf_dir, name):
@@ -38,6 +38,14 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(docs, _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_licences(spark, sf_dir):
+    return licences.scan_licences(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op8_main_text(spark, sf_dir):
+    return htmltext.extract_text(_table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op9_mix(spark, sf_dir):
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -89,5 +97,23 @@ FROM n JOIN reach ON reach.id = n.doc_id GROUP BY n.doc_id, n.n""",
 }
 
 
+def _licence_sql() -> str:
+    quoted = ", ".join(f"({k}, '{n}', '{t.replace(chr(39), chr(39) * 2)}')" for k, (n, t) in enumerate(licences.TEMPLATES))
+    grams = "CASE WHEN s = '' THEN [] WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END"
+    plain = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
+    return f"""
+WITH t0 AS (SELECT k, name, {plain.format("body")} AS s FROM (VALUES {quoted}) v(k, name, body)),
+t1 AS (SELECT *, string_split(s, ' ') AS w FROM t0), t AS (SELECT k, name, {grams} AS g FROM t1),
+l0 AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, unnest(range(1, len(string_split(coalesce(text, ''), chr(10))) + 1)) AS line FROM documents),
+l1 AS (SELECT doc_id, line, {plain.format("raw")} AS s FROM l0), l2 AS (SELECT *, string_split(s, ' ') AS w FROM l1),
+l AS (SELECT doc_id, line, {grams} AS g FROM l2),
+d AS (SELECT doc_id, line, name, k, 2.0::DOUBLE * len(list_intersect(l.g, t.g)) / (len(l.g) + len(t.g)) AS dice FROM l JOIN t ON len(l.g) BETWEEN 1 AND 100),
+b AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, line, name, k) AS r FROM d WHERE dice >= 0.8)
+SELECT x.doc_id, b.name AS licence, b.dice, CAST(b.line AS BIGINT) AS line FROM documents x LEFT JOIN b ON b.doc_id = x.doc_id AND b.r = 1"""
+
+
+ORACLE_SQL["op7_licences"] = _licence_sql()
+
+
 def oracle_sql():
     return dict(ORACLE_SQL)
