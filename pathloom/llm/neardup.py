@@ -109,62 +109,110 @@ def signatures(docs: DataFrame, p: MinHash) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(work, _SIGNED)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
-    """Those of `pairs` (a, b; doc_ids) whose full shingle sets meet the threshold. Sets are made of whole texts anew."""
+def _sets(ids: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
+    """(doc_id, set) of the documents in `ids` (doc_id), made of whole texts anew: sorted hashes as bytes."""
     bounded_batches(docs.sparkSession)
 
     def make(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, p.width, _hashes).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "set"])
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
+    return written(texts.mapInArrow(make, "doc_id long, set binary"), "shingle-sets")
+
+
+def _alike(x: np.ndarray, y: np.ndarray, p: MinHash) -> bool:
+    """Whether two sorted sets meet the threshold, in whole numbers."""
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    if not len(small) or 100 * len(small) < p.percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    same = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * same >= p.percent * (len(x) + len(y) - same)
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
+    """Those of `pairs` (a, b; doc_ids) whose full shingle sets meet the threshold."""
+
     def judge(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                if 100 * len(small) < p.percent * len(large):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                same = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
-                keep.append(100 * same >= p.percent * (len(x) + len(y) - same))
+            keep = [_alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), p) for x, y in zip(batch.column(2), batch.column(3))]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ends, "doc_id", "left_semi")
-    sets = written(texts.mapInArrow(make, "doc_id long, set binary"), "shingle-sets")
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, p)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
     return both.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long").distinct()
 
 
-def _residual_pairs(members: DataFrame, p: MinHash) -> DataFrame:
-    """Pairs (a, b) that share a band, lie in different components and pass the estimate.
+def confirmed_to_components(asked: DataFrame, members: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
+    """Links (a, b) that answer `asked` (id, component): whether any member of the component meets the threshold with the document.
 
-    `members`: (key, id, component, packed) of bands that hold several components. A band is cut into chunks, and pairs
-    of chunks are compared by bit counts in memory, so no task holds a band and no pair is emitted that fails.
+    `members` (id, component, size). A component is cut into chunks of sets; each chunk meets all that ask for it and gives one
+    link to each at most, so neither pairs nor a whole component are ever laid out.
     """
-    size = F.count("*")
-    chunks = members.groupBy("key").agg(F.ceil(size / p.chunk).alias("n"))
+    wanted = asked.select("component").distinct()
+    parts = F.ceil(F.col("size") / 256)
+    blocks = members.join(wanted, "component").select("id", "component", F.pmod(F.xxhash64("id"), parts).alias("part"))
+    asking = asked.join(members.select("component", "size").distinct(), "component").select("id", "component", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
+    sets = _sets(blocks.select(F.col("id").alias("doc_id")).unionByName(asked.select(F.col("id").alias("doc_id"))).distinct(), docs, p)
+    sets = sets.select(F.col("doc_id").alias("id"), "set")
+
+    def judge(block, ask):
+        a, b = [], []
+        ids, sets = block.column("id").to_pylist(), [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("set")]
+        for k, x in zip(ask.column("id2").to_pylist(), ask.column("set2")):
+            x = np.frombuffer(x.as_buffer(), np.uint64)
+            found = next((i for i, y in zip(ids, sets) if i != k and _alike(x, y, p)), None)
+            if found is not None:
+                a.append(min(k, found))
+                b.append(max(k, found))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    left = blocks.join(sets, "id").groupBy("component", "part")
+    renamed = sets.select(F.col("id").alias("id2"), F.col("set").alias("set2"))  # the two sides of a cogroup must not share columns
+    asking = asking.select(F.col("id").alias("id2"), F.col("component").alias("component2"), F.col("part").alias("part2"))
+    right = asking.join(renamed, "id2").groupBy("component2", "part2")
+    return left.cogroup(right).applyInArrow(judge, "a long, b long").distinct()
+
+
+def _across(members: DataFrame, p: MinHash, best: bool) -> DataFrame:
+    """What bands that hold several components leave to compare, by b-bit estimates of their members.
+
+    `members`: (key, id, component, size, packed). With `best`, pairs (a, b) of each member with its best partner in another
+    component; otherwise rows (id, component), a member and each larger component in which a partner passes the estimate.
+    A band is cut into chunks, and pairs of chunks are compared by bit counts in memory, so no task holds a band.
+    """
+    chunks = members.groupBy("key").agg(F.ceil(F.count("*") / p.chunk).alias("n"))
     own = members.join(chunks, "key").withColumn("c", F.pmod(F.xxhash64("id"), F.col("n")))
     # a chunk meets itself and every other: it goes to (min, max) of the two numbers
-    spread = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "id", "component", "packed")
+    spread = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "id", "component", "size", "packed")
 
     def compare(table):
-        c, ids, comp = (table.column(k).to_numpy() for k in ("c", "id", "component"))
+        c, ids, comp, size = (table.column(k).to_numpy() for k in ("c", "id", "component", "size"))
         sig = np.array([np.frombuffer(x, np.uint8) for x in table.column("packed").to_pylist()])
         i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        left, right = np.flatnonzero(c == i), np.flatnonzero(c == j)
+        here, there = np.flatnonzero(c == i), np.flatnonzero(c == j)
         found = []
-        for k in left:
-            other = right[comp[right] != comp[k]] if i != j else right[(right > k) & (comp[right] != comp[k])]
-            if len(other):
-                ok = other[estimates(np.broadcast_to(sig[k], (len(other), sig.shape[1])), sig[other], p) >= p.least_estimate]
-                found += [(min(ids[k], ids[o]), max(ids[k], ids[o])) for o in ok]
-        a, b = zip(*found) if found else ((), ())
+        for mine, others in [(here, there)] if i == j else [(here, there), (there, here)]:
+            for k in mine:
+                other = others[comp[others] != comp[k]]
+                if not best:  # the smaller component asks the larger one
+                    other = other[(size[other] > size[k]) | ((size[other] == size[k]) & (comp[other] > comp[k]))]
+                if not len(other):
+                    continue
+                like = estimates(np.broadcast_to(sig[k], (len(other), sig.shape[1])), sig[other], p)
+                if like.max() < p.least_estimate:
+                    continue
+                if best:
+                    o = other[like.argmax()]
+                    found.append((min(ids[k], ids[o]), max(ids[k], ids[o])))
+                else:
+                    found += [(ids[k], x) for x in np.unique(comp[other[like >= p.least_estimate]])]
+        a, b = zip(*set(found)) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return spread.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").filter("a != b").distinct()
+    out = spread.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return out if best else out.select(F.col("a").alias("id"), F.col("b").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, p: MinHash = MinHash()) -> DataFrame:
@@ -173,8 +221,11 @@ def near_duplicates(docs: DataFrame, p: MinHash = MinHash()) -> DataFrame:
     1. Rows with equal shingle sets form a class, known by its smallest doc_id; only classes are compared.
     2. Classes that share a band are candidates. Every class is first compared with one hub, the smallest class of a band
        that it shares, that with the most bands in common; confirmed links join components.
-    3. Bands that still hold several components are compared in full across these, by b-bit estimates first and then on
-       the full sets. So no pair that shares a band goes unseen, while copies of one text cost one comparison each.
+    3. In bands that still hold several components, every member is confirmed against one partner in another component, that
+       with the best b-bit estimate; this joins what belongs together at one pair a member.
+    4. What is left asks each larger component in which a partner passes the estimate; it is confirmed on full sets against
+       the component's members, chunk by chunk, and one link is enough. So no pair that shares a band goes unseen, and
+       rows grow with members and components, not with pairs.
 
     Cases: a null or wordless text has the empty set and links with nothing (rows with it don't form a class). A null
     doc_id links with nothing; its component is null and it is kept. Repeated rows are one document and each is
@@ -196,14 +247,28 @@ def near_duplicates(docs: DataFrame, p: MinHash = MinHash()) -> DataFrame:
     first = written(confirmed(best, docs, p).unionByName(several), "links1")
     comps = connected_components(first)
 
-    placed = shared.select("key", "id").join(comps, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-    members = written(placed.join(mixed, "key").join(classes.select("id", "packed"), "id"), "mixed-bands")
     tried = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = written(_residual_pairs(members, p).join(tried, ["a", "b"], "left_anti"), "pairs2")
-    if not rest.isEmpty():
-        second = written(confirmed(rest, docs, p), "links2")
-        comps = connected_components(first.unionByName(second))
+    links = first
+
+    def placed():
+        """Every class with its component and that component's size, and the members of bands that hold several."""
+        one = classes.select("id").join(comps, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+        one = written(one.join(one.groupBy("component").agg(F.count("*").alias("size")), "component").select("id", "component", "size"), "placed")
+        band = shared.select("key", "id").join(one, "id")
+        mixed = band.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
+        return one, written(band.join(mixed, "key").join(classes.select("id", "packed"), "id"), "mixed-bands")
+
+    _, members = placed()
+    pairs = written(_across(members, p, True).join(tried, ["a", "b"], "left_anti"), "pairs")
+    found = written(confirmed(pairs, docs, p), "links2")
+    if not found.isEmpty():
+        links = links.unionByName(found)
+        comps = connected_components(links)
+    one, members = placed()
+    asked = written(_across(members, p, False), "asked")
+    found = written(confirmed_to_components(asked, one, docs, p), "links3")
+    if not found.isEmpty():
+        comps = connected_components(links.unionByName(found))
     final = classes.select("f1", "f2", "id").join(comps, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("_c"))
     own = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     keyed = signed.select("doc_id", "n_shingles", F.when(own, F.col("f1")).alias("f1"), F.when(own, F.col("f2")).alias("f2"))
