@@ -131,6 +131,20 @@ def _alike(x: np.ndarray, y: np.ndarray, p: MinHash) -> bool:
     return 100 * same >= p.percent * (len(x) + len(y) - same)
 
 
+def likely(pairs: DataFrame, packed: DataFrame, p: MinHash) -> DataFrame:
+    """Those of `pairs` (a, b) whose signatures in `packed` (id, packed) let them reach the threshold. 64 bytes a side travel
+    here, where a confirmation moves whole sets."""
+
+    def judge(batches):
+        for batch in batches:
+            if len(batch):
+                a, b = (np.array([np.frombuffer(x, np.uint8) for x in batch.column(k).to_pylist()]) for k in (2, 3))
+                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(estimates(a, b, p) >= p.least_estimate))
+
+    both = pairs.join(packed.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a").join(packed.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
     """Those of `pairs` (a, b; doc_ids) whose full shingle sets meet the threshold."""
 
@@ -244,7 +258,9 @@ def near_duplicates(docs: DataFrame, p: MinHash = MinHash()) -> DataFrame:
     shared = written(shared.join(hubs, "key"), "shared-bands")
     votes = shared.filter("id != hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
     best = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("hub")).alias("h"))).alias("m")).select((-F.col("m.h")).alias("a"), F.col("id").alias("b"))
-    first = written(confirmed(best, docs, p).unionByName(several), "links1")
+    best = written(best, "hub-pairs")
+    hopeful = written(likely(best, classes, p), "likely-pairs")
+    first = written(confirmed(hopeful, docs, p).unionByName(several), "links1")
     comps = connected_components(first)
 
     tried = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
