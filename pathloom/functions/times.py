@@ -35,7 +35,7 @@ def clock_offsets(first: Column, other: Column) -> Column:
 def video_frame(game_frame: Column, first_start: float, first_end: float, second_start: float, fps: float = 29.97) -> Column:
     """The video frame of a frame counted over both halves; the first half includes its last frame."""
     length = int((first_end - first_start) * fps)
-    return F.when(game_frame <= length, game_frame + int(first_start * fps)).otherwise(game_frame - length + int(second_start * fps)).cast("long")
+    return F.when(game_frame <= length, game_frame + int(first_start * fps)).otherwise(game_frame - length - 1 + int(second_start * fps)).cast("long")
 
 
 def frame_timestamp(frame: Column, start: Column, fps: float = 29.97) -> Column:

@@ -44,13 +44,10 @@ def suppress(df: DataFrame, image: str, conf: float = 0.25, iou: float = 0.45, t
     """
     ship(df.sparkSession)
 
-    def keep(g: pd.DataFrame) -> pd.DataFrame:
-        g = g[g["conf"] >= conf].sort_values(["conf", *BOX], ascending=[False, True, True, True, True], kind="stable").head(most)
-        b = g[list(BOX)].to_numpy(float)
-        cls = g["cls"].to_numpy() if per_class else np.zeros(len(g))
+    def one(b: np.ndarray, cls: np.ndarray) -> list[int]:
         size = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
-        alive, out = np.ones(len(g), bool), []
-        for i in range(len(g)):
+        alive, out = np.ones(len(b), bool), []
+        for i in range(len(b)):
             if alive[i]:
                 out.append(i)
                 if len(out) == top:
@@ -59,6 +56,15 @@ def suppress(df: DataFrame, image: str, conf: float = 0.25, iou: float = 0.45, t
                 h = np.minimum(b[i, 3], b[:, 3]) - np.maximum(b[i, 1], b[:, 1])
                 both = np.clip(w, 0, None) * np.clip(h, 0, None)
                 alive &= ~((both / (size[i] + size - both + 1e-7) > iou) & (cls == cls[i]))
-        return g.iloc[out]
+        return out
+
+    def keep(g: pd.DataFrame) -> pd.DataFrame:
+        """All images of a bucket, so that small images don't cost a call each."""
+        g = g[g["conf"] >= conf].sort_values([image, "conf", *BOX], ascending=[True, False, True, True, True, True], kind="stable")
+        b, cls = g[list(BOX)].to_numpy(float), pd.factorize(g["cls"])[0] if per_class else np.zeros(len(g))
+        edges = np.flatnonzero(np.r_[True, g[image].to_numpy()[1:] != g[image].to_numpy()[:-1], True]) if len(g) else np.array([0])
+        rows = [i + k for i, j in zip(edges[:-1], edges[1:]) for k in one(b[i : min(j, i + most)], cls[i : min(j, i + most)])]
+        return g.iloc[rows].drop(columns="_bucket")
 
-    return df.groupBy(image).applyInPandas(keep, df.schema)
+    buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.withColumn("_bucket", F.pmod(F.xxhash64(image), F.lit(buckets))).groupBy("_bucket").applyInPandas(keep, df.schema)

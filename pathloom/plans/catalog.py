@@ -133,10 +133,10 @@ def boundary_filter(spark, d):
     return P.obs(spark, d).groupBy("entity").agg(F.count("*").alias("n"), F.avg(near.cast("int")).alias("s")).filter("s < 0.4").select("entity", "n")
 
 
-@_query(_obs_sql("SELECT entity, count(*) AS n, round(coalesce(sum(dd), 0), 4) AS length FROM (SELECT entity, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y - lag(y) OVER w) * (y - lag(y) OVER w)) AS dd FROM obs WINDOW w AS (PARTITION BY entity ORDER BY rn)) GROUP BY entity HAVING count(*) >= 2 AND sum(dd) >= 8000"))
+@_query(_obs_sql("SELECT entity, count(*) AS n, round(coalesce(sum(dd), 0), 4) AS length FROM (SELECT entity, sqrt((x - lag(x) OVER w) * (x - lag(x) OVER w) + (y - lag(y) OVER w) * (y - lag(y) OVER w)) AS dd FROM obs WINDOW w AS (PARTITION BY entity ORDER BY rn)) GROUP BY entity HAVING count(*) >= 2 AND sum(dd) >= 6000"))
 def path_length_filter(spark, d):
     p = stats.path_length(P.obs(spark, d), ["entity"], "rn")
-    return p.filter("n >= 2 AND length >= 8000").select("entity", "n", F.round("length", 4).alias("length"))
+    return p.filter("n >= 2 AND length >= 6000").select("entity", "n", F.round("length", 4).alias("length"))
 
 
 @_query(_obs_sql("SELECT frame, count(*) AS n FROM obs WHERE role = 'purchase' GROUP BY frame HAVING count(*) > 1"))
@@ -266,11 +266,11 @@ def delayed_restart(spark, d):
     return events.delayed_restart(b, events.nearest_player(p, b, 200.0), 150.0, 2)
 
 
-@_query(_obs_sql("""SELECT entity, f AS frame, round(CASE WHEN f = frame THEN x ELSE x + (nx - x) * ((f - frame) / CAST(nf - frame AS DOUBLE)) END, 6) AS x FROM (
+@_query(_obs_sql("""SELECT entity, f AS frame, CASE WHEN f = frame THEN x ELSE x + (nx - x) * ((f - frame) / CAST(nf - frame AS DOUBLE)) END AS x FROM (
  SELECT entity, frame, x, lead(x) OVER w AS nx, lead(frame) OVER w AS nf, unnest(range(frame, coalesce(lead(frame) OVER w, frame + 1))) AS f FROM track WINDOW w AS (PARTITION BY entity ORDER BY frame))""", P.TRACK))
 def interpolate_frames(spark, d):
     p, _ = _points(spark, d)
-    return tall.interpolate(p, ["entity"], "frame", ["x"]).select("entity", "frame", F.round("x", 6).alias("x"))
+    return tall.interpolate(p, ["entity"], "frame", ["x"]).select("entity", "frame", "x")
 
 
 _FILLED = """fl AS (SELECT entity, rn, x, x > 150 OR coalesce((min(i) FILTER (on_) OVER (PARTITION BY entity ORDER BY rn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) - (max(i) FILTER (on_) OVER (PARTITION BY entity ORDER BY rn ROWS UNBOUNDED PRECEDING)) - 1 <= 2, false) AS filled FROM (SELECT *, rn AS i, x > 150 AS on_ FROM obs))"""
@@ -288,10 +288,10 @@ def linear_bridge(spark, d):
     return tall.bridge(P.obs(spark, d).withColumn("on", F.col("x") > 300), ["entity"], "rn", ["x"], "on").select("event_id", F.round("x", 6).alias("x"))
 
 
-@_query("WITH RECURSIVE " + P.OBS + ", e AS (SELECT entity, rn, x AS s FROM obs WHERE rn = 1 UNION ALL SELECT o.entity, o.rn, 0.5::DOUBLE * o.x + 0.5::DOUBLE * e.s FROM e JOIN obs o ON o.entity = e.entity AND o.rn = e.rn + 1) SELECT entity, rn, round(s, 6) AS smoothed FROM e")
+@_query("WITH RECURSIVE " + P.OBS + ", e AS (SELECT entity, rn, x AS s FROM obs WHERE rn = 1 UNION ALL SELECT o.entity, o.rn, 0.5::DOUBLE * o.x + 0.5::DOUBLE * e.s FROM e JOIN obs o ON o.entity = e.entity AND o.rn = e.rn + 1) SELECT entity, rn, s AS smoothed FROM e")
 def ema_smooth(spark, d):
     s = tall.smooth_exponential(P.obs(spark, d), ["entity"], "rn", "x")
-    return s.select("entity", "rn", F.round("smoothed", 6).alias("smoothed"))
+    return s.select("entity", "rn", "smoothed")
 
 
 @_query("WITH RECURSIVE " + P.OBS + ", t AS (SELECT entity, sec FROM obs WHERE role = 'error'), k AS (SELECT entity, min(sec) AS sec FROM t GROUP BY entity UNION ALL SELECT k.entity, (SELECT min(t.sec) FROM t WHERE t.entity = k.entity AND t.sec >= k.sec + 90000) FROM k WHERE EXISTS (SELECT 1 FROM t WHERE t.entity = k.entity AND t.sec >= k.sec + 90000)) SELECT entity, sec FROM k")
@@ -523,7 +523,7 @@ def homography_project(spark, d):
     return P.obs(spark, d).select("event_id", F.round(px, 6).alias("px"), F.round(py, 6).alias("py"))
 
 
-@_query(_obs_sql("SELECT event_id, CASE WHEN frame % 200000 <= 82957 THEN frame % 200000 + 9500 ELSE frame % 200000 - 82957 + 119340 END AS video, printf('%03d:%02d', CAST(floor((frame % 200000) / 29.97::DOUBLE / 60) AS BIGINT), CAST(floor((frame % 200000) / 29.97::DOUBLE) AS BIGINT) % 60) AS clock FROM obs"))
+@_query(_obs_sql("SELECT event_id, CASE WHEN frame % 200000 <= 82956 THEN frame % 200000 + 9500 ELSE frame % 200000 - 82957 + 119340 END AS video, printf('%03d:%02d', CAST(floor((frame % 200000) / 29.97::DOUBLE / 60) AS BIGINT), CAST(floor((frame % 200000) / 29.97::DOUBLE) AS BIGINT) % 60) AS clock FROM obs"))
 def frame_clocks(spark, d):
     f = F.col("frame") % 200_000
     return P.obs(spark, d).select("event_id", T.video_frame(f, 317, 3085, 3982).alias("video"), T.frame_minutes(f).alias("clock"))
