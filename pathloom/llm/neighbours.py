@@ -153,11 +153,12 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
             for q, v in zip(batch.column(0).to_pylist(), matrix(batch.column(1))):
                 score = x @ v
                 score[ids == q] = -np.inf
-                best = np.argsort(-score)[:k]
-                best = best[np.isfinite(score[best])]
-                floor = float(score[best].min()) if len(best) == k else None
-                for b in best:
-                    out.append((-1, 0, q, None, None, int(ids[b]), float(score[b])))
+                finite = int(np.isfinite(score).sum())
+                least = np.partition(score, -min(k, finite))[-min(k, finite)] if finite else np.inf
+                best = np.flatnonzero((score >= least - 1e-9) & np.isfinite(score))  # with what ties
+                exact = (x[best] * v).sum(1)  # one formula everywhere, so that equal vectors have equal scores
+                floor = float(least) if finite >= k else None
+                out += [(-1, 0, q, None, None, int(i), float(t)) for i, t in zip(ids[best], exact)]
                 wanted: dict[int, int] = {}
                 for t, at in index.search(v, budget):
                     g = t * groups + at // inside
