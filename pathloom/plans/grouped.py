@@ -1,7 +1,68 @@
-"""Queries whose operators have no SQL form."""
+"""Queries whose operators have no SQL form: order-dependent kernels, one group at a time."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from ..operators import keeper, tracks
+from . import proxies as P
+
+
+def _o(spark, d):
+    return P.obs(spark, d).select("entity", "team", "role", "rn", "x", "y")
+
+
+def window_split(spark, d):
+    return tracks.split_by_label(_o(spark, d), ["entity"], "rn", "role", 5, 0.6).groupBy("entity", "piece").agg(F.min("rn").alias("start"), F.max("rn").alias("end"), F.count("*").alias("n"))
+
+
+def savgol_smooth(spark, d):
+    return tracks.smooth(_o(spark, d), ["entity"], "rn", ["x", "y"], 11, 3)
+
+
+def spike_repair(spark, d):
+    return tracks.repair_spikes(_o(spark, d), ["entity"], "rn", prominence=100.0)
+
+
+def stitch_tracks(spark, d):
+    p = P.track(P.obs(spark, d)).withColumn("b", F.floor(F.col("frame") / 100))
+    a, z = F.min(F.struct("frame", "x", "y")), F.max(F.struct("frame", "x", "y"))
+    g = p.groupBy("team", "entity", "b").agg(a.alias("a"), z.alias("z"))
+    g = g.select("team", (F.col("entity") * 1_000_000 + F.col("b")).alias("piece"), F.col("a.frame").alias("start"), F.col("z.frame").alias("end"), F.col("a.x").alias("x0"), F.col("a.y").alias("y0"), F.col("z.x").alias("x1"), F.col("z.y").alias("y1"))
+    return tracks.stitch(g, ["team"])
+
+
+def ball_outliers(spark, d):
+    return tracks.ball_outliers(_o(spark, d), ["entity"], "rn")
+
+
+def static_clusters(spark, d):
+    return tracks.static_clusters(_o(spark, d), ["entity"], "rn", eps=40.0, extent=60.0)
+
+
+def kalman_smooth(spark, d):
+    return tracks.kalman(_o(spark, d), ["entity"], "rn")
+
+
+def line_pieces(spark, d):
+    return tracks.line_pieces(_o(spark, d), ["entity"], "rn", residual=60.0, least=5)
+
+
+def fuse_ball(spark, d):
+    o = P.obs(spark, d).filter("role = 'purchase'").withColumn("conf", F.col("x") / 500)
+    return tracks.fuse_ball(o.select("team", "frame", "x", "y", "conf"), ["team"], "frame")
+
+
+def keeper_tags(spark, d):
+    """Made-up skeletons: 17 points about each observation; the ball is the entity's next one."""
+    o = _o(spark, d)
+    w = Window.partitionBy("entity").orderBy("rn")
+    point = lambda i: F.array(F.col("x") + (i % 5) * 3.0, F.col("y") + i * 4.0)
+    box = F.array(F.lead("x").over(w), F.lead("y").over(w), F.lead("x").over(w) + 20, F.lead("y").over(w) + 20)
+    o = o.withColumn("skel", F.array(*[point(i) for i in range(17)])).withColumn("ball", F.when(F.lead("x").over(w).isNotNull(), box))
+    return keeper.classify(o.select(F.col("entity").alias("clip"), F.col("rn").alias("frame"), "skel", "ball", F.lit(30.0).alias("ball_speed")))
+
 
 def queries():
-    return {}
+    return {f.__name__: f for f in (window_split, savgol_smooth, spike_repair, stitch_tracks, ball_outliers, static_clusters, kalman_smooth, line_pieces, fuse_ball, keeper_tags)}
