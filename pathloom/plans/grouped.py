@@ -1,11 +1,11 @@
-"""Queries whose operators have no SQL form: order-dependent kernels, one group at a time."""
+"""Queries without a SQL form: order-dependent kernels, one group at a time, and the roster rules."""
 
 from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import keeper, tracks
+from ..operators import keeper, roster, tracks
 from . import proxies as P
 
 
@@ -64,5 +64,22 @@ def keeper_tags(spark, d):
     return keeper.classify(o.select(F.col("entity").alias("clip"), F.col("rn").alias("frame"), "skel", "ball", F.lit(30.0).alias("ball_speed")))
 
 
+def _roster_tracks(spark, d):
+    s = P.seg(spark, d)
+    return s.select(F.col("entity").cast("string").alias("team"), F.col("id").alias("track"), (F.col("id") % 3 + 1).cast("int").alias("number"), (F.col("conf") / 1e6).alias("conf"), "start", "end")
+
+
+def resolve_numbers(spark, d):
+    t = _roster_tracks(spark, d)
+    numbers = F.array(*map(F.lit, (1, 2, 3, 10, 20, 21, 31)))
+    return roster.resolve_numbers(t, t.select("team").distinct().withColumn("numbers", numbers), 64)
+
+
+def relabel_excess(spark, d):
+    t = _roster_tracks(spark, d)
+    w = t.groupBy("team").agg(F.count("*").alias("n"), F.min("start").alias("w_start"), F.max("end").alias("w_end"))
+    return roster.relabel_excess(t, w, 10, 0.2, bucket=64)
+
+
 def queries():
-    return {f.__name__: f for f in (window_split, savgol_smooth, spike_repair, stitch_tracks, ball_outliers, static_clusters, kalman_smooth, line_pieces, fuse_ball, keeper_tags)}
+    return {f.__name__: f for f in (window_split, savgol_smooth, spike_repair, stitch_tracks, ball_outliers, static_clusters, kalman_smooth, line_pieces, fuse_ball, keeper_tags, resolve_numbers, relabel_excess)}
