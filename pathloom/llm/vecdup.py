@@ -88,8 +88,8 @@ def _window_links(classes: DataFrame, p: Passes) -> DataFrame:
         total += sizes[part]
     if not total:
         return spark.createDataFrame([], "a long, b long")
-    first = F.element_at(F.create_map(*[F.lit(x) for kv in starts.items() for x in kv]), F.col("part"))
-    place = ordered.withColumn("rank", first + F.col("at")).drop("part", "at", "key")
+    first = spark.createDataFrame(sorted(starts.items()), "part long, first long")
+    place = ordered.join(F.broadcast(first), "part").withColumn("rank", F.col("first") + F.col("at")).drop("part", "at", "key", "first")
     own, ahead = F.floor(F.col("rank") / p.block), F.floor((F.col("rank") - p.window) / p.block)
     # the first rows of a block also close the block before it, so windows cross no gap
     blocks = F.when((own != ahead) & (ahead >= 0), F.array(own, ahead)).otherwise(F.array(own))
