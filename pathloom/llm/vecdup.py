@@ -1,4 +1,4 @@
-"""Near-duplicate embeddings by sorted projection passes."""
+"""Near-duplicate embeddings: every pair compared, in blocks."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,21 +15,12 @@ from .vectors import matrix, usable
 
 
 @dataclass(frozen=True)
-class Passes:
-    """`passes` orders by `bits` random signs, concatenated; each vector is compared with the next `window` ones."""
+class Blocks:
+    """Every two blocks are compared, and each with itself. A block holds about `megabytes` of vectors; there are `least` blocks at least."""
 
-    passes: int = 24
-    bits: int = 48
-    window: int = 64
     cosine: float = 0.9
-    block: int = 2048
-    chunk: int = 2048
-    seed: int = 7
-
-
-#: Vectors within half the threshold's angle of one vector are all linked with each other; a margin is kept for rounding.
-def _half_angle_cosine(p: Passes) -> float:
-    return float(np.cos(np.arccos(p.cosine) / 2)) + 1e-6
+    megabytes: int = 16
+    least: int = 8
 
 
 def _norm(x: np.ndarray) -> np.ndarray:
@@ -53,111 +43,64 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def _window_links(classes: DataFrame, p: Passes) -> DataFrame:
-    """Spanning links (a, b) of the verified pairs within the windows of every pass."""
+def _compared(classes: DataFrame, p: Blocks) -> DataFrame:
+    """Rows (id, root, linked), one for each two blocks and each id that has links there: how many vectors of other classes
+
+    reach the threshold, and the smallest id of its component within the two blocks.
+    """
     spark = classes.sparkSession
     bounded_batches(spark)
-
-    def keyed(batches):
-        planes = None
-        for batch in batches:
-            x = matrix(batch.column(1))
-            if planes is None and len(x):
-                planes = np.random.default_rng(p.seed).standard_normal((p.passes, x.shape[1], p.bits))
-            weights = np.int64(1) << np.arange(p.bits - 1, -1, -1, dtype=np.int64)
-            for k in range(p.passes if len(x) else 0):
-                key = ((x @ planes[k]) > 0) @ weights
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), k), pa.int64()), pa.array(key, pa.int64()), batch.column(0), batch.column(1)], ["pass", "key", "id", "vec"])
-
-    def ranked(batches):
-        """Numbers the rows of a sorted partition."""
-        part, n = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            here = len(batch)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(here, part), pa.int64()), pa.array(np.arange(n, n + here)), *batch.columns], ["part", "at", *batch.schema.names])
-            n += here
-
-    rows = classes.select("id", "vec").mapInArrow(keyed, "pass long, key long, id long, vec array<double>")
-    ordered = rows.repartitionByRange("pass", "key", "id").sortWithinPartitions("pass", "key", "id")
-    ordered = written(ordered.mapInArrow(ranked, "part long, at long, pass long, key long, id long, vec array<double>"), "sorted-passes")
-    # where each partition's rows begin in the whole order: a row for each partition
-    sizes = {r["part"]: r["n"] for r in ordered.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    starts, total = {}, 0
-    for part in sorted(sizes):
-        starts[part] = total
-        total += sizes[part]
-    if not total:
-        return spark.createDataFrame([], "a long, b long")
-    first = spark.createDataFrame(sorted(starts.items()), "part long, first long")
-    place = ordered.join(F.broadcast(first), "part").withColumn("rank", F.col("first") + F.col("at")).drop("part", "at", "key", "first")
-    own, ahead = F.floor(F.col("rank") / p.block), F.floor((F.col("rank") - p.window) / p.block)
-    # the first rows of a block also close the block before it, so windows cross no gap
-    blocks = F.when((own != ahead) & (ahead >= 0), F.array(own, ahead)).otherwise(F.array(own))
-    place = place.withColumn("blk", F.explode(blocks))
+    size = classes.agg(F.count("*").alias("n"), F.max(F.size("vec")).alias("d")).first()
+    rows = max(1, (p.megabytes << 20) // (8 * (size["d"] or 1)))
+    blocks = max(p.least, -(-size["n"] // rows))
+    # classes are dealt by hash, so a dense region spreads over all blocks
+    dealt = classes.withColumn("c", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("o", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = dealt.select(F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "id", "n", "vec")
+    dealt = dealt.repartition(min(blocks * (blocks + 1) // 2, 2000), "i", "j")
 
     def compare(table):
-        table = table.sort_by("rank")
-        x = _norm(matrix(table.column("vec")))
-        ids, which = table.column("id").to_numpy(), table.column("pass").to_numpy()
-        n, a, b = len(ids), [], []
-        for i in range(0, n, 128):
-            j = min(n, i + 128 + p.window)
-            s, t = np.nonzero(x[i : i + 128] @ x[i:j].T >= p.cosine)
-            ok = (t > s) & (t - s <= p.window) & (which[i + s] == which[i + t])
-            a.append(i + s[ok])
-            b.append(i + t[ok])
-        a, b = np.concatenate(a), np.concatenate(b)
-        # the same vector may stand here for two passes: nodes are ids
-        names, node = np.unique(ids, return_inverse=True)
-        root = _forest(len(names), node[a], node[b]) if len(a) else np.arange(len(names))
-        moved = np.flatnonzero(root != np.arange(len(names)))
-        return pa.table({"a": pa.array(names[root[moved]], pa.int64()), "b": pa.array(names[moved], pa.int64())})
-
-    return place.select("blk", "rank", "pass", "id", "vec").groupBy("blk").applyInArrow(compare, "a long, b long").distinct()
-
-
-def _link_counts(members: DataFrame, p: Passes) -> DataFrame:
-    """(id, linked) for `members` (id, n, component, vec): how many vectors of other classes of the component reach the threshold.
-
-    If all of a component lie within half the threshold's angle of its first vector, they are all linked, and counting is
-    enough. Otherwise chunks of the component are compared in pairs, in memory; only counts leave.
-    """
-    half = _half_angle_cosine(p)
-    sums = lambda x, y: F.aggregate(F.zip_with(x, y, lambda u, v: u * v), F.lit(0.0), lambda s, v: s + v)
-    cosine = sums("vec", "hub") / F.sqrt(sums("vec", "vec") * sums("hub", "hub"))
-    hubs = members.filter(F.col("id") == F.col("component")).select("component", F.col("vec").alias("hub"))
-    near = members.join(hubs, "component").select("id", "n", "component", cosine.alias("c"))
-    shape = near.groupBy("component").agg(F.min("c").alias("least"), F.sum("n").alias("all"), F.count("*").alias("size"))
-    tight = members.select("id", "n", "component").join(shape.filter(F.col("least") >= half), "component").select("id", (F.col("all") - F.col("n")).alias("linked"))
-    loose = members.join(shape.filter(F.col("least") < half).select("component", F.ceil(F.col("size") / p.chunk).alias("parts")), "component")
-    loose = loose.withColumn("c", F.pmod(F.xxhash64("id"), F.col("parts"))).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    loose = loose.select("component", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "id", "n", "vec")
-
-    def count(table):
+        table = table.sort_by("id")
         x, c, n = _norm(matrix(table.column("vec"))), table.column("c").to_numpy(), table.column("n").to_numpy()
         ids, i, j = table.column("id").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py()
         left, right = np.flatnonzero(c == i), np.flatnonzero(c == j)
-        own, other = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-        for k in range(0, len(left), 256):
-            part = left[k : k + 256]
-            hit = x[part] @ x[right].T >= p.cosine
-            hit &= ids[part][:, None] != ids[right][None, :]
-            own[part] += hit @ n[right]
+        linked, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        # single precision decides what is clear of the threshold; rows that come closer to it than its error are decided in double
+        narrow, across = x.astype(np.float32), x[right]
+        across_narrow, slack = narrow[right], 4e-7 * (x.shape[1] + 8)
+        step = max(1, (4 << 20) // max(1, len(right)))
+        for k in range(0, len(left) if len(right) else 0, step):
+            part = left[k : k + step]
+            score = narrow[part] @ across_narrow.T
+            hit = score >= p.cosine - slack
+            some = np.flatnonzero(hit.any(1))
+            if not len(some):
+                continue
+            part, hit, score = part[some], hit[some], score[some]
+            close = np.flatnonzero((hit & (score < p.cosine + slack)).any(1))
+            if len(close):
+                hit[close] = x[part[close]] @ across.T >= p.cosine
+            s, t = np.nonzero(hit)
+            a, b = part[s], right[t]
+            other = ids[a] != ids[b]
+            a, b = a[other], b[other]
+            linked += np.bincount(a, n[b], len(ids)).astype(np.int64)
             if i != j:
-                other[right] += hit.T @ n[part]
-        return pa.table({"id": ids, "linked": own + other})
+                linked += np.bincount(b, n[a], len(ids)).astype(np.int64)
+            new = root[a] != root[b]
+            if new.any():
+                root = _forest(len(ids), root[a[new]], root[b[new]])[root]
+        own = np.flatnonzero(linked)
+        return pa.table({"id": pa.array(ids[own], pa.int64()), "root": pa.array(ids[root[own]], pa.int64()), "linked": pa.array(linked[own], pa.int64())})
 
-    counted = loose.groupBy("component", "i", "j").applyInArrow(count, "id long, linked long").groupBy("id").agg(F.sum("linked").alias("linked"))
-    return tight.unionByName(counted)
+    return dealt.groupBy("i", "j").applyInArrow(compare, "id long, root long, linked long")
 
 
-def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", p: Passes = Passes()) -> DataFrame:
+def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", p: Blocks = Blocks()) -> DataFrame:
     """Rows (vec_id, n_links, component_id, kept) for the rows of `df`.
 
-    Equal vectors form a class, represented by its smallest id. In every pass the classes are ordered by random signs and
-    compared in bounded windows; blocks overlap by a window, so none is cut. What the passes link makes components, and
-    within a component every vector's links are counted in full: windows bound what is found across
-    components, not the size of a group. Cosines are in double precision.
+    Equal vectors form a class, represented by its smallest id. Every two classes are compared once, in blocks, so no link is
+    missed, whatever the table's size or density; the work grows with the square of the number of classes, what is
+    shuffled with the number of blocks. Cosines are in double precision wherever single precision leaves doubt.
 
     Cases: vectors that are null, zero or hold null or non-finite components, and rows without id, link with nothing (component: the
     own id). All vectors must have one length. Repeated ids with equal vectors count as copies of each other. An empty table
@@ -166,10 +109,9 @@ def near_duplicate_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str =
     rows = usable(df, id_col, vec_col).withColumn("k1", F.xxhash64("vec")).withColumn("k2", F.xxhash64(F.lit(1), "vec"))
     rows = written(rows, "vectors")
     classes = written(rows.groupBy("k1", "k2").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("vec").alias("vec")), "vector-classes")
-    links = written(_window_links(classes, p), "vector-links")
-    comps = connected_components(links)
-    members = written(classes.join(comps, "id").select("id", "n", "component", "vec"), "vector-members")
-    counts = _link_counts(members, p)
+    pairs = written(_compared(classes, p), "vector-pairs")
+    comps = connected_components(pairs.select(F.col("root").alias("a"), F.col("id").alias("b")))
+    counts = pairs.groupBy("id").agg(F.sum("linked").alias("linked"))
     state = classes.select("k1", "k2", "id", "n").join(comps, "id", "left").join(counts, "id", "left")
     state = state.select("k1", "k2", F.coalesce("component", "id").alias("c"), (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("l"))
     own = rows.select(F.col("id").alias("vec_id"), "k1", "k2").join(state, ["k1", "k2"]).select("vec_id", F.col("l").cast("long").alias("n_links"), F.col("c").alias("component_id"))

@@ -112,6 +112,24 @@ def test_vectors(spark):
     assert neighbours.nearest(few).count() == 2
 
 
+def test_vectors_of_a_hot_region(spark):
+    # one dense region below the threshold, in which pairs are planted above it
+    rng, dim, n, planted = np.random.default_rng(6), 384, 3000, 300
+    noise = rng.standard_normal((n + planted, dim)) / np.sqrt(dim)
+    x = np.sqrt(0.84) * np.eye(dim)[0] + np.sqrt(0.16) * noise
+    turn = rng.standard_normal((planted, dim))
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(x)
+    turn = unit(turn - (turn * x[:planted]).sum(1, keepdims=True) * x[:planted])
+    x[n:] = 0.905 * x[:planted] + np.sqrt(1 - 0.905**2) * turn
+    link = unit(x) @ unit(x).T >= 0.9
+    root = vecdup._forest(len(x), *np.nonzero(link))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    for p in (vecdup.Blocks(), vecdup.Blocks(megabytes=1, least=1)):
+        got = {r.vec_id: r for r in vecdup.near_duplicate_vectors(df, p=p).collect()}
+        assert all((got[i].n_links, got[i].component_id) == (link[i].sum() - 1, root[i]) for i in range(len(x)))
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_tokens(name):
     from tokenizers import Tokenizer
