@@ -1,11 +1,18 @@
-"""Licence notices in texts: lines compared with templates by the Dice coefficient over word bigrams."""
+"""Licences in texts: windows of the whole text compared with templates by the Dice coefficient over word bigrams."""
 
 from __future__ import annotations
 
+import string
 from dataclasses import dataclass
+from itertools import repeat
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from .common import bounded_batches
 
 # Short public licence notices, by identifier.
 TEMPLATES = (
@@ -30,61 +37,121 @@ TEMPLATES = (
 )
 
 
+def whole_texts() -> tuple:
+    """(identifier, text) of the whole licences in the folder beside this file."""
+    return tuple((f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")))
+
+
 @dataclass(frozen=True)
 class Scan:
-    """A line is reported from a Dice coefficient of `least` on; `templates` are (identifier, text)."""
+    """A window is reported from a Dice coefficient of `least` on; `templates` and `texts` are (identifier, text), `texts` None the whole licences."""
 
     least: float = 0.8
     templates: tuple = TEMPLATES
-
-
-def normalised(text: Column) -> Column:
-    """Lower case; every run of characters other than a-z and 0-9 one blank; trimmed."""
-    return F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " "))
-
-
-def bigrams(line: Column) -> Column:
-    """The distinct word bigrams of a normalised line; a single word stands for itself, an empty line has none."""
-    words = F.split(line, " ")
-    pairs = F.transform(F.sequence(F.lit(1), F.size(words) - 1), lambda i: F.concat_ws(" ", F.element_at(words, i), F.element_at(words, i + 1)))
-    return F.when(line == "", F.array().cast("array<string>")).when(F.size(words) < 2, words).otherwise(F.array_distinct(pairs))
-
-
-def _plain(text: str) -> list[str]:
-    import re
-
-    words = re.sub("[^a-z0-9]+", " ", text.lower()).strip().split(" ")
-    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:]))) or words
+    texts: tuple | None = None
+
+
+_PLAIN = bytes(c if chr(c) in string.ascii_lowercase + string.digits else 32 for c in range(256))
+
+
+def normalised(text: str) -> bytes:
+    """Lower case, in UTF-8; every byte other than a-z and 0-9 is a blank, so words are what split() gives."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
+
+
+class Scanner:
+    """The templates' bigrams, and the search of a text for the best window."""
+
+    def __init__(self, p: Scan):
+        forms = [(0, *t) for t in (whole_texts() if p.texts is None else p.texts)] + [(1, *t) for t in p.templates]
+        words = [normalised(text).split() for *_, text in forms]
+        if any(len(w) < 2 for w in words):
+            raise ValueError("a template needs two words at least")
+        self.least, self.names = p.least, [(kind, name, k) for k, (kind, name, _) in enumerate(forms)]
+        self.vocab = {w: i + 1 for i, w in enumerate(sorted({w for ws in words for w in ws}))}
+        self.base = len(self.vocab) + 1
+        coded = [np.unique(self._codes(np.array([self.vocab[w] for w in ws], np.int64))) for ws in words]
+        grams = np.unique(np.concatenate(coded))
+        self.sizes = np.array([len(c) for c in coded])
+        self.gram = np.zeros(self.base**2, np.int32)  # a pair of word numbers gives its bigram, 0 for none of a template
+        self.gram[grams] = np.arange(1, len(grams) + 1)
+        self.member = np.zeros((len(grams) + 1, len(forms)), bool)
+        for k, c in enumerate(coded):
+            self.member[self.gram[c], k] = True
+
+    def _codes(self, ids: np.ndarray) -> np.ndarray:
+        return ids[:-1] * self.base + ids[1:]
+
+    def best(self, text: str | None) -> tuple | None:
+        """(identifier, Dice coefficient, line) of the best match, or None."""
+        plain = normalised(text or "")
+        words = plain.split()
+        if len(words) < 2:
+            return None
+        found = self.gram[self._codes(np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words)))]
+        here = np.unique(found[found > 0])
+        # a window of m of a template's g bigrams reaches 2 m / (m + g) at most
+        held = self.member[here].sum(0)
+        likely = np.flatnonzero(2.0 * held >= self.least * (held + self.sizes))
+        if not len(likely):
+            return None
+        numbers = np.unique(np.array(words), return_inverse=True)[1].astype(np.int64)
+        same = np.unique(numbers[:-1] * len(words) + numbers[1:], return_inverse=True)[1]
+        order = np.argsort(same, kind="stable")
+        before = np.full(len(same), -1)  # where the same bigram stood last
+        again = same[order[1:]] == same[order[:-1]]
+        before[order[1:][again]] = order[:-1][again]
+        data = np.frombuffer(plain, np.uint8) != 32
+        starts = np.flatnonzero(data & ~np.r_[False, data[:-1]])
+        raw = text.lower().encode("utf-8", "surrogatepass")
+        top = None
+        for k in likely:
+            hit = self._window(self.member[found, k], before, int(self.sizes[k]), int(held[k]))
+            if hit:
+                kind, name, number = self.names[k]
+                key = (kind, -hit[0], raw.count(b"\n", 0, int(starts[hit[1]])) + 1, name, number)
+                top = min(top or key, key)
+        return top and (top[3], -top[1], top[2])
+
+    def _window(self, mine: np.ndarray, before: np.ndarray, size: int, held: int) -> tuple | None:
+        """(Dice coefficient, first bigram) of the best window, the earliest of equals; the best ones begin with a template's bigram."""
+        most, top = size * (2 - self.least) / self.least, None
+        for s in np.flatnonzero(mine).tolist():
+            length = int(most) + 16
+            while True:
+                fresh = before[s : s + length] < s
+                n, m = np.cumsum(fresh), np.cumsum(fresh & mine[s : s + length])
+                if s + length >= len(mine) or n[-1] > most or m[-1] == held:
+                    break
+                length *= 2
+            dice = float((2.0 * m / (n + size)).max())
+            if dice >= self.least and (top is None or dice > top[0]):
+                top = dice, s
+                if dice == 1.0:
+                    break
+        return top
 
 
 def scan_licences(docs: DataFrame, p: Scan = Scan()) -> DataFrame:
-    """Rows (doc_id, licence, dice, line): for each row of `docs` its best matching line and template, nulls if none reaches `p.least`.
+    """Rows (doc_id, licence, dice, line): for each row of `docs` its best matching template and the line where its window begins, nulls if none reaches `p.least`.
 
-    The Dice coefficient of sets of sizes a and b is at most 2 min(a, b) / (a + b), so a template is only compared with
-    lines whose number of bigrams lies in [least / (2 - least), (2 - least) / least] times its own; lines outside the range of
-    all templates are dropped by length before bigrams are made. Lines of whole texts count, however many; they
-    are numbered from 1. Ties go to the earlier line, then to the smaller identifier and template number.
+    The text is one sequence of words, whatever its lines and punctuation; a window is any run of them. The Dice coefficient of
+    sets of sizes a and b is at most 2 min(a, b) / (a + b), so a text that holds too few of a template's bigrams is left, and a
+    window ends where it holds too many. Whole licence texts go before notices, for notices are often parts of other licences'
+    texts; then the greatest coefficient, the earlier line, the smaller identifier and template number. Lines are numbered from 1.
 
     Cases: null and empty texts have no match; repeated rows are reported each; an empty table gives no rows. Everything
     stays within the row, so nothing is shuffled.
     """
-    forms = [(name, _plain(text), k) for k, (name, text) in enumerate(p.templates)]
-    ratio = p.least / (2 - p.least)
-    low, high = min(len(g) for _, g, _ in forms) * ratio, max(len(g) for _, g, _ in forms) / ratio
-    numbered = F.transform(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x, i: F.struct((i + 1).alias("line"), x.alias("raw")))
-    # a line of n bigrams holds n blanks at least between its words
-    gaps = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" ")))
-    short = F.transform(F.filter(numbered, lambda x: F.length(x["raw"]) >= 2), lambda x: F.struct(x["line"].alias("line"), normalised(x["raw"]).alias("s")))
-    likely = F.filter(short, lambda x: (gaps(x["s"]) >= low) & (x["s"] != ""))
-    sets = F.filter(F.transform(likely, lambda x: F.struct(x["line"].alias("line"), bigrams(x["s"]).alias("g"))), lambda x: (F.size(x["g"]) >= low) & (F.size(x["g"]) <= high))
-    table = F.array(*[F.struct(F.lit(name).alias("name"), F.array(*map(F.lit, g)).alias("g"), F.lit(k).alias("k")) for name, g, k in forms])
-
-    def best(x: Column) -> Column:
-        n = F.size(x["g"])
-        fit = F.filter(table, lambda t: (n >= F.size(t["g"]) * ratio) & (n <= F.size(t["g"]) / ratio))
-        scored = F.transform(fit, lambda t: F.struct((-(2.0 * F.size(F.array_intersect(x["g"], t["g"])) / (n + F.size(t["g"])))).alias("minus"), x["line"].alias("line"), t["name"].alias("name"), t["k"].alias("k")))
-        return F.filter(scored, lambda s: s["minus"] <= -p.least)
-
-    top = F.array_min(F.flatten(F.transform(sets, best)))
-    out = docs.select("doc_id", top.alias("top"))
-    return out.select("doc_id", F.col("top.name").alias("licence"), (-F.col("top.minus")).alias("dice"), F.col("top.line").cast("long").alias("line"))
+    bounded_batches(docs.sparkSession)
+    p = Scan(p.least, p.templates, whole_texts() if p.texts is None else p.texts)  # read by the driver
+    out = T.StructType([docs.schema["doc_id"], T.StructField("licence", T.StringType()), T.StructField("dice", T.DoubleType()), T.StructField("line", T.LongType())])
+
+    def scan(batches):
+        scanner = Scanner(p)
+        for batch in batches:
+            found = [scanner.best(t) or (None, None, None) for t in batch.column(1).to_pylist()]
+            names, dice, lines = zip(*found) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(dice, pa.float64()), pa.array(lines, pa.int64())], out.names)
+
+    return docs.select("doc_id", "text").mapInArrow(scan, out)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -247,6 +248,34 @@ def test_licences(spark):
     assert (got[1].licence, got[1].dice, got[1].line) == ("MIT", 1.0, 2) and all(got[i].licence is None for i in (3, 4, 5))
 
 
+def test_licences_across_lines(spark):
+    notices, whole = dict((n, t) for n, t in licences.TEMPLATES), dict(licences.whole_texts())
+    wrap = lambda t, start="": "\n".join(start + x for x in textwrap.wrap(t, 78 - len(start)))
+    texts = [(n, wrap(t)) for n, t in notices.items()] + [(n, "# a\n#\n" + wrap(t, "# ") + "\ncode = 1") for n, t in whole.items()]
+    texts += [("MIT", "Some words before. Released under the MIT License. And many other words that follow on the same line.")]
+    texts += [("MIT", "Copyright (c) A. Author " + " ".join(whole["MIT"].split()) + " The end."), ("BSD-3-Clause", whole["BSD-3-Clause"].replace("copyright holder", "Foo Inc")), (None, "a\nlicense\nb " * 50)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan_licences(df).collect()}
+    assert [got[i].licence for i in range(len(texts))] == [n for n, _ in texts]
+    assert all(got[i].dice == 1.0 for i in range(len(notices) + len(whole) + 2)) and {got[len(notices) + i].line for i in range(len(whole))} == {3}
+
+
+def test_licence_windows():
+    # every window of a text, by brute force
+    rng, words = random.Random(4), "abcde"
+    for _ in range(300):
+        template, text = [[rng.choice(words) for _ in range(n)] for n in (rng.randrange(2, 9), rng.randrange(2, 40))]
+        grams = lambda w: set(zip(w, w[1:]))
+        g, best = grams(template), (0.0, 0)
+        for s in range(len(text) - 1):
+            for e in range(s + 2, len(text) + 1):
+                w = grams(text[s:e])
+                dice = 2.0 * len(g & w) / (len(g) + len(w))
+                best = max(best, (dice, -s))
+        got = licences.Scanner(licences.Scan(templates=(("T", " ".join(template)),), texts=())).best("\n".join(text))
+        assert got is None if best[0] < 0.8 else got[:2] == ("T", best[0])
+
+
 def test_pipeline(spark, docs, tmp_path):
     import corpus_pipeline
 
