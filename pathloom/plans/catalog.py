@@ -458,6 +458,14 @@ def edit_distance(spark, d):
     return j.select("item_id", F.levenshtein("t", "u").cast("long").alias("distance"), F.round(L.edit_similarity(F.col("t"), F.col("u")), 6).alias("similarity"))
 
 
+@_query()
+def edit_distance_whole(spark, d):
+    # whole texts by characters, where edit_distance and its SQL have 60 characters of plain ASCII; DuckDB counts bytes, so there is no SQL
+    b = P.table(spark, d, "benchmark").select("item_id", F.col("text").alias("t"))
+    j = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("t").alias("u")), "item_id")
+    return j.select("item_id", F.levenshtein("t", "u").cast("long").alias("distance"), F.round(L.edit_similarity(F.col("t"), F.col("u")), 6).alias("similarity"))
+
+
 @_query("SELECT conv_id, turn, nullif(CASE WHEN length(regexp_replace(text, '\\s+', '', 'g')) <= 40 THEN regexp_replace(lower(regexp_replace(text, '\\s+', '', 'g')), '[^a-z0-9]', '', 'g') END, '') AS label FROM conversations")
 def label_normalise(spark, d):
     return P.table(spark, d, "conversations").select("conv_id", "turn", L.normal_label(F.col("text"), 40).alias("label"))
