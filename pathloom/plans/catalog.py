@@ -9,7 +9,7 @@ from ..functions import boxes as B
 from ..functions import geometry as G
 from ..functions import labels as L
 from ..functions import times as T
-from ..operators import boxes, events, joins, stats, tall
+from ..operators import boxes, events, joins, stats, tall, vectors
 from . import proxies as P
 
 _QUERIES: dict = {}
@@ -346,6 +346,15 @@ def team_similarity(spark, d):
     return m.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("vec_id", "label", "team", F.round("score", 6).alias("score"))
 
 
+@_query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
+SELECT vec_id, label, team, round(score, 6) AS score FROM (SELECT e.vec_id, e.label, r.label AS team, avg(list_cosine_similarity(e.v, r.v)) AS score FROM e JOIN e r ON r.vec_id <> e.vec_id GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, team) = 1""")
+def team_similarity_all(spark, d):
+    # the references are all vectors, where team_similarity and its SQL have every 25th
+    m = vectors.mean_similarity(P.table(spark, d, "embeddings"), "vec_id", "embedding", "label").withColumnRenamed("id", "vec_id")
+    w = Window.partitionBy("vec_id").orderBy(F.desc("score"), "team")
+    return m.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("vec_id", "label", "team", F.round("score", 6).alias("score"))
+
+
 @_query("""WITH h AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda v: abs(v)) AS p FROM embeddings)
 SELECT a.vec_id AS a, b.vec_id AS b, round(1 - sqrt(greatest(0.0, 1 - list_sum(list_transform(range(1, len(a.p) + 1), lambda i: sqrt(a.p[i] * b.p[i]))) / sqrt(list_sum(a.p) * list_sum(b.p)))), 6) AS similarity FROM h a JOIN h b ON b.vec_id = a.vec_id + 1""")
 def bhattacharyya_match(spark, d):
@@ -449,6 +458,16 @@ def topk_accuracy(spark, d):
     return m.select(F.round("top1", 6).alias("top1"), F.round("topk", 6).alias("topk"))
 
 
+@_query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+k AS (SELECT e.vec_id, e.label, r.label AS guess, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_cosine_similarity(e.v, r.v) DESC, r.vec_id) AS p FROM e JOIN e r ON e.vec_id <> r.vec_id)
+SELECT round(avg(a), 6) AS top1, round(avg(b), 6) AS topk FROM (SELECT vec_id, max(CASE WHEN p = 1 AND guess = label THEN 1.0 ELSE 0.0 END) AS a, max(CASE WHEN p <= 5 AND guess = label THEN 1.0 ELSE 0.0 END) AS b FROM k GROUP BY vec_id)""")
+def topk_accuracy_all(spark, d):
+    # the candidates are all vectors, where topk_accuracy and its SQL have every 10th
+    k = vectors.nearest_labels(P.table(spark, d, "embeddings"), "vec_id", "embedding", "label")
+    m = stats.top_k_accuracy(k, "label", "ranked")
+    return m.select(F.round("top1", 6).alias("top1"), F.round("topk", 6).alias("topk"))
+
+
 @_query("""WITH b AS (SELECT item_id, regexp_replace(text, '[^ -~]', '', 'g')[1:60] AS t FROM benchmark)
 SELECT a.item_id, levenshtein(a.t, b.t) AS distance, round(1 - levenshtein(a.t, b.t) / CAST(greatest(length(a.t), length(b.t)) AS DOUBLE), 6) AS similarity FROM b a JOIN b ON b.item_id = a.item_id + 1""")
 def edit_distance(spark, d):
