@@ -7,6 +7,7 @@ columns of `documents`. Stages cope with nulls, empty texts and repeated rows as
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pathloom.llm import common, mixing, neardup, packing, substrings, toxicity as tox
@@ -19,11 +20,30 @@ def toxicity(spark, docs, sf_dir):
     return tox.score_toxicity(docs, labels).filter(F.col("predicted") == 0).select(*names)
 
 
+def _rows_told_apart(docs):
+    """`docs` with a column __row: doc_id for the first row of each doc_id, a number above all doc_ids for every further one."""
+    several = common.written(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"), "repeated-ids")
+    key = F.col("doc_id").cast("long")
+    if several.isEmpty():
+        return docs.withColumn("__row", key)
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
+    top = docs.agg(F.max(key)).first()[0]
+    again = docs.join(several, "doc_id").withColumn("__n", F.row_number().over(order))
+    again = again.withColumn("__row", F.when(F.col("__n") == 1, key).otherwise(F.lit(top) + 1 + F.monotonically_increasing_id())).drop("__n")
+    # written, for copies must keep their numbers
+    return docs.join(several, "doc_id", "left_anti").withColumn("__row", key).unionByName(common.written(again, "repeated-rows"))
+
+
 def near_duplicates(spark, docs, sf_dir):
-    """Keeps the document with the smallest doc_id of each group (five-word shingles, similarity 0.8 or more)."""
-    found = neardup.near_duplicates(docs.select("doc_id", "text"))
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """Keeps the document with the smallest doc_id of each group (five-word shingles, similarity 0.8 or more).
+
+    Rows are told apart where they repeat a doc_id: copies are one group, and different texts go or stay each for itself. Of a group's
+    rows, those that are the first of their doc_id go before the others.
+    """
+    rows = _rows_told_apart(docs)
+    found = neardup.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__row")).distinct()
+    return rows.join(gone, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def repeated_passages(spark, docs, sf_dir):

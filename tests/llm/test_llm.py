@@ -292,3 +292,14 @@ def test_pipeline(spark, docs, tmp_path):
     total = sum(len(x) for x in tokens.encoder(tokens.default_path("byte_bpe_50k.json")).encode([r.text for r in cur.select("text").collect()]))
     assert out.agg(F.sum("length")).first()[0] == total
     assert corpus_pipeline.run(spark, str(tmp_path)).agg(F.sum("length")).first()[0] == total
+
+
+def test_pipeline_repeated_ids(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    a, b, c, d, e = (" ".join(words(rng, 80, 5000)) for _ in range(5))
+    rows = [(1, a, "x"), (1, a, "y"), (1, a, "x"), (2, b, "x"), (3, b + " more", "x"), (3, c, "x"), (4, d, "x"), (None, e, "x"), (None, e, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = corpus_pipeline.near_duplicates(spark, df, None).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(1, a), (2, b), (3, c), (4, d), (0, e), (0, e)])
