@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship
 
@@ -17,10 +18,12 @@ BATCH_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or, only where that is unset, a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local master may leave it unset; it gets a temporary one."""
     sc = spark.sparkContext
     where = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not where:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="pathloom-")
         sc.setCheckpointDir(where)
     return where.rstrip("/")
@@ -35,7 +38,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """`df` as a Parquet table in the shared folder: lineage ends here, and a lost executor costs no more than a reread."""
     path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that `written` made and that no later plan reads."""
+    for df in tables:
+        where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def salted(left: DataFrame, right: DataFrame, on: list[str], salts: int = 8) -> DataFrame:
+    """Inner join in which the rows of a key lie in `salts` tasks: left rows go to one by a hash of all they hold, the rows of
+    `right`, few a key, go to each."""
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)))
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return left.join(right.hint("merge"), [*on, "_salt"]).drop("_salt")
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, bounded_batches, mix64, sequence_hashes, words_of, written
+from .common import WordHashes, bounded_batches, discard, mix64, salted, sequence_hashes, words_of, written
 from .components import connected_components
 
 
@@ -19,7 +19,8 @@ class MinHash:
     """Parameters. A pair at the threshold 0.85 shares one of 20 bands of 4 minima but for a chance of 4e-7.
 
     `width` words make a shingle, `percent` is the least similarity. `minima` values are kept to `bits` low bits each
-    for the estimate; `slack` standard deviations below the threshold a candidate is still confirmed exactly.
+    for the estimate; `slack` standard deviations below the threshold a candidate is still confirmed exactly. A task compares
+    at most `chunk` signatures with as many, and about `set_bytes` of shingle sets with as many.
     """
 
     width: int = 5
@@ -29,7 +30,8 @@ class MinHash:
     minima: int = 128
     bits: int = 4
     slack: float = 5.0
-    chunk: int = 1024
+    chunk: int = 4096
+    set_bytes: int = 8 << 20
 
     @property
     def least_estimate(self) -> float:
@@ -110,123 +112,154 @@ def signatures(docs: DataFrame, p: MinHash) -> DataFrame:
 
 
 def _sets(ids: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
-    """(doc_id, set) of the documents in `ids` (doc_id), made of whole texts anew: sorted hashes as bytes."""
+    """(id, set) of the documents in `ids` (id), made of whole texts anew: sorted hashes as bytes."""
     bounded_batches(docs.sparkSession)
 
     def make(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, p.width, _hashes).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["doc_id", "set"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([shingle_set(t, p.width, _hashes).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], ["id", "set"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    return written(texts.mapInArrow(make, "doc_id long, set binary"), "shingle-sets")
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids.hint("merge"), "id", "left_semi")
+    return texts.mapInArrow(make, "id long, set binary")
 
 
-def _alike(x: np.ndarray, y: np.ndarray, p: MinHash) -> bool:
-    """Whether two sorted sets meet the threshold, in whole numbers."""
-    small, large = (x, y) if len(x) < len(y) else (y, x)
-    if not len(small) or 100 * len(small) < p.percent * len(large):
-        return False
-    at = np.searchsorted(large, small)
-    same = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-    return 100 * same >= p.percent * (len(x) + len(y) - same)
+class _Unions:
+    """Components of small numbers, joined as links are found."""
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
 
+    def join(self, a: int, b: int) -> None:
+        x, y = self.root[a], self.root[b]
+        self.root[self.root == max(x, y)] = min(x, y)
 
-def likely(pairs: DataFrame, packed: DataFrame, p: MinHash) -> DataFrame:
-    """Those of `pairs` (a, b) whose signatures in `packed` (id, packed) let them reach the threshold. 64 bytes a side travel
-    here, where a confirmation moves whole sets."""
+
+def likely(pairs: DataFrame, classes: DataFrame, p: MinHash) -> DataFrame:
+    """Those of `pairs` (a, b) whose signatures let them reach the threshold, with the size of b's set. `a` repeats, `b` doesn't:
+    a signature travels once for each b."""
 
     def judge(batches):
         for batch in batches:
             if len(batch):
-                a, b = (np.array([np.frombuffer(x, np.uint8) for x in batch.column(k).to_pylist()]) for k in (2, 3))
-                yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(estimates(a, b, p) >= p.least_estimate))
+                x, y = (np.array([np.frombuffer(x, np.uint8) for x in batch.column(k).to_pylist()]) for k in (3, 4))
+                yield pa.RecordBatch.from_arrays(batch.columns[:3], ["a", "b", "n"]).filter(pa.array(estimates(x, y, p) >= p.least_estimate))
 
-    both = pairs.join(packed.select(F.col("id").alias("a"), F.col("packed").alias("x")), "a").join(packed.select(F.col("id").alias("b"), F.col("packed").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long")
+    with_b = pairs.join(classes.select(F.col("id").alias("b"), F.col("n_shingles").alias("n"), F.col("packed").alias("y")).hint("merge"), "b")
+    hubs = classes.join(pairs.select(F.col("a").alias("id")).distinct().hint("merge"), "id", "left_semi").select(F.col("id").alias("a"), F.col("packed").alias("x"))
+    return salted(with_b, hubs, ["a"]).select("a", "b", "n", "x", "y").mapInArrow(judge, "a long, b long, n long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
-    """Those of `pairs` (a, b; doc_ids) whose full shingle sets meet the threshold."""
+def confirmed_by_hubs(pairs: DataFrame, sets: DataFrame, p: MinHash) -> DataFrame:
+    """Those of `pairs` (a, b, n) whose full sets meet the threshold. The b's of one a are dealt to groups of about p.set_bytes; a's own
+    set goes to each."""
+    parts = pairs.groupBy("a").agg(F.ceil(F.sum("n") * 8 / p.set_bytes).alias("parts"))
+    members = salted(pairs, parts, ["a"]).select(F.col("b").alias("id"), F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), "parts").alias("part"))
+    hubs = parts.select(F.col("a").alias("id"), F.col("a").alias("hub"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
 
-    def judge(batches):
-        for batch in batches:
-            keep = [_alike(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), p) for x, y in zip(batch.column(2), batch.column(3))]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def judge(table):
+        ids, hub = table.column("id").to_numpy(), table.column("hub")[0].as_py()
+        each = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        own = [s for i, s in zip(ids, each) if i == hub]
+        found = {int(i) for i, s in zip(ids, each) if i != hub and any(_alike(s, o, p) for o in own)}
+        return pa.table({"a": pa.array([hub] * len(found), pa.int64()), "b": pa.array(sorted(found), pa.int64())})
 
-    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, p)
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(judge, "a long, b long").distinct()
+    placed = members.unionByName(hubs).join(sets.hint("merge"), "id")
+    return placed.groupBy("hub", "part").applyInArrow(judge, "a long, b long")
 
 
-def confirmed_to_components(asked: DataFrame, members: DataFrame, docs: DataFrame, p: MinHash) -> DataFrame:
-    """Links (a, b) that answer `asked` (id, component): whether any member of the component meets the threshold with the document.
+def _alike(x: np.ndarray, y: np.ndarray, p: MinHash) -> bool:
+    """Whether two sorted sets meet the threshold, in whole numbers."""
+    small, large = (x, y) if len(x) < len(y) else (y, x)
+    if not len(small) or 100 * len(small) < p.percent * len(large):
+        return False
+    at = np.searchsorted(large, small)
+    same = int((large[np.minimum(at, len(large) - 1)] == small).sum())
+    return 100 * same >= p.percent * (len(x) + len(y) - same)
+
 
-    `members` (id, component, size). A component is cut into chunks of sets; each chunk meets all that ask for it and gives one
-    link to each at most, so neither pairs nor a whole component are ever laid out.
+def _blocks(members: DataFrame, group: str, weight, most: int) -> DataFrame:
+    """Deals the members (group, id, component, ...) of groups that hold several components to blocks (group, i, j).
+
+    The component that weighs most in a group needs no comparison within itself: all others ask. Askers lie in rows of
+    blocks, every member in columns, each of about `most` weight. So a group grows by one row a member and block of
+    askers, and one with few askers stays linear. Column `asks` tells the two roles of a member apart.
+    """
+    by = members.groupBy(group, "component").agg(F.sum(weight).alias("w"))
+    by = by.groupBy(group).agg(F.count("*").alias("c"), F.sum("w").alias("all"), F.max(F.struct("w", (-F.col("component")).alias("m"))).alias("top")).filter("c > 1")
+    by = by.select(group, (-F.col("top.m")).alias("main"), F.ceil((F.col("all") - F.col("top.w")) / most).alias("rows"), F.ceil(F.col("all") / most).alias("columns"))
+    dealt = salted(members, by, [group])
+    number = lambda c: F.pmod(F.xxhash64("id", F.lit(c)), F.col(c))
+    every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    ask = dealt.filter("component != main").withColumn("i", number("rows")).withColumn("j", every("columns")).withColumn("asks", F.lit(True))
+    answer = dealt.withColumn("j", number("columns")).withColumn("i", every("rows")).withColumn("asks", F.lit(False))
+    return ask.unionByName(answer).drop("main", "rows", "columns")
+
+
+def likely_components(members: DataFrame, classes: DataFrame, p: MinHash) -> DataFrame:
+    """Pairs (a, b) of components that hold members of one band whose signatures let them reach the threshold.
+
+    `members`: (key, id, component). Blocks compare signatures by bit counts; a block gives no pair of components that
+    its other pairs already join, so it gives fewer pairs than it has members.
     """
-    wanted = asked.select("component").distinct()
-    parts = F.ceil(F.col("size") / 256)
-    blocks = members.join(wanted, "component").select("id", "component", F.pmod(F.xxhash64("id"), parts).alias("part"))
-    asking = asked.join(members.select("component", "size").distinct(), "component").select("id", "component", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"))
-    sets = _sets(blocks.select(F.col("id").alias("doc_id")).unionByName(asked.select(F.col("id").alias("doc_id"))).distinct(), docs, p)
-    sets = sets.select(F.col("doc_id").alias("id"), "set")
-
-    def judge(block, ask):
-        a, b = [], []
-        ids, sets = block.column("id").to_pylist(), [np.frombuffer(x.as_buffer(), np.uint64) for x in block.column("set")]
-        for k, x in zip(ask.column("id2").to_pylist(), ask.column("set2")):
-            x = np.frombuffer(x.as_buffer(), np.uint64)
-            found = next((i for i, y in zip(ids, sets) if i != k and _alike(x, y, p)), None)
-            if found is not None:
-                a.append(min(k, found))
-                b.append(max(k, found))
+
+    def compare(table):
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        names, comp = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        sig = np.array([np.frombuffer(x, np.uint8) for x in table.column("packed").to_pylist()])
+        mine, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        sets, pairs = _Unions(len(names)), []
+        for k in mine:
+            rest = other[sets.root[comp[other]] != sets.root[comp[k]]]
+            if not len(rest):
+                continue
+            like = estimates(sig[rest], sig[k][None, :], p) >= p.least_estimate
+            for c in np.unique(comp[rest[like]]):
+                if sets.root[c] != sets.root[comp[k]]:
+                    sets.join(c, comp[k])
+                    pairs.append((names[c], names[comp[k]]))
+        a, b = zip(*pairs) if pairs else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    left = blocks.join(sets, "id").groupBy("component", "part")
-    renamed = sets.select(F.col("id").alias("id2"), F.col("set").alias("set2"))  # the two sides of a cogroup must not share columns
-    asking = asking.select(F.col("id").alias("id2"), F.col("component").alias("component2"), F.col("part").alias("part2"))
-    right = asking.join(renamed, "id2").groupBy("component2", "part2")
-    return left.cogroup(right).applyInArrow(judge, "a long, b long").distinct()
+    dealt = _blocks(members, "key", F.lit(1), p.chunk).join(classes.select("id", "packed").hint("merge"), "id")
+    return dealt.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def _across(members: DataFrame, p: MinHash, best: bool) -> DataFrame:
-    """What bands that hold several components leave to compare, by b-bit estimates of their members.
+def links_between(members: DataFrame, sets: DataFrame, p: MinHash) -> DataFrame:
+    """Links (a, b) that join the components of a group wherever two of their members meet the threshold.
 
-    `members`: (key, id, component, size, packed). With `best`, pairs (a, b) of each member with its best partner in another
-    component; otherwise rows (id, component), a member and each larger component in which a partner passes the estimate.
-    A band is cut into chunks, and pairs of chunks are compared by bit counts in memory, so no task holds a band.
+    `members`: (family, id, component, n). In a block an asker's shared shingles with all others are counted at once, over an
+    index of the block's shingles; a block gives fewer links than it has members.
     """
-    chunks = members.groupBy("key").agg(F.ceil(F.count("*") / p.chunk).alias("n"))
-    own = members.join(chunks, "key").withColumn("c", F.pmod(F.xxhash64("id"), F.col("n")))
-    # a chunk meets itself and every other: it goes to (min, max) of the two numbers
-    spread = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("key", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "c", "id", "component", "size", "packed")
 
     def compare(table):
-        c, ids, comp, size = (table.column(k).to_numpy() for k in ("c", "id", "component", "size"))
-        sig = np.array([np.frombuffer(x, np.uint8) for x in table.column("packed").to_pylist()])
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        here, there = np.flatnonzero(c == i), np.flatnonzero(c == j)
-        found = []
-        for mine, others in [(here, there)] if i == j else [(here, there), (there, here)]:
-            for k in mine:
-                other = others[comp[others] != comp[k]]
-                if not best:  # the smaller component asks the larger one
-                    other = other[(size[other] > size[k]) | ((size[other] == size[k]) & (comp[other] > comp[k]))]
-                if not len(other):
-                    continue
-                like = estimates(np.broadcast_to(sig[k], (len(other), sig.shape[1])), sig[other], p)
-                if like.max() < p.least_estimate:
-                    continue
-                if best:
-                    o = other[like.argmax()]
-                    found.append((min(ids[k], ids[o]), max(ids[k], ids[o])))
-                else:
-                    found += [(ids[k], x) for x in np.unique(comp[other[like >= p.least_estimate]])]
-        a, b = zip(*set(found)) if found else ((), ())
+        asks = table.column("asks").to_numpy(zero_copy_only=False)
+        ids = table.column("id").to_numpy()
+        names, comp = np.unique(table.column("component").to_numpy(), return_inverse=True)
+        each = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("set")]
+        mine, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+        sizes = np.array([len(each[o]) for o in other], np.int64)
+        entries = np.concatenate([np.empty(0, np.uint64), *[each[o] for o in other]])
+        order = np.argsort(entries, kind="stable")
+        entries, holder = entries[order], np.repeat(np.arange(len(other)), sizes)[order]
+        sets_, a, b = _Unions(len(names)), [], []
+        for k in mine:
+            root = sets_.root[comp[k]]
+            if (sets_.root[comp[other]] == root).all():
+                continue
+            lo, hi = np.searchsorted(entries, each[k], "left"), np.searchsorted(entries, each[k], "right")
+            count = hi - lo
+            at = np.repeat(lo - np.cumsum(count) + count, count) + np.arange(count.sum())
+            same = np.bincount(holder[at], minlength=len(other))
+            hit = np.flatnonzero((100 * same >= p.percent * (len(each[k]) + sizes - same)) & (sets_.root[comp[other]] != root))
+            for o in hit:
+                if sets_.root[comp[other[o]]] != sets_.root[comp[k]]:
+                    sets_.join(comp[other[o]], comp[k])
+                    a.append(ids[k])
+                    b.append(ids[other[o]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    out = spread.groupBy("key", "i", "j").applyInArrow(compare, "a long, b long").distinct()
-    return out if best else out.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    dealt = _blocks(members, "family", F.col("n") * 8, p.set_bytes).drop("n").join(sets.hint("merge"), "id")
+    return dealt.groupBy("family", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, p: MinHash = MinHash()) -> DataFrame:
@@ -234,59 +267,51 @@ def near_duplicates(docs: DataFrame, p: MinHash = MinHash()) -> DataFrame:
 
     1. Rows with equal shingle sets form a class, known by its smallest doc_id; only classes are compared.
     2. Classes that share a band are candidates. Every class is first compared with one hub, the smallest class of a band
-       that it shares, that with the most bands in common; confirmed links join components.
-    3. In bands that still hold several components, every member is confirmed against one partner in another component, that
-       with the best b-bit estimate; this joins what belongs together at one pair a member.
-    4. What is left asks each larger component in which a partner passes the estimate; it is confirmed on full sets against
-       the component's members, chunk by chunk, and one link is enough. So no pair that shares a band goes unseen, and
-       rows grow with members and components, not with pairs.
+       that it shares, that which most of its bands name: by signature, then by full sets. Links join components.
+    3. In bands that still hold several components, signatures are compared in blocks by bit counts; components that a
+       passing estimate ties form a family.
+    4. Families are compared on full sets, block by block, but for pairs within one component. So every pair that shares a band and
+       passes the estimate is joined or has been compared, and no step lays out pairs: blocks give spanning links only.
 
     Cases: a null or wordless text has the empty set and links with nothing (rows with it don't form a class). A null
     doc_id links with nothing; its component is null and it is kept. Repeated rows are one document and each is
     returned; a doc_id with several texts has the links of all of them. An empty table gives no rows. Ties don't occur:
-    components go by the smallest id. Very long texts are hashed whole. Sets are compared as 64-bit hashes.
+    components go by the smallest id. Very long texts are hashed whole. Sets are compared as 64-bit hashes. Other columns
+    don't matter, whatever their names.
     """
     signed = written(signatures(docs, p), "signatures")
     usable = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    classes = written(usable.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", "n_shingles", "packed", "bands")).alias("c")).select("f1", "f2", F.col("c.doc_id").alias("id"), "c.packed", "c.bands"), "classes")
-    named = usable.join(classes.select("f1", "f2", "id"), ["f1", "f2"]).select("doc_id", "id")
+    least = usable.groupBy("f1", "f2").agg(F.min("doc_id").alias("doc_id"))
+    one_each = usable.dropDuplicates(["doc_id", "f1", "f2"])
+    classes = written(one_each.join(least.hint("merge"), ["doc_id", "f1", "f2"]).withColumnRenamed("doc_id", "id"), "classes")
     # a doc_id with several texts ties their classes together
-    several = named.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("a", "b")
-
-    shared = classes.select("id", F.explode("bands").alias("key"))
-    hubs = shared.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")
-    shared = written(shared.join(hubs, "key"), "shared-bands")
-    votes = shared.filter("id != hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
-    best = votes.groupBy("id").agg(F.max(F.struct("n", (-F.col("hub")).alias("h"))).alias("m")).select((-F.col("m.h")).alias("a"), F.col("id").alias("b"))
-    best = written(best, "hub-pairs")
-    hopeful = written(likely(best, classes, p), "likely-pairs")
-    first = written(confirmed(hopeful, docs, p).unionByName(several), "links1")
-    comps = connected_components(first)
-
-    tried = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    links = first
-
-    def placed():
-        """Every class with its component and that component's size, and the members of bands that hold several."""
-        one = classes.select("id").join(comps, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
-        one = written(one.join(one.groupBy("component").agg(F.count("*").alias("size")), "component").select("id", "component", "size"), "placed")
-        band = shared.select("key", "id").join(one, "id")
-        mixed = band.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("key")
-        return one, written(band.join(mixed, "key").join(classes.select("id", "packed"), "id"), "mixed-bands")
-
-    _, members = placed()
-    pairs = written(_across(members, p, True).join(tried, ["a", "b"], "left_anti"), "pairs")
-    found = written(confirmed(pairs, docs, p), "links2")
-    if not found.isEmpty():
-        links = links.unionByName(found)
-        comps = connected_components(links)
-    one, members = placed()
-    asked = written(_across(members, p, False), "asked")
-    found = written(confirmed_to_components(asked, one, docs, p), "links3")
-    if not found.isEmpty():
-        comps = connected_components(links.unionByName(found))
-    final = classes.select("f1", "f2", "id").join(comps, "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("_c"))
-    own = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    keyed = signed.select("doc_id", "n_shingles", F.when(own, F.col("f1")).alias("f1"), F.when(own, F.col("f2")).alias("f2"))
-    out = keyed.join(final, ["f1", "f2"], "left").select("doc_id", "n_shingles", F.coalesce("_c", "doc_id").alias("component_id"))
+    texts = usable.groupBy("doc_id").agg(F.min(F.struct("f1", "f2")).alias("x"), F.max(F.struct("f1", "f2")).alias("y")).filter("x != y").select("doc_id")
+    several = usable.join(texts, "doc_id", "left_semi").join(classes.select("f1", "f2", "id"), ["f1", "f2"]).select("doc_id", "id")
+    several = written(several.groupBy("doc_id").agg(F.min("id").alias("a"), F.collect_set("id").alias("o")).select("a", F.explode("o").alias("b")), "several")
+
+    bands = classes.select(F.explode("bands").alias("key"), "id")
+    hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")
+    shared = written(salted(bands, hubs, ["key"]), "shared-bands")
+    best = shared.filter("id != hub").groupBy("id").agg(F.mode("hub", True).alias("a")).select("a", F.col("id").alias("b"))
+    hopeful = written(likely(written(best, "hub-pairs"), classes, p), "likely-pairs")
+    sets = written(_sets(shared.select("id").distinct(), docs, p), "shingle-sets")
+    links = written(confirmed_by_hubs(hopeful, sets, p).unionByName(several), "hub-links")
+    comps = connected_components(links)
+
+    placed = shared.select("key", "id").join(comps.hint("merge"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    ties = written(likely_components(placed, classes, p), "likely-components")
+    if not ties.isEmpty():
+        families = connected_components(ties).select(F.col("id").alias("component"), F.col("component").alias("family"))
+        members = classes.select("id", F.col("n_shingles").alias("n")).join(shared.select("id").distinct().hint("merge"), "id", "left_semi")
+        members = members.join(comps.hint("merge"), "id", "left").select("id", "n", F.coalesce("component", "id").alias("component"))
+        more = written(links_between(salted(members, families, ["component"]), sets, p), "family-links")
+        comps = connected_components(comps.select(F.col("component").alias("a"), F.col("id").alias("b")).unionByName(more))
+        discard(more)
+    # classes that stand for nothing but their one row aren't needed: its component is its own doc_id
+    final = classes.select("f1", "f2", "id").join(comps.hint("merge"), "id", "left").select("f1", "f2", F.coalesce("component", "id").alias("component_id"))
+    final = written(final, "class-components")
+    discard(sets, hopeful, shared, links, several, ties, classes)
+    alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
+    own = salted(signed.filter(~alone).select("doc_id", "n_shingles", "f1", "f2"), final, ["f1", "f2"]).select("doc_id", "n_shingles", "component_id")
+    out = own.unionByName(signed.filter(alone).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
