@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, written
+from .common import bounded_batches, discard, written
 from .vectors import matrix, usable
 
 
@@ -18,33 +18,40 @@ from .vectors import matrix, usable
 class Forest:
     """Parameters. The trees are fitted on at most `sample` vectors, chosen by hash; every vector is indexed.
 
-    `depth` levels make 2 ** depth leaves a tree; a message goes to the 2 ** `top` subtrees below the upper levels.
-    The number of leaves searched is fitted too: the least that finds `recall` of the sample's own neighbours. `chunk` bounds
-    the vectors of one subtree that a task holds.
+    The depth follows the number of vectors: leaves hold about `leaf` of them, until 2 ** `depth` leaves are reached. The number of
+    leaves searched is fitted too: the least that finds `recall` of the sample's own neighbours. `chunk` bounds the vectors
+    that a task holds. `spread` is how far neighbours stray from a query along a plane, as a share of the greatest norm.
     """
 
-    trees: int = 6
-    depth: int = 8
-    top: int = 4
-    sample: int = 8192
-    recall: float = 0.97
-    chunk: int = 16384
+    trees: int = 12
+    leaf: int = 16
+    depth: int = 14
+    sample: int = 65_536
+    recall: float = 0.95
+    chunk: int = 16_384
+    spread: float = 0.4
     seed: int = 11
 
+    def at(self, rows: int) -> Forest:
+        """These parameters with the depth for so many rows."""
+        most = max(0, min(rows, self.sample) // 4).bit_length() - 1
+        return replace(self, depth=max(0, min(self.depth, most, (-(-rows // self.leaf) - 1).bit_length())))
+
 
 class Index:
-    """The fitted forest: plain arrays, of a size that the parameters bound."""
+    """The fitted forest: plain arrays, of a size that the parameters bound. `held` counts the sample's vectors in each leaf."""
 
     def __init__(self, sample: np.ndarray, p: Forest):
-        self.p = p
+        self.p, self.leaves = p, 1 << p.depth
         rng = np.random.default_rng(p.seed)
         self.reach = float(np.sqrt((sample * sample).sum(1)).max()) if len(sample) else 1.0
         x = self.lift(sample)
-        nodes = (1 << p.depth) - 1
-        self.planes, self.cuts = np.zeros((p.trees, nodes, x.shape[1])), np.zeros((p.trees, nodes))
+        nodes = self.leaves - 1
+        self.planes, self.cuts = np.zeros((p.trees, nodes, x.shape[1]), np.float32), np.zeros((p.trees, nodes))
         for t in range(p.trees):
             self._split(t, 0, x, np.arange(len(x)), rng)
-        self.leaves = 1 << p.depth
+        leaf = self.leaf_of(sample)
+        self.held = np.array([np.bincount(leaf[:, t], minlength=self.leaves) for t in range(p.trees)])
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         """Stored vectors with one more component that gives all the same norm, so that large inner product means near."""
@@ -58,9 +65,9 @@ class Index:
         if len(rows) > 1:  # the gap between two random members, as is usual for such trees
             a, b = x[rng.choice(rows, 2, replace=False)]
             plane = a - b if ((a - b) ** 2).sum() > 1e-12 else plane
-        plane = plane / np.sqrt((plane * plane).sum())
-        side = x[rows] @ plane
-        self.planes[t, node], self.cuts[t, node] = plane, float(np.median(side)) if len(rows) else 0.0
+        self.planes[t, node] = plane / np.sqrt((plane * plane).sum())
+        side = x[rows] @ self.planes[t, node]
+        self.cuts[t, node] = float(np.median(side)) if len(rows) else 0.0
         right = side > self.cuts[t, node]
         self._split(t, 2 * node + 1, x, rows[~right], rng)
         self._split(t, 2 * node + 2, x, rows[right], rng)
@@ -76,133 +83,193 @@ class Index:
             out[:, t] = node - (self.leaves - 1)
         return out
 
-    def search(self, q: np.ndarray, budget: int) -> list[tuple[int, int]]:
-        """The (tree, leaf) pairs for a query, best margin first over all trees, `budget` of them."""
+    def steps(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What it costs a query to go left or right at each node: how unlikely a neighbour is to lie there, as a negative logarithm."""
         q = np.append(q * (self.reach / max(np.sqrt(q @ q), 1e-300)), 0.0)
-        margin = self.planes @ q - self.cuts
+        z = 1.702 * (self.planes @ q - self.cuts) / (self.p.spread * self.reach)  # the logistic stand-in for the normal distribution
+        return np.logaddexp(0, z), np.logaddexp(0, -z)
+
+    def queued(self, q: np.ndarray, budget: int) -> list[tuple[int, int]]:
+        """The (tree, leaf) pairs for a query: one queue for all trees, cheapest way first, `budget` leaves of it."""
+        left, right = self.steps(q)
         queue = [(0.0, t, 0) for t in range(self.p.trees)]
         found, inner = [], self.planes.shape[1]
         while queue and len(found) < budget:
-            far, t, node = heapq.heappop(queue)
-            while node < inner:
-                m = margin[t, node]
-                near = 2 * node + 1 + (m > 0)
-                heapq.heappush(queue, (max(far, abs(m)), t, 4 * node + 3 - near))
-                node = near
-            found.append((t, node - inner))
+            cost, t, node = heapq.heappop(queue)
+            if node >= inner:
+                found.append((t, node - inner))
+                continue
+            heapq.heappush(queue, (cost + left[t, node], t, 2 * node + 1))
+            heapq.heappush(queue, (cost + right[t, node], t, 2 * node + 2))
         return found
 
+    def costs(self, q: np.ndarray) -> np.ndarray:
+        """What each leaf of each tree costs. The queue gives leaves in the order of these sums, for no step is negative."""
+        left, right = self.steps(q)
+        cost, at = np.zeros((self.p.trees, 1)), 0
+        for level in range(self.p.depth):
+            n = 1 << level
+            cost = np.stack([cost + left[:, at : at + n], cost + right[:, at : at + n]], 2).reshape(self.p.trees, 2 * n)
+            at += n
+        return cost
+
+    def search(self, q: np.ndarray, budget: int, least: int) -> np.ndarray:
+        """Which leaves the queue gives first, as a mask (tree, leaf): `budget` of them, and more until some tree's hold `least` of the sample."""
+        cost = self.costs(q).ravel()
+        while True:
+            chosen = np.zeros(cost.shape, bool)
+            chosen[np.argpartition(cost, budget - 1)[:budget] if budget < len(cost) else slice(None)] = True
+            chosen = chosen.reshape(self.held.shape)
+            if budget >= len(cost) or (self.held * chosen).sum(1).max() >= least:
+                return chosen
+            budget *= 2
+
 
-def fit(vectors: DataFrame, p: Forest, k: int) -> tuple[Index, int, np.ndarray, np.ndarray]:
-    """The index, the number of leaves to search, and the sample (ids, vectors), from at most p.sample rows."""
-    rows = vectors.orderBy(F.xxhash64("id", F.lit(p.seed)), "id").limit(p.sample).toArrow()
-    ids, x = rows.column("id").to_numpy(), matrix(rows.column("vec"))
+def fit(vectors: DataFrame, p: Forest, k: int) -> tuple[Index, int, int, int]:
+    """The index, the number of leaves to search, that of vectors and that of sampled ones, from about p.sample rows at most."""
+    n = vectors.count()
+    share = min(1.0, p.sample / max(1, n))
+    picked = vectors if share == 1.0 else vectors.filter(F.pmod(F.xxhash64("id", F.lit(p.seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = picked.toArrow().sort_by("id")
+    x = matrix(rows.column("vec"))
+    p = p.at(n)
     index = Index(x, p)
-    test = np.arange(min(len(x), 64))
-    leaf = index.leaf_of(x)
-    scores = x[test] @ x.T
-    scores[test, test] = -np.inf
+    every = p.trees * index.leaves
     k = min(k, len(x) - 1)
-    if k < 1:
-        return index, p.trees * index.leaves, ids, x
-    truth = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-    paths = [index.search(x[i], p.trees * index.leaves) for i in test]
-    # how far down the queue each true neighbour is met first
+    if k < 1 or not p.depth:
+        return index, every, n, len(x)
+    leaf = index.leaf_of(x)
     met = []
-    for path, near in zip(paths, truth):
-        rank = np.empty((p.trees, index.leaves), np.int64)
-        for r, (t, at) in enumerate(path):
-            rank[t, at] = r + 1
-        met += rank[np.arange(p.trees)[None, :], leaf[near]].min(1).tolist()
-    budget = int(np.quantile(met, p.recall, method="higher"))
-    return index, budget, ids, x
+    for i in np.random.default_rng(p.seed).choice(len(x), min(len(x), 100), replace=False):
+        score = x @ x[i]
+        score[i] = -np.inf
+        near = np.argpartition(-score, k - 1)[:k]
+        cost = index.costs(x[i])
+        # the place in the queue at which each true neighbour is met first
+        first = cost[np.arange(p.trees)[None, :], leaf[near]].min(1)
+        met.append(np.searchsorted(np.sort(cost.ravel()), first, "right"))
+    return index, int(np.quantile(np.concatenate(met), p.recall, method="higher")), n, len(x)
+
+
+def best_in_leaves(ids: np.ndarray, leaf: np.ndarray, x: np.ndarray, q: np.ndarray, v: np.ndarray, mask: np.ndarray, k: int, held: int = 1 << 20):
+    """The k best (query, id, score) of each query in the leaves that its row of `mask` names; ties go to the smaller id.
+
+    Of equal vectors only the k + 1 smallest ids can be among them, so a crowd of copies isn't scored. What is found so far is cut to the best k of
+    each query whenever it exceeds `held`, and their least score is the bar for what follows.
+    """
+    order = np.argsort(ids, kind="stable")
+    same = np.unique(np.ascontiguousarray(x[order]).view(np.dtype((np.void, x.shape[1] * x.itemsize))).ravel(), return_inverse=True)[1] if len(x) else order
+    by = np.argsort(same, kind="stable")
+    start = np.flatnonzero(np.r_[True, same[by][1:] != same[by][:-1]]) if len(by) else by
+    rank = np.arange(len(by)) - np.repeat(start, np.diff(np.r_[start, len(by)]))
+    keep = np.sort(order[by[rank <= k]])
+    ids, leaf, x = ids[keep], leaf[keep], x[keep]
+    bar = np.full(len(q), -np.inf)
+    found: list[tuple] = []
+
+    def cut():
+        m, n, s = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((-s, m))
+        m, n, s = m[order], n[order], s[order]
+        start = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
+        size = np.diff(np.r_[start, len(m)])
+        kth = np.where(size >= k, s[np.minimum(start + k, len(s)) - 1], -np.inf)
+        bar[m[start]] = np.maximum(bar[m[start]], kth - 1e-9)
+        ok = s >= bar[m]
+        found[:] = [(m[ok], n[ok], s[ok])]
+
+    at = np.argsort(leaf, kind="stable")
+    start = np.searchsorted(leaf[at], np.arange(mask.shape[1] + 1))
+    total = 0
+    for number in np.flatnonzero(np.diff(start)):
+        here, ask = at[start[number] : start[number + 1]], np.flatnonzero(mask[:, number])
+        for i in range(0, len(ask), 1024):
+            rows = ask[i : i + 1024]
+            s = v[rows] @ x[here].T
+            s[q[rows][:, None] == ids[here][None, :]] = -np.inf
+            m, n = np.nonzero((s >= bar[rows][:, None]) & np.isfinite(s))
+            found.append((rows[m], here[n], s[m, n]))
+            total += len(m)
+            if total > held:
+                cut()
+                total = len(found[0][0])
+                held = max(held, 2 * total)
+    if not total:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    cut()
+    m, n, _ = found[0]
+    # one formula everywhere, so that equal vectors have equal scores
+    s = np.concatenate([(v[m[i : i + 65536]] * x[n[i : i + 65536]]).sum(1) for i in range(0, len(m), 65536)])
+    order = np.lexsort((ids[n], -s, m))
+    m, n, s = m[order], n[order], s[order]
+    start = np.flatnonzero(np.r_[True, m[1:] != m[:-1]])
+    ok = np.arange(len(m)) - np.repeat(start, np.diff(np.r_[start, len(m)])) < 2 * k  # repeated ids may stand here twice
+    return q[m[ok]], ids[n[ok]], s[ok]
 
 
 def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", p: Forest = Forest()) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): for the vectors whose id is divisible by `every`, the `k` others of largest inner product.
 
-    Leaves are scored exactly, in double precision, subtree by subtree. A query's own k best in the fitted sample are known from the start;
-    their least score is a bound below which nothing is sent on. Ties go to the smaller id.
+    Every result comes from a searched leaf, scored exactly, in double precision, subtree by subtree; a subtree gives a query its k best.
+    Ties go to the smaller id.
 
     Cases: vectors that are null, zero or hold null or non-finite components, and rows without id, take no part. All must have one
     length. Repeated ids are scored each, and the best counts; a query never finds its own id. Of fewer than k
-    candidates all are returned. An empty table gives no rows. Large groups of equal vectors share leaves; these are cut into
-    chunks.
+    candidates all are returned. An empty table gives no rows. Subtrees that hold more than `p.chunk` vectors are cut into chunks
+    by hash. Other columns don't matter, whatever their names.
     """
     spark = df.sparkSession
     bounded_batches(spark)
     schema = "query_id long, rank int, vec_id long, score double"
     vectors = written(usable(df, id_col, vec_col), "ann-vectors")
-    index, budget, sample_ids, sample = fit(vectors, p, k)
-    if not len(sample):
+    index, budget, n, sampled = fit(vectors, p, k)
+    if not n:
         return spark.createDataFrame([], schema)
-    shared = spark.sparkContext.broadcast((index, sample_ids, sample))  # bounded by p.sample and p.depth
-    groups, inside = 1 << p.top, 1 << (p.depth - p.top)
+    p = index.p
+    top = min(p.depth, max(0, (-(-n // p.chunk) - 1).bit_length()))
+    groups, inside = 1 << top, 1 << (p.depth - top)
+    # salts for subtrees that the sample says to hold more than a task should: trees * groups numbers
+    crowd = index.held.reshape(p.trees * groups, inside).sum(1) * (n / sampled)
+    parts = np.maximum(1, np.ceil(crowd / p.chunk)).astype(int)
+    shared = spark.sparkContext.broadcast((index, parts))  # bounded by p.depth and p.trees
+    vec_type = vectors.schema["vec"].dataType
 
     def store(batches):
-        index = shared.value[0]
+        index, parts = shared.value
         for batch in batches:
             leaf = index.leaf_of(matrix(batch.column(1))) if len(batch) else np.empty((0, p.trees), np.int64)
+            salt = batch.column(0).to_numpy() * 0x9E3779B1 >> 7
             for t in range(p.trees):
-                yield pa.RecordBatch.from_arrays([pa.array(t * groups + leaf[:, t] // inside), pa.array(leaf[:, t] % inside), *batch.columns], ["grp", "leaf", "id", "vec"])
+                grp = t * groups + leaf[:, t] // inside
+                yield pa.RecordBatch.from_arrays([pa.array(grp), pa.array(salt % parts[grp]), pa.array(leaf[:, t] % inside), *batch.columns], ["grp", "salt", "leaf", "id", "vec"])
 
     def ask(batches):
-        index, ids, x = shared.value
+        index, parts = shared.value
         for batch in batches:
-            out = []
-            for q, v in zip(batch.column(0).to_pylist(), matrix(batch.column(1))):
-                score = x @ v
-                score[ids == q] = -np.inf
-                finite = int(np.isfinite(score).sum())
-                least = np.partition(score, -min(k, finite))[-min(k, finite)] if finite else np.inf
-                best = np.flatnonzero((score >= least - 1e-9) & np.isfinite(score))  # with what ties
-                exact = (x[best] * v).sum(1)  # one formula everywhere, so that equal vectors have equal scores
-                floor = float(least) if finite >= k else None
-                out += [(-1, 0, q, None, None, int(i), float(t)) for i, t in zip(ids[best], exact)]
-                wanted: dict[int, int] = {}
-                for t, at in index.search(v, budget):
-                    g = t * groups + at // inside
-                    wanted[g] = wanted.get(g, 0) | 1 << at % inside
-                out += [(g, mask, q, v, floor, None, None) for g, mask in wanted.items()]
-            cols = list(zip(*out)) or [()] * 7
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.float64(), pa.int64(), pa.float64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(cols, types)], ["grp", "mask", "query_id", "vec", "floor", "vec_id", "score"])
-
-    stored = vectors.mapInArrow(store, "grp long, leaf long, id long, vec array<double>")
-    asked = written(vectors.filter(F.col("id") % every == 0).mapInArrow(ask, "grp long, mask long, query_id long, vec array<double>, floor double, vec_id long, score double"), "ann-queries")
-    known = asked.filter("grp < 0").select("query_id", "vec_id", "score")
-    stored = written(stored, "ann-leaves")
-    # salts for subtrees that hold more than a task should: trees * groups numbers
-    sizes = {r["grp"]: r["n"] for r in stored.groupBy("grp").agg(F.count("*").alias("n")).collect()}
-    parts = F.element_at(F.create_map(*[F.lit(int(x)) for g, n in sorted(sizes.items()) for x in (g, -(-n // p.chunk))]), F.col("grp"))
-    stored = stored.withColumn("salt", F.pmod(F.xxhash64("id"), parts))
-    asked = asked.filter("grp >= 0").withColumn("salt", F.explode(F.when(parts.isNotNull(), F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))))
-
-    def score(left, right):
-        a, b, found_q, found_v, found_s = left, right, [], [], []
-        if len(a) and len(b):
-            ids, leaf, x = a.column("id").to_numpy(), a.column("leaf").to_numpy(), matrix(a.column("vec"))
-            q, mask, v = b.column("query_id").to_numpy(), b.column("mask").to_numpy(), matrix(b.column("vec"))
-            floor = b.column("floor").to_numpy(zero_copy_only=False).astype(float)
-            floor = np.where(np.isnan(floor), -np.inf, floor)
-            for at in np.unique(leaf):
-                here, ask_ = np.flatnonzero(leaf == at), np.flatnonzero(mask >> at & 1)
-                for i in range(0, len(ask_), 256):
-                    rows = ask_[i : i + 256]
-                    s = v[rows] @ x[here].T
-                    s[q[rows][:, None] == ids[here][None, :]] = -np.inf
-                    bound = floor[rows][:, None] - 1e-9
-                    m, n = np.nonzero((s >= bound) & np.isfinite(s))
-                    if len(m) > k * len(rows) and s.shape[1] > k:  # the k best of each row and what ties with them
-                        least = np.partition(s, -k, axis=1)[:, -k][:, None]
-                        m, n = np.nonzero((s >= np.maximum(bound, least - 1e-9)) & np.isfinite(s))
-                    found_q.append(q[rows][m])
-                    found_v.append(ids[here][n])
-                    found_s.append((v[rows][m] * x[here][n]).sum(1))
-        pick = lambda z, kind: pa.array(np.concatenate(z) if z else np.empty(0), kind)
-        return pa.table({"query_id": pick(found_q, pa.int64()), "vec_id": pick(found_v, pa.int64()), "score": pick(found_s, pa.float64())})
+            out = [[], [], [], []]
+            for i, v in enumerate(matrix(batch.column(1))):
+                mask = index.search(v, budget, min(k + 1, sampled)).reshape(p.trees * groups, inside)
+                for g in np.flatnonzero(mask.any(1)).tolist():
+                    bits = np.packbits(mask[g]).tobytes()
+                    for s in range(parts[g]):
+                        for column, value in zip(out, (g, s, bits, i)):
+                            column.append(value)
+            rows = pa.array(out[3], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()), batch.column(0).take(rows), batch.column(1).take(rows)], ["grp", "salt", "mask", "query_id", "vec"])
+
+    def score(stored, asked):
+        out = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        if len(stored) and len(asked):
+            mask = np.unpackbits(np.array([np.frombuffer(m, np.uint8) for m in asked.column("mask").to_pylist()]), axis=1)[:, :inside].astype(bool)
+            out = best_in_leaves(stored.column("id").to_numpy(), stored.column("leaf").to_numpy(), matrix(stored.column("vec")), asked.column("query_id").to_numpy(), matrix(asked.column("vec")), mask, k)
+        return pa.table({"query_id": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
 
+    kind = vec_type.simpleString()
+    stored = vectors.mapInArrow(store, f"grp long, salt long, leaf long, id long, vec {kind}")
+    asked = vectors.filter(F.col("id") % every == 0).mapInArrow(ask, f"grp long, salt long, mask binary, query_id long, vec {kind}")
     found = stored.groupBy("grp", "salt").cogroup(asked.groupBy("grp", "salt")).applyInArrow(score, "query_id long, vec_id long, score double")
-    every_one = known.unionByName(found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    every_one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return every_one.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = written(every_one.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "ann-found")
+    discard(vectors)
+    return out
