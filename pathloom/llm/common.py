@@ -29,9 +29,24 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_paths: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _paths.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _paths[-1]
+
+
+def sweep(spark: SparkSession) -> int:
+    """Delete whatever the operators of this process have left in the shared folder, once their results have been stored or used; gives
+    the number of paths."""
+    for path in _paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    n = len(_paths)
+    _paths.clear()
+    return n
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -26,11 +26,15 @@ from .common import WordHashes, bounded_batches, scratch_path, sequence_hashes,
 
 @dataclass(frozen=True)
 class Cover:
-    """`offsets` must be a difference cover modulo `period`: every difference modulo it occurs between two of them."""
+    """`offsets` must be a difference cover modulo `period`: every difference modulo it occurs between two of them.
+
+    A block of documents, and a bucket of hashes, holds about `megabytes` of text or hashes, so their numbers follow the table.
+    """
 
     window: int = 13
     period: int = 7
     offsets: tuple[int, ...] = (0, 1, 3)
+    megabytes: int = 32
 
     def __post_init__(self):
         if {(a - b) % self.period for a in self.offsets for b in self.offsets} != set(range(self.period)) or self.window < self.period:
@@ -106,16 +110,21 @@ def _in(h1: np.ndarray, h2: np.ndarray, known1: np.ndarray, known2: np.ndarray)
 _MESSAGE = "block long, bucket long, c0 binary"
 
 
-def _bucketed(docs: DataFrame, partitions: int) -> DataFrame:
-    """The documents in 2 blocks a partition, as a table bucketed by block in the shared folder."""
+def _bucketed(docs: DataFrame, blocks: int, tasks: int) -> DataFrame:
+    """The documents in `blocks` blocks, bucketed by block into `tasks` files in the shared folder.
+
+    Only the catalog tells Spark of buckets; once the table is resolved, its entry there is dropped again. The files stay.
+    """
     spark = docs.sparkSession
     name = f"pathloom_blocks_{uuid.uuid4().hex}"
     rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"r{i}") for i, c in enumerate(docs.columns)])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"), F.pmod(F.xxhash64("doc_id"), F.lit(2 * partitions)).alias("block"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
     rows = rows.withColumn("rest", F.col("rest").dropFields(f"r{docs.columns.index('text')}"))
-    (rows.repartition(partitions, "block").sortWithinPartitions("block").write.option("compression", "zstd").option("path", scratch_path(spark, "blocks"))
-     .bucketBy(partitions, "block").sortBy("block").saveAsTable(name))
-    return spark.table(name)
+    (rows.repartition(tasks, "block").sortWithinPartitions("block").write.option("compression", "zstd").option("path", scratch_path(spark, "blocks"))
+     .bucketBy(tasks, "block").sortBy("block").saveAsTable(name))
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table
 
 
 def remove_repeats(docs: DataFrame, c: Cover = Cover()) -> DataFrame:
@@ -128,12 +137,17 @@ def remove_repeats(docs: DataFrame, c: Cover = Cover()) -> DataFrame:
 
     Cases: a null or empty text has no words, and stays as it is. A row without doc_id is neither smaller nor larger than others and stays
     whole. Rows that repeat a doc_id are the same document: they don't remove each other's words. Texts shorter than a
-    window lose nothing. An empty table gives no rows. Very long texts are worked on whole, one document at a time.
+    window lose nothing. An empty table gives no rows. Very long texts are worked on whole, one document at a time. Ties don't occur, for
+    rows of one doc_id count as one. All other columns stay as they are, whatever their names.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    partitions = shuffle_partitions(spark)
-    blocks = _bucketed(docs, partitions)
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    most = c.megabytes << 20
+    tasks = max(shuffle_partitions(spark), -(-size // (4 * most)))
+    # a word of six bytes or so gives len(offsets) / period anchors of four
+    partitions = max(shuffle_partitions(spark), -(-size * 4 * len(c.offsets) // (6 * c.period * most)))
+    blocks = _bucketed(docs, max(2 * tasks, -(-size // most)), tasks)
     texts = blocks.select("block", "doc_id", "text")
 
     def anchors(key, table):
