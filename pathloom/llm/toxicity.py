@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_batches, written
-from .trees import BoostedTrees, Isotonic
+from .trees import BoostedTrees, Constant, Isotonic
 
 # Common insults and second-person pronouns of four languages.
 INSULTS = frozenset(
@@ -33,10 +33,12 @@ FEATURES = (
 
 @dataclass(frozen=True)
 class Toxicity:
-    """At most `rows` labelled rows, chosen by a hash of doc_id, are fitted on; at most `stems` word stems are learnt."""
+    """At most `rows` labelled rows are fitted on, chosen by a hash of doc_id within each label; the rarer label has up to half of them.
+
+    Stems of words are learnt from a log-likelihood ratio of `weak` on, and held for strong signs from `strong` on.
+    """
 
     rows: int = 20_000
-    stems: int = 4000
     folds: int = 4
     weak: float = 12.0
     strong: float = 25.0
@@ -105,7 +107,7 @@ class Reader:
         marks = Counter(c for c in text if not c.isalnum() and not c.isspace()) if text else Counter()
         shouted = sum(t.isupper() and len(t) > 2 for t in text.split())
         return [
-            np.log1p(n), insult, insult / w, hidden, hidden / w, strong, strong / w, weak, weak / w, best, min(total, 500.0),
+            np.log1p(n), insult, insult / w, hidden, hidden / w, strong, strong / w, weak, weak / w, best, total,
             near / w, second / w, upper / chars, shouted / w, marks["!"] / w, marks["?"] / w, sum(marks.values()) / chars, (marks["*"] + marks["$"] + marks["#"] + marks["@"]) / w,
             disguised / w, (max(counts.values()) / w) if counts else 0.0, len(counts) / w, letters / w, len(text.encode("utf-8", "surrogatepass")) / chars - 1, sum(map(text.count, "0123456789")) / chars,
         ]
@@ -135,10 +137,11 @@ def _lexicon(names, tox, non, all_tox, all_non, p: Toxicity) -> dict[str, tuple[
 
 
 class Model:
-    """What scoring needs: the lexicon, the trees and the calibration. `score` gives values in [0, 1]."""
+    """What scoring needs: the lexicon, the trees, the calibration and how many rows of each label a sampled one stands for. `score`
+    gives values in [0, 1]."""
 
-    def __init__(self, lexicon, trees, calibration):
-        self.lexicon, self.trees, self.calibration, self.reader = lexicon, trees, calibration, None
+    def __init__(self, lexicon, trees, calibration, weights=(1.0, 1.0)):
+        self.lexicon, self.trees, self.calibration, self.weights, self.reader = lexicon, trees, calibration, weights, None
 
     def __getstate__(self):
         return {**self.__dict__, "reader": None}
@@ -146,16 +149,15 @@ class Model:
     def score(self, texts) -> np.ndarray:
         self.reader = self.reader or Reader(self.lexicon)
         x = self.reader.matrix(texts)
-        if self.trees is None:  # nothing to learn from: density of known insults alone
-            d = x[:, FEATURES.index("insult_density")] + x[:, FEATURES.index("hidden_density")]
-            return d / (d + 0.02)
-        return np.clip(self.calibration(self.trees.margins(x)), 0.0, 1.0)
+        score = np.clip(self.calibration(self.trees.margins(x)), 0.0, 1.0)
+        clean, toxic = self.weights
+        return score * toxic / np.maximum(score * toxic + (1 - score) * clean, 1e-300)
 
 
 def fit(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
     """Learns from labelled rows that aren't held out, p.rows of them at most. Rows with a null label or doc_id are left out.
 
-    Stem counts are taken in Spark; the driver gets at most p.stems counts and a row of features for each sampled text.
+    Stem counts are taken in Spark; the driver gets those of significant stems and a row of features for each sampled text.
     Training features use the stems of the other folds, so that a stem is trusted as far as it holds on texts
     it wasn't learnt from; calibration uses margins of models that didn't see the row.
     """
@@ -163,13 +165,17 @@ def fit(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
     key = F.col("doc_id").cast("long")
     truth = labels.select(key.alias("doc_id"), F.col("toxic").cast("int").alias("y")).filter(F.col("doc_id").isNotNull() & F.col("y").isin(0, 1)).filter(~held_out(F.col("doc_id")))
     truth = truth.groupBy("doc_id").agg(F.max("y").alias("y"))
-    chosen = truth.orderBy(F.xxhash64("doc_id"), "doc_id").limit(p.rows)
+    there = {r["y"]: r["n"] for r in truth.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    if not there:
+        return Model({}, BoostedTrees(np.zeros((0, len(FEATURES))), np.zeros(0)), Constant(0.0))
+    few = min(there.get(0, 0), there.get(1, 0), p.rows // 2)
+    take = {y: min(n, max(few, p.rows - few)) for y, n in there.items()}
+    parts = [truth.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for y, n in sorted(take.items())]
+    chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     texts = docs.select(key.alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")  # p.rows pairs at most
     texts = written(texts.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(p.folds))), "toxicity-sample")
     whole = {(r["fold"], r["y"]): r["n"] for r in texts.groupBy("fold", "y").agg(F.count("*").alias("n")).collect()}
     size = lambda y, without=None: sum(n for (f, t), n in whole.items() if t == y and f != without)
-    if min(size(0), size(1)) < 2 * p.folds:
-        return Model({}, None, None)
 
     def count(batches):
         for batch in batches:
@@ -183,12 +189,20 @@ def fit(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
     counted = texts.select("text", "y", "fold").mapInArrow(count, "stem string, kind long, n long")
     sums = [F.sum(F.when(F.col("kind") == i, F.col("n")).otherwise(0)).alias(f"k{i}") for i in range(2 * p.folds)]
     wide = counted.groupBy("stem").agg(*sums)
-    tox = sum((F.col(f"k{2 * f + 1}") for f in range(p.folds)), F.lit(0))
-    non = sum((F.col(f"k{2 * f}") for f in range(p.folds)), F.lit(0))
-    rate = size(1) / (size(0) + size(1))
-    lift = tox / (tox + non) / rate
-    # ordered by a plain stand-in for the ratio that _surprise() gives, for what is kept is bounded
-    top = wide.withColumn("lift", lift).withColumn("gain", tox * F.log("lift")).filter((tox >= 2) & (F.col("lift") > 2)).orderBy(F.desc("gain"), "stem").limit(p.stems).toPandas()
+
+    def signs(without=None):
+        """Whether a stem's log-likelihood ratio reaches p.weak, leaving out one fold."""
+        tox, non = (sum((F.col(f"k{2 * f + y}") for f in range(p.folds) if f != without), F.lit(0)).cast("double") for y in (1, 0))
+        rate = size(1, without) / max(1, size(0, without) + size(1, without))
+        if not 0 < rate < 1:
+            return F.lit(False)
+        part = lambda x, share: F.when(x > 0, x * F.log(x / ((tox + non) * share))).otherwise(0.0)
+        return (tox >= 3) & (tox > (tox + non) * rate) & (2 * (part(tox, rate) + part(non, 1 - rate)) >= p.weak)
+
+    found = F.lit(False)
+    for f in (None, *range(p.folds)):
+        found = found | signs(f)
+    top = wide.filter(found).orderBy("stem").toPandas()
     per = top[[f"k{i}" for i in range(2 * p.folds)]].to_numpy(float) if len(top) else np.zeros((0, 2 * p.folds))
     names = top["stem"].tolist()
     lexicon = lambda without=None: _lexicon(
@@ -203,21 +217,22 @@ def fit(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
             yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(2), batch.column(3), pa.array(rows, pa.list_(pa.float64()))], ["y", "fold", "doc_id", "x"])
 
     data = texts.select("text", F.col("y").cast("long"), "fold", "doc_id").mapInArrow(featured, "y long, fold long, doc_id long, x array<double>").toPandas().sort_values("doc_id", kind="stable")
-    x, y, fold = np.array(data["x"].tolist()), data["y"].to_numpy(float), data["fold"].to_numpy()
+    x, y, fold = np.array(data["x"].tolist(), float).reshape(-1, len(FEATURES)), data["y"].to_numpy(float), data["fold"].to_numpy()
     margins = np.zeros(len(y))
     for f in range(p.folds):
         here = fold == f
         if here.any():
             margins[here] = BoostedTrees(x[~here], y[~here]).margins(x[here])
-    return Model(lexicon(), BoostedTrees(x, y), Isotonic(margins, y))
+    weights = tuple(there.get(t, 0) / take.get(t, 1) for t in (0, 1)) if len(there) == 2 else (1.0, 1.0)
+    return Model(lexicon(), BoostedTrees(x, y), Isotonic(margins, y) if len(y) else Constant(0.0), weights)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> DataFrame:
     """`docs` (doc_id, text, ...) with the columns held_out, score and predicted, which replace columns of these names.
 
     Cases: a null text is an empty one; both get a score. A null doc_id isn't held out and gets a score too. Repeated rows are
-    scored alike. Without enough labelled rows the score comes from a fixed lexicon. An empty table gives no rows. Whole texts
-    are read, however long. Scores never depend on doc_id, lang, source or labels of the scored row.
+    scored alike, so ties are equal scores. Where labels hold one value only, that is every score; without labels scores are 0. An empty
+    table gives no rows. Whole texts are read, however long. Scores never depend on doc_id, lang, source or labels of the scored row.
     """
     bounded_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, p))  # bounded by p.stems and the trees

@@ -45,7 +45,7 @@ class BoostedTrees:
 
     def __init__(self, x: np.ndarray, y: np.ndarray, trees: int = 120, depth: int = 3, rate: float = 0.1, bins: int = 48, l2: float = 2.0, least: float = 2.0):
         n, m = x.shape
-        self.cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) for f in range(m)]
+        self.cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1], method="lower")) if n else np.zeros(0) for f in range(m)]
         codes = np.stack([np.searchsorted(c, x[:, f], side="left") for f, c in enumerate(self.cuts)], 1).astype(np.int64)
         self.base = float(np.log((y.sum() + 0.5) / (n - y.sum() + 0.5)))
         self.rate, self.depth, self.forest = rate, depth, []
@@ -112,3 +112,13 @@ class Isotonic:
         low, high = self.at[0] - margin, margin - self.at[-1]
         inner = np.where(low > 0, self.value[0] * np.exp(-np.maximum(low, 0)), inner)
         return np.where(high > 0, 1 - (1 - self.value[-1]) * np.exp(-np.maximum(high, 0)), inner)
+
+
+class Constant:
+    """A calibration without anything to calibrate on."""
+
+    def __init__(self, value: float):
+        self.value = value
+
+    def __call__(self, margins) -> np.ndarray:
+        return np.full(len(margins), self.value)
