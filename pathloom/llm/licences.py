@@ -84,17 +84,22 @@ class Scanner:
 
     def best(self, text: str | None) -> tuple | None:
         """(identifier, Dice coefficient, line) of the best match, or None."""
+        return next(iter(self.all(text)), None)
+
+    def all(self, text: str | None) -> list[tuple]:
+        """(identifier, Dice coefficient, line) of the matches, best first: the best window of each template, without those that
+        overlap a better one."""
         plain = normalised(text or "")
         words = plain.split()
         if len(words) < 2:
-            return None
+            return []
         found = self.gram[self._codes(np.fromiter(map(self.vocab.get, words, repeat(0)), np.int64, len(words)))]
         here = np.unique(found[found > 0])
         # a window of m of a template's g bigrams reaches 2 m / (m + g) at most
         held = self.member[here].sum(0)
         likely = np.flatnonzero(2.0 * held >= self.least * (held + self.sizes))
         if not len(likely):
-            return None
+            return []
         numbers = np.unique(np.array(words), return_inverse=True)[1].astype(np.int64)
         same = np.unique(numbers[:-1] * len(words) + numbers[1:], return_inverse=True)[1]
         order = np.argsort(same, kind="stable")
@@ -104,17 +109,21 @@ class Scanner:
         data = np.frombuffer(plain, np.uint8) != 32
         starts = np.flatnonzero(data & ~np.r_[False, data[:-1]])
         raw = text.lower().encode("utf-8", "surrogatepass")
-        top = None
+        matches = []
         for k in likely:
             hit = self._window(self.member[found, k], before, int(self.sizes[k]), int(held[k]))
             if hit:
                 kind, name, number = self.names[k]
-                key = (kind, -hit[0], raw.count(b"\n", 0, int(starts[hit[1]])) + 1, name, number)
-                top = min(top or key, key)
-        return top and (top[3], -top[1], top[2])
+                line = raw.count(b"\n", 0, int(starts[hit[1]])) + 1
+                matches.append((kind, -hit[0], line, name, number, hit[1], hit[2]))
+        kept = []
+        for m in sorted(matches):
+            if all(m[6] < o[5] or m[5] > o[6] for o in kept):
+                kept.append(m)
+        return [(m[3], -m[1], m[2]) for m in kept]
 
     def _window(self, mine: np.ndarray, before: np.ndarray, size: int, held: int) -> tuple | None:
-        """(Dice coefficient, first bigram) of the best window, the earliest of equals; the best ones begin with a template's bigram."""
+        """(Dice coefficient, first and last bigram) of the best window, the earliest of equals; the best ones begin with a template's bigram."""
         most, top = size * (2 - self.least) / self.least, None
         for s in np.flatnonzero(mine).tolist():
             length = int(most) + 16
@@ -124,24 +133,29 @@ class Scanner:
                 if s + length >= len(mine) or n[-1] > most or m[-1] == held:
                     break
                 length *= 2
-            dice = float((2.0 * m / (n + size)).max())
+            each = 2.0 * m / (n + size)
+            end = int(each.argmax())
+            dice = float(each[end])
             if dice >= self.least and (top is None or dice > top[0]):
-                top = dice, s
+                top = dice, s, s + end
                 if dice == 1.0:
                     break
         return top
 
 
-def scan_licences(docs: DataFrame, p: Scan = Scan()) -> DataFrame:
+def scan_licences(docs: DataFrame, p: Scan = Scan(), every: bool = False) -> DataFrame:
     """Rows (doc_id, licence, dice, line): for each row of `docs` its best matching template and the line where its window begins, nulls if none reaches `p.least`.
 
+    With `every`, a row for each licence of a text instead, where windows don't overlap a better one's, and none for texts without.
+
     The text is one sequence of words, whatever its lines and punctuation; a window is any run of them. The Dice coefficient of
     sets of sizes a and b is at most 2 min(a, b) / (a + b), so a text that holds too few of a template's bigrams is left, and a
     window ends where it holds too many. Whole licence texts go before notices, for notices are often parts of other licences'
-    texts; then the greatest coefficient, the earlier line, the smaller identifier and template number. Lines are numbered from 1.
+    texts; ties then go by the greatest coefficient, the earlier line, the smaller identifier and template number. Lines are numbered from 1.
 
-    Cases: null and empty texts have no match; repeated rows are reported each; an empty table gives no rows. Everything
-    stays within the row, so nothing is shuffled.
+    Cases: null and empty texts have no match; repeated rows are reported each; an empty table gives no rows. Very long texts are read
+    whole, in time linear in their length for texts that hold few of a template's bigrams. Other columns don't matter, whatever their
+    names. Everything stays within the row, so nothing is shuffled.
     """
     bounded_batches(docs.sparkSession)
     p = Scan(p.least, p.templates, whole_texts() if p.texts is None else p.texts)  # read by the driver
@@ -150,8 +164,12 @@ def scan_licences(docs: DataFrame, p: Scan = Scan()) -> DataFrame:
     def scan(batches):
         scanner = Scanner(p)
         for batch in batches:
-            found = [scanner.best(t) or (None, None, None) for t in batch.column(1).to_pylist()]
+            rows, found = [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                mine = scanner.all(text) if every else [scanner.best(text) or (None, None, None)]
+                rows += [i] * len(mine)
+                found += mine
             names, dice, lines = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(dice, pa.float64()), pa.array(lines, pa.int64())], out.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(names, pa.string()), pa.array(dice, pa.float64()), pa.array(lines, pa.int64())], out.names)
 
     return docs.select("doc_id", "text").mapInArrow(scan, out)

@@ -19,8 +19,8 @@ class Forest:
     """Parameters. The trees are fitted on at most `sample` vectors, chosen by hash; every vector is indexed.
 
     The depth follows the number of vectors: leaves hold about `leaf` of them, until 2 ** `depth` leaves are reached. The number of
-    leaves searched is fitted too: the least that finds `recall` of the sample's own neighbours. `chunk` bounds the vectors
-    that a task holds. `spread` is how far neighbours stray from a query along a plane, as a share of the greatest norm.
+    leaves searched is fitted too: the least that finds `recall` of the sample's own neighbours; a query goes on until the leaves of
+    one tree hold about `least` vectors. `chunk` bounds the vectors that a task holds. `spread` is how far neighbours stray from a query along a plane, as a share of the greatest norm.
     """
 
     trees: int = 12
@@ -28,6 +28,7 @@ class Forest:
     depth: int = 13
     sample: int = 32_768
     recall: float = 0.93
+    least: int = 512
     chunk: int = 16_384
     spread: float = 0.4
     seed: int = 11
@@ -166,6 +167,14 @@ def fit(vectors: DataFrame, p: Forest, k: int) -> tuple[Index, int, int]:
     return index, int(np.quantile(np.concatenate(met), p.recall, method="higher")), n
 
 
+def _once(m: np.ndarray, n: np.ndarray, s: np.ndarray, ids: np.ndarray) -> tuple:
+    """Of rows (query, place, score) the best of each query and id."""
+    order = np.lexsort((-s, ids[n], m))
+    m, n, s = m[order], n[order], s[order]
+    first = np.r_[True, (m[1:] != m[:-1]) | (ids[n][1:] != ids[n][:-1])] if len(m) else np.empty(0, bool)
+    return m[first], n[first], s[first]
+
+
 def best_in_leaves(ids: np.ndarray, leaf: np.ndarray, x: np.ndarray, q: np.ndarray, v: np.ndarray, mask: np.ndarray, bar: np.ndarray, k: int, held: int = 1 << 20):
     """The k best (query, id, score) of each query, of what reaches its `bar`, in the leaves that its row of `mask` names; ties go to the smaller id.
 
@@ -175,6 +184,7 @@ def best_in_leaves(ids: np.ndarray, leaf: np.ndarray, x: np.ndarray, q: np.ndarr
     order = np.argsort(ids, kind="stable")
     same = np.unique(np.ascontiguousarray(x[order]).view(np.dtype((np.void, x.shape[1] * x.itemsize))).ravel(), return_inverse=True)[1] if len(x) else order
     by = np.argsort(same, kind="stable")
+    by = by[np.r_[True, (same[by][1:] != same[by][:-1]) | (ids[order[by]][1:] != ids[order[by]][:-1])]] if len(by) else by  # an id with one vector twice
     start = np.flatnonzero(np.r_[True, same[by][1:] != same[by][:-1]]) if len(by) else by
     rank = np.arange(len(by)) - np.repeat(start, np.diff(np.r_[start, len(by)]))
     keep = np.sort(order[by[rank <= k]])
@@ -186,6 +196,7 @@ def best_in_leaves(ids: np.ndarray, leaf: np.ndarray, x: np.ndarray, q: np.ndarr
         m, n, s = (np.concatenate(c) for c in zip(*found))
         other = q[m] != ids[n]
         m, n, s = m[other], n[other], s[other]
+        m, n, s = _once(m, n, s, ids)
         order = np.lexsort((-s, m))
         m, n, s = m[order], n[order], s[order]
         start = np.flatnonzero(np.r_[True, m[1:] != m[:-1]]) if len(m) else np.empty(0, np.int64)
@@ -218,10 +229,11 @@ def best_in_leaves(ids: np.ndarray, leaf: np.ndarray, x: np.ndarray, q: np.ndarr
     m, n, _ = found[0]
     # one formula everywhere, so that equal vectors have equal scores
     s = np.concatenate([np.empty(0), *[(v[m[i : i + 65536]] * x[n[i : i + 65536]]).sum(1) for i in range(0, len(m), 65536)]])
+    m, n, s = _once(m, n, s, ids)
     order = np.lexsort((ids[n], -s, m))
     m, n, s = m[order], n[order], s[order]
     start = np.flatnonzero(np.r_[True, m[1:] != m[:-1]]) if len(m) else np.empty(0, np.int64)
-    ok = np.arange(len(m)) - np.repeat(start, np.diff(np.r_[start, len(m)])) < 2 * k  # repeated ids may stand here twice
+    ok = np.arange(len(m)) - np.repeat(start, np.diff(np.r_[start, len(m)])) < k
     return q[m[ok]], ids[n[ok]], s[ok]
 
 
@@ -245,6 +257,7 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
     if not n:
         return spark.createDataFrame([], schema)
     p, sampled = index.p, len(index.ids)
+    least = min(sampled, max(k + 1, p.least * sampled // n))
     top = min(p.depth, max(0, (-(-n // p.chunk) - 1).bit_length()))
     groups, inside = 1 << top, 1 << (p.depth - top)
     # salts for subtrees that the sample says to hold more than a task should: trees * groups numbers
@@ -271,7 +284,7 @@ def nearest(df: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id",
                 part = x[b : b + 32]
                 scores = part @ index.sample.T
                 for i, cost in enumerate(index.costs(part)):
-                    mask = index.chosen(cost, budget, min(k + 1, sampled))
+                    mask = index.chosen(cost, budget, least)
                     bar = index.bar(ids[b + i], scores[i], mask, k)
                     mask = mask.reshape(p.trees * groups, inside)
                     for g in np.flatnonzero(mask.any(1)).tolist():

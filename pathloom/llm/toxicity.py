@@ -123,7 +123,7 @@ def held_out(doc_id):
 
 def _surprise(tox, non, all_tox, all_non):
     """Signed log-likelihood ratio (G squared) of a stem that `tox` toxic and `non` other texts hold."""
-    n, rate = tox + non, all_tox / (all_tox + all_non)
+    n, rate = tox + non, all_tox / max(1, all_tox + all_non)
     with np.errstate(divide="ignore", invalid="ignore"):
         g = 2 * (np.where(tox > 0, tox * np.log(tox / (n * rate)), 0) + np.where(non > 0, non * np.log(non / (n * (1 - rate))), 0))
     return np.where(tox > n * rate, g, 0.0)
