@@ -126,7 +126,7 @@ def test_vectors_of_a_hot_region(spark):
     link = unit(x) @ unit(x).T >= 0.9
     root = vecdup._forest(len(x), *np.nonzero(link))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
-    for p in (vecdup.Blocks(), vecdup.Blocks(megabytes=1, least=1)):
+    for p in (vecdup.Passes(), vecdup.Passes(batch=8, chunk=500)):
         got = {r.vec_id: r for r in vecdup.near_duplicate_vectors(df, p=p).collect()}
         assert all((got[i].n_links, got[i].component_id) == (link[i].sum() - 1, root[i]) for i in range(len(x)))
 
