@@ -136,3 +136,38 @@ def polygon_box(points: Column, width, height):
     kept = F.filter(points, lambda p: p["x"].between(0, width) & p["y"].between(0, height))
     xs, ys = F.transform(kept, lambda p: p["x"]), F.transform(kept, lambda p: p["y"])
     return F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)
+
+
+def unletterbox_points(points: Column, from_size, to_size) -> Column:
+    """Points (x, y) of a segment brought back as unletterbox() does with boxes."""
+    gain = min(from_size[0] / to_size[0], from_size[1] / to_size[1])
+    px, py = (from_size[0] - to_size[0] * gain) / 2, (from_size[1] - to_size[1] * gain) / 2
+    hold = lambda v, top: F.greatest(F.lit(0.0), F.least(v, F.lit(float(top))))
+    return F.transform(points, lambda p: F.struct(hold((p["x"] - px) / gain, to_size[0]).alias("x"), hold((p["y"] - py) / gain, to_size[1]).alias("y")))
+
+
+def resampled(points: Column, n: int) -> Column:
+    """`n` points (x, y), evenly spaced by number along a closed polygon, whose first point is its last again."""
+    closed = F.concat(points, F.slice(points, 1, 1))
+    step = (F.size(closed) - 1) / F.lit(float(n - 1))
+
+    def at(i: Column) -> Column:
+        t = i * step
+        low = F.least(F.floor(t).cast("int"), F.size(closed) - 2)
+        a, b, share = closed[low], closed[low + 1], t - low
+        return F.struct((a["x"] + (b["x"] - a["x"]) * share).alias("x"), (a["y"] + (b["y"] - a["y"]) * share).alias("y"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)
+
+
+def four_forms(box, width, height) -> dict[str, tuple]:
+    """A box by name of its form: xyxy, xywh, and both as shares of the image."""
+    x1, y1, x2, y2 = box
+    return {"xyxy": tuple(box), "xywh": centre(*box), "xyxyn": (x1 / width, y1 / height, x2 / width, y2 / height), "xywhn": to_normalised(box, width, height)}
+
+
+def height_corrected(box, expected: Column, most: float = 0.2):
+    """A box whose height strays from the expected one by more than `most` of it gets that height, its feet staying where they are."""
+    x1, y1, x2, y2 = box
+    h = y2 - y1
+    return x1, F.when(expected.isNotNull() & (F.abs(h - expected) > most * expected), y2 - expected).otherwise(y1), x2, y2

@@ -131,3 +131,8 @@ def mask_iou(a: Column, b: Column) -> Column:
     both = F.aggregate(F.zip_with(a, b, lambda u, v: u.cast("double") * v.cast("double")), F.lit(0.0), lambda s, t: s + t)
     total = lambda v: F.aggregate(v, F.lit(0.0), lambda s, t: s + t.cast("double"))
     return both / (total(a) + total(b) - both + 1e-7)
+
+
+def log_density(n: Column) -> Column:
+    """The logarithm of a bin's count, 0 for an empty or missing one."""
+    return F.when(n > 0, F.log(n.cast("double"))).otherwise(0.0)

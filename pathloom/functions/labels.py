@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNSURE, NOT_READ = "unsure", "N/A"
+# Fixed value: the characters that are awkward in file names.
+AWKWARD = r"[|@#!¡·$€%&()=?¿^*;:,¨´><+]"
+# Numbers below 91 that the 91-class numbering of the common detection dataset leaves out.
+MISSING_OF_91 = (12, 26, 29, 30, 45, 66, 68, 69, 71, 83)
 
 
 def is_goalkeeper(team: Column) -> Column:
@@ -82,7 +86,7 @@ def fold_ascii(text: pd.Series) -> pd.Series:
 
 def clean_name(text: Column) -> Column:
     """Characters that are awkward in file names replaced by an underscore."""
-    return F.regexp_replace(text, r"[|@#!¡·$€%&()=?¿^*;:,¨´><+]", "_")
+    return F.regexp_replace(text, AWKWARD, "_")
 
 
 def edit_similarity(a: Column, b: Column) -> Column:
@@ -132,3 +136,19 @@ def content_key(paths: Column, sizes: Column) -> Column:
     """md5 of the total size and the paths, in order."""
     total = F.aggregate(sizes, F.lit(0).cast("long"), lambda s, v: s + v)
     return F.md5(F.concat(total.cast("string"), F.array_join(paths, "")))
+
+
+def class_91(cls: Column) -> Column:
+    """A class number of 0 to 79 in the numbering of 1 to 90 that has gaps."""
+    numbers = [i for i in range(1, 91) if i not in MISSING_OF_91]
+    return F.get(F.array(*map(F.lit, numbers)), cls.cast("int"))
+
+
+def detection_text(name: Column, conf: Column) -> Column:
+    """How a detection is labelled: its class and its confidence to two places."""
+    return F.format_string("%s %.2f", name, conf)
+
+
+def class_counts(counts: Column) -> Column:
+    """A text of an array of (name, n): `3 persons, 1 ball`."""
+    return F.array_join(F.transform(counts, lambda c: F.concat(c["n"].cast("string"), F.lit(" "), c["name"], F.when(c["n"] > 1, "s").otherwise(""))), ", ")

@@ -65,3 +65,48 @@ def greedy_pairs(pairs: DataFrame, by: list[str], left: str, right: str, score:
     step = lambda done, x: F.when(F.exists(done, lambda d: (d["l"] == x["l"]) | (d["r"] == x["r"])), done).otherwise(F.concat(done, F.array(x)))
     out = pairs.groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("_p")).select(*by, F.inline(F.aggregate("_p", start, step)))
     return out.select(*by, F.col("l").alias(left), F.col("r").alias(right), (-F.col("s")).alias(score))
+
+
+def window_parts(windows: DataFrame, chapters: DataFrame, on: list[str], bucket: int = 10_000) -> DataFrame:
+    """Windows [start, end) cut at the chapters (on, chapter, g_start, g_end; ends exclusive) that they touch: the part of each chapter in
+    its own frames, columns local_start and local_end."""
+    w = windows.withColumn("_e", F.col("end") - 1)
+    c = chapters.withColumn("_g", F.col("g_end") - 1)
+    both = overlap(w, c, on, ("start", "_e"), ("g_start", "_g"), bucket)
+    return both.withColumn("local_start", F.col("lo") - F.col("g_start")).withColumn("local_end", F.col("hi") + 1 - F.col("g_start")).drop("_e", "_g", "lo", "hi")
+
+
+def to_global(rows: DataFrame, chapters: DataFrame, on: list[str], frame: str, name: str = "global_frame") -> DataFrame:
+    """Frames of chapters as frames of the whole recording; `chapters`: (on, g_start)."""
+    return rows.join(chapters.select(*on, "g_start"), on).withColumn(name, F.col(frame) + F.col("g_start")).drop("g_start")
+
+
+def by_position(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
+    """Rows put together by their numbers in either order; a ValueError if the counts differ. For lists of clips: a row a clip."""
+    if left.count() != right.count():
+        raise ValueError("both sides need the same number of rows")
+    a = left.withColumn("_p", F.row_number().over(Window.orderBy(left_order)))
+    b = right.withColumn("_p", F.row_number().over(Window.orderBy(right_order)))
+    return a.join(b, "_p").drop("_p")
+
+
+def unmatched(detections: DataFrame, tracks: DataFrame, on: list[str], detection: str, iou: Column, most: float = 0.5) -> DataFrame:
+    """Detections that overlap no track of their frame by more than `most`; `iou` reads the columns of both sides."""
+    hit = detections.join(tracks, on).filter(iou > most).select(*on, detection).distinct()
+    return detections.join(hit, [*on, detection], "left_anti")
+
+
+def sidecars(videos: DataFrame, files: DataFrame, video: str, name: str, token: str, changed: str) -> DataFrame:
+    """(video, name): for each video the file whose name begins with the video's and holds the token; of several the shortest name,
+    then the newest, then the smaller name. Names meet by their first characters, as many as the shortest video name has."""
+    least = videos.agg(F.min(F.length(video))).first()[0] or 0
+    a = videos.select(F.col(video).alias("_v"), F.substring(video, 1, least).alias("_k")).distinct()
+    b = files.filter(F.col(name).contains(token)).select(name, changed, F.substring(name, 1, least).alias("_k"))
+    w = Window.partitionBy("_v").orderBy(F.length(name), F.desc(changed), name)
+    both = a.join(b, "_k").filter(F.col(name).startswith(F.col("_v"))).withColumn("_r", F.row_number().over(w)).filter("_r = 1")
+    return both.select(F.col("_v").alias(video), name)
+
+
+def label_path(image: Column) -> Column:
+    """The label file of an image: the last folder named images becomes labels, the ending txt."""
+    return F.concat(F.regexp_replace(F.regexp_replace(image, r"\.[^./]*$", ""), r"/images/(?!.*/images/)", "/labels/"), F.lit(".txt"))

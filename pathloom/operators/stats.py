@@ -167,3 +167,130 @@ def recall_possible(boxes: DataFrame, anchors: list[tuple[float, float]], thresh
     fits = F.array(*[F.greatest(F.col("w") / a, F.lit(a) / F.col("w"), F.col("h") / b, F.lit(b) / F.col("h")) < threshold for a, b in anchors])
     n = F.size(F.filter(fits, lambda x: x))
     return boxes.agg(F.avg((n > 0).cast("double")).alias("recall"), F.avg(n.cast("double")).alias("past"))
+
+
+def mean_height_grid(boxes: DataFrame, width: float, height: float, nx: int, ny: int) -> DataFrame:
+    """(i, j, n, height): the mean height of the boxes whose first corner lies in a cell of the grid."""
+    cell = boxes.select(bin_index(F.col("x1"), 0.0, width, nx).alias("i"), bin_index(F.col("y1"), 0.0, height, ny).alias("j"), (F.col("y2") - F.col("y1")).alias("h"))
+    return cell.groupBy("i", "j").agg(F.count("*").alias("n"), F.avg("h").alias("height"))
+
+
+def player_statistics(points: DataFrame, team: str, number: str, track: str = "entity", share: float = 0.5, stride: int = 5, fps: float = 29.97, unit: float = 0.1, least: int = 4) -> DataFrame:
+    """Statistics of players over all their tracks. First each track: distance, mean, greatest and tenth-percentile speed, and the
+    second part's over the first part's; then by (team, number): sum, mean, greatest, least, and the means of the four ratios."""
+    s = tall.sampled_speed(points, [team, number, track], "frame", "rn", stride, fps, unit)
+    w = Window.partitionBy(team, number, track)
+    s = s.withColumn("_n", F.count("*").over(w)).withColumn("_i", F.row_number().over(w.orderBy("rn")))
+    first = F.col("_i") <= F.floor(F.col("_n") * share)
+    low = lambda c: F.percentile(c, 0.1)
+    kinds = {"distance": (F.sum, "metres"), "avg_speed": (F.avg, "kmh"), "max_speed": (F.max, "kmh"), "min_speed": (low, "kmh")}
+    each = []
+    for name, (f, c) in kinds.items():
+        each += [f(c).alias(name), f(F.when(first, F.col(c))).alias(f"{name}_1"), f(F.when(~first, F.col(c))).alias(f"{name}_2")]
+    t = s.groupBy(team, number, track).agg(F.count("*").alias("n"), *each)
+    ratio = lambda c: F.when((F.col("n") >= least) & (F.col(f"{c}_1") > 0), F.col(f"{c}_2") / F.col(f"{c}_1"))
+    t = t.select(team, number, *kinds, *[ratio(c).alias(f"{c}_ratio") for c in kinds])
+    out = {"distance": F.sum, "avg_speed": F.avg, "max_speed": F.max, "min_speed": F.min}
+    return t.groupBy(team, number).agg(*[f(c).alias(c) for c, f in out.items()], *[F.avg(f"{c}_ratio").alias(f"{c}_ratio") for c in kinds])
+
+
+def keeper_track(tracks: DataFrame, by: list[str], track: str, score: str) -> DataFrame:
+    """(by, track, total): the track with the largest sum of scores that aren't null, -1 or less doesn't count; ties to the smaller id."""
+    sums = tracks.groupBy(*by, track).agg(F.coalesce(F.sum(score), F.lit(0.0)).alias("total")).filter("total > -1")
+    w = Window.partitionBy(*by).orderBy(F.desc("total"), track)
+    return sums.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+
+
+def ball_track(tracks: DataFrame, by: list[str], track: str, n: str) -> DataFrame:
+    """The track that is the ball: that of id -1, else the longest (the only one if there is no other); ties to the smaller id."""
+    w = Window.partitionBy(*by).orderBy((F.col(track) != -1).cast("int"), F.desc(n), track)
+    return tracks.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
+
+
+def first_teams(rows: DataFrame, by: list[str], order: str, team: str, most: int = 2) -> DataFrame:
+    """(by, teams): the first `most` distinct labels in order; sorted if there are `most`, else as they come."""
+    first = rows.groupBy(*by, team).agg(F.min(order).alias("o"))
+    first = first.withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy("o", team))).filter(F.col("_r") <= most)
+    return first.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", team))), lambda s: s[team]).alias("t")).select(*by, F.when(F.size("t") == most, F.array_sort("t")).otherwise(F.col("t")).alias("teams"))
+
+
+def histogram(pixels: DataFrame, by: list[str], channels: list[tuple[str, float, int]]) -> DataFrame:
+    """(by, bin, share): the share of each occupied bin of a joint histogram over channels (column, top, bins); bins count on, the
+    last channel fastest. Pixels with a null channel don't count."""
+    bin_ = F.lit(0).cast("long")
+    for c, top, n in channels:
+        bin_ = bin_ * n + bin_index(F.col(c), 0.0, top, n)
+    seen = pixels.filter(" AND ".join(f"{c} IS NOT NULL" for c, *_ in channels))
+    g = seen.groupBy(*by, bin_.alias("bin")).agg(F.count("*").alias("n"))
+    return g.select(*by, "bin", (F.col("n") / F.sum("n").over(Window.partitionBy(*by))).alias("share"))
+
+
+def profile(rows: DataFrame, stage: str, seconds: str, items: str) -> DataFrame:
+    """(stage, seconds, items, each): the time of each stage and that of an item in it, 0 without items."""
+    g = rows.groupBy(stage).agg(F.sum(seconds).alias("seconds"), F.sum(items).alias("items"))
+    return g.withColumn("each", F.when(F.col("items") > 0, F.col("seconds") / F.col("items")).otherwise(0.0))
+
+
+def extents(points: DataFrame, by: list[str], order: str) -> DataFrame:
+    """(by, n, length, width, height, median_step): of each track how far it goes, what room it takes and its median step."""
+    w = Window.partitionBy(*by).orderBy(order)
+    d = distance(F.col("x"), F.col("y"), F.lag("x").over(w), F.lag("y").over(w))
+    g = points.withColumn("_d", d).groupBy(*by)
+    return g.agg(F.count("*").alias("n"), F.coalesce(F.sum("_d"), F.lit(0.0)).alias("length"), (F.max("x") - F.min("x")).alias("width"), (F.max("y") - F.min("y")).alias("height"), F.percentile("_d", 0.5).alias("median_step"))
+
+
+def epoch_totals(steps: DataFrame, correct: str, ned: str, loss: str, n: str) -> DataFrame:
+    """(samples, accuracy, ned, loss): batches weighted by their number of samples."""
+    weighted = lambda c: F.sum(F.col(c) * F.col(n)) / F.sum(n)
+    return steps.agg(F.sum(n).alias("samples"), (F.sum(correct) / F.sum(n)).alias("accuracy"), (1 - F.sum(ned) / F.sum(n)).alias("ned"), weighted(loss).alias("loss"))
+
+
+def box_smooth(df: DataFrame, by: list[str], order: str, value: str, share: float = 0.05, out: str = "smoothed") -> DataFrame:
+    """A running mean over round(n * share * 2) // 2 + 1 rows, for which the ends of a curve stand for what lies beyond them."""
+    whole = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    df = df.withColumns({"_bs_n": F.count("*").over(whole), "_bs_a": F.first(value).over(whole), "_bs_z": F.last(value).over(whole), "_bs_i": F.row_number().over(Window.partitionBy(*by).orderBy(order)) - 1})
+    half = F.floor((F.floor(F.rint(F.col("_bs_n") * share * 2) / 2) + 1) / 2)
+    # the window's length follows each curve's, so sums come from running totals
+    total = F.sum(value).over(Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    df = df.withColumn("_bs_t", total).withColumn("_bs_s", F.collect_list("_bs_t").over(whole)).withColumn("_bs_h", half.cast("int"))
+    low, high = F.greatest(F.col("_bs_i") - F.col("_bs_h"), F.lit(0)), F.least(F.col("_bs_i") + F.col("_bs_h"), F.col("_bs_n") - 1).cast("int")
+    inner = F.get("_bs_s", high) - F.when(low > 0, F.get("_bs_s", (low - 1).cast("int"))).otherwise(0.0)
+    pad = F.greatest(F.col("_bs_h") - F.col("_bs_i"), F.lit(0)) * F.col("_bs_a") + F.greatest(F.col("_bs_i") + F.col("_bs_h") - F.col("_bs_n") + 1, F.lit(0)) * F.col("_bs_z")
+    return df.withColumn(out, (inner + pad) / (2 * F.col("_bs_h") + 1)).drop("_bs_n", "_bs_a", "_bs_z", "_bs_i", "_bs_t", "_bs_s", "_bs_h")
+
+
+def end_means(df: DataFrame, by: list[str], order: str, value: str, first: int = 5, last: int = 10) -> DataFrame:
+    """(by, n, first_mean, last_mean, decreases): means of an entity's first and last values, and whether any of its last ones is
+    smaller than the one before."""
+    g = df.groupBy(*by).agg(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).cast("double").alias("v")))), lambda s: s["v"]).alias("v"))
+    mean = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
+    tail = F.slice("v", -F.least(F.size("v"), F.lit(last)), F.lit(last))
+    g = g.withColumn("t", tail)
+    falls = F.exists(F.sequence(F.lit(1), F.size("t")), lambda i: (i < F.size("t")) & (F.get("t", i) < F.get("t", i - 1)))
+    return g.select(*by, F.size("v").cast("long").alias("n"), mean(F.slice("v", 1, first)).alias("first_mean"), mean(F.col("t")).alias("last_mean"), F.coalesce(falls, F.lit(False)).alias("decreases"))
+
+
+def aspect_batches(images: DataFrame, image: str, ratio: str, batch: int) -> DataFrame:
+    """Images by aspect ratio in batches: columns batch and shape (1 where it spans both kinds, else its widest or highest ratio)."""
+    w = Window.orderBy(ratio, image)
+    b = images.withColumn("batch", F.floor((F.row_number().over(w) - 1) / batch))
+    s = b.groupBy("batch").agg(F.min(ratio).alias("low"), F.max(ratio).alias("high"))
+    s = s.select("batch", F.when(F.col("high") < 1, F.col("high")).when(F.col("low") > 1, 1 / F.col("low")).otherwise(1.0).alias("shape"))
+    return b.join(s, "batch")
+
+
+def fittest(rows: DataFrame, fitness: Column, n: int = 5, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(the n fittest rows, one of them as parent): the parent is drawn by weight, fitness less the least of them, by a hash of the
+    seed and the row's id, so reruns agree."""
+    top = rows.withColumn("fitness", fitness).orderBy(F.desc("fitness"), "id").limit(n)
+    weight = F.col("fitness") - F.min("fitness").over(Window.partitionBy(F.lit(1))) + 1e-6
+    # the exponential race: the smallest -log(u) / weight wins with a chance in proportion to its weight
+    u = (F.shiftrightunsigned(F.xxhash64("id", F.lit(seed)), 11) + 1) / float(1 << 53)
+    parent = top.withColumn("_k", -F.log(u) / weight).orderBy("_k", "id").limit(1).drop("_k")
+    return top, parent
+
+
+def evolution(rows: DataFrame, order: str, fitness: Column) -> DataFrame:
+    """Adds `fitness` and `best`, the greatest so far; the row where they are equal last is the best of all."""
+    w = Window.partitionBy(F.lit(1)).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("fitness", fitness).withColumn("best", F.max("fitness").over(w))

@@ -569,11 +569,20 @@ def box_forms(spark, d):
     return P.box(spark, d).select("image", "det", *[F.round(c, 6).alias(n) for c, n in zip(form, ("cx", "cy", "w", "h"))])
 
 
+def _load() -> None:
+    """The modules that register further queries here."""
+    from . import evaluation, filters, forms, more_joins, rosters  # noqa: F401
+
+
 def queries():
     from . import grouped
 
+    _load()
     return _QUERIES | grouped.queries()
 
 
 def oracle_sql():
-    return dict(_SQL)
+    from . import grouped
+
+    _load()
+    return _SQL | grouped.oracle_sql()

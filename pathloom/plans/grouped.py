@@ -83,3 +83,7 @@ def relabel_excess(spark, d):
 
 def queries():
     return {f.__name__: f for f in (window_split, savgol_smooth, spike_repair, stitch_tracks, ball_outliers, static_clusters, kalman_smooth, line_pieces, fuse_ball, keeper_tags, resolve_numbers, relabel_excess)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}
