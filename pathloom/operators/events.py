@@ -2,6 +2,7 @@
 
 All rules are joins on the frame, windows by entity and conditional aggregates; the joined table is the only one
 worth keeping between them. Frames are whole numbers; `fps` and `unit` (metres a coordinate) turn steps into speeds.
+`match` names the columns that tell matches apart; all tables have them. What runs over a match's frames is windowed in chunks of frames.
 """
 
 from __future__ import annotations
@@ -13,30 +14,30 @@ from ..functions.geometry import angle_between, distance
 from . import tall
 
 
-def with_ball(points: DataFrame, ball: DataFrame) -> DataFrame:
+def with_ball(points: DataFrame, ball: DataFrame, match: tuple = ()) -> DataFrame:
     """Points of frames that have a ball, with their distance to it."""
-    return points.join(ball, "frame").withColumn("dist", distance(F.col("x"), F.col("y"), F.col("bx"), F.col("by")))
+    return points.join(ball, [*match, "frame"]).withColumn("dist", distance(F.col("x"), F.col("y"), F.col("bx"), F.col("by")))
 
 
-def nearest_player(points: DataFrame, ball: DataFrame, radius: float) -> DataFrame:
-    """(frame, entity, team, dist): who is nearest to the ball in a frame, within the radius; ties to the smaller entity."""
-    near = with_ball(points, ball).filter(F.col("dist") <= radius)
-    w = Window.partitionBy("frame").orderBy("dist", "entity")
-    return near.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("frame", "entity", "team", "dist")
+def nearest_player(points: DataFrame, ball: DataFrame, radius: float, match: tuple = ()) -> DataFrame:
+    """(match, frame, entity, team, dist): who is nearest to the ball in a frame, within the radius; ties to the smaller entity."""
+    near = with_ball(points, ball, match).filter(F.col("dist") <= radius)
+    w = Window.partitionBy(*match, "frame").orderBy("dist", "entity")
+    return near.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(*match, "frame", "entity", "team", "dist")
 
 
-def possession_runs(points: DataFrame, ball: DataFrame, radius: float, least: int = 3) -> DataFrame:
-    """(run, entity, team, start, end, n): the same nearest player on successive eligible frames, `least` frames or more.
+def possession_runs(points: DataFrame, ball: DataFrame, radius: float, least: int = 3, match: tuple = ()) -> DataFrame:
+    """(match, run, entity, team, start, end, n): the same nearest player on successive eligible frames, `least` frames or more.
 
-    Eligible are frames with a ball and players; a frame with nobody near ends a run. One window runs over the frames of a match:
-    a row for each frame, not for each player.
+    Eligible are frames with a ball and players; a frame with nobody near ends a run.
     """
-    eligible = points.select("frame").distinct().join(ball.select("frame"), "frame")
-    owner = eligible.join(nearest_player(points, ball, radius), "frame", "left")
-    w = Window.orderBy("frame")
-    change = F.when(F.lag("entity").over(w).eqNullSafe(F.col("entity")) & (F.row_number().over(w) > 1), 0).otherwise(1)
-    owner = owner.withColumn("_c", change).withColumn("run", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = owner.filter("entity IS NOT NULL").groupBy("run", "entity", "team").agg(F.min("frame").alias("start"), F.max("frame").alias("end"), F.count("*").alias("n"))
+    on = [*match, "frame"]
+    eligible = points.select(*on).distinct().join(ball.select(*on), on)
+    owner = eligible.join(nearest_player(points, ball, radius, match), on, "left").withColumn("_one", F.lit(1))
+    owner = tall.previous(owner, list(match), "frame", ["_one", "entity"])
+    change = F.when(F.col("prev_entity").eqNullSafe(F.col("entity")) & F.col("prev__one").isNotNull(), 0).otherwise(1)
+    owner = tall.running(owner.withColumn("_c", change), list(match), "frame", "_c", "run")
+    out = owner.filter("entity IS NOT NULL").groupBy(*match, "run", "entity", "team").agg(F.min("frame").alias("start"), F.max("frame").alias("end"), F.count("*").alias("n"))
     return out.filter(F.col("n") >= least)
 
 
@@ -46,11 +47,20 @@ def possession_share(runs: DataFrame) -> DataFrame:
     return by.withColumn("share", F.col("frames") / F.sum("frames").over(Window.partitionBy(F.lit(1))))
 
 
-def possession_changes(runs: DataFrame) -> DataFrame:
-    """Runs whose team differs from that of the run before: (run, start, entity, team, lost_by, lost_team)."""
-    w = Window.orderBy("start")
-    out = runs.withColumn("lost_by", F.lag("entity").over(w)).withColumn("lost_team", F.lag("team").over(w))
-    return out.filter("lost_team <> team").select("run", "start", "entity", "team", "lost_by", "lost_team")
+def possession_changes(runs: DataFrame, match: tuple = ()) -> DataFrame:
+    """Runs whose team differs from that of the run before: (match, run, start, entity, team, lost_by, lost_team)."""
+    out = tall.previous(runs, list(match), "start", ["entity", "team"]).filter("prev_team <> team")
+    return out.select(*match, "run", "start", "entity", "team", F.col("prev_entity").alias("lost_by"), F.col("prev_team").alias("lost_team"))
+
+
+def change_frames(runs: DataFrame, points: DataFrame, ball: DataFrame, last: int = 10, match: tuple = ()) -> DataFrame:
+    """(match, run, entity, frame): for each run whose next run is another team's the frame of its last `last` ones in which the player was
+    nearest to the ball, one before the very last frame if it is that."""
+    lost = tall.previous(runs, list(match), "start", ["team"], ahead=True).filter("next_team <> team")
+    tail = lost.select(*match, "run", "entity", "end", F.explode(F.sequence(F.greatest("start", F.col("end") - last + 1), "end")).alias("frame"))
+    near = with_ball(tail.join(points.select(*match, "entity", "frame", "x", "y"), [*match, "entity", "frame"]), ball, match)
+    best = near.groupBy(*match, "run", "entity", "end").agg(F.min(F.struct("dist", "frame")).alias("m"))
+    return best.select(*match, "run", "entity", F.when(F.col("m.frame") == F.col("end"), F.col("end") - 1).otherwise(F.col("m.frame")).alias("frame"))
 
 
 def turnovers(runs: DataFrame, most: int = 8) -> DataFrame:
@@ -116,32 +126,47 @@ def unpressured_loss(points: DataFrame, ball: DataFrame, runs: DataFrame, radius
     At the change, the loser is within the radius of the ball and no player of another team is within the radius and the angle
     (between the ways to the ball and to the opponent).
     """
-    w = Window.orderBy("start")
-    lost = runs.withColumn("next_team", F.lead("team").over(w)).filter("next_team <> team").select("entity", "team", F.col("end").alias("frame"))
-    at = points.alias("p")
+    lost = tall.previous(runs, [], "start", ["team"], ahead=True).filter("next_team <> team").select("entity", "team", F.col("end").alias("frame"))
     me = lost.join(points.select("entity", "frame", "x", "y"), ["entity", "frame"]).join(ball, "frame")
     me = me.filter(distance(F.col("x"), F.col("y"), F.col("bx"), F.col("by")) <= radius)
     other = points.select("frame", F.col("entity").alias("o_entity"), F.col("team").alias("o_team"), F.col("x").alias("ox"), F.col("y").alias("oy"))
     dx, dy = F.col("ox") - F.col("x"), F.col("oy") - F.col("y")
     pressing = (F.col("o_team") != F.col("team")) & (F.sqrt(dx * dx + dy * dy) <= radius) & (angle_between(F.col("bx") - F.col("x"), F.col("by") - F.col("y"), dx, dy) <= angle)
     pressed = me.join(other, "frame").filter(pressing).select("entity", "frame").distinct()
-    del at
     free = me.join(pressed, ["entity", "frame"], "left_anti").groupBy("entity").agg(F.max("frame").alias("frame"))
     return free.select("entity", "frame", F.greatest(F.col("frame") - pad, F.lit(0)).alias("start"), (F.col("frame") + pad).alias("end"))
 
 
-def out_of_play(ball: DataFrame, owner: DataFrame, inset: float = 40.0, width: float = 1060.0, height: float = 680.0, reach: int = 10) -> DataFrame:
-    """Times in which the ball is outside the inset box, with the last owner in the `reach` frames before: (start, end, n, entity).
+def out_of_play(ball: DataFrame, owner: DataFrame, inset: float = 40.0, width: float = 1060.0, height: float = 680.0, reach: int = 10, match: tuple = ()) -> DataFrame:
+    """Times in which the ball is outside the inset box, with the last owner in the `reach` frames before: (match, start, end, n, entity).
 
-    `owner`: (frame, entity). A run ends when the ball is inside again.
+    `owner`: (match, frame, entity). A run ends when the ball is inside again, or with the data.
     """
+    on = [*match, "frame"]
     inside = F.col("bx").between(inset, width - inset) & F.col("by").between(inset, height - inset)
-    b = ball.join(owner.select("frame", "entity"), "frame", "left").withColumn("out", ~inside).withColumn("m", F.lit(1))
-    w = Window.partitionBy("m").orderBy("frame")
-    b = b.withColumn("last", F.last("entity", True).over(w.rangeBetween(-reach, -1)))
-    b = b.withColumn("_c", F.when(F.lag("out").over(w) == F.col("out"), 0).otherwise(1)).withColumn("_g", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    out = b.filter("out").groupBy("_g").agg(F.min(F.struct("frame", "last")).alias("a"), F.max("frame").alias("end"), F.count("*").alias("n"))
-    return out.filter("a.last IS NOT NULL").select(F.col("a.frame").alias("start"), "end", "n", F.col("a.last").alias("entity"))
+    b = ball.join(owner.select(*on, "entity"), on, "left").withColumn("out", ~inside)
+    b = tall.look_back(b, list(match), "frame", "entity", reach, "last")
+    b = tall.previous(b, list(match), "frame", ["out"]).withColumn("_c", F.when(F.col("prev_out") == F.col("out"), 0).otherwise(1))
+    out = tall.running(b, list(match), "frame", "_c", "_g").filter("out").groupBy(*match, "_g").agg(F.min(F.struct("frame", "last")).alias("a"), F.max("frame").alias("end"), F.count("*").alias("n"))
+    return out.filter("a.last IS NOT NULL").select(*match, F.col("a.frame").alias("start"), "end", "n", F.col("a.last").alias("entity"))
+
+
+def kick_envelopes(kicks: DataFrame, match: tuple = ()) -> DataFrame:
+    """(match, entity, n, start, end): the envelope of all times that a player put the ball out of play."""
+    return kicks.groupBy(*match, "entity").agg(F.count("*").alias("n"), F.min("start").alias("start"), F.max("end").alias("end"))
+
+
+def attack_sides(keepers: DataFrame, frames: DataFrame, match: tuple = ()) -> DataFrame:
+    """(match, frame, left_team): which team's keeper stood further left when both were last seen; carried on until both are seen again.
+    `keepers`: (match, frame, team, x); `frames`: (match, frame)."""
+    on = [*match, "frame"]
+    seen = keepers.groupBy(*on).agg(F.count_distinct("team").alias("k"), F.min(F.struct("x", "team")).alias("m")).filter("k = 2").select(*on, F.col("m.team").alias("left_team"))
+    both = frames.select(*on).distinct().join(seen, on, "left").withColumn("_k", F.floor(F.col("frame") / tall.CHUNK))
+    last = both.groupBy(*match, "_k").agg(F.max_by("left_team", F.when(F.col("left_team").isNotNull(), F.col("frame"))).alias("_l"))
+    before = Window.partitionBy(*match).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    last = last.withColumn("_l", F.last("_l", True).over(before))
+    w = Window.partitionBy(*match, "_k").orderBy("frame").rowsBetween(Window.unboundedPreceding, 0)
+    return both.join(last, [*match, "_k"]).select(*on, F.coalesce(F.last("left_team", True).over(w), "_l").alias("left_team"))
 
 
 def passive_near_ball(points: DataFrame, ball: DataFrame, owner: DataFrame, radius: float = 20.0, slow: float = 1.0, least: int = 60, **speed) -> DataFrame:
@@ -163,12 +188,13 @@ def outpaced(points: DataFrame, ball: DataFrame, radius: float = 100.0, differen
     return s.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
 
 
-def delayed_restart(ball: DataFrame, owner: DataFrame, reach: float = 3.0, least: int = 300) -> DataFrame:
+def delayed_restart(ball: DataFrame, owner: DataFrame, reach: float = 3.0, least: int = 300, match: tuple = ()) -> DataFrame:
     """Times in which the ball stays within `reach` of where it was with the same owner: (entity, start, end), once a stay.
 
-    A fold over the frames of a match; state is the anchor and the list of stays.
+    A fold over the frames of a match, which is what a task holds; state is the anchor and the list of stays.
     """
-    b = ball.join(owner.select("frame", "entity"), "frame", "left").select(F.lit(1).alias("m"), F.struct("frame", "bx", "by", F.coalesce("entity", F.lit(-1)).alias("entity")).alias("i"))
+    on = [*match, "frame"]
+    b = ball.join(owner.select(*on, "entity"), on, "left").select(*match, F.struct("frame", "bx", "by", F.coalesce("entity", F.lit(-1)).alias("entity")).alias("i"))
     kind = "struct<f:bigint,x:double,y:double,e:bigint,n:bigint,out:array<struct<entity:bigint,start:bigint,end:bigint>>>"
     start = F.struct(F.lit(None).alias("f"), F.lit(None).alias("x"), F.lit(None).alias("y"), F.lit(None).alias("e"), F.lit(0).alias("n"), F.array().alias("out")).cast(kind)
 
@@ -180,5 +206,5 @@ def delayed_restart(ball: DataFrame, owner: DataFrame, reach: float = 3.0, least
         fresh = F.struct(i["frame"].alias("f"), i["bx"].alias("x"), i["by"].alias("y"), i["entity"].alias("e"), F.lit(1).cast("long").alias("n"), s["out"].alias("out")).cast(kind)
         return F.when(fire, F.struct(F.lit(None).alias("f"), F.lit(None).alias("x"), F.lit(None).alias("y"), F.lit(None).alias("e"), F.lit(0).alias("n"), grown.alias("out")).cast(kind)).when(stays, F.struct(s["f"].alias("f"), s["x"].alias("x"), s["y"].alias("y"), s["e"].alias("e"), n.alias("n"), s["out"].alias("out")).cast(kind)).otherwise(fresh)
 
-    out = b.groupBy("m").agg(F.array_sort(F.collect_list("i")).alias("items"))
-    return out.select(F.inline(F.aggregate("items", start, step)["out"]))
+    out = b.groupBy(*match).agg(F.array_sort(F.collect_list("i")).alias("items"))
+    return out.select(*match, F.inline(F.aggregate("items", start, step)["out"]))

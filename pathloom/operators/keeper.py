@@ -38,42 +38,62 @@ def _inside(p, poly) -> bool:
     return odd
 
 
+def _points(skeleton) -> np.ndarray:
+    """17 x 2 numbers, missing points as nan."""
+    return np.array([(np.nan, np.nan) if p is None or any(v is None for v in p) else p for p in skeleton], float)
+
+
 def tags(skeletons: list, balls: list, ball_speed: float | None, lim: Limits = Limits()) -> list[int]:
-    """Tags of one clip: `skeletons` (17 x 2, or None) and `balls` (x1, y1, x2, y2, or None) by frame; [0] if none applies."""
-    frames = [(np.asarray(s, float), np.asarray(b, float)) for s, b in zip(skeletons, balls) if s is not None and b is not None]
-    if not frames:
+    """Tags of one clip: `skeletons` (17 points, each of which may be missing, or None) and `balls` (x1, y1, x2, y2, or None) by frame; [0]
+    if none applies."""
+    frames = [(_points(s), np.asarray(b, float)) for s, b in zip(skeletons, balls) if s is not None and b is not None]
+    if not any(s is not None for s in skeletons) or not any(b is not None for b in balls):
         return [0]
+    slow = ball_speed is not None and ball_speed < lim.speed
     out: set[int] = set()
-    near, body, ball, upper, angles = [], [], [], {"l": 0.0, "r": 0.0}, {"l": [], "r": []}
+    near, body, ball, reach = [], [], [], 0.0
+    angles: dict[str, list[float]] = {"l": [], "r": []}
+    feet, elbows, ears = ([], []), ([], []), []
+    there = lambda *p: bool(np.isfinite(np.concatenate(p)).all())
     for s, b in frames:
-        c = np.array([(b[0] + b[2]) / 2, (b[1] + b[3]) / 2])
-        ball.append(c)
-        near.append(float(np.sqrt(((s - c) ** 2).sum(1)).min()))
-        body.append(s[[5, 6, 11, 12]].mean(0))
-        if _inside(np.array([c[0], b[1]]), s[[11, 12, 14, 16, 15, 13]]):
+        c, size = np.array([(b[0] + b[2]) / 2, (b[1] + b[3]) / 2]), (b[2] - b[0]) * (b[3] - b[1])
+        legs = s[[11, 12, 14, 16, 15, 13]]
+        if there(legs.ravel()) and _inside(np.array([c[0], b[1]]), legs):
             out.add(10)
         for side, (sh, el, wr), least in (("l", (5, 7, 9), lim.left_area), ("r", (6, 8, 10), lim.right_area)):
-            upper[side] = max(upper[side], float(np.hypot(*(s[sh] - s[el]))))
-            if np.isfinite(s[wr]).all() and np.hypot(*(s[sh] - c)) <= 2 * max(upper.values()) and (b[2] - b[0]) * (b[3] - b[1]) > least:
+            if not there(s[sh], s[el]):
+                continue
+            reach = max(reach, 2 * float(np.hypot(*(s[sh] - s[el]))))  # of either arm, seen so far
+            if there(s[wr]):
                 angles[side].append(_angle(s[sh], s[el], s[wr]))
-    for a in angles.values():
-        if a:
-            out |= ({6} if a[-1] < lim.elbow else set()) | ({7} if any(y < x for x, y in zip(a[-10:], a[-9:])) else set())
-            out |= {9} if ball_speed is not None and ball_speed < lim.speed else set()
-    body, ball = np.array(body), np.array(ball)
-    if len(near) >= 10:
-        if np.mean(near[-10:]) > lim.distance and np.hypot(*(body[-1] - body[0])) < lim.movement:
-            out |= {1, 2, 11}
-        first, last, at = body[:5].mean(0), body[-5:].mean(0), ball[-5:].mean(0)
+            if np.hypot(*(s[sh] - c)) <= reach and size > least:
+                last = angles[side][-10:]
+                out |= {9} if slow else set()
+                out |= {7} if any(y < x for x, y in zip(last, last[1:])) else set()
+                out |= {6} if last and last[-1] < lim.elbow else set()
+        for i in (0, 1):
+            feet[i].extend(v for v in [s[15 + i][1]] if np.isfinite(v))
+            elbows[i].extend(v for v in [s[7 + i][1]] if np.isfinite(v))
+            ears.extend(v for v in [s[3 + i][1]] if np.isfinite(v))
+        d = np.sqrt(((s - c) ** 2).sum(1))
+        if np.isfinite(d).any():
+            near.append(float(np.nanmin(d)))
+        trunk = s[[5, 6, 11, 12]]
+        if there(trunk.ravel()):
+            body.append(trunk.mean(0))
+            ball.append(c)
+    if len(near) >= 10 and np.mean(near[-10:]) > lim.distance and len(body) > 1 and np.hypot(*(body[0] - body[-1])) < lim.movement:
+        out |= {1, 2, 11}
+    if len(body) >= 10:
+        first, last, at = np.mean(body[:5], 0), np.mean(body[-5:], 0), np.mean(ball[-5:], 0)
         if np.hypot(*(last - at)) > np.hypot(*(first - at)):
             out.add(3)
-    s = np.array([f[0] for f in frames])
-    ears, low = s[:, [3, 4], 1].mean(), np.ptp(s[:, [15, 16], 1].mean(1))
-    if low < lim.jump and ball[-1][1] < ears:  # image rows grow downwards
+    high = bool(ball and ears) and ball[-1][1] < np.mean(ears)  # image rows grow downwards
+    if high and all(feet) and sum(np.ptp(f) for f in feet) < lim.jump:
         out |= {4, 12}
-    if ball[-1][1] < ears and min(s[:, 7, 1].min(), s[:, 8, 1].min()) > ears:
+    if high and any(elbows) and max(min(e, default=0.0) for e in elbows) > np.mean(ears):
         out.add(5)
-    if ball_speed is not None and ball_speed < lim.speed:
+    if slow:
         out.add(8)
     return sorted(out) or [0]
 
@@ -84,7 +104,7 @@ def classify(clips: DataFrame, lim: Limits = Limits()) -> DataFrame:
 
     def work(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("frame", kind="stable")
-        skel = [None if s is None else np.array([np.asarray(p, float) for p in s]) for s in g["skel"]]
+        skel = list(g["skel"])
         speed = g["ball_speed"].dropna()
         return pd.DataFrame({"clip": [g["clip"].iloc[0]], "tags": [tags(skel, list(g["ball"]), float(speed.iloc[0]) if len(speed) else None, lim)]})
 

@@ -5,8 +5,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import ship
 
 
 def _w(by: list[str], order, *more):
@@ -100,24 +104,46 @@ def fold(df: DataFrame, by: list[str], item: Column, start: Column, step, out: s
 
 
 def smooth_exponential(df: DataFrame, by: list[str], order: str, value: str, alpha: float = 0.5) -> DataFrame:
-    """(by, order, value, smoothed): s = alpha * value + (1 - alpha) * s before; the first value stands for itself."""
-    start = F.array().cast("array<struct<o:double,v:double,s:double>>")
+    """(by, order, value, smoothed): s = alpha * value + (1 - alpha) * s before; the first value stands for itself.
+
+    The state is one number, so rows stream through a worker, entity after entity, sorted; nothing grows with an entity's length.
+    """
+    ship(df.sparkSession)
+    kinds = [*[df.schema[c] for c in by], df.schema[order], T.StructField(value, T.DoubleType()), T.StructField("smoothed", T.DoubleType())]
 
-    def step(done, x):
-        s = F.coalesce(alpha * x["v"] + (1 - alpha) * F.get(done, F.size(done) - 1)["s"], x["v"])
-        return F.concat(done, F.array(F.struct(x["o"].alias("o"), x["v"].alias("v"), s.alias("s"))))
+    def work(batches):
+        last, s = None, 0.0
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(by))]))
+            out = []
+            for key, v in zip(keys, batch.column(len(by) + 1).to_pylist()):
+                s = v if key != last else alpha * v + (1 - alpha) * s
+                last = key
+                out.append(s)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*by, order, value, "smoothed"])
 
-    item = F.struct(F.col(order).cast("double").alias("o"), F.col(value).cast("double").alias("v"))
-    kind = df.schema[order].dataType
-    return fold(df, by, item, start, step).select(*by, F.inline("state")).select(*by, F.col("o").cast(kind).alias(order), F.col("v").alias(value), F.col("s").alias("smoothed"))
+    rows = df.select(*by, order, F.col(value).cast("double").alias(value))
+    return rows.repartition(*by).sortWithinPartitions(*by, order).mapInArrow(work, T.StructType(kinds))
 
 
 def cooldown(df: DataFrame, by: list[str], at: str, wait: int) -> DataFrame:
-    """Keeps a row only if it is `wait` or more after the last one kept: (by, at)."""
-    start = F.array().cast("array<bigint>")
-    # get() of an empty array gives null
-    step = lambda kept, x: F.when(F.coalesce(x["t"] - F.get(kept, F.size(kept) - 1) >= wait, F.lit(True)), F.concat(kept, F.array(x["t"]))).otherwise(kept)
-    return fold(df, by, F.struct(F.col(at).cast("long").alias("t")), start, step).select(*by, F.explode("state").alias(at))
+    """Keeps a row only if it is `wait` or more after the last one kept: (by, at). The state is the last one kept."""
+    ship(df.sparkSession)
+
+    def work(batches):
+        last, kept = None, 0
+        for batch in batches:
+            keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(by))]))
+            mask = []
+            for key, t in zip(keys, batch.column(len(by)).to_pylist()):
+                mask.append(key != last or t - kept >= wait)
+                if mask[-1]:
+                    kept = t
+                last = key
+            yield batch.filter(pa.array(mask, pa.bool_()))
+
+    rows = df.select(*by, F.col(at).cast("long").alias(at))
+    return rows.repartition(*by).sortWithinPartitions(*by, at).mapInArrow(work, rows.schema)
 
 
 def clip_windows(df: DataFrame, by: list[str], at: str, before: int, after: int) -> DataFrame:
@@ -174,3 +200,40 @@ def patience(df: DataFrame, by: list[str], order: str, value: str, wait: int) ->
     df = df.withColumn("_best", F.max(value).over(w))
     at = F.max(F.when(F.col(value) == F.col("_best"), F.col(order))).over(w)
     return df.withColumn("stop", F.col(order) - at >= wait).drop("_best")
+
+
+#: Units of order that one task of the two-level windows below holds.
+CHUNK = 100_000
+
+
+def previous(df: DataFrame, by: list[str], order: str, columns: list[str], size: int = CHUNK, ahead: bool = False) -> DataFrame:
+    """Adds prev_<c> (next_<c> with `ahead`): the columns of the row before. Rows are windowed in chunks of `order`; what
+    stands at a chunk's end goes to the next one by a table of a row a chunk, so a long match without further keys isn't one task."""
+    df = df.withColumn("_k", F.floor(F.col(order) / size))
+    edge = (F.min_by if ahead else F.max_by)(F.struct(*columns), order)
+    shift = F.lead if ahead else F.lag
+    edges = df.groupBy(*by, "_k").agg(edge.alias("_l")).withColumn("_l", shift("_l").over(Window.partitionBy(*by).orderBy("_k")))
+    w = Window.partitionBy(*by, "_k").orderBy(order)
+    mine = F.row_number().over(w.orderBy(F.desc(order)) if ahead else w) == 1
+    out = df.join(edges, [*by, "_k"]).withColumn("_p", F.when(mine, F.col("_l")).otherwise(shift(F.struct(*columns)).over(w)))
+    for c in columns:
+        out = out.withColumn(f"{'next' if ahead else 'prev'}_{c}", F.col(f"_p.{c}"))
+    return out.drop("_k", "_l", "_p")
+
+
+def running(df: DataFrame, by: list[str], order: str, value: str, name: str, size: int = CHUNK) -> DataFrame:
+    """Adds the running total of `value` in order, by chunks of it and a table of a row a chunk."""
+    df = df.withColumn("_k", F.floor(F.col(order) / size))
+    sums = df.groupBy(*by, "_k").agg(F.sum(value).alias("_s"))
+    sums = sums.withColumn("_s", F.coalesce(F.sum("_s").over(Window.partitionBy(*by).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    w = Window.partitionBy(*by, "_k").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return df.join(sums, [*by, "_k"]).withColumn(name, F.sum(value).over(w) + F.col("_s")).drop("_k", "_s")
+
+
+def look_back(df: DataFrame, by: list[str], order: str, value: str, reach: int, name: str, size: int = CHUNK) -> DataFrame:
+    """Adds the latest value that isn't null in the `reach` units before a row, the row itself not included. Rows near a chunk's end
+    are copied to the next one."""
+    own = F.floor(F.col(order) / size)
+    both = df.withColumn("_k", F.explode(F.array_distinct(F.array(own, F.floor((F.col(order) + reach) / size))))).withColumn("_own", own)
+    w = Window.partitionBy(*by, "_k").orderBy(order).rangeBetween(-reach, -1)
+    return both.withColumn(name, F.last(value, True).over(w)).filter("_k = _own").drop("_k", "_own")
