@@ -260,7 +260,11 @@ def out_of_play(spark, d):
     return events.out_of_play(inside, events.nearest_player(p, b, 60.0), 40.0, 490.0, 1000.0)
 
 
-@_query()
+@_query("WITH RECURSIVE " + _obs_sql("", *_MATCH, _NEAR.replace("<= 60", "<= 200"))[5:].rstrip() + """, b AS MATERIALIZED (SELECT row_number() OVER (ORDER BY frame) AS i, frame, bx, b_y, coalesce(near.entity, -1) AS e FROM ball LEFT JOIN near USING (frame)),
+st AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS f, NULL::DOUBLE AS x, NULL::DOUBLE AS y, NULL::BIGINT AS e, 0::BIGINT AS n, NULL::BIGINT AS oe, NULL::BIGINT AS os, NULL::BIGINT AS oz UNION ALL
+ SELECT i, CASE WHEN s AND n >= 1 THEN NULL WHEN s THEN f ELSE frame END, CASE WHEN s AND n >= 1 THEN NULL WHEN s THEN x ELSE bx END, CASE WHEN s AND n >= 1 THEN NULL WHEN s THEN y ELSE b_y END, CASE WHEN s AND n >= 1 THEN NULL WHEN s THEN e ELSE be END, CASE WHEN s AND n >= 1 THEN 0 WHEN s THEN n + 1 ELSE 1 END,
+  CASE WHEN s AND n >= 1 THEN e END, CASE WHEN s AND n >= 1 THEN f END, CASE WHEN s AND n >= 1 THEN frame END FROM (SELECT b.i, b.frame, b.bx, b.b_y, b.e AS be, st.f, st.x, st.y, st.e, st.n, coalesce(sqrt((b.bx - st.x) * (b.bx - st.x) + (b.b_y - st.y) * (b.b_y - st.y)) <= 150 AND b.e = st.e AND st.e >= 0, false) AS s FROM st JOIN b ON b.i = st.i + 1))
+SELECT oe AS entity, os AS start, oz AS "end" FROM st WHERE oe IS NOT NULL""")
 def delayed_restart(spark, d):
     p, b = _points(spark, d)
     return events.delayed_restart(b, events.nearest_player(p, b, 200.0), 150.0, 2)
@@ -379,7 +383,12 @@ def enclosed_removal(spark, d):
     return boxes.without_enclosed(P.box(spark, d), ["image", "cls"], "det", 0.5, 0.6).select("image", "det")
 
 
-@_query()
+@_query(f"""WITH RECURSIVE {P.BOX}, o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image ORDER BY conf DESC, x1, y1, x2, y2) AS r FROM box),
+sup AS MATERIALIZED (SELECT a.image, b.r, list(a.r) AS by_ FROM o a JOIN o b ON a.image = b.image AND a.cls = b.cls AND a.r < b.r WHERE {_INTER} / ({_AREA('a')} + {_AREA('b')} - {_INTER} + 1e-7::DOUBLE) > 0.3::DOUBLE GROUP BY ALL),
+n AS MATERIALIZED (SELECT o.image, o.r, o.det, o.conf, coalesce(sup.by_, []) AS by_ FROM o LEFT JOIN sup ON sup.image = o.image AND sup.r = o.r),
+st AS (SELECT image, r, det, conf, true AS keep, [r] AS kept FROM n WHERE r = 1 UNION ALL
+ SELECT n.image, n.r, n.det, n.conf, len(list_intersect(st.kept, n.by_)) = 0, CASE WHEN len(list_intersect(st.kept, n.by_)) = 0 THEN list_append(st.kept, n.r) ELSE st.kept END FROM st JOIN n ON n.image = st.image AND n.r = st.r + 1)
+SELECT image, det, conf FROM st WHERE keep""")
 def nms(spark, d):
     return boxes.suppress(P.box(spark, d), "image", 0.0, 0.3).select("image", "det", "conf")
 
@@ -397,7 +406,10 @@ def best_match_dedup(spark, d):
     return joins.best_pairs(_matches(spark, d), ["image"], "left_id", "right_id", "value", "left").withColumn("value", F.round("value", 6))
 
 
-@_query()
+@_query(f"""WITH RECURSIVE {_PAIRS}, o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY image ORDER BY value DESC, left_id, right_id) AS r FROM pr),
+st AS (SELECT image, r, left_id, right_id, value, true AS keep, [left_id, right_id] AS used FROM o WHERE r = 1 UNION ALL
+ SELECT o.image, o.r, o.left_id, o.right_id, o.value, NOT list_contains(st.used, o.left_id) AND NOT list_contains(st.used, o.right_id), CASE WHEN NOT list_contains(st.used, o.left_id) AND NOT list_contains(st.used, o.right_id) THEN list_concat(st.used, [o.left_id, o.right_id]) ELSE st.used END FROM st JOIN o ON o.image = st.image AND o.r = st.r + 1)
+SELECT image, left_id, right_id, value FROM st WHERE keep""")
 def greedy_assign(spark, d):
     return joins.greedy_pairs(_matches(spark, d), ["image"], "left_id", "right_id", "value")
 

@@ -1,4 +1,4 @@
-"""Queries without a SQL form: order-dependent kernels, one group at a time, and the roster rules."""
+"""Order-dependent kernels, one group at a time, and the roster rules."""
 
 from __future__ import annotations
 
@@ -85,5 +85,31 @@ def queries():
     return {f.__name__: f for f in (window_split, savgol_smooth, spike_repair, stitch_tracks, ball_outliers, static_clusters, kalman_smooth, line_pieces, fuse_ball, keeper_tags, resolve_numbers, relabel_excess)}
 
 
+
+_SPLIT = f"""WITH RECURSIVE {P.OBS}, m AS (SELECT a.entity, a.rn, b.role AS v, count(*) AS c FROM obs a JOIN obs b ON b.entity = a.entity AND b.rn BETWEEN a.rn AND a.rn + 4 GROUP BY ALL),
+best AS MATERIALIZED (SELECT o.entity, o.rn, o.role, m.v, m.c, o.rn + 4 <= max(o.rn) OVER (PARTITION BY o.entity) AS fits FROM obs o JOIN (SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY entity, rn ORDER BY c DESC, v) = 1) m USING (entity, rn)),
+st AS (SELECT entity, rn, role AS cur, 0 AS piece FROM best WHERE rn = 1 UNION ALL
+ SELECT b.entity, b.rn, CASE WHEN b.role <> st.cur AND b.fits AND b.v <> st.cur AND b.c >= 3 THEN b.v ELSE st.cur END, CASE WHEN b.role <> st.cur AND b.fits AND b.v <> st.cur AND b.c >= 3 THEN st.piece + 1 ELSE st.piece END FROM st JOIN best b ON b.entity = st.entity AND b.rn = st.rn + 1)
+SELECT entity, CASE WHEN piece < 26 THEN chr(97 + piece) ELSE chr(96 + piece // 26) || chr(97 + piece % 26) END AS piece, min(rn) AS start, max(rn) AS "end", count(*) AS n FROM st GROUP BY entity, st.piece"""
+
+_FUSE = f"""WITH RECURSIVE {P.OBS}, c AS MATERIALIZED (SELECT team, frame, x, y, x / 500 AS conf, dense_rank() OVER (PARTITION BY team ORDER BY frame) AS i FROM obs WHERE role = 'purchase' AND x / 500 >= 0.25::DOUBLE),
+st AS (SELECT team, i, arg_min(struct_pack(x := x, y := y, conf := conf, frame := frame), struct_pack(a := -conf, x := x, y := y)) AS p FROM c WHERE i = 1 GROUP BY team, i UNION ALL
+ SELECT c.team, c.i, arg_min(struct_pack(x := c.x, y := c.y, conf := c.conf, frame := c.frame), struct_pack(d := sqrt((c.x - st.p.x) * (c.x - st.p.x) + (c.y - st.p.y) * (c.y - st.p.y)), a := -c.conf, x := c.x, y := c.y)) AS p FROM st JOIN c ON c.team = st.team AND c.i = st.i + 1 GROUP BY c.team, c.i)
+SELECT team, p.frame AS frame, p.x AS x, p.y AS y, p.conf AS conf FROM st"""
+
+_TRACKS = f"""{P.SEG}, t AS MATERIALIZED (SELECT CAST(entity AS VARCHAR) AS team, id AS track, CAST(id % 3 + 1 AS INTEGER) AS number, conf / 1e6::DOUBLE AS conf, start, "end" FROM seg)"""
+
+_RESOLVE = f"""WITH {_TRACKS}, p AS MATERIALIZED (SELECT a.team, a.track, a.number, a.conf, b.track AS o_track, b.number AS o_number, b.conf AS o_conf FROM t a JOIN t b ON a.team = b.team AND a.track <> b.track AND a.start <= b."end" AND b.start <= a."end"),
+l AS MATERIALIZED (SELECT DISTINCT team, track, number FROM p WHERE number = o_number AND (o_conf > conf OR (o_conf = conf AND o_track < track))),
+r AS (SELECT unnest([1, 2, 3, 10, 20, 21, 31]) AS option, unnest(range(0, 7)) AS pos),
+f AS (SELECT l.team, l.track, arg_min(r.option, r.pos) AS option FROM l JOIN r ON contains(CAST(r.option AS VARCHAR), CAST(l.number AS VARCHAR)) AND r.option <> l.number WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.team = l.team AND p.track = l.track AND p.o_number = r.option) GROUP BY ALL)
+SELECT t.team, t.track, CASE WHEN l.track IS NULL THEN t.number ELSE f.option END AS number, t.conf, t.start, t."end", CASE WHEN l.track IS NULL THEN 'kept' WHEN f.option IS NOT NULL THEN 'changed' ELSE 'unsure' END AS state FROM t LEFT JOIN l USING (team, track) LEFT JOIN f USING (team, track)"""
+
+_RELABEL = f"""WITH {_TRACKS}, w AS (SELECT team, count(*) AS n, min(start) AS a, max("end") AS b FROM t GROUP BY team),
+g AS (SELECT track FROM (SELECT t.track, w.n, row_number() OVER (PARTITION BY t.team ORDER BY t.conf, t.track) AS r FROM t JOIN w USING (team) WHERE t.conf <= 0.2::DOUBLE AND least(t."end", w.b) - greatest(t.start, w.a) + 1 > 0.1::DOUBLE * (t."end" - t.start + 1)) WHERE r <= n - 10)
+SELECT CASE WHEN g.track IS NULL THEN t.team ELSE 'unsure' END AS team, t.track, t.number, t.conf, t.start, t."end", g.track IS NOT NULL AS relabelled FROM t LEFT JOIN g USING (track)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB text of those whose order a recursive query can follow."""
+    return {"window_split": _SPLIT, "fuse_ball": _FUSE, "resolve_numbers": _RESOLVE, "relabel_excess": _RELABEL}
