@@ -1,14 +1,16 @@
 """Roster rules on tracks (track, team, number, conf, start, end): numbers worn twice at once, and teams that are too large.
 
-Both are set-based: each decision looks at the tracks as they come in, so the order of rows doesn't matter.
+All but the last are set-based: each decision looks at the tracks as they come in, so the order of rows doesn't matter.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import similar_numbers
+from ..session import ship
 from . import joins
 
 
@@ -48,3 +50,80 @@ def relabel_excess(tracks: DataFrame, windows: DataFrame, allowed: int, most_con
     gone = hit.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= F.col("n") - allowed).select("track").distinct()
     out = tracks.join(gone.withColumn("relabelled", F.lit(True)), "track", "left").withColumn("relabelled", F.coalesce("relabelled", F.lit(False)))
     return out.withColumn("team", F.when(F.col("relabelled"), "unsure").otherwise(F.col("team"))).select(*tracks.columns, "relabelled")
+
+
+def resolve_in_frames(rows: DataFrame, roster: DataFrame) -> DataFrame:
+    """Of rows (frame, team, track, number, conf) that share a number in a frame the surest keeps it. The others take, in order of
+    confidence, the similar numbers of the roster that nobody of the team wears in that frame, or none: number and state (kept,
+    changed, unsure)."""
+    rank = F.row_number().over(Window.partitionBy("frame", "team", "number").orderBy(F.desc("conf"), "track"))
+    out = rows.withColumn("_r", F.when(F.col("number").isNull(), 1).otherwise(rank))
+    worn = F.collect_set("number").over(Window.partitionBy("frame", "team"))
+    out = out.withColumn("_w", worn).join(roster, "team", "left")
+    free = F.filter(similar_numbers(F.col("number"), F.col("numbers")), lambda n: ~F.array_contains(F.col("_w"), n))
+    other = F.get(free, F.col("_r") - 2)
+    state = F.when(F.col("_r") == 1, "kept").when(other.isNotNull(), "changed").otherwise("unsure")
+    return out.withColumn("state", state).withColumn("number", F.when(F.col("_r") == 1, F.col("number")).otherwise(other)).select(*rows.columns, "state")
+
+
+class Countdown:
+    """Windows [start, end] of a team with too many members, worked off in turn: the least sure members leave, which counts down the windows that
+    their time covers wholly; of those that it covers in part only what lies outside stays."""
+
+    def __init__(self, windows: list[tuple[int, int, int, frozenset]], tracks: dict[int, tuple[float, int, int]], allowed: int, most_conf: float, share: float):
+        self.queue, self.tracks = list(windows), tracks
+        self.allowed, self.most_conf, self.share = allowed, most_conf, share
+        self.gone: set[int] = set()
+
+    def _candidates(self, start: int, end: int, members: frozenset) -> list[tuple[float, int]]:
+        out = []
+        for t in members - self.gone:
+            if t in self.tracks:
+                conf, a, b = self.tracks[t]
+                if a <= end and b >= start and (min(b, end) - max(a, start) + 1) > self.share * (b - a + 1):
+                    out.append((conf, t))
+        return sorted(out)
+
+    def _cut(self, track: int) -> None:
+        _, a, b = self.tracks[track]
+        queue = []
+        for start, end, n, members in self.queue:
+            if b < start or a > end:
+                queue.append((start, end, n, members))
+            elif a <= start and b >= end:
+                queue.append((start, end, n - 1, members - {track}))
+            else:
+                queue += [w for w in ((start, a - 1, n, members), (b + 1, end, n, members)) if w[0] <= w[1]]
+        self.queue = queue
+
+    def run(self) -> set[int]:
+        while self.queue:
+            start, end, n, members = self.queue.pop(0)
+            leave = [t for conf, t in self._candidates(start, end, members)[: max(0, n - self.allowed)] if conf <= self.most_conf]
+            for t in leave:
+                self.gone.add(t)
+                self._cut(t)
+            if leave and n - len(leave) > self.allowed:
+                self.queue.append((start, end, n - len(leave), members))
+        return self.gone
+
+
+def relabel_in_turn(tracks: DataFrame, windows: DataFrame, most_conf: float = 0.007, share: float = 0.1) -> DataFrame:
+    """Relabels as relabel_excess() does, but window after window with the countdown in between: columns of `tracks` and relabelled.
+
+    `windows`: (team, start, end, n, members array), worked off in order of start. Ten of a team are allowed, of goalkeepers and referees one. A
+    team is one task: its windows and tracks, not its points.
+    """
+    ship(tracks.sparkSession)
+
+    def work(key, t: pd.DataFrame, w: pd.DataFrame) -> pd.DataFrame:
+        team = key[0]
+        allowed = 1 if str(team).endswith("goalkeeper") or team == "referee" else 10
+        queue = [(int(r.start), int(r.end), int(r.n), frozenset(int(m) for m in r.members)) for r in w.sort_values(["start", "end", "n"]).itertuples()]
+        known = {int(r.track): (float(r.conf), int(r.start), int(r.end)) for r in t.itertuples()}
+        gone = Countdown(queue, known, allowed, most_conf, share).run()
+        return pd.DataFrame({"track": pd.Series(sorted(gone), dtype="int64"), "team": team})
+
+    gone = tracks.select("team", "track", "conf", "start", "end").groupBy("team").cogroup(windows.groupBy("team")).applyInPandas(work, "track long, team string")
+    out = tracks.join(gone.withColumn("relabelled", F.lit(True)), ["team", "track"], "left").withColumn("relabelled", F.coalesce("relabelled", F.lit(False)))
+    return out.withColumn("team", F.when(F.col("relabelled") & (F.col("team") != "referee"), "unsure").otherwise(F.col("team"))).select(*tracks.columns, "relabelled")

@@ -1 +1,70 @@
-"""Queries."""
+"""Queries of trackers, roster rules by frame, change frames and envelopes."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import events, roster, tracker
+from . import proxies as P
+from .catalog import _MATCH, _NEAR, _RUNS, _obs_sql, _points, _query
+
+
+@_query(_obs_sql("""SELECT run, entity, CASE WHEN f = z THEN z - 1 ELSE f END AS frame FROM (SELECT l.run, l.entity, l."end" AS z, arg_min(p.frame, struct_pack(d := sqrt((p.x - b.bx) * (p.x - b.bx) + (p.y - b.b_y) * (p.y - b.b_y)), f := p.frame)) AS f
+ FROM (SELECT * FROM (SELECT *, lead(team) OVER (ORDER BY start) AS nt FROM runs) WHERE nt <> team) l JOIN track p ON p.entity = l.entity AND p.frame BETWEEN greatest(l.start, l."end" - 9) AND l."end" JOIN ball b ON b.frame = p.frame GROUP BY ALL)""", *_MATCH, _NEAR, _RUNS))
+def change_frames(spark, d):
+    p, b = _points(spark, d)
+    return events.change_frames(events.possession_runs(p, b, 60.0, 1), p, b)
+
+
+@_query(_obs_sql("SELECT f.frame, (SELECT arg_max(l.left_team, l.frame) FROM s l WHERE l.frame <= f.frame) AS left_team FROM (SELECT DISTINCT frame FROM track) f", *_MATCH, "s AS MATERIALIZED (SELECT frame, arg_min(team, struct_pack(x := x, t := team)) AS left_team FROM track WHERE entity % 10 = 0 OR entity % 10 = 3 GROUP BY frame HAVING count(DISTINCT team) = 2)"))
+def attack_sides(spark, d):
+    p, _ = _points(spark, d)
+    return events.attack_sides(p.filter("entity % 10 IN (0, 3)").select("frame", "team", "x"), p.select("frame"))
+
+
+@_query(_obs_sql("""SELECT entity, count(*) AS n, min(start) AS start, max(z) AS "end" FROM (SELECT min(frame) AS start, max(frame) AS z, arg_min(last, frame) AS entity FROM (SELECT *, sum(c) OVER (ORDER BY frame ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN lag(o) OVER (ORDER BY frame) = o THEN 0 ELSE 1 END AS c FROM (
+ SELECT b.frame, NOT (bx BETWEEN 10 AND 480 AND b_y BETWEEN 10 AND 670) AS o, last_value(n.entity IGNORE NULLS) OVER (ORDER BY b.frame RANGE BETWEEN 10 PRECEDING AND 1 PRECEDING) AS last FROM ball b LEFT JOIN near n ON n.frame = b.frame))) WHERE o GROUP BY g HAVING arg_min(CASE WHEN last IS NULL THEN 0 ELSE 1 END, frame) = 1) GROUP BY entity""", *_MATCH, _NEAR))
+def kick_envelopes(spark, d):
+    p, b = _points(spark, d)
+    return events.kick_envelopes(events.out_of_play(b, events.nearest_player(p, b, 60.0), 10.0, 490.0))
+
+
+@_query(_obs_sql("""SELECT frame, team, track, CASE WHEN r = 1 THEN number ELSE opt[r - 1] END AS number, conf, CASE WHEN r = 1 THEN 'kept' WHEN opt[r - 1] IS NOT NULL THEN 'changed' ELSE 'unsure' END AS state FROM (
+ SELECT *, list_filter(list_filter([1, 2, 3, 4, 10, 11, 12, 20, 21, 31, 40], lambda n: contains(CAST(n AS VARCHAR), CAST(number AS VARCHAR))), lambda n: NOT list_contains(worn, n)) AS opt FROM (
+  SELECT frame, CAST(team AS VARCHAR) AS team, entity AS track, CAST(entity % 5 AS INTEGER) AS number, x AS conf, row_number() OVER (PARTITION BY frame, team, entity % 5 ORDER BY x DESC, entity) AS r, list(CAST(entity % 5 AS INTEGER)) OVER (PARTITION BY frame, team) AS worn FROM track))""", P.TRACK))
+def numbers_in_frames(spark, d):
+    t = P.track(P.obs(spark, d)).select("frame", F.col("team").cast("string").alias("team"), F.col("entity").alias("track"), (F.col("entity") % 5).cast("int").alias("number"), F.col("x").alias("conf"))
+    numbers = F.array(*map(F.lit, (1, 2, 3, 4, 10, 11, 12, 20, 21, 31, 40)))
+    return roster.resolve_in_frames(t, t.select("team").distinct().withColumn("numbers", numbers))
+
+
+def _boxes(spark, d):
+    o = P.obs(spark, d)
+    return o.select("event_id", "team", "frame", "x", "y", (F.col("x") / 500).alias("conf"), F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + 60).alias("x2"), (F.col("y") + 60).alias("y2"))
+
+
+@_query()
+def box_tracks(spark, d):
+    return tracker.track(_boxes(spark, d), ["team"]).select("event_id", "track")
+
+
+@_query()
+def nearest_to_recent(spark, d):
+    return tracker.nearest_to_recent(_boxes(spark, d).select("event_id", "team", "frame", "x", "y"), ["team"], "frame").select("event_id")
+
+
+@_query(_obs_sql("""SELECT entity, clip, rn AS frame FROM (WITH RECURSIVE o AS MATERIALIZED (SELECT entity, rn, role = 'error' AS t FROM obs),
+st AS (SELECT entity, 0::BIGINT AS rn, 0::BIGINT AS clip, 0::BIGINT AS l, 0::BIGINT AS w, 0::BIGINT AS held FROM o WHERE rn = 1 UNION ALL
+ SELECT o.entity, o.rn, CASE WHEN t AND w = 0 THEN clip + 1 ELSE clip END, CASE WHEN t AND w = 0 THEN 2 WHEN l > 0 THEN l - 1 ELSE 0 END, CASE WHEN t AND w = 0 THEN 9 ELSE greatest(w - 1, 0) END, CASE WHEN t AND w = 0 THEN 0 WHEN l > 0 THEN held ELSE least(held + 1, 4) END FROM st JOIN o ON o.entity = st.entity AND o.rn = st.rn + 1),
+x AS MATERIALIZED (SELECT *, lag(clip) OVER (PARTITION BY entity ORDER BY rn) AS pc, lag(l) OVER (PARTITION BY entity ORDER BY rn) AS pl, lag(held) OVER (PARTITION BY entity ORDER BY rn) AS ph FROM st)
+SELECT entity, clip, rn FROM x WHERE rn > 0 AND (clip <> pc OR pl > 0) UNION ALL SELECT entity, clip, unnest(range(rn - ph, rn)) AS rn FROM x WHERE rn > 0 AND clip <> pc)"""))
+def ring_clips(spark, d):
+    o = P.obs(spark, d).withColumn("t", F.col("role") == "error")
+    return tracker.ring_clips(o, ["entity"], "rn", "t", 4, 3, 10)
+
+
+@_query()
+def relabel_in_turn(spark, d):
+    s = P.seg(spark, d).select(F.col("entity").cast("string").alias("team"), F.col("id").alias("track"), (F.col("conf") / 1e6).alias("conf"), "start", "end")
+    w = s.groupBy("team", F.floor(F.col("start") / 400).alias("k")).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), F.collect_set("track").alias("members")).drop("k")
+    return roster.relabel_in_turn(s, w.withColumn("n", F.col("n") + 8), 0.1).select("team", "track", "relabelled")
