@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
+
+from ..operators import tracker
+from ..session import ship
 
 
 def stream(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -28,6 +35,71 @@ def once(df: DataFrame, keys: list[str], at: str = "ts", late: str = "1 hour") -
     return df.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)
 
 
+def track_arrays(df: DataFrame, at: str = "ts", gap: str = "1 hour", late: str = "1 hour") -> DataFrame:
+    """(track_id, frame_id, projected): the arrays of a track that has been idle for `gap`, of rows (track_id, frame, x, y, at)."""
+    w = df.withWatermark(at, late).groupBy("track_id", F.session_window(at, gap).alias("w"))
+    g = w.agg(F.array_sort(F.collect_list(F.struct(F.col("frame").alias("f"), F.array("x", "y").alias("p")))).alias("i"))
+    return g.select("track_id", F.transform("i", lambda s: s["f"]).alias("frame_id"), F.transform("i", lambda s: s["p"]).alias("projected"))
+
+
+def _stateful(df: DataFrame, by: list[str], work, schema: str) -> DataFrame:
+    ship(df.sparkSession)
+    return df.groupBy(*by).applyInPandasWithState(work, schema, "state binary", "append", GroupStateTimeout.NoTimeout)
+
+
+def _types(df: DataFrame, by: list[str]) -> str:
+    return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in by)
+
+
+def tracked(df: DataFrame, by: list[str], p: tracker.Association = tracker.Association()) -> DataFrame:
+    """(by, frame, x1, y1, x2, y2, conf, track) of a stream of boxes. The state of a key, such as (file, class), is its tracker, bounded by the
+    tracks alive; another file is another key, so state never passes from one to the next. Frames not beyond the last one are late and
+    dropped."""
+
+    def work(key, batches, state):
+        held, last = pickle.loads(state.get[0]) if state.exists else (tracker.Tracker(p), None)
+        rows = pd.concat(list(batches)).sort_values(["frame", "conf", *tracker.BOX], ascending=[True, False, True, True, True, True], kind="stable")
+        for f, g in rows.groupby("frame", sort=True):
+            if last is not None and f <= last:
+                continue
+            ids, last = held.update(int(f), g[tracker.BOX].to_numpy(float), g["conf"].to_numpy(float)), int(f)
+            out = pd.DataFrame(dict(zip(by, ([k] * len(g) for k in key))))
+            yield out.assign(frame=f, **{c: g[c].to_numpy() for c in (*tracker.BOX, "conf")}, track=ids)
+        state.update((pickle.dumps((held, last)),))
+
+    return _stateful(df, by, work, _types(df, by) + ", frame long, x1 double, y1 double, x2 double, y2 double, conf double, track long")
+
+
+def ring_clips(df: DataFrame, by: list[str], before: int = 150, after: int = 150, skip: int = 900) -> DataFrame:
+    """(by, clip, frame) of a stream of (by, frame, trigger): tracker.Ring is the state of a key, such as a file."""
+
+    def work(key, batches, state):
+        ring = pickle.loads(state.get[0]) if state.exists else tracker.Ring(before, after, skip)
+        rows = pd.concat(list(batches)).sort_values("frame", kind="stable")
+        found = [r for f, t in zip(rows["frame"], rows["trigger"]) for r in ring.push(int(f), bool(t))]
+        state.update((pickle.dumps(ring),))
+        yield pd.DataFrame([(*key, *r) for r in found], columns=[*by, "clip", "frame"])
+
+    return _stateful(df, by, work, _types(df, by) + ", clip long, frame long")
+
+
+def ascending(df: DataFrame, by: list[str]) -> DataFrame:
+    """(by, frame) of a stream of (by, frame): only frames beyond every one that came before; late ones are rejected."""
+
+    def work(key, batches, state):
+        top = pickle.loads(state.get[0]) if state.exists else None
+        kept = []
+        for rows in batches:
+            for f in rows["frame"]:
+                if top is None or f > top:
+                    top = int(f)
+                    kept.append((*key, top))
+        state.update((pickle.dumps(top),))
+        yield pd.DataFrame(kept, columns=[*by, "frame"])
+
+    return _stateful(df, by, work, _types(df, by) + ", frame long")
+
+
 def drain(df: DataFrame, name: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Runs a stream over what is there now and gives its rows as a table in memory; for tests and small results."""
     df.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
