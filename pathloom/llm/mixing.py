@@ -189,10 +189,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP)
     groups = groups.select(*keys(F.col("doc_id"), F.col("h"), F.col("source")), "rows", "copies")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     own = docs.select(whole, *keys(F.col("doc_id"), F.xxhash64("text"), F.col("source")))
-    own = own.join(groups, names)
-    even = own.filter("copies % rows = 0").withColumn("number", F.lit(0).cast("long"))
+    odd = written(groups.filter("copies % rows <> 0"), "mix-uneven")
+    even = own.join(groups.filter("copies % rows = 0"), names).withColumn("number", F.lit(0).cast("long"))
+    if odd.isEmpty():  # no document has rows that differ in their copies: texts move once
+        return _repeated(even, docs)
+    uneven = own.join(odd, names)
     # columns of other types than hashes take, such as maps, are hashed as text
-    uneven = own.filter("copies % rows != 0").withColumn("x", F.xxhash64(F.to_json("row"))).withColumn("bucket", F.pmod("x", F.lit(BUCKETS)))
+    uneven = uneven.withColumn("x", F.xxhash64(F.to_json("row"))).withColumn("bucket", F.pmod("x", F.lit(BUCKETS)))
     counts = uneven.groupBy(*names, "bucket").agg(F.count("*").alias("n"), F.first("copies").alias("copies"), F.first("rows").alias("rows"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy(*names).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = counts.withColumn("before", before).withColumn("more", F.col("copies") % F.col("rows"))
@@ -207,5 +210,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, cap: float = CAP)
     out = even
     for part in numbered:
         out = out.unionByName(part.select(*even.columns))
-    taken = out.withColumn("taken", _share(F.col("number")).cast("int")).filter("taken > 0")
+    return _repeated(out, docs)
+
+
+def _repeated(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of `docs` out of rows (row, rows, copies, number), each as often as its number says."""
+    taken = rows.withColumn("taken", _share(F.col("number")).cast("int")).filter("taken > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("taken"))).alias("i")).select(*[F.col(f"row.`{c}`") for c in docs.columns])
