@@ -55,31 +55,61 @@ def smooth(df: DataFrame, by: list[str], order: str, values: list[str], window:
     return _grouped(df, by, work, df.schema)
 
 
-def spike_mask(x: np.ndarray, y: np.ndarray, window: int = 21, prominence: float = 20.0, longest: int = 60) -> np.ndarray:
-    """Sharp waves: where the path leaves the main direction of its surroundings. The second principal component of a sliding window is
-    smoothed; its peaks and valleys of enough prominence are widened while it falls towards zero, and kept if short."""
+def _monotony(y: np.ndarray) -> float:
+    """How cleanly a curve rises to its peak and falls after it, or the other way round: the mean share of steps in the right direction."""
+    if len(y) < 5:
+        return 0.0
+    d, best = np.diff(y), 0.0
+    for sign, at in ((1, int(y.argmax())), (-1, int(y.argmin()))):
+        if 0 < at < len(y) - 1:
+            best = max(best, ((sign * d[:at] > 0).mean() + (sign * d[at:] < 0).mean()) / 2)
+    return float(best)
+
+
+def _curvature(y: np.ndarray) -> float:
+    """The size of the square term of a parabola through a curve over [-1, 1]."""
+    if len(y) < 5:
+        return 0.0
+    t = np.linspace(-1, 1, len(y))
+    return abs(float(np.polyfit(t, y, 2)[0]))
+
+
+def spike_mask(
+    x: np.ndarray, y: np.ndarray, window: int = 301, step: int = 60, prominence: float = 2.0, shortest: int = 6, longest: int = 60, speed: float | None = None, steepness: float = 0.2, curvature: float = 0.08, monotony: float = 0.6, gap: int = 10
+) -> np.ndarray:
+    """Sharp waves: where the path leaves the main direction of its surroundings.
+
+    In windows of `window` points, `step` apart, the second principal component is smoothed. Its peaks and valleys of enough prominence are
+    widened as far as it falls off, and kept if they are neither too short nor too long, steep (amplitude over duration), curved, clean
+    (monotony) and, with `speed`, faster than the mean by so many deviations. Gaps of at most `gap` between them are filled.
+    """
     n = len(x)
     p, mask = np.c_[x, y].astype(float), np.zeros(len(x), bool)
-    if n < window:
+    if n < 7:
         return mask
-    side = np.zeros(n)
-    half = window // 2
-    for i in range(n):
-        q = p[max(0, i - half) : i + half + 1]
+    pace = np.sqrt((np.diff(p, axis=0) ** 2).sum(1))
+    fast = pace.mean() + speed * pace.std() if speed is not None else 0.0
+    window = max(21, window)
+    for a in range(0, max(1, n - window + 1), max(1, step)):
+        q = p[a : a + window]
+        if len(q) < 7:
+            continue
         c = q - q.mean(0)
-        axis = np.linalg.svd(c, full_matrices=False)[2][-1]
-        axis = axis if axis[np.abs(axis).argmax()] > 0 else -axis
-        side[i] = (p[i] - np.median(q, axis=0)) @ axis
-    side = N.savgol(side, 5, 2)
-    for s in (side, -side):
-        for k in N.peaks(s, prominence):
-            a = b = k
-            while a > 0 and 0 < s[a - 1] <= s[a]:
-                a -= 1
-            while b < n - 1 and 0 < s[b + 1] <= s[b]:
-                b += 1
-            if b - a + 1 <= longest:
-                mask[a : b + 1] = True
+        z = N.savgol(c @ np.linalg.svd(c, full_matrices=False)[2][1], 7, 2)
+        for s in (z, -z):
+            for k in N.peaks(s, prominence):
+                lo = hi = k
+                while lo > 0 and s[lo - 1] < s[lo]:
+                    lo -= 1
+                while hi < len(s) - 1 and s[hi + 1] < s[hi]:
+                    hi += 1
+                wave, n_wave = z[lo : hi + 1], hi - lo + 1
+                fits = shortest <= n_wave <= longest and np.ptp(wave) / n_wave >= steepness and _curvature(wave) >= curvature and _monotony(wave) >= monotony
+                if fits and pace[a + lo : a + hi].mean() >= fast:
+                    mask[a + lo : a + hi + 1] = True
+    for (_, e), (s, _) in zip(N.true_runs(mask), N.true_runs(mask)[1:]):
+        if s - e - 1 <= gap:
+            mask[e : s + 1] = True
     return mask
 
 
@@ -107,7 +137,7 @@ def stitch(pieces: DataFrame, by: list[str], most_gap: int = 20, most_overlap: i
         active, out = [], []
         for r in g.itertuples():
             active = [t for t in active if t[1] >= r.start - most_gap]
-            near = [(np.hypot(t[2] - r.x0, t[3] - r.y0), k) for k, t in enumerate(active) if -most_overlap <= r.start - t[1] <= most_gap and r.start != t[1] or r.start - t[1] == 0]
+            near = [(np.hypot(t[2] - r.x0, t[3] - r.y0), k) for k, t in enumerate(active) if -most_overlap <= r.start - t[1] <= most_gap]
             d, k = min(near, default=(np.inf, -1))
             if d <= reach:
                 active[k] = (active[k][0], max(active[k][1], r.end), r.x1, r.y1)
@@ -189,16 +219,16 @@ def line_pieces(df: DataFrame, by: list[str], order: str, chunk: int = 2000, ove
         found = set()
         for a in range(0, max(1, len(g)), chunk - overlap):
             i = np.arange(a, min(len(g), a + chunk))
-            free = np.ones(len(i), bool)
-            while free.sum() > least:
-                j = i[free]
-                u, v = (x, y) if np.ptp(x[j]) >= np.ptp(y[j]) else (y, x)
-                ok = N.ransac_line(u[j], v[j], residual)[2]
-                runs = [(s, e) for s, e in N.true_runs(ok) if e - s + 1 > least]
-                if not runs:
-                    break
-                found |= {(int(f[j[s]]), int(f[j[e]]), e - s + 1) for s, e in runs}
-                free[np.flatnonzero(free)[ok]] = False
+            for u, v in ((x, y), (y, x)):  # both regressions: steep pieces are straight in one of them only
+                free = np.ones(len(i), bool)
+                while free.sum() > least:
+                    j = i[free]
+                    ok = N.ransac_line(u[j], v[j], residual)[2]
+                    runs = [(s, e) for s, e in N.true_runs(ok) if e - s + 1 > least]
+                    if not runs:
+                        break
+                    found |= {(int(f[j[s]]), int(f[j[e]]), e - s + 1) for s, e in runs}
+                    free[np.flatnonzero(free)[ok]] = False
         return pd.DataFrame([(*[g[c].iloc[0] for c in by], *t) for t in sorted(found)], columns=[*by, "start", "end", "n"])
 
     return _grouped(df, by, work, T.StructType([*keys, T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("n", T.LongType())]))

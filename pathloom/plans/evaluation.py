@@ -48,7 +48,7 @@ top AS (SELECT cls, max(conf) AS hi, min(conf) AS low, arg_max(recall, rank) AS
 rd AS MATERIALIZED (SELECT cls, i, x, 0.0::DOUBLE AS recall, 1.0::DOUBLE AS precision FROM top JOIN gr ON x > hi UNION ALL SELECT cls, i, x, rl, pl FROM top JOIN gr ON x <= low
  UNION ALL SELECT cls, i, x, recall + (r2 - recall) * (conf - x) / (conf - c2), precision + (p2 - precision) * (conf - x) / (conf - c2) FROM (SELECT *, unnest(range(CAST(ceil(c2 * 100) AS BIGINT), CAST(floor(conf * 100) AS BIGINT) + 1)) AS i FROM lo WHERE c2 < conf) JOIN gr USING (i) WHERE x > c2 AND x <= conf),
 f AS (SELECT *, 2 * precision * recall / (precision + recall + 1e-16::DOUBLE) AS f1 FROM rd), m AS (SELECT list(m ORDER BY i) AS v FROM (SELECT i, avg(f1) AS m FROM f GROUP BY i)),
-b AS (SELECT k AS i FROM (SELECT unnest(range(0, 101)) AS k, v FROM m) ORDER BY round(list_sum([v[CAST(least(greatest(k + j, 0), 100) AS INTEGER) + 1] FOR j IN range(-5, 6)]) / 11, 12) DESC, k LIMIT 1)
+b AS (SELECT k AS i FROM (SELECT unnest(range(0, 101)) AS k, v FROM m) ORDER BY round(list_sum([v[CAST(least(greatest(k + j, 0), 100) AS INTEGER) + 1] FOR j IN range(-3, 4)]) / 7, 12) DESC, k LIMIT 1)
 SELECT cls, x AS conf, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1 FROM f JOIN b USING (i)""")
 def working_points(spark, d):
     s, n = _hits(spark, d)

@@ -22,7 +22,7 @@ def savgol_smooth(spark, d):
 
 
 def spike_repair(spark, d):
-    return tracks.repair_spikes(_o(spark, d), ["entity"], "rn", prominence=100.0)
+    return tracks.repair_spikes(_o(spark, d), ["entity"], "rn", window=41, step=20, prominence=20.0)
 
 
 def stitch_tracks(spark, d):
