@@ -48,11 +48,11 @@ class Cover:
 _hashes = WordHashes()
 
 
-def _documents(table: pa.Table):
-    """(index, doc_id, word hashes) of the rows that have a doc_id."""
+def _documents(table: pa.Table, some: set | None = None):
+    """(index, doc_id, word hashes) of the rows that have a doc_id, one of `some` if that is given."""
     ids = table.column("doc_id").to_pylist()
     for i, text in enumerate(table.column("text")):
-        if ids[i] is not None:
+        if ids[i] is not None and (some is None or ids[i] in some):
             yield i, ids[i], _hashes.of(words_of(text.as_py()))
 
 
@@ -198,10 +198,16 @@ def remove_repeats(docs: DataFrame, c: Cover = Cover()) -> DataFrame:
         at, low, _ = _least(h1, d)
         order = np.argsort(low, kind="stable")
         at, low = at[order], low[order]
-        return _rows(key[0].as_py(), (h1[at] % np.uint64(partitions)).astype(np.int64), [h1[at], h2[at], low])
+        sent = _rows(key[0].as_py(), (h1[at] % np.uint64(partitions)).astype(np.int64), [h1[at], h2[at], low])
+        # and a note to the block itself: the documents that hold shared anchors; no other can lose words
+        block = key[0].as_py()
+        note = {"block": pa.array([block], pa.int64()), "bucket": pa.array([-1 - block], pa.int64()), "c0": pa.array([np.unique(d).tobytes()], pa.binary()), "c1": pa.array([b""], pa.binary()), "c2": pa.array([b""], pa.binary())}
+        return pa.concat_tables([sent, pa.table(note)])
 
     def judged(key, table):
-        """To each block the windows that start in a smaller document than any of its own."""
+        """To each block the windows that start in a smaller document than any of its own; notes pass."""
+        if key[0].as_py() < 0:
+            return table.select(["block", "bucket", "c0", "c1"])
         h1, n = _joined(table.column("c0"), np.uint64)
         h2, _ = _joined(table.column("c1"), np.uint32)
         low, _ = _joined(table.column("c2"), np.int64)
@@ -218,12 +224,15 @@ def remove_repeats(docs: DataFrame, c: Cover = Cover()) -> DataFrame:
         return pa.table({"block": table.column("block"), "bucket": pa.array(np.full(len(n), key[0].as_py()), pa.int64()), "c0": pa.array([a[i:j].tobytes() for i, j in cut], pa.binary()), "c1": pa.array([b[i:j].tobytes() for i, j in cut], pa.binary())})
 
     def removed(key, table, answer):
+        noted = answer.column("bucket").to_numpy() < 0
+        suspects = set(_joined(answer.filter(pa.array(noted)).column("c0"), np.int64)[0].tolist())
+        answer = answer.filter(pa.array(~noted))
         known1, _ = _joined(answer.column("c0"), np.uint64)
         known2, _ = _joined(answer.column("c1"), np.uint32)
         order = np.argsort(known1, kind="stable")
         known1, known2 = known1[order], known2[order]
         # windows that two documents of this block share
-        found = [(d, _window_keys(w, c)) for _, d, w in _documents(table)]
+        found = [(d, _window_keys(w, c)) for _, d, w in _documents(table, suspects)]
         h1 = np.concatenate([np.empty(0, np.uint64), *[k[0] for _, k in found]])
         h2 = np.concatenate([np.empty(0, np.uint32), *[k[1] for _, k in found]])
         d = np.repeat(np.array([x for x, _ in found], np.int64), [len(k[0]) for _, k in found])
@@ -241,7 +250,7 @@ def remove_repeats(docs: DataFrame, c: Cover = Cover()) -> DataFrame:
         for i, text in enumerate(table.column("text").to_pylist()):
             words = words_of(text)
             sizes[i] = len(words)
-            starts = np.flatnonzero(next(numbers)) if ids[i] is not None else np.empty(0, np.int64)
+            starts = np.flatnonzero(next(numbers)) if ids[i] in suspects else np.empty(0, np.int64)
             runs: list[tuple[int, int]] = []
             if len(starts):
                 edge = np.zeros(len(words) + 1, np.int64)
