@@ -6,15 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def nearest(left: DataFrame, right: DataFrame, on: list[str], dist: Column, ties: list[str], radius: float | None = None) -> DataFrame:
-    """For each row of `right` (keyed by `on`) its nearest row of `left`; ties go by the columns `ties`."""
-    both = left.join(right, on).withColumn("distance", dist)
-    if radius is not None:
-        both = both.filter(F.col("distance") <= radius)
-    w = Window.partitionBy(*on).orderBy("distance", *ties)
-    return both.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
-
-
 def band(left: DataFrame, right: DataFrame, on: list[str], at: str, other: str, below: int, above: int) -> DataFrame:
     """Pairs with other in [at - below, at + above]: rows meet in buckets of that width, then by the exact test."""
     width = max(1, below + above)
@@ -32,12 +23,6 @@ def overlap(left: DataFrame, right: DataFrame, on: list[str], a: tuple[str, str]
     return both.filter((F.col("lo") <= F.col("hi")) & (F.floor(F.col("lo") / bucket) == F.col("_k"))).drop("_k")
 
 
-def look_back(value: Column, by: list[str], order: str, reach: int) -> Column:
-    """The latest value that isn't null in the `reach` units before this row, this row not included."""
-    w = Window.partitionBy(*by).orderBy(order).rangeBetween(-reach, -1)
-    return F.last(value, True).over(w)
-
-
 def as_of(left: DataFrame, right: DataFrame, on: list[str], at: str, other: str, values: list[str]) -> DataFrame:
     """Adds to each row of `left` the values of the latest row of `right` at or before it, by one union and a window."""
     a = left.select("*", F.lit(1).alias("_side"), F.col(at).alias("_at"), *[F.lit(None).cast(right.schema[v].dataType).alias(f"_v_{v}") for v in values])

@@ -150,6 +150,23 @@ def stitch(pieces: DataFrame, by: list[str], most_gap: int = 20, most_overlap: i
     return _grouped(pieces, by, work, _schema(pieces, ("track", pieces.schema["piece"].dataType)))
 
 
+def _kth_distances(z: np.ndarray, k: int) -> np.ndarray:
+    """The distance of each point to its k-th nearest other one (the farthest if there are fewer). Points ascend along the first axis, and
+    a search stops where that axis alone is farther than the k-th found, so work follows the crowd about a point, not the square."""
+    n, out = len(z), np.empty(len(z))
+    k = min(k, n - 1)
+    for i in range(n):
+        reach = 2 * k + 1
+        while True:
+            a, b = max(0, i - reach), min(n, i + reach + 1)
+            d = np.partition(np.sqrt(((z[a:b] - z[i]) ** 2).sum(1)), k)[k] if b - a > k else np.inf
+            if (a == 0 or z[i, 0] - z[a, 0] >= d) and (b == n or z[b - 1, 0] - z[i, 0] >= d):
+                break
+            reach *= 2
+        out[i] = d
+    return out
+
+
 def ball_outliers(df: DataFrame, by: list[str], order: str, k: int = 10, weight: float = 6.0, least: int = 3) -> DataFrame:
     """Drops points in clusters below `least`: z-scores with frames weighted, links to the five next points in time that are no longer
     than twice the median distance to the k-th nearest, single linkage."""
@@ -160,7 +177,7 @@ def ball_outliers(df: DataFrame, by: list[str], order: str, k: int = 10, weight:
         if len(p) < least:
             return g.iloc[:0]
         z = (p - p.mean(0)) / np.where(p.std(0) > 0, p.std(0), 1) * [weight, 1, 1]
-        far = [np.sort(np.sqrt(((z[i] - z) ** 2).sum(1)))[min(k, len(z) - 1)] for i in range(len(z))]
+        far = _kth_distances(z, k)
         edges = np.array([(i, j) for i in range(len(z)) for j in range(i + 1, min(i + 6, len(z)))]).reshape(-1, 2)
         lengths = np.sqrt(((z[edges[:, 0]] - z[edges[:, 1]]) ** 2).sum(1)) if len(edges) else np.empty(0)
         lab = N.single_linkage(len(z), edges, lengths, 2 * float(np.median(far)))

@@ -339,21 +339,10 @@ def chapter_offsets(spark, d):
     return tall.running_offset(m.withColumn("_all", F.lit(1)), ["_all"], "month", "n").drop("_all")
 
 
-@_query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), r AS (SELECT * FROM e WHERE vec_id % 25 = 0)
-SELECT vec_id, label, team, round(score, 6) AS score FROM (SELECT e.vec_id, e.label, r.label AS team, avg(list_cosine_similarity(e.v, r.v)) AS score FROM e JOIN r ON r.vec_id <> e.vec_id GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, team) = 1""")
-def team_similarity(spark, d):
-    e = P.table(spark, d, "embeddings")
-    # the references are a stated set of samples: every 25th vector, in one array b_y label
-    r = e.filter("vec_id % 25 = 0").select(F.col("vec_id").alias("ref"), F.col("label").alias("team"), F.col("embedding").alias("rv"))
-    m = e.select("vec_id", "label", "embedding").join(r, F.col("vec_id") != F.col("ref")).groupBy("vec_id", "label", "team").agg(F.avg(G.cosine_similarity(F.col("embedding"), F.col("rv"))).alias("score"))
-    w = Window.partitionBy("vec_id").orderBy(F.desc("score"), "team")
-    return m.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("vec_id", "label", "team", F.round("score", 6).alias("score"))
-
-
 @_query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
 SELECT vec_id, label, team, round(score, 6) AS score FROM (SELECT e.vec_id, e.label, r.label AS team, avg(list_cosine_similarity(e.v, r.v)) AS score FROM e JOIN e r ON r.vec_id <> e.vec_id GROUP BY ALL) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, team) = 1""")
 def team_similarity_all(spark, d):
-    # the references are all vectors, where team_similarity and its SQL have every 25th
+    # the references are all vectors
     m = vectors.mean_similarity(P.table(spark, d, "embeddings"), "vec_id", "embedding", "label").withColumnRenamed("id", "vec_id")
     w = Window.partitionBy("vec_id").orderBy(F.desc("score"), "team")
     return m.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select("vec_id", "label", "team", F.round("score", 6).alias("score"))
@@ -457,41 +446,19 @@ def semantic_iou(spark, d):
     return m.select(F.round("mean_iou", 6).alias("mean_iou"), F.round("weighted_iou", 6).alias("weighted_iou"))
 
 
-@_query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings), r AS (SELECT * FROM e WHERE vec_id % 10 = 0),
-k AS (SELECT e.vec_id, e.label, r.label AS guess, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_cosine_similarity(e.v, r.v) DESC, r.vec_id) AS p FROM e JOIN r ON e.vec_id <> r.vec_id)
-SELECT round(avg(a), 6) AS top1, round(avg(b), 6) AS topk FROM (SELECT vec_id, max(CASE WHEN p = 1 AND guess = label THEN 1.0 ELSE 0.0 END) AS a, max(CASE WHEN p <= 5 AND guess = label THEN 1.0 ELSE 0.0 END) AS b FROM k GROUP BY vec_id)""")
-def topk_accuracy(spark, d):
-    e = P.table(spark, d, "embeddings")
-    r = e.filter("vec_id % 10 = 0").select(F.col("vec_id").alias("ref"), F.col("label").alias("guess"), F.col("embedding").alias("rv"))
-    k = e.join(r, F.col("vec_id") != F.col("ref")).withColumn("s", G.cosine_similarity(F.col("embedding"), F.col("rv")))
-    w = Window.partitionBy("vec_id").orderBy(F.desc("s"), "ref")
-    k = k.withColumn("_p", F.row_number().over(w)).filter("_p <= 5").groupBy("vec_id", "label").agg(F.array_sort(F.collect_list(F.struct("_p", "guess"))).alias("g"))
-    m = stats.top_k_accuracy(k.withColumn("ranked", F.transform("g", lambda s: s["guess"])), "label", "ranked")
-    return m.select(F.round("top1", 6).alias("top1"), F.round("topk", 6).alias("topk"))
-
-
 @_query("""WITH e AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 k AS (SELECT e.vec_id, e.label, r.label AS guess, row_number() OVER (PARTITION BY e.vec_id ORDER BY list_cosine_similarity(e.v, r.v) DESC, r.vec_id) AS p FROM e JOIN e r ON e.vec_id <> r.vec_id)
 SELECT round(avg(a), 6) AS top1, round(avg(b), 6) AS topk FROM (SELECT vec_id, max(CASE WHEN p = 1 AND guess = label THEN 1.0 ELSE 0.0 END) AS a, max(CASE WHEN p <= 5 AND guess = label THEN 1.0 ELSE 0.0 END) AS b FROM k GROUP BY vec_id)""")
 def topk_accuracy_all(spark, d):
-    # the candidates are all vectors, where topk_accuracy and its SQL have every 10th
+    # the candidates are all vectors
     k = vectors.nearest_labels(P.table(spark, d, "embeddings"), "vec_id", "embedding", "label")
     m = stats.top_k_accuracy(k, "label", "ranked")
     return m.select(F.round("top1", 6).alias("top1"), F.round("topk", 6).alias("topk"))
 
 
-@_query("""WITH b AS (SELECT item_id, regexp_replace(text, '[^ -~]', '', 'g')[1:60] AS t FROM benchmark)
-SELECT a.item_id, levenshtein(a.t, b.t) AS distance, round(1 - levenshtein(a.t, b.t) / CAST(greatest(length(a.t), length(b.t)) AS DOUBLE), 6) AS similarity FROM b a JOIN b ON b.item_id = a.item_id + 1""")
-def edit_distance(spark, d):
-    # plain ASCII only, for engines differ in whether they count bytes or characters
-    b = P.table(spark, d, "benchmark").select("item_id", F.substring(F.regexp_replace("text", "[^ -~]", ""), 1, 60).alias("t"))
-    j = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("t").alias("u")), "item_id")
-    return j.select("item_id", F.levenshtein("t", "u").cast("long").alias("distance"), F.round(L.edit_similarity(F.col("t"), F.col("u")), 6).alias("similarity"))
-
-
 @_query()
 def edit_distance_whole(spark, d):
-    # whole texts by characters, where edit_distance and its SQL have 60 characters of plain ASCII; DuckDB counts bytes, so there is no SQL
+    # whole texts by characters; DuckDB counts bytes, so there is no SQL
     b = P.table(spark, d, "benchmark").select("item_id", F.col("text").alias("t"))
     j = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("t").alias("u")), "item_id")
     return j.select("item_id", F.levenshtein("t", "u").cast("long").alias("distance"), F.round(L.edit_similarity(F.col("t"), F.col("u")), 6).alias("similarity"))
