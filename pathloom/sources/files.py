@@ -111,8 +111,13 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 def label_outcomes(spark: SparkSession, path: str, images: DataFrame) -> DataFrame:
     """(missing, found, empty, corrupt, duplicates): what became of the label files of `images` (file: the name of its label file). A
     corrupt file holds a row that isn't valid; duplicates are rows that a file repeats."""
-    content = F.decode("content", F.lit("UTF-8"))
+    content = F.decode("content", "UTF-8")
     t = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.filter(F.split(F.trim(content), r"\s*\n\s*"), lambda x: x != "").alias("rows"))
+    # scans pass over files of no bytes, so the folder's listing tells of them
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+    blank = [(f.getPath().getName(), []) for f in listed if f.isFile() and f.getLen() == 0]
+    t = t.unionByName(spark.createDataFrame(blank, t.schema))
     labels = read_labels(spark, path)
     bad = labels.filter(~F.coalesce("valid", F.lit(False))).select("file").distinct().withColumn("bad", F.lit(True))
     j = images.select("file").distinct().join(t, "file", "left").join(bad, "file", "left")
