@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import events, roster, tracker
+from ..operators import chains, events, roster, tracker
 from . import proxies as P
 from .catalog import _MATCH, _NEAR, _RUNS, _obs_sql, _points, _query
 
@@ -68,3 +68,26 @@ def relabel_in_turn(spark, d):
     s = P.seg(spark, d).select(F.col("entity").cast("string").alias("team"), F.col("id").alias("track"), (F.col("conf") / 1e6).alias("conf"), "start", "end")
     w = s.groupBy("team", F.floor(F.col("start") / 400).alias("k")).agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n"), F.collect_set("track").alias("members")).drop("k")
     return roster.relabel_in_turn(s, w.withColumn("n", F.col("n") + 8), 0.1).select("team", "track", "relabelled")
+
+
+@_query()
+def split_tracks(spark, d):
+    o = P.obs(spark, d).select("event_id", "entity", "rn", "role", "x", "y")
+    return chains.split_tracks(o, ["entity"], "rn", "role", 5, 0.6, 3, 490.0, 99.0).select("event_id", "piece")
+
+
+@_query()
+def stitched_points(spark, d):
+    p = P.track(P.obs(spark, d)).withColumn("piece", F.col("entity") * 1_000_000 + F.floor(F.col("frame") / 100)).withColumn("conf", F.col("x") / 500)
+    return chains.stitch_points(p.select("team", "piece", "frame", "x", "y", "conf"), ["team"], "piece", "frame", 11, 3)
+
+
+@_query()
+def smooth_ball(spark, d):
+    o = P.obs(spark, d).select("entity", "rn", "x", "y")
+    return chains.smooth_ball(o, ["entity"], "rn", 20.0, 60.0, 5, {"window": 41, "step": 20, "prominence": 20.0})
+
+
+@_query()
+def pick_ball(spark, d):
+    return chains.pick_ball(_boxes(spark, d).select("event_id", "team", "frame", "x", "y"), ["team"], "frame").select("event_id")
