@@ -37,10 +37,27 @@ def without_enclosed(df: DataFrame, by: list[str], id_col: str, containment: flo
     return a.join(b, cond, "left_anti")
 
 
-def suppress(df: DataFrame, image: str, conf: float = 0.25, iou: float = 0.45, top: int = 300, most: int = 30_000, per_class: bool = True) -> DataFrame:
-    """Non-maximum suppression within each image: (df columns) of the boxes that stay, best first, `top` an image at most.
+def class_candidates(df: DataFrame, scores: str, conf: float = 0.25, many: bool = True, classes: list[int] | None = None) -> DataFrame:
+    """(other columns of df, cls, conf): detections as suppress() takes them, from an array of a score for each class.
 
-    Ties of confidence go by x1, y1, x2, y2. One image is one group; suppression depends on the order, so it runs in numpy.
+    With `many` a box stands once for every class scored above `conf`, else for its best class alone (ties: the first one). `classes` are
+    the wanted class numbers, None all. Scores that are null or not a number count for nothing.
+    """
+    others = [F.col(f"`{c}`") for c in df.columns if c != scores]
+    fine = F.transform(F.col(scores), lambda v: F.when(~F.isnan(v), v))
+    if many:
+        out = df.select(*others, F.posexplode(fine).alias("cls", "conf"))
+    else:
+        out = df.select(*others, (F.array_position(fine, F.array_max(fine)) - 1).cast("int").alias("cls"), F.array_max(fine).alias("conf"))
+    out = out.filter(F.col("conf") > conf)
+    return out if classes is None else out.filter(F.col("cls").isin(classes))
+
+
+def suppress(df: DataFrame, image: str, conf: float = 0.25, iou: float = 0.45, top: int | None = 300, most: int | None = 30_000, per_class: bool = True) -> DataFrame:
+    """Non-maximum suppression within each image: (df columns) of the boxes that stay, best first.
+
+    The best `most` boxes of an image are looked at and `top` of them kept at most; None sets no bound. Ties of confidence go by x1, y1,
+    x2, y2, cls. One image is one group; suppression depends on the order, so it runs in numpy.
     """
     ship(df.sparkSession)
 
@@ -60,10 +77,11 @@ def suppress(df: DataFrame, image: str, conf: float = 0.25, iou: float = 0.45, t
 
     def keep(g: pd.DataFrame) -> pd.DataFrame:
         """All images of a bucket, so that small images don't cost a call each."""
-        g = g[g["conf"] >= conf].sort_values([image, "conf", *BOX], ascending=[True, False, True, True, True, True], kind="stable")
+        g = g[g["conf"] >= conf].sort_values([image, "conf", *BOX, "cls"], ascending=[True, False, *[True] * 5], kind="stable")
         b, cls = g[list(BOX)].to_numpy(float), pd.factorize(g["cls"])[0] if per_class else np.zeros(len(g))
         edges = np.flatnonzero(np.r_[True, g[image].to_numpy()[1:] != g[image].to_numpy()[:-1], True]) if len(g) else np.array([0])
-        rows = [i + k for i, j in zip(edges[:-1], edges[1:]) for k in one(b[i : min(j, i + most)], cls[i : min(j, i + most)])]
+        ends = edges[1:] if most is None else np.minimum(edges[1:], edges[:-1] + most)
+        rows = [i + k for i, j in zip(edges[:-1], ends) for k in one(b[i:j], cls[i:j])]
         return g.iloc[rows].drop(columns="_bucket")
 
     buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import bhattacharyya_similarity
 from ..session import ship
 
 
@@ -67,16 +68,52 @@ def nearest_labels(df: DataFrame, id_col: str, vec: str, label: str, k: int = 5,
     return rows.select("id", "label").join(ranked, "id")
 
 
-def mean_similarity(df: DataFrame, id_col: str, vec: str, label: str) -> DataFrame:
+def _beside_each(rows: DataFrame, id_col: str, refs: DataFrame, team: str, size: int, held: int) -> DataFrame:
+    """Every row beside every reference; `size` is the references' bytes.
+
+    Up to `held` bytes of references go to every task. More are dealt into blocks of about `held` bytes, which rows meet in a shuffled
+    join, salted so that the rows of a block are many tasks' work.
+    """
+    blocks = -(-size // held)
+    if blocks <= 1:
+        return rows.crossJoin(F.broadcast(refs))
+    salts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // blocks)
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int")).withColumn("_block", every(blocks))
+    right = refs.withColumn("_block", F.pmod(F.xxhash64(team), F.lit(blocks)).cast("int")).withColumn("_salt", every(salts))
+    return left.join(right, ["_block", "_salt"]).drop("_block", "_salt")
+
+
+def mean_similarity(df: DataFrame, id_col: str, vec: str, label: str, held: int = 64 << 20) -> DataFrame:
     """Rows (id, label, team, score): the mean cosine of each vector with all vectors of each label but itself.
 
-    The mean of cosines is the product with the mean of unit vectors, so a label is one row. Ids are unique; vectors that are null,
-    zero or not finite take no part, nor does a label that only the vector itself has.
+    The mean of cosines is the product with the mean of unit vectors, so a label is one row; labels of more than `held` bytes aren't sent
+    to every task. Ids are unique; vectors that are null, zero or not finite take no part, nor does a label that only the vector itself has.
     """
     rows = _units(df, id_col, vec, label)
+    size = rows.agg(F.count_distinct("label").alias("n"), F.max(F.size("u")).alias("d")).first()
     sums = rows.select("label", F.posexplode("u").alias("at", "x")).groupBy("label", "at").agg(F.sum("x").alias("x"), F.count("*").alias("n"))
     sums = sums.groupBy(F.col("label").alias("team")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("t"), F.max("n").alias("n"))
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     own = F.col("label").eqNullSafe(F.col("team")).cast("int")
-    both = rows.crossJoin(F.broadcast(sums)).withColumn("others", F.col("n") - own).filter("others > 0")
+    both = _beside_each(rows, "id", sums, "team", 8 * (size["n"] + 1) * (size["d"] or 0), held).withColumn("others", F.col("n") - own).filter("others > 0")
     return both.select("id", "label", "team", ((dot("t", "u") - own * dot("u", "u")) / F.col("others")).alias("score"))
+
+
+def team_histograms(df: DataFrame, team: str, hist: str) -> DataFrame:
+    """(team, histogram): the mean of a team's histograms, place by place."""
+    places = df.select(F.col(team).alias("team"), F.posexplode(hist).alias("at", "x")).groupBy("team", "at").agg(F.avg("x").alias("x"))
+    return places.groupBy("team").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("histogram"))
+
+
+def match_histograms(df: DataFrame, id_col: str, hist: str, refs: DataFrame, held: int = 64 << 20) -> DataFrame:
+    """(id, team, similarity): the team of `refs` (team, histogram) whose histogram is most alike; ties go to the smaller team.
+
+    team is null where no reference can be compared: an empty, zero or null histogram; without references there are no rows. Ids are unique.
+    """
+    size = refs.agg(F.sum(8 * F.greatest(F.size("histogram"), F.lit(0)))).first()[0] or 0
+    rows = df.select(F.col(id_col).alias("id"), F.col(hist).alias("p"))
+    alike = bhattacharyya_similarity(F.col("p"), F.col("histogram"))
+    found = _beside_each(rows, "id", refs.select("team", "histogram"), "team", size, held).withColumn("s", alike)
+    best = found.groupBy("id").agg(F.min(F.when(F.col("s").isNotNull() & ~F.isnan("s"), F.struct((-F.col("s")).alias("s"), "team"))).alias("b"))
+    return best.select("id", "b.team", (-F.col("b.s")).alias("similarity"))

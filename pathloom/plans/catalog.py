@@ -357,6 +357,16 @@ def bhattacharyya_match(spark, d):
     return j.select("a", "b", F.round(G.bhattacharyya_similarity(F.col("p"), F.col("q")), 6).alias("similarity"))
 
 
+@_query("""WITH h AS (SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda v: abs(v)) AS p FROM embeddings),
+r AS (SELECT team, list(x ORDER BY i) AS q FROM (SELECT label AS team, i, avg(x) AS x FROM (SELECT label, unnest(p) AS x, unnest(range(1, len(p) + 1)) AS i FROM h) GROUP BY ALL) GROUP BY team),
+m AS (SELECT vec_id, team, 1 - sqrt(greatest(0.0, 1 - list_sum(list_transform(range(1, len(p) + 1), lambda i: sqrt(p[i] * q[i]))) / sqrt(list_sum(p) * list_sum(q)))) AS s FROM h, r)
+SELECT vec_id, team, round(s, 6) AS similarity FROM m QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, team) = 1""")
+def match_team_histograms(spark, d):
+    h = P.table(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda v: F.abs(v.cast("double"))).alias("p"))
+    m = vectors.match_histograms(h, "vec_id", "p", vectors.team_histograms(h, "label", "p"))
+    return m.select(F.col("id").alias("vec_id"), "team", F.round("similarity", 6).alias("similarity"))
+
+
 _INTER = "greatest(0.0, least(a.x2, b.x2) - greatest(a.x1, b.x1)) * greatest(0.0, least(a.y2, b.y2) - greatest(a.y1, b.y1))"
 _AREA = lambda q: f"({q}.x2 - {q}.x1) * ({q}.y2 - {q}.y1)"
 
@@ -382,6 +392,15 @@ def nms(spark, d):
     return boxes.suppress(P.box(spark, d), "image", 0.0, 0.3).select("image", "det", "conf")
 
 
+_MANY = "mb AS (SELECT * FROM (SELECT image, det, x1, y1, x2, y2, unnest([0, 1, 2]) AS cls, unnest([conf, 110000 - conf, 1000 * (x2 - x1)]) AS conf FROM box) WHERE conf > 45000)"
+
+
+@_query(_SQL["nms"].replace(P.BOX, f"{P.BOX}, {_MANY}").replace("AS r FROM box)", "AS r FROM mb)").replace("SELECT image, det, conf FROM st WHERE keep", "SELECT o.image, o.det, o.cls, o.conf FROM st JOIN o ON o.image = st.image AND o.r = st.r WHERE st.keep"))
+def nms_many_labels(spark, d):
+    b = P.box(spark, d).drop("cls").withColumn("scores", F.array("conf", 110_000 - F.col("conf"), 1000 * (F.col("x2") - F.col("x1")))).drop("conf")
+    return boxes.suppress(boxes.class_candidates(b, "scores", 45_000), "image", 0.0, 0.3, None, None).select("image", "det", "cls", "conf")
+
+
 def _matches(spark, d):
     b = P.box(spark, d)
     return boxes.pairs(b.filter("det % 2 = 1"), b.filter("det % 2 = 0"), ["image"], "det", "det", least=0.02)

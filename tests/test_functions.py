@@ -1,5 +1,8 @@
 """Worked examples of the column functions, the operators and the kernels."""
 
+import hashlib
+from datetime import datetime, timedelta
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +12,9 @@ from pathloom.functions import boxes as B
 from pathloom.functions import geometry as G
 from pathloom.functions import labels as L
 from pathloom.functions import times as T
-from pathloom.operators import joins, stats, tall
+from pathloom.operators import boxes, chains, joins, stats, tall, vectors
+from pathloom.sources import files
+from pathloom.streaming import tracks as streaming
 
 
 def value(spark, *columns):
@@ -113,3 +118,83 @@ def test_numerics():
     z = np.arange(30.0)
     assert np.abs(N.kalman_smooth(z) - z)[3:-3].max() < 0.2
     assert N.true_runs([1, 1, 0, 1]) == [(0, 1), (3, 3)]
+
+
+def test_boxes_of_labels(spark):
+    assert value(spark, *B.to_pixels(lit(0.5, 0.5, 0.2, 0.4), 100, 50, 3.0, 4.0)) == pytest.approx((43, 19, 63, 39))
+    assert value(spark, L.detection_text(F.lit("ball"), F.lit(0.456))) == ("ball 0.46",)
+
+
+def test_text_columns(spark):
+    t = frame(spark, [("ﬁn é 12",), (None,), ("",)], "t string")
+    assert [r[0] for r in t.select(L.fold_ascii("t")).collect()] == ["fin e 12", None, ""]
+    got = value(spark, L.content_key(F.array(F.lit("a"), F.lit("b")), F.array(F.lit(3), F.lit(4))))
+    assert got == (hashlib.md5(b"7ab").hexdigest(),)
+    parts = {r["p"]: r["count"] for r in spark.range(5000).select(L.split_of(F.col("id")).alias("p")).groupBy("p").count().collect()}
+    assert set(parts) == {"train", "val"} and 0.87 < parts["train"] / 5000 < 0.93
+
+
+def test_cosine_and_histograms(spark):
+    a = lambda *v: F.array(*lit(*v))
+    assert value(spark, G.cosine_similarity(a(1, 0), a(1, 1)), G.cosine_similarity(a(0, 0), a(1, 1))) == (pytest.approx(0.5**0.5), None)
+    rng = np.random.default_rng(6)
+    p = rng.random((30, 5)).tolist()
+    p[7], p[8], p[9] = [0.0] * 5, None, p[3]
+    df = frame(spark, [(i, f"t{i % 4}", h) for i, h in enumerate(p)], "id long, team string, h array<double>")
+    refs = vectors.team_histograms(df, "team", "h")
+    means = {t: np.mean([h for i, h in enumerate(p) if h is not None and f"t{i % 4}" == t], axis=0) for t in ("t0", "t1", "t2", "t3")}
+    assert {r.team: pytest.approx(r.histogram) for r in refs.collect()} == {t: m.tolist() for t, m in means.items()}
+    alike = lambda x, y: 1 - max(0.0, 1 - np.sqrt(np.multiply(x, y)).sum() / (sum(x) * sum(y)) ** 0.5) ** 0.5
+    for held in (1 << 20, 50):  # beside one broadcast, and in blocks
+        got = {r.id: r for r in vectors.match_histograms(df, "id", "h", refs, held).collect()}
+        assert len(got) == 30 and got[7].team is None and got[8].team is None
+        for i in set(range(30)) - {7, 8}:
+            team = max(means, key=lambda t: alike(p[i], means[t]))
+            assert (got[i].team, got[i].similarity) == (team, pytest.approx(alike(p[i], means[team])))
+    assert not vectors.match_histograms(df.limit(0), "id", "h", refs).collect()
+    assert not vectors.match_histograms(df, "id", "h", refs.limit(0)).collect()
+
+
+def test_labels_of_many_bytes_meet_in_blocks(spark):
+    rng = np.random.default_rng(7)
+    df = frame(spark, [(i, rng.standard_normal(4).tolist(), i % 6) for i in range(60)], "id long, v array<double>, label int")
+    read = lambda held: {(r.id, r.team): pytest.approx(r.score) for r in vectors.mean_similarity(df, "id", "v", "label", held).collect()}
+    assert read(1 << 20) == {k: v.expected for k, v in read(40).items()} and len(read(40)) == 360
+
+
+def test_classes_of_a_box(spark):
+    rows = [(1, 0, 0.0, 0.0, 10.0, 10.0, [0.9, 0.8, None]), (1, 1, 1.0, 0.0, 11.0, 10.0, [0.5, 0.85, float("nan")]), (1, 2, 50.0, 0.0, 60.0, 10.0, [0.3, 0.3, 0.1]), (1, 3, 0.0, 0.0, 1.0, 1.0, None), (1, 4, 0.0, 0.0, 1.0, 1.0, [])]
+    df = frame(spark, rows, "image long, det long, x1 double, y1 double, x2 double, y2 double, s array<double>")
+    read = lambda **k: sorted((r.det, r.cls) for r in boxes.suppress(boxes.class_candidates(df, "s", 0.25, **k), "image", 0.0, 0.5, None, None).collect())
+    assert read() == [(0, 0), (1, 1), (2, 0), (2, 1)] and read(many=False) == [(0, 0), (1, 1), (2, 0)] and read(classes=[0]) == [(0, 0), (2, 0)]
+    best = boxes.suppress(boxes.class_candidates(df, "s"), "image", 0.0, 0.5, 1, None).collect()
+    assert [(r.det, r.cls) for r in best] == [(0, 0)]
+
+
+def test_static_free_ball(spark):
+    rows = [(f, 100.0, 100.0) for f in range(60)] + [(60 + f, 10.0 * f, 300.0) for f in range(50)] + [(200, -5.0, 1.0)]
+    kept = chains.static_free_ball(frame(spark, rows, "frame long, x double, y double")).collect()
+    assert {r.frame for r in kept} == set(range(60, 110))
+
+
+def test_logs_and_results(spark, tmp_path):
+    (tmp_path / "log.jsonl").write_text('{"type": "meta", "fps": 30.0}\n{"type": "det", "clip_frame": 3, "conf": 0.5}\n{"clip_frame": 4}\n')
+    meta, rest = files.read_tagged(spark, str(tmp_path / "log.jsonl"))
+    assert [r.fps for r in meta.collect()] == [30.0] and sorted(r.clip_frame for r in rest.collect()) == [3, 4]
+    files.write_coco(frame(spark, [(9, 2, 1.0, 2.0, 4.00049, 8.0, 0.123456)], "image long, cls int, x1 double, y1 double, x2 double, y2 double, conf double"), str(tmp_path / "coco"))
+    assert [tuple(r) for r in spark.read.schema("image_id long, category_id int, bbox array<double>, score double").json(str(tmp_path / "coco")).collect()] == [(9, 2, [1.0, 2.0, 3.0, 6.0], 0.12346)]
+    tracks = frame(spark, [([3, 900, 5],), ([1],), (None,)], "frame_id array<long>")
+    assert files.largest_frame(tracks).first().last == 900 and files.largest_frame(tracks.limit(0)).first().last is None
+
+
+def test_track_arrays_of_a_stream(spark, tmp_path):
+    base = datetime(2024, 1, 1)
+    rows = [(t, f, float(f), 1.0, base + timedelta(minutes=f + (300 if f > 5 else 0))) for t in (1, 2) for f in (2, 1, 7, 5)]
+    rows.append((9, 0, 0.0, 0.0, base + timedelta(days=9)))
+    df = spark.createDataFrame(rows, "track_id long, frame long, x double, y double, ts timestamp")
+    df.write.parquet(str(tmp_path / "in"))
+    want = {(t, f) for t in (1, 2) for f in ((1, 2, 5), (7,))}
+    batch = streaming.track_arrays(df).filter("track_id < 9").collect()
+    assert {(r.track_id, tuple(r.frame_id)) for r in batch} == want and all([p[0] for p in r.projected] == r.frame_id for r in batch)
+    live = streaming.drain(streaming.track_arrays(streaming.stream(spark, str(tmp_path / "in"), df.schema)), "live_arrays", str(tmp_path / "cp"))
+    assert {(r.track_id, tuple(r.frame_id)) for r in live.collect()} == want
