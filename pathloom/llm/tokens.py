@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -81,31 +82,35 @@ class ChunkEncoder:
             out = out.replace(",", "\0,").replace(".", "\0.")
         return f"{out}\0{_END}"
 
-    def _spelt(self, word: str) -> str:
-        """A run of Latin letters as the model's alphabet spells it, a character for each UTF-8 byte."""
-        word = word if self.byte_level else word.lower()
-        return word.encode().decode("latin-1").translate(_ALPHABET)
+    def _spelt(self, words: list[str]) -> list[str]:
+        """Runs of Latin letters as the model's alphabet spells them, a character for each UTF-8 byte."""
+        text = "\0".join(words)
+        text = text if self.byte_level else text.lower()
+        if text.isascii():  # of these only the blank has another character in the alphabet
+            return text.replace(" ", chr(_ALPHABET[32])).split("\0")
+        return text.encode().decode("latin-1").translate(_ALPHABET).split(chr(_ALPHABET[0]))
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """Two generations are remembered, so that common chunks stay when rare ones fill the limit."""
         known, older = self.known, self.older
-        new = []
-        for c in chunks:
-            if c not in known:
-                if c in older:
-                    known[c] = older[c]
-                else:
-                    new.append(c)
-        rest = []
+        new = [c for c in chunks if c not in known]
+        if older:
+            known.update([(c, older[c]) for c in new if c in older])
+            new = [c for c in new if c not in known]
+        plain, accented, rest = [], [], []
         for c in new:
             if _PLAIN.fullmatch(c) and (self.byte_level or c[0] != " "):
-                known[c] = np.array([t.id for t in self.model.tokenize(self._spelt(c))], np.uint32).tobytes()
+                (plain if c.isascii() else accented).append(c)
             else:
                 rest.append(c)
+        tokenize = self.model.tokenize
+        for words in (plain, accented):
+            for c, word in zip(words, self._spelt(words)):
+                known[c] = array("I", [t.id for t in tokenize(word)]).tobytes()
         for i in range(0, len(rest), 1024):
             part = rest[i : i + 1024]
             for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[c] = np.array(e.ids, np.uint32).tobytes()
+                known[c] = array("I", e.ids).tobytes()
         out = [known[c] for c in chunks]
         if len(known) > self.limit // 2:
             self.known, self.older = {_END: known[_END]}, known
