@@ -93,7 +93,8 @@ class ChunkEncoder:
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """Two generations are remembered, so that common chunks stay when rare ones fill the limit."""
         known, older = self.known, self.older
-        new = [c for c in chunks if c not in known]
+        out = list(map(known.get, chunks))
+        new = [c for c, ids in zip(chunks, out) if ids is None]
         if older:
             known.update([(c, older[c]) for c in new if c in older])
             new = [c for c in new if c not in known]
@@ -111,7 +112,8 @@ class ChunkEncoder:
             part = rest[i : i + 1024]
             for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 known[c] = array("I", e.ids).tobytes()
-        out = [known[c] for c in chunks]
+        if None in out:
+            out = [known[c] if ids is None else ids for c, ids in zip(chunks, out)]
         if len(known) > self.limit // 2:
             self.known, self.older = {_END: known[_END]}, known
         return out
@@ -120,7 +122,7 @@ class ChunkEncoder:
         lists = pc.split_pattern(pa.array([self._marked(t) for t in texts], pa.large_string()), "\0")
         coded = lists.values.dictionary_encode()
         codes = coded.indices.to_numpy(zero_copy_only=False)
-        ids = self._ids(coded.dictionary.to_pylist())
+        ids = self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
         size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
         first = np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int32)
         flat = np.frombuffer(b"".join(ids), np.uint32)
