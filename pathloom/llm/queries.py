@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import htmltext, licences, mixing, neardup, neighbours, packing, substrings, tokenfiles, toxicity, vecdup
+from . import htmltext, lexical, licences, manifest, mixing, neardup, neighbours, packing, substrings, tokenfiles, topk, toxicity, vecdup
 
 
 def _table(spark, sf_dir, name):
@@ -55,6 +55,18 @@ def op10_pack(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_top_k(spark, sf_dir):
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op12_manifest(spark, sf_dir):
+    return manifest.manifest(_table(spark, sf_dir, "documents"), manifest.crc_is_even(F.col("doc_id")))
+
+
+def op13_ranked(spark, sf_dir):
+    return lexical.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k[:2] == "op" and k[2].isdigit()}
 
@@ -114,6 +126,66 @@ SELECT x.doc_id, b.name AS licence, b.dice, CAST(b.line AS BIGINT) AS line FROM
 
 ORACLE_SQL["op7_licences"] = _licence_sql()
 
+ORACLE_SQL["op11_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
+
+ORACLE_SQL["op13_ranked"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS a, row_number() OVER () AS k FROM documents),
+b AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+q AS (SELECT item_id, t, count(*) AS times FROM b GROUP BY 1, 2),
+c AS (SELECT CAST(count(*) AS BIGINT) AS n, CAST(sum(len(a)) AS BIGINT) AS l FROM d WHERE len(a) > 0),
+x AS (SELECT k, unnest(a) AS t FROM d), f AS (SELECT k, t, count(*) AS tf FROM x GROUP BY 1, 2),
+w AS (SELECT t, CAST(floor(1000.0::DOUBLE * ln((2.0::DOUBLE * max(c.n) + 2.0::DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM f, c GROUP BY t),
+m AS (SELECT k, doc_id, 75 + (25 * len(a) * c.n) // c.l AS m FROM d, c WHERE len(a) > 0),
+s AS (SELECT q.item_id, m.k, m.doc_id, CAST(sum(q.times * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 12 * m.m))) AS BIGINT) AS score
+  FROM q JOIN f USING (t) JOIN w USING (t) JOIN m ON m.k = f.k GROUP BY 1, 2, 3),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20"""
+
+
+def _manifest_sql(levels: int = 14, source_levels: int = 8) -> str:
+    """Leaves, then every level of the sources' trees and of the tree above, side by side; a group that is down to one node stays as it is."""
+    sql = []
+
+    def fold(name: str, count: int) -> None:  # {name}0 (g, k, h) to {name}{count}, and the siblings of every level
+        for x in range(count):
+            sql.append(f"{name}c{x} AS (SELECT g, count(*) AS n FROM {name}{x} GROUP BY g)")
+            sql.append(
+                f"{name}s{x} AS MATERIALIZED (SELECT a.g, a.k, coalesce(string_agg(o.h, '' ORDER BY o.k) FILTER (o.k < a.k), '') AS l, coalesce(string_agg(o.h, '' ORDER BY o.k) FILTER (o.k > a.k), '') AS r "
+                f"FROM {name}{x} a JOIN {name}{x} o ON o.g = a.g AND o.k // 3 = a.k // 3 JOIN {name}c{x} c ON c.g = a.g AND c.n > 1 GROUP BY a.g, a.k)"
+            )
+            sql.append(f"{name}{x + 1} AS MATERIALIZED (SELECT g, k // 3 AS k, CASE WHEN max(c.n) > 1 THEN sha256(string_agg(h, '' ORDER BY k)) ELSE max(h) END AS h FROM {name}{x} JOIN {name}c{x} c USING (g) GROUP BY g, k // 3)")
+
+    def walk(name: str, count: int, first: str, start: str) -> str:  # the row's digest and its siblings' digests, level by level
+        for x in range(count):
+            k = f"f.{'k' if name == 'n' else 'place'} // {3**x}"
+            join = f"LEFT JOIN {name}s{x} s ON s.g = {'f.g' if name == 'n' else "''"} AND s.k = {k}"
+            sql.append(f"{start}{x} AS MATERIALIZED (SELECT f.* REPLACE (CASE WHEN s.k IS NULL THEN cur ELSE sha256(s.l || cur || s.r) END AS cur, proof || coalesce(s.l || s.r, '') AS proof) FROM {first} f {join})")
+            first = f"{start}{x}"
+        return first
+
+    field = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR) END"
+    head = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(8), lambda i: (ord(c) >> i) & 1)))"
+    crc = f"xor(list_reduce({bits}, lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295), 4294967295)"
+    sql.append(f"d AS (SELECT doc_id, coalesce('+' || source, '') AS g, sha256({head} || {field.format('text')}) AS leaf, sha256({head} || {field.format('x')}) AS stripped, {crc} % 2 = 0 AS even FROM (SELECT *, replace(text, chr(10), '') AS x FROM documents))")
+    sql.append("e AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k FROM d)")
+    sql.append("n0 AS (SELECT g, k, leaf AS h FROM e)")
+    fold("n", levels)
+    sql.append(f"o AS MATERIALIZED (SELECT g AS source, row_number() OVER (ORDER BY g) - 1 AS place, h AS subroot FROM n{levels})")
+    sql.append("m0 AS (SELECT '' AS g, place AS k, subroot AS h FROM o)")
+    fold("m", source_levels)
+    sql.append("f AS (SELECT e.doc_id, e.g, e.k, e.leaf, o.place, o.subroot, CASE WHEN even THEN stripped ELSE leaf END AS cur, '' AS proof FROM e JOIN o ON o.source = e.g)")
+    last = walk("m", source_levels, walk("n", levels, "f", "p"), "u")
+    return f"WITH {', '.join(sql)} SELECT doc_id, leaf, subroot, m{source_levels}.h AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = m{source_levels}.h AS verified FROM {last}, m{source_levels}"
+
+
+ORACLE_SQL["op12_manifest"] = _manifest_sql()
+
 
 def oracle_sql():
     return dict(ORACLE_SQL)
