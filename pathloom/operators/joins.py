@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .numbering import numbered
+
 
 def band(left: DataFrame, right: DataFrame, on: list[str], at: str, other: str, below: int, above: int) -> DataFrame:
     """Pairs with other in [at - below, at + above]: rows meet in buckets of that width, then by the exact test."""
@@ -67,12 +69,10 @@ def to_global(rows: DataFrame, chapters: DataFrame, on: list[str], frame: str, n
 
 
 def by_position(left: DataFrame, right: DataFrame, left_order: str, right_order: str) -> DataFrame:
-    """Rows put together by their numbers in either order; a ValueError if the counts differ. For lists of clips: a row a clip."""
+    """Rows put together by their numbers in either order; a ValueError if the counts differ."""
     if left.count() != right.count():
         raise ValueError("both sides need the same number of rows")
-    a = left.withColumn("_p", F.row_number().over(Window.orderBy(left_order)))
-    b = right.withColumn("_p", F.row_number().over(Window.orderBy(right_order)))
-    return a.join(b, "_p").drop("_p")
+    return numbered(left, [], [left_order], "_p").join(numbered(right, [], [right_order], "_p"), "_p").drop("_p")
 
 
 def unmatched(detections: DataFrame, tracks: DataFrame, on: list[str], detection: str, iou: Column, most: float = 0.5) -> DataFrame:
@@ -83,12 +83,13 @@ def unmatched(detections: DataFrame, tracks: DataFrame, on: list[str], detection
 
 def sidecars(videos: DataFrame, files: DataFrame, video: str, name: str, token: str, changed: str) -> DataFrame:
     """(video, name): for each video the file whose name begins with the video's and holds the token; of several the shortest name,
-    then the newest, then the smaller name. Names meet by their first characters, as many as the shortest video name has."""
-    least = videos.agg(F.min(F.length(video))).first()[0] or 0
-    a = videos.select(F.col(video).alias("_v"), F.substring(video, 1, least).alias("_k")).distinct()
-    b = files.filter(F.col(name).contains(token)).select(name, changed, F.substring(name, 1, least).alias("_k"))
+    then the newest, then the smaller name. A file meets whole video names: its own openings of the lengths that video names have."""
+    v = videos.select(F.col(video).alias("_v")).distinct()
+    lengths = v.agg(F.array_sort(F.collect_set(F.length("_v"))).alias("_n"))  # one row, of as many numbers as there are lengths of names
+    b = files.filter(F.col(name).contains(token)).crossJoin(F.broadcast(lengths))
+    b = b.select(name, changed, F.explode(F.filter("_n", lambda n: n <= F.length(name))).alias("_n")).withColumn("_v", F.substring(F.col(name), F.lit(1), F.col("_n")))
     w = Window.partitionBy("_v").orderBy(F.length(name), F.desc(changed), name)
-    both = a.join(b, "_k").filter(F.col(name).startswith(F.col("_v"))).withColumn("_r", F.row_number().over(w)).filter("_r = 1")
+    both = v.join(b, "_v").withColumn("_r", F.row_number().over(w)).filter("_r = 1")
     return both.select(F.col("_v").alias(video), name)
 
 

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import similar_numbers
 from ..session import ship
+from ..storage import stored
 from . import joins
+from .graphs import components
+
+
+#: So many tracks that give way are chosen for in one task, whether they meet or not: their rows and pairs are small.
+FEW = 2000
 
 
 def valid_numbers(tracks: DataFrame, roster: DataFrame) -> DataFrame:
@@ -52,18 +58,59 @@ def relabel_excess(tracks: DataFrame, windows: DataFrame, allowed: int, most_con
     return out.withColumn("team", F.when(F.col("relabelled"), "unsure").otherwise(F.col("team"))).select(*tracks.columns, "relabelled")
 
 
-def resolve_in_frames(rows: DataFrame, roster: DataFrame) -> DataFrame:
-    """Of rows (frame, team, track, number, conf) that share a number in a frame the surest keeps it. The others take, in order of
-    confidence, the similar numbers of the roster that nobody of the team wears in that frame, or none: number and state (kept,
-    changed, unsure)."""
-    rank = F.row_number().over(Window.partitionBy("frame", "team", "number").orderBy(F.desc("conf"), "track"))
-    out = rows.withColumn("_r", F.when(F.col("number").isNull(), 1).otherwise(rank))
-    worn = F.collect_set("number").over(Window.partitionBy("frame", "team"))
-    out = out.withColumn("_w", worn).join(roster, "team", "left")
-    free = F.filter(similar_numbers(F.col("number"), F.col("numbers")), lambda n: ~F.array_contains(F.col("_w"), n))
-    other = F.get(free, F.col("_r") - 2)
-    state = F.when(F.col("_r") == 1, "kept").when(other.isNotNull(), "changed").otherwise("unsure")
-    return out.withColumn("state", state).withColumn("number", F.when(F.col("_r") == 1, F.col("number")).otherwise(other)).select(*rows.columns, "state")
+def resolve_in_frames(rows: DataFrame, roster: DataFrame, match: tuple = ()) -> DataFrame:
+    """Of rows (match, frame, team, track, number, conf) that share a number in a frame the surest keeps it. The others' tracks take another
+    number, one for all frames in which they wear that one: number and state (kept, changed, unsure).
+
+    A track that has to give way somewhere, once for each number it wears, may take the similar numbers of the roster that no other track
+    of the team wears in any of its frames. Tracks choose in order of confidence (the mean over the frames, then the smaller track), each
+    the first of its options that no track with which it shares a frame has taken; with none left they are unsure. So no frame holds a
+    number twice. Choices follow from frame to frame only among tracks that meet, so a group of tracks that meet, not a team, is one task.
+    """
+    on, who = [*match, "frame", "team"], [*match, "team", "track", "number"]
+    worn = rows.filter(F.col("number").isNotNull())
+    order = Window.partitionBy(*on, "number").orderBy(F.desc("conf"), "track")
+    ranked = stored(worn.select(*on, "track", "number", "conf").withColumn("_r", F.row_number().over(order)), "worn-numbers")
+    lost = ranked.groupBy(*who).agg(F.max("_r").alias("_r"), F.avg("conf").alias("conf")).filter("_r > 1").drop("_r")
+    lost = stored(lost.withColumn("_id", F.monotonically_increasing_id()), "giving-way")
+    frames = stored(ranked.drop("_r", "conf").join(lost.drop("conf"), who), "giving-way-frames")  # the frames of those who give way
+    options = lost.join(roster, "team").select(*who, "_id", F.posexplode(similar_numbers(F.col("number"), F.col("numbers"))).alias("pos", "option")).filter("option <> number")
+    others = ranked.select(*on, F.col("track").alias("_o"), F.col("number").alias("option"))
+    taken = frames.join(others, on).filter("_o <> track").select("_id", "option").distinct()
+    free = options.join(taken, ["_id", "option"], "left_anti").groupBy("_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "option"))), lambda o: o["option"]).alias("options"))
+    a, b = frames.select(*on, "track", F.col("_id").alias("a")), frames.select(*on, F.col("track").alias("_o"), F.col("_id").alias("b"))
+    meets = a.join(b, on).filter("a < b").select("a", "b").distinct()
+    chosen = _chosen(lost.select("_id", "conf", "track").join(free, "_id", "left"), meets)
+    named = lost.drop("conf").join(chosen, "_id").select(*who, F.lit(True).alias("_l"), F.col("choice").alias("_n"))
+    out = rows.join(named, who, "left")
+    state = F.when(F.col("_l").isNull(), "kept").when(F.col("_n").isNotNull(), "changed").otherwise("unsure")
+    return out.withColumn("state", state).withColumn("number", F.when(F.col("_l").isNull(), F.col("number")).otherwise(F.col("_n"))).select(*rows.columns, "state")
+
+
+def _chosen(tracks: DataFrame, meets: DataFrame) -> DataFrame:
+    """(_id, choice): `tracks` (_id, conf, track, options) choose by falling confidence, then track and _id, the first option that none of
+    those they meet (a, b) has chosen before. Tracks that meet, directly or not, are one task; so are all, if they are few."""
+    ship(tracks.sparkSession)
+    nodes = tracks.select(F.col("_id").alias("node"))
+    few = tracks.limit(FEW + 1).count() <= FEW
+    group = nodes.withColumn("component", F.lit(0).cast("long")) if few else components(meets, nodes)
+    rows = tracks.join(group.select(F.col("node").alias("_id"), "component"), "_id")
+    pairs = meets.join(group.select(F.col("node").alias("a"), F.col("component").alias("of")), "a")
+
+    def work(t: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
+        near: dict[int, set] = {}
+        for a, b in zip(m["a"], m["b"]):
+            near.setdefault(a, set()).add(b)
+            near.setdefault(b, set()).add(a)
+        choice: dict[int, int | None] = {}
+        for r in t.sort_values(["conf", "track", "_id"], ascending=[False, True, True]).itertuples():
+            used = {choice.get(o) for o in near.get(r[names["_id"]], ())}
+            options = r[names["options"]]
+            choice[r[names["_id"]]] = next((int(o) for o in options if o not in used), None) if options is not None else None
+        return pd.DataFrame({"_id": pd.Series(list(choice), dtype="int64"), "choice": pd.Series(list(choice.values()), dtype="Int32")})
+
+    names = {c: i + 1 for i, c in enumerate(rows.columns)}
+    return rows.groupBy("component").cogroup(pairs.groupBy("of")).applyInPandas(work, "_id long, choice int")
 
 
 class Countdown:

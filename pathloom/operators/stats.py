@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.geometry import bin_index, distance
 from . import tall
+from .numbering import numbered
 
 
 def weighted_vote(df: DataFrame, by: list[str], label: str, score: Column, otherwise: str = "ball") -> DataFrame:
@@ -272,8 +273,7 @@ def end_means(df: DataFrame, by: list[str], order: str, value: str, first: int =
 
 def aspect_batches(images: DataFrame, image: str, ratio: str, batch: int) -> DataFrame:
     """Images by aspect ratio in batches: columns batch and shape (1 where it spans both kinds, else its widest or highest ratio)."""
-    w = Window.orderBy(ratio, image)
-    b = images.withColumn("batch", F.floor((F.row_number().over(w) - 1) / batch))
+    b = numbered(images, [], [ratio, image], "_p").withColumn("batch", F.expr(f"_p div {batch}")).drop("_p")
     s = b.groupBy("batch").agg(F.min(ratio).alias("low"), F.max(ratio).alias("high"))
     s = s.select("batch", F.when(F.col("high") < 1, F.col("high")).when(F.col("low") > 1, 1 / F.col("low")).otherwise(1.0).alias("shape"))
     return b.join(s, "batch")
@@ -292,5 +292,5 @@ def fittest(rows: DataFrame, fitness: Column, n: int = 5, seed: int = 0) -> tupl
 
 def evolution(rows: DataFrame, order: str, fitness: Column) -> DataFrame:
     """Adds `fitness` and `best`, the greatest so far; the row where they are equal last is the best of all."""
-    w = Window.partitionBy(F.lit(1)).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("fitness", fitness).withColumn("best", F.max("fitness").over(w))
+    placed = numbered(rows.withColumn("fitness", fitness), [], [order], "_p")
+    return tall.running(placed, [], "_p", "fitness", "best", greatest=True).drop("_p")

@@ -5,12 +5,8 @@
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import ship
 
 
 def _w(by: list[str], order, *more):
@@ -103,49 +99,6 @@ def fold(df: DataFrame, by: list[str], item: Column, start: Column, step, out: s
     return df.groupBy(*by).agg(F.array_sort(F.collect_list(item)).alias("_items")).select(*by, F.aggregate("_items", start, step).alias(out))
 
 
-def smooth_exponential(df: DataFrame, by: list[str], order: str, value: str, alpha: float = 0.5) -> DataFrame:
-    """(by, order, value, smoothed): s = alpha * value + (1 - alpha) * s before; the first value stands for itself.
-
-    The state is one number, so rows stream through a worker, entity after entity, sorted; nothing grows with an entity's length.
-    """
-    ship(df.sparkSession)
-    kinds = [*[df.schema[c] for c in by], df.schema[order], T.StructField(value, T.DoubleType()), T.StructField("smoothed", T.DoubleType())]
-
-    def work(batches):
-        last, s = None, 0.0
-        for batch in batches:
-            keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(by))]))
-            out = []
-            for key, v in zip(keys, batch.column(len(by) + 1).to_pylist()):
-                s = v if key != last else alpha * v + (1 - alpha) * s
-                last = key
-                out.append(s)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*by, order, value, "smoothed"])
-
-    rows = df.select(*by, order, F.col(value).cast("double").alias(value))
-    return rows.repartition(*by).sortWithinPartitions(*by, order).mapInArrow(work, T.StructType(kinds))
-
-
-def cooldown(df: DataFrame, by: list[str], at: str, wait: int) -> DataFrame:
-    """Keeps a row only if it is `wait` or more after the last one kept: (by, at). The state is the last one kept."""
-    ship(df.sparkSession)
-
-    def work(batches):
-        last, kept = None, 0
-        for batch in batches:
-            keys = list(zip(*[batch.column(i).to_pylist() for i in range(len(by))]))
-            mask = []
-            for key, t in zip(keys, batch.column(len(by)).to_pylist()):
-                mask.append(key != last or t - kept >= wait)
-                if mask[-1]:
-                    kept = t
-                last = key
-            yield batch.filter(pa.array(mask, pa.bool_()))
-
-    rows = df.select(*by, F.col(at).cast("long").alias(at))
-    return rows.repartition(*by).sortWithinPartitions(*by, at).mapInArrow(work, rows.schema)
-
-
 def clip_windows(df: DataFrame, by: list[str], at: str, before: int, after: int) -> DataFrame:
     """Windows [at - before, at + after) merged where they overlap or touch: (by, start, end, first trigger)."""
     w = df.select(*by, F.greatest(F.col(at) - before, F.lit(0)).alias("start"), (F.col(at) + after).alias("end"), F.col(at).alias("_t"))
@@ -221,13 +174,29 @@ def previous(df: DataFrame, by: list[str], order: str, columns: list[str], size:
     return out.drop("_k", "_l", "_p")
 
 
-def running(df: DataFrame, by: list[str], order: str, value: str, name: str, size: int = CHUNK) -> DataFrame:
-    """Adds the running total of `value` in order, by chunks of it and a table of a row a chunk."""
+def changes(df: DataFrame, by: list[str], order: str, columns: list[str], name: str, size: int = CHUNK) -> DataFrame:
+    """Numbers the runs of rows with equal `columns` (nulls are equal) in order, from 1. Rows are windowed in chunks of `order`; a row a chunk
+    tells the first and last values and how many runs begin after its first row."""
+    df = df.withColumn("_k", F.floor(F.col(order) / size)).withColumn("_v", F.struct(*columns))
+    w = Window.partitionBy(*by, "_k").orderBy(order)
+    df = df.withColumn("_c", F.when(F.row_number().over(w) == 1, 0).otherwise((~F.lag("_v").over(w).eqNullSafe(F.col("_v"))).cast("int")))
+    chunks = df.groupBy(*by, "_k").agg(F.min_by("_v", order).alias("_a"), F.max_by("_v", order).alias("_z"), F.sum("_c").alias("_n"))
+    at = Window.partitionBy(*by).orderBy("_k")
+    new = F.when(F.lag("_z").over(at).eqNullSafe(F.col("_a")) & (F.row_number().over(at) > 1), 0).otherwise(1)
+    chunks = chunks.withColumn("_new", new).withColumn("_s", F.sum(F.col("_n") + F.col("_new")).over(at.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+    out = df.join(chunks.select(*by, "_k", "_s"), [*by, "_k"])
+    return out.withColumn(name, F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_s")).drop("_k", "_v", "_c", "_s")
+
+
+def running(df: DataFrame, by: list[str], order: str, value: str, name: str, size: int = CHUNK, greatest: bool = False) -> DataFrame:
+    """Adds the running total of `value` in order, or its running maximum, by chunks of `order` and a table of a row a chunk."""
+    whole = F.max if greatest else F.sum
     df = df.withColumn("_k", F.floor(F.col(order) / size))
-    sums = df.groupBy(*by, "_k").agg(F.sum(value).alias("_s"))
-    sums = sums.withColumn("_s", F.coalesce(F.sum("_s").over(Window.partitionBy(*by).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    w = Window.partitionBy(*by, "_k").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.join(sums, [*by, "_k"]).withColumn(name, F.sum(value).over(w) + F.col("_s")).drop("_k", "_s")
+    sums = df.groupBy(*by, "_k").agg(whole(value).alias("_s"))
+    sums = sums.withColumn("_s", whole("_s").over(Window.partitionBy(*by).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)))
+    own = whole(value).over(Window.partitionBy(*by, "_k").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    both = F.greatest(own, "_s") if greatest else own + F.coalesce("_s", F.lit(0))
+    return df.join(sums, [*by, "_k"]).withColumn(name, both).drop("_k", "_s")
 
 
 def look_back(df: DataFrame, by: list[str], order: str, value: str, reach: int, name: str, size: int = CHUNK) -> DataFrame:

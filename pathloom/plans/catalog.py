@@ -9,7 +9,7 @@ from ..functions import boxes as B
 from ..functions import geometry as G
 from ..functions import labels as L
 from ..functions import times as T
-from ..operators import boxes, events, joins, stats, tall, vectors
+from ..operators import boxes, events, joins, scans, stats, tall, vectors
 from . import proxies as P
 
 _QUERIES: dict = {}
@@ -294,13 +294,13 @@ def linear_bridge(spark, d):
 
 @_query("WITH RECURSIVE " + P.OBS + ", e AS (SELECT entity, rn, x AS s FROM obs WHERE rn = 1 UNION ALL SELECT o.entity, o.rn, 0.5::DOUBLE * o.x + 0.5::DOUBLE * e.s FROM e JOIN obs o ON o.entity = e.entity AND o.rn = e.rn + 1) SELECT entity, rn, s AS smoothed FROM e")
 def ema_smooth(spark, d):
-    s = tall.smooth_exponential(P.obs(spark, d), ["entity"], "rn", "x")
+    s = scans.smooth_exponential(P.obs(spark, d), ["entity"], "rn", "x")
     return s.select("entity", "rn", "smoothed")
 
 
 @_query("WITH RECURSIVE " + P.OBS + ", t AS (SELECT entity, sec FROM obs WHERE role = 'error'), k AS (SELECT entity, min(sec) AS sec FROM t GROUP BY entity UNION ALL SELECT k.entity, (SELECT min(t.sec) FROM t WHERE t.entity = k.entity AND t.sec >= k.sec + 90000) FROM k WHERE EXISTS (SELECT 1 FROM t WHERE t.entity = k.entity AND t.sec >= k.sec + 90000)) SELECT entity, sec FROM k")
 def cooldown_events(spark, d):
-    return tall.cooldown(P.obs(spark, d).filter("role = 'error'"), ["entity"], "sec", 90_000)
+    return scans.cooldown(P.obs(spark, d).filter("role = 'error'"), ["entity"], "sec", 90_000)
 
 
 @_query(_obs_sql("""SELECT team, min(a) AS start, max(b) AS "end", min(sec) AS "trigger" FROM (SELECT *, sum(new) OVER (PARTITION BY team ORDER BY a, b, sec ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN a <= max(b) OVER (PARTITION BY team ORDER BY a, b, sec ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM (

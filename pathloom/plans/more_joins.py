@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import boxes as B
@@ -26,10 +25,11 @@ def local_to_global(spark, d):
     return joins.to_global(c.withColumn("f", F.col("turn") * 2), chapters, ["conv_id", "turn"], "f").select("conv_id", "turn", F.col("global_frame").cast("long").alias("global_frame"))
 
 
-@_query("SELECT r.r_regionkey, q.n_nationkey FROM (SELECT *, row_number() OVER (ORDER BY r_name) AS p FROM region) r JOIN (SELECT *, row_number() OVER (ORDER BY n_name DESC) AS p FROM nation WHERE n_nationkey < 5) q USING (p)")
-def positional_zip(spark, d):
-    n = P.table(spark, d, "nation").filter("n_nationkey < 5").withColumn("o", -F.row_number().over(Window.orderBy("n_name")))
-    return joins.by_position(P.table(spark, d, "region"), n, "r_name", "o").select("r_regionkey", "n_nationkey")
+@_query("SELECT a.c_custkey AS named, b.c_custkey AS owing FROM (SELECT *, row_number() OVER (ORDER BY c_name) AS p FROM customer) a JOIN (SELECT *, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS p FROM customer) b USING (p)")
+def positional_zip_whole(spark, d):
+    c = P.table(spark, d, "customer")
+    named, owing = c.select(F.col("c_custkey").alias("named"), "c_name"), c.select(F.col("c_custkey").alias("owing"), F.struct("c_acctbal", "c_custkey").alias("o"))
+    return joins.by_position(named, owing, "c_name", "o").select("named", "owing")
 
 
 @_query(f"""WITH {P.BOX} SELECT a.image, a.det FROM box a WHERE a.det % 2 = 1 AND NOT EXISTS (SELECT 1 FROM box b WHERE b.image = a.image AND b.det % 2 = 0 AND {_INTER} / ({_AREA('a')} + {_AREA('b')} - {_INTER} + 1e-7::DOUBLE) > 0.1::DOUBLE)""")

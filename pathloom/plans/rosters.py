@@ -29,10 +29,18 @@ def kick_envelopes(spark, d):
     return events.kick_envelopes(events.out_of_play(b, events.nearest_player(p, b, 60.0), 10.0, 490.0))
 
 
-@_query(_obs_sql("""SELECT frame, team, track, CASE WHEN r = 1 THEN number ELSE opt[r - 1] END AS number, conf, CASE WHEN r = 1 THEN 'kept' WHEN opt[r - 1] IS NOT NULL THEN 'changed' ELSE 'unsure' END AS state FROM (
- SELECT *, list_filter(list_filter([1, 2, 3, 4, 10, 11, 12, 20, 21, 31, 40], lambda n: contains(CAST(n AS VARCHAR), CAST(number AS VARCHAR))), lambda n: NOT list_contains(worn, n)) AS opt FROM (
-  SELECT frame, CAST(team AS VARCHAR) AS team, entity AS track, CAST(entity % 5 AS INTEGER) AS number, x AS conf, row_number() OVER (PARTITION BY frame, team, entity % 5 ORDER BY x DESC, entity) AS r, list(CAST(entity % 5 AS INTEGER)) OVER (PARTITION BY frame, team) AS worn FROM track))""", P.TRACK))
-def numbers_in_frames(spark, d):
+# tracks that give way choose in turn; the recursion carries what those before have chosen
+@_query("WITH RECURSIVE " + _obs_sql("", P.TRACK)[5:].rstrip() + """, t AS MATERIALIZED (SELECT frame, CAST(team AS VARCHAR) AS team, entity AS track, CAST(entity % 5 AS INTEGER) AS number, x AS conf FROM track),
+r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY frame, team, number ORDER BY conf DESC, track) AS r FROM t),
+l AS MATERIALIZED (SELECT team, track, number, row_number() OVER (ORDER BY avg(conf) DESC, track) AS i FROM r GROUP BY team, track, number HAVING max(r) > 1),
+taken AS MATERIALIZED (SELECT DISTINCT l.i, o.number AS n FROM l JOIN r a USING (team, track, number) JOIN r o ON o.frame = a.frame AND o.team = a.team AND o.track <> a.track),
+tk AS MATERIALIZED (SELECT i, list(n) AS ns FROM taken GROUP BY i),
+meet AS MATERIALIZED (SELECT l.i, list(DISTINCT m.i) AS js FROM l JOIN r a USING (team, track, number) JOIN r o ON o.frame = a.frame AND o.team = a.team JOIN l m ON m.team = o.team AND m.track = o.track AND m.number = o.number AND m.i < l.i GROUP BY l.i),
+o AS MATERIALIZED (SELECT l.i, list_filter([1, 2, 3, 4, 10, 11, 12, 20, 21, 31, 40], lambda n: contains(CAST(n AS VARCHAR), CAST(l.number AS VARCHAR)) AND n <> l.number AND NOT list_contains(coalesce(tk.ns, []), n)) AS opts, coalesce(meet.js, []) AS js FROM l LEFT JOIN meet USING (i) LEFT JOIN tk USING (i)),
+c AS (SELECT 0::BIGINT AS i, []::INTEGER[] AS ch UNION ALL SELECT c.i + 1, list_append(c.ch, list_filter(o.opts, lambda n: NOT list_contains(list_transform(o.js, lambda j: c.ch[j]), n))[1]) FROM c JOIN o ON o.i = c.i + 1),
+ch AS MATERIALIZED (SELECT ch FROM c ORDER BY i DESC LIMIT 1)
+SELECT t.frame, t.team, t.track, CASE WHEN l.i IS NULL THEN t.number ELSE ch.ch[l.i] END AS number, t.conf, CASE WHEN l.i IS NULL THEN 'kept' WHEN ch.ch[l.i] IS NOT NULL THEN 'changed' ELSE 'unsure' END AS state FROM t LEFT JOIN l USING (team, track, number), ch""")
+def track_numbers(spark, d):
     t = P.track(P.obs(spark, d)).select("frame", F.col("team").cast("string").alias("team"), F.col("entity").alias("track"), (F.col("entity") % 5).cast("int").alias("number"), F.col("x").alias("conf"))
     numbers = F.array(*map(F.lit, (1, 2, 3, 4, 10, 11, 12, 20, 21, 31, 40)))
     return roster.resolve_in_frames(t, t.select("team").distinct().withColumn("numbers", numbers))

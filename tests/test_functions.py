@@ -12,7 +12,7 @@ from pathloom.functions import boxes as B
 from pathloom.functions import geometry as G
 from pathloom.functions import labels as L
 from pathloom.functions import times as T
-from pathloom.operators import boxes, chains, joins, stats, tall, vectors
+from pathloom.operators import boxes, chains, joins, scans, stats, tall, vectors
 from pathloom.sources import files
 from pathloom.streaming import tracks as streaming
 
@@ -82,7 +82,7 @@ def test_tall(spark):
     assert [r.filled for r in tall.fill_gaps(m, ["e"], "i", "m", 2).orderBy("i").collect()] == [True, True, True, True, False]
     assert sorted(tuple(r) for r in tall.runs(m, ["e"], "i", "m").filter("m").select("start", "end").collect()) == [(0, 0), (3, 3)]
     c = frame(spark, [(1, v) for v in (100, 130, 900, 950, 2000, 2010)], "e long, t long")
-    assert sorted(r.t for r in tall.cooldown(c, ["e"], "t", 900).collect()) == [100, 2000]
+    assert sorted(r.t for r in scans.cooldown(c, ["e"], "t", 900).collect()) == [100, 2000]
     w = frame(spark, [(1, v) for v in (100, 350, 1400)], "e long, t long")
     assert sorted(tuple(r) for r in tall.clip_windows(w, ["e"], "t", 150, 150).select("start", "end", "trigger").collect()) == [(0, 500, 100), (1250, 1550, 1400)]
     s = frame(spark, [(1, i, i + 1, float(i * i), 0.0) for i in range(9)], "e long, frame long, rn long, x double, y double")

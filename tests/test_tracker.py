@@ -90,7 +90,7 @@ def test_numbers_in_frames(spark):
     t = spark.createDataFrame(rows, "frame long, team string, track long, number int, conf double")
     r = spark.createDataFrame([("h", [7, 17, 27])], "team string, numbers array<int>")
     got = {(x.frame, x.track): (x.number, x.state) for x in roster.resolve_in_frames(t, r).collect()}
-    assert got == {(1, 1): (7, "kept"), (1, 2): (27, "changed"), (1, 3): (None, "unsure"), (1, 4): (17, "kept"), (2, 2): (7, "kept"), (1, 5): (None, "kept")}
+    assert got == {(1, 1): (7, "kept"), (1, 2): (27, "changed"), (1, 3): (None, "unsure"), (1, 4): (17, "kept"), (2, 2): (27, "changed"), (1, 5): (None, "kept")}
 
 
 def _skeleton(shift=(0.0, 0.0), **moved):
