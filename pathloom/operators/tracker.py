@@ -103,6 +103,16 @@ class _Track:
         x, y, a, h = self.mean[:4]
         return np.array([x - a * h / 2, y - h / 2, x + a * h / 2, y + h / 2])
 
+    def packed(self) -> tuple[int, int, list[float], list[float]]:
+        """(seen, hits, mean, cov) as plain values."""
+        return self.seen, self.hits, self.mean.tolist(), self.cov.ravel().tolist()
+
+    @classmethod
+    def unpacked(cls, number: int, seen: int, hits: int, mean, cov) -> _Track:
+        out = cls.__new__(cls)
+        out.id, out.seen, out.hits, out.mean, out.cov = number, seen, hits, np.array(mean, float), np.array(cov, float).reshape(8, 8)
+        return out
+
 
 class Tracker:
     """Gives boxes of successive frames the numbers of their tracks."""

@@ -48,28 +48,76 @@ def test_tracks_keep_their_numbers(spark):
     assert len(got) == 2 * len(_walk())
 
 
+def _at(df):
+    """With the event time of 30 frames a second."""
+    return df.withColumn("ts", F.timestamp_millis((F.lit(1e12) + F.col("frame") * 1000 / 30).cast("long")))
+
+
 def test_streams_equal_tables(spark, tmp_path):
     rows = _walk()
     want = {(r.frame, r.x1): r.track for r in tracker.track(spark.createDataFrame(rows, SCHEMA), ["file"]).collect()}
     src = str(tmp_path / "boxes")
     for part in (rows[:30], rows[30:-1]):
-        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(src)
-    stream = S.stream(spark, src, spark.createDataFrame(rows, SCHEMA).schema)
+        _at(spark.createDataFrame(part, SCHEMA)).coalesce(1).write.mode("append").parquet(src)
+    stream = S.stream(spark, src, spark.read.parquet(src).schema)
     got = S.drain(S.tracked(stream, ["file"]), "tracked_boxes", str(tmp_path / "c1")).collect()
     assert {(r.frame, r.x1): r.track for r in got} == {k: v for k, v in want.items() if k != (7, 500.0)}
     frames = [("a", f, f in (8, 12, 40)) for f in range(60)]
     f_src = str(tmp_path / "frames")
-    spark.createDataFrame(frames, "file string, frame long, trigger boolean").coalesce(1).write.parquet(f_src)
+    _at(spark.createDataFrame(frames, "file string, frame long, trigger boolean")).coalesce(1).write.parquet(f_src)
     one = tracker.ring_clips(spark.createDataFrame(frames, "file string, frame long, trigger boolean"), ["file"], "frame", "trigger", 5, 4, 20)
     f_stream = S.stream(spark, f_src, spark.read.parquet(f_src).schema)
     two = S.drain(S.ring_clips(f_stream, ["file"], 5, 4, 20), "ring", str(tmp_path / "c2"))
     clips = sorted((r.clip, r.frame) for r in one.collect())
     assert clips == [(1, f) for f in range(3, 12)] + [(2, f) for f in range(35, 44)]
     assert clips == sorted((r.clip, r.frame) for r in two.collect())
-    late = S.drain(S.ascending(f_stream.select("file", F.when(F.col("frame") == 30, 2).otherwise(F.col("frame")).cast("long").alias("frame")), ["file"]), "late", str(tmp_path / "c3"))
+    late = S.drain(S.ascending(f_stream.select("file", "ts", F.when(F.col("frame") == 30, 2).otherwise(F.col("frame")).cast("long").alias("frame")), ["file"]), "late", str(tmp_path / "c3"))
     assert sorted(r.frame for r in late.collect()) == [f for f in range(60) if f != 30]
 
 
+def _run(out, to, checkpoint):
+    """Runs a stream over what is there now into Parquet files; gives the state rows that its last batch left."""
+    q = out.writeStream.format("parquet").option("path", to).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return [o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]]
+
+
+def test_tracker_state_restarts_and_ends(spark, tmp_path):
+    """The query ends and starts again in the middle; a file whose buffer has passed leaves no state."""
+    rows = _walk()
+    want = {(r.frame, r.x1): r.track for r in tracker.track(spark.createDataFrame(rows, SCHEMA), ["file"]).collect()}
+    src, to, checkpoint = (str(tmp_path / n) for n in ("boxes", "out", "c"))
+    put = lambda part: _at(spark.createDataFrame(part, SCHEMA)).coalesce(1).write.mode("append").parquet(src)
+    put([r for r in rows if r[1] < 17])
+    stream = S.tracked(S.stream(spark, src, spark.read.parquet(src).schema), ["file"])
+    first = _run(stream, to, checkpoint)
+    put([r for r in rows if r[1] >= 17])
+    second = _run(stream, to, checkpoint)
+    got = {(r.frame, r.x1): r.track for r in spark.read.parquet(to).collect()}
+    assert got == want and first[-1] > 0 and second[-1] > 0
+    put([("z", 30 * 3600, 0.0, 0.0, 9.0, 9.0, 0.01)])  # an hour on, and too weak to begin a track
+    third = _run(stream, to, checkpoint)
+    put([("y", 60 * 3600, 0.0, 0.0, 9.0, 9.0, 0.01)])
+    fourth = _run(stream, to, checkpoint)
+    # what a file without tracks holds is all that is left: those of files a and z are gone
+    alone = str(tmp_path / "alone")
+    _at(spark.createDataFrame([("y", 60 * 3600, 0.0, 0.0, 9.0, 9.0, 0.01)], SCHEMA)).write.parquet(alone)
+    least = _run(S.tracked(S.stream(spark, alone, spark.read.parquet(alone).schema), ["file"]), str(tmp_path / "o2"), str(tmp_path / "c2"))
+    assert third[-1] == fourth[-1] == least[-1] < second[-1]
+
+
+def test_ring_and_top_end_too(spark, tmp_path):
+    src = str(tmp_path / "frames")
+    schema = "file string, frame long, trigger boolean"
+    _at(spark.createDataFrame([("a", f, f == 8) for f in range(20)], schema)).coalesce(1).write.parquet(src)
+    stream = S.stream(spark, src, spark.read.parquet(src).schema)
+    makers = {"ring": lambda: S.ring_clips(stream, ["file"], 5, 4, 20, idle="1 minute"), "top": lambda: S.ascending(stream, ["file"], idle="1 minute")}
+    before = {n: _run(f(), str(tmp_path / n), str(tmp_path / f"c-{n}"))[-1] for n, f in makers.items()}
+    _at(spark.createDataFrame([("b", 30 * 600, False)], schema)).coalesce(1).write.mode("append").parquet(src)
+    after = {n: _run(f(), str(tmp_path / n), str(tmp_path / f"c-{n}"))[-1] for n, f in makers.items()}
+    assert before == after  # one key's state, that of b instead of a
+
+
 def test_countdown_by_hand():
     # 12 members in [0, 100], 10 allowed: the two least sure leave; the other window is covered in part by one of them
     tracks = {i: (0.001 * i, 0, 100) for i in range(1, 13)} | {1: (0.001, 0, 60)}
