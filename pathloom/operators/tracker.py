@@ -11,10 +11,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship
+from ..storage import stored
+from . import joins
+from .graphs import components
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -153,22 +157,65 @@ class Tracker:
         return out
 
 
-def track(detections: DataFrame, by: list[str], frame: str = "frame", conf: str = "conf", p: Association = Association()) -> DataFrame:
+def track(detections: DataFrame, by: list[str], frame: str = "frame", conf: str = "conf", p: Association = Association(), chunk: int | None = None) -> DataFrame:
     """Adds `track` to boxes (by, frame, x1, y1, x2, y2, conf): numbers from 1 within each group, such as file and class, null for boxes
-    that belong to none. Rows of a frame go by confidence, then place, so the result doesn't depend on their order."""
+    that belong to none. Rows of a frame go by confidence, then place, so the result doesn't depend on their order.
+
+    With `chunk` a group is cut into that many frames a task, see track_in_chunks(). Without, a group is a task, and runs in order throughout.
+    """
+    if chunk is not None:
+        return track_in_chunks(detections, by, frame, conf, p, chunk)
     ship(detections.sparkSession)
     schema = T.StructType([*detections.schema.fields, T.StructField("track", T.LongType())])
+    return detections.groupBy(*by).applyInPandas(lambda g: _tracked(g, frame, conf, p), schema)
 
-    def work(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values([frame, conf, *BOX], ascending=[True, False, True, True, True, True], kind="stable").reset_index(drop=True)
-        tracker, out = Tracker(p), np.full(len(g), -1)
-        boxes, c, f = g[BOX].to_numpy(float), g[conf].to_numpy(float), g[frame].to_numpy()
-        edges = np.flatnonzero(np.r_[True, f[1:] != f[:-1], True]) if len(f) else [0]
-        for a, b in zip(edges[:-1], edges[1:]):
-            out[a:b] = tracker.update(int(f[a]), boxes[a:b], c[a:b])
-        return g.assign(track=pd.array([None if t < 0 else int(t) for t in out], dtype="Int64"))
 
-    return detections.groupBy(*by).applyInPandas(work, schema)
+def _tracked(g: pd.DataFrame, frame: str, conf: str, p: Association) -> pd.DataFrame:
+    g = g.sort_values([frame, conf, *BOX], ascending=[True, False, True, True, True, True], kind="stable").reset_index(drop=True)
+    tracker, out = Tracker(p), np.full(len(g), -1)
+    boxes, c, f = g[BOX].to_numpy(float), g[conf].to_numpy(float), g[frame].to_numpy()
+    edges = np.flatnonzero(np.r_[True, f[1:] != f[:-1], True]) if len(f) else [0]
+    for a, b in zip(edges[:-1], edges[1:]):
+        out[a:b] = tracker.update(int(f[a]), boxes[a:b], c[a:b])
+    return g.assign(track=pd.array([None if t < 0 else int(t) for t in out], dtype="Int64"))
+
+
+def track_in_chunks(detections: DataFrame, by: list[str], frame: str, conf: str, p: Association, chunk: int) -> DataFrame:
+    """track() by tasks of `chunk` frames. A chunk goes on for twice the buffer into the next one, so a track that is lost at the seam is
+    met again on both sides or on neither. Tracks of two chunks are the same if they hold the same boxes there, the most first, each
+    once; chains of such pairs get one number, in order of their first frames.
+
+    A chunk doesn't know how fast a box moved before its first frame, so a box in a crowd may change its number at a seam;
+    tests measure how often.
+    """
+    ship(detections.sparkSession)
+    seam = min(2 * p.buffer, chunk)
+    rows = stored(detections.withColumn("_row", F.monotonically_increasing_id()), "detections")
+    home = F.floor(F.col(frame) / chunk)
+    chunks = F.when((F.col(frame) - home * chunk) < seam, F.array(home - 1, home)).otherwise(F.array(home))
+    cut = rows.select(*by, frame, conf, *BOX, "_row", F.explode(chunks).alias("_chunk"), home.alias("_home"))
+    # a chunk that only goes on into the first rows of a group has nothing of its own
+    work = lambda g: _tracked(g, frame, conf, p)[[*by, "_row", "_chunk", "_home", frame, "track"]] if (g["_chunk"] == g["_home"]).any() else _nothing(g)
+
+    def _nothing(g: pd.DataFrame) -> pd.DataFrame:
+        return g.iloc[:0].assign(track=pd.array([], dtype="Int64"))[[*by, "_row", "_chunk", "_home", frame, "track"]]
+
+    kind = T.StructType([*[cut.schema[c] for c in (*by, "_row", "_chunk", "_home", frame)], T.StructField("track", T.LongType())])
+    found = stored(cut.groupBy(*by, "_chunk").applyInPandas(work, kind).filter("track IS NOT NULL"), "chunk-tracks")
+    of = F.struct(F.lit(0), *by).alias("_of")
+    nodes = stored(found.groupBy(*by, "_chunk", "track").agg(F.min(frame).alias("_first")).withColumn("node", F.monotonically_increasing_id()), "chunk-track-nodes")
+    node = nodes.select(of, "_chunk", "track", "node")
+    before = found.filter("_chunk < _home").select(of, "_chunk", "track", "_row").join(node, ["_of", "_chunk", "track"]).select("_row", "_of", "_chunk", F.col("node").alias("a"))
+    after = found.filter("_chunk = _home").select(of, "_chunk", "track", "_row").join(node, ["_of", "_chunk", "track"]).select("_row", F.col("node").alias("b"))
+    shared = before.join(after, "_row").groupBy("_of", "_chunk", "a", "b").agg(F.count("*").alias("n"))
+    same = joins.greedy_pairs(shared, ["_of", "_chunk"], "a", "b", "n")
+    whole = components(same.select("a", "b"), nodes.select("node"))
+    first = nodes.join(whole, "node")
+    first = first.groupBy(*by, "component").agg(F.min(F.struct("_first", "_chunk", "track")).alias("_at"))
+    number = first.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("_at", "component")).cast("long"))
+    named = node.join(whole, "node").join(number.select("component", "_n"), "component").select("_of", "_chunk", "track", "_n")
+    own = found.filter("_chunk = _home").select(of, "_chunk", "track", "_row").join(named, ["_of", "_chunk", "track"]).select("_row", F.col("_n").alias("track"))
+    return rows.join(own, "_row", "left").drop("_row")
 
 
 class RecentCentre:

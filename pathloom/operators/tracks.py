@@ -8,11 +8,14 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import numerics as N
 from ..functions.labels import letters
 from ..session import ship
+from ..storage import stored
+from .graphs import components
 
 
 def _schema(df: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
@@ -128,9 +131,30 @@ def repair_spikes(df: DataFrame, by: list[str], order: str, **options) -> DataFr
     return _grouped(df, by, work, _schema(df, ("repaired", T.BooleanType())))
 
 
-def stitch(pieces: DataFrame, by: list[str], most_gap: int = 20, most_overlap: int = 15, reach: float = 50.0) -> DataFrame:
+def _may_meet(pieces: DataFrame, by: list[str], most_gap: int, most_overlap: int, reach: float) -> DataFrame:
+    """(a, b): numbers _id of pieces of which one can join a track that ended with the other.
+
+    A track's end is at most most_overlap after that of its last piece, so a piece can only join where one ended from most_gap +
+    most_overlap before its start to most_overlap after it, within reach. Ends and starts meet in cells of that time and place.
+    """
+    of, span, width = F.struct(F.lit(0), *by).alias("_of"), max(1, most_gap + 2 * most_overlap), max(reach, 1e-9)
+    cell = lambda c, d=0: (F.floor(F.col(c) / width) + d).cast("long")
+    ends = pieces.select(of, F.col("_id").alias("a"), "end", "x1", "y1", F.floor(F.col("end") / span).alias("_t"), cell("x1").alias("_x"), cell("y1").alias("_y"))
+    around = F.explode(F.array(*[F.struct(cell("x0", i).alias("_x"), cell("y0", j).alias("_y")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
+    low, high = F.col("start") - most_gap - most_overlap, F.col("start") + most_overlap
+    starts = pieces.select(of, F.col("_id").alias("b"), "start", "x0", "y0", around.alias("_c"))
+    starts = starts.select("_of", "b", "start", "x0", "y0", "_c._x", "_c._y", F.explode(F.sequence(F.floor(low / span), F.floor(high / span))).alias("_t"))
+    both = ends.join(starts, ["_of", "_t", "_x", "_y"]).filter((F.col("a") != F.col("b")) & F.col("end").between(low, high))
+    return both.filter(F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) <= reach * (1 + 1e-9)).select("a", "b")
+
+
+def stitch(pieces: DataFrame, by: list[str], most_gap: int = 20, most_overlap: int = 15, reach: float = 50.0, alone: int = 5000) -> DataFrame:
     """Adds `track` to rows (by, piece, start, end, x0, y0, x1, y1): pieces of a team are joined, each once, in order of start and
-    id: to the nearest active track that ended 0 to most_gap frames before, or overlaps by 1 to most_overlap, and ends within reach."""
+    id: to the nearest active track that ended 0 to most_gap frames before, or overlaps by 1 to most_overlap, and ends within reach.
+
+    Pieces that can't meet in a track, directly or through others, don't matter to each other. Where a group has more than `alone` pieces,
+    those that can are a task each; the result is the same.
+    """
 
     def work(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(["start", "piece"], kind="stable")
@@ -147,7 +171,14 @@ def stitch(pieces: DataFrame, by: list[str], most_gap: int = 20, most_overlap: i
                 out.append(r.piece)
         return g.assign(track=out)
 
-    return _grouped(pieces, by, work, _schema(pieces, ("track", pieces.schema["piece"].dataType)))
+    largest = pieces.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    if largest <= alone:
+        return _grouped(pieces, by, work, _schema(pieces, ("track", pieces.schema["piece"].dataType)))
+    pieces = stored(pieces.withColumn("_id", F.monotonically_increasing_id()), "pieces")
+    part = components(_may_meet(pieces, by, most_gap, most_overlap, reach), pieces.select(F.col("_id").alias("node")))
+    placed = pieces.join(part.select(F.col("node").alias("_id"), F.col("component").alias("_part")), "_id")
+    out = _grouped(placed, [*by, "_part"], work, _schema(placed, ("track", pieces.schema["piece"].dataType)))
+    return out.drop("_id", "_part")
 
 
 def _kth_distances(z: np.ndarray, k: int) -> np.ndarray:
