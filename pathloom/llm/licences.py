@@ -59,6 +59,96 @@ def normalised(text: str) -> bytes:
     return text.lower().encode("utf-8", "surrogatepass").translate(_PLAIN)
 
 
+class Grams:
+    """The bigrams of a text, numbered, with where each stood last and stands next.
+
+    A window's counts change only at bigrams that are new in it. They are found by blocks, whose least `before` says whether any of a
+    block is new to a window that begins at s.
+    """
+
+    BLOCK = 64
+
+    def __init__(self, same: np.ndarray):
+        n = self.n = len(same)
+        self.same = same
+        order = np.argsort(same, kind="stable")
+        again = same[order[1:]] == same[order[:-1]]
+        self.before, self.next = np.full(n, -1), np.full(n, n)
+        self.before[order[1:][again]] = order[:-1][again]
+        self.next[order[:-1][again]] = order[1:][again]
+        self.low = np.minimum.reduceat(self.before, np.arange(0, n, self.BLOCK))
+
+    def new(self, s: int, end: int) -> np.ndarray:
+        """The places in [s, end) of bigrams that don't stand in [s, place)."""
+        a, b = s // self.BLOCK, -(-end // self.BLOCK)
+        blocks = a + np.flatnonzero(self.low[a:b] < s)
+        places = (blocks[:, None] * self.BLOCK + np.arange(self.BLOCK)).ravel()
+        places = places[(places >= s) & (places < end)]
+        return places[self.before[places] < s]
+
+    def _best_from(self, s: int, end: int, mine: np.ndarray, size: int, held: int, most: float) -> tuple[float, np.ndarray]:
+        """The best Dice coefficient of the windows [s, e] with e < end, and the last places of those that have it."""
+        length = int(most) + 16
+        while True:
+            places = self.new(s, min(end, s + length))
+            m = np.cumsum(mine[places])
+            if s + length >= end or len(places) > most or m[-1] == held:
+                break
+            length *= 4
+        each = 2.0 * m / (np.arange(1, len(places) + 1) + size)
+        dice = float(each.max())
+        return dice, places[each == dice]
+
+    def _first_start(self, s: int, e: int) -> int:
+        """How far back a window that ends at e can begin without another bigram than those of [s, e]."""
+        known = np.zeros(int(self.same.max()) + 1, bool)
+        known[self.same[s : e + 1]] = True
+        step = self.BLOCK
+        while s > 0:
+            strange = np.flatnonzero(~known[self.same[max(0, s - step) : s]])
+            if len(strange):
+                return max(0, s - step) + int(strange[-1]) + 1
+            s, step = max(0, s - step), 2 * step
+        return s
+
+    def window(self, mine: np.ndarray, size: int, held: int, least: float) -> tuple | None:
+        """(Dice coefficient, first and last bigram) of the window best for a template of `size` bigrams, the earliest of equals; `mine`: which
+        bigrams are the template's, `held` of them different ones. The best windows begin with one.
+
+        A window that holds its first bigram again is no better than one that begins later, so a start is looked at up to the next such
+        bigram only; starts with too little room before it are passed over. So of each of the template's bigrams the stretches between its places are gone
+        through once, by blocks: linear in the text's length.
+        """
+        most = size * (2 - least) / least  # different bigrams a window can have at most
+        room = int(np.ceil(least * size / (2 - least) - 1e-9))  # and of the template's at least
+        counts = np.concatenate([[0], np.cumsum(mine)])
+        starts = np.flatnonzero(mine)
+        starts = starts[counts[self.next[starts]] - counts[starts] >= room]
+        top, ties = least, []
+        for s in starts.tolist():
+            # with m of the template's bigrams at most, and as many different ones at least
+            m = min(held, int(counts[self.next[s]] - counts[s]))
+            if 2.0 * m / (m + size) < top:
+                continue
+            dice, ends = self._best_from(s, int(self.next[s]), mine, size, held, most)
+            if dice > top or dice == top and not ties:
+                top, ties = dice, []
+            if dice == top:
+                ties.append((s, int(ends[-1])))
+                if dice == 1.0:
+                    break
+        if not ties:
+            return None
+        s, e = ties[0]
+        first = self._first_start(s, e)
+        for s, e in ties[1:]:
+            if not np.isin(self.same[first:s], self.same[s : e + 1]).all():
+                continue
+            first = min(first, self._first_start(s, e))
+        first += int(np.flatnonzero(mine[first:])[0])
+        return top, first, int(self._best_from(first, self.n, mine, size, held, most)[1][0])
+
+
 class Scanner:
     """The templates' bigrams, and the search of a text for the best window."""
 
@@ -100,18 +190,15 @@ class Scanner:
         likely = np.flatnonzero(2.0 * held >= self.least * (held + self.sizes))
         if not len(likely):
             return []
-        numbers = np.unique(np.array(words), return_inverse=True)[1].astype(np.int64)
-        same = np.unique(numbers[:-1] * len(words) + numbers[1:], return_inverse=True)[1]
-        order = np.argsort(same, kind="stable")
-        before = np.full(len(same), -1)  # where the same bigram stood last
-        again = same[order[1:]] == same[order[:-1]]
-        before[order[1:][again]] = order[:-1][again]
+        order: dict[bytes, int] = {}
+        numbers = np.fromiter((order.setdefault(w, len(order)) for w in words), np.int64, len(words))
+        grams = Grams(np.unique(numbers[:-1] * len(words) + numbers[1:], return_inverse=True)[1])
         data = np.frombuffer(plain, np.uint8) != 32
         starts = np.flatnonzero(data & ~np.r_[False, data[:-1]])
         raw = text.lower().encode("utf-8", "surrogatepass")
         matches = []
         for k in likely:
-            hit = self._window(self.member[found, k], before, int(self.sizes[k]), int(held[k]))
+            hit = grams.window(self.member[found, k], int(self.sizes[k]), int(held[k]), self.least)
             if hit:
                 kind, name, number = self.names[k]
                 line = raw.count(b"\n", 0, int(starts[hit[1]])) + 1
@@ -122,26 +209,6 @@ class Scanner:
                 kept.append(m)
         return [(m[3], -m[1], m[2]) for m in kept]
 
-    def _window(self, mine: np.ndarray, before: np.ndarray, size: int, held: int) -> tuple | None:
-        """(Dice coefficient, first and last bigram) of the best window, the earliest of equals; the best ones begin with a template's bigram."""
-        most, top = size * (2 - self.least) / self.least, None
-        for s in np.flatnonzero(mine).tolist():
-            length = int(most) + 16
-            while True:
-                fresh = before[s : s + length] < s
-                n, m = np.cumsum(fresh), np.cumsum(fresh & mine[s : s + length])
-                if s + length >= len(mine) or n[-1] > most or m[-1] == held:
-                    break
-                length *= 2
-            each = 2.0 * m / (n + size)
-            end = int(each.argmax())
-            dice = float(each[end])
-            if dice >= self.least and (top is None or dice > top[0]):
-                top = dice, s, s + end
-                if dice == 1.0:
-                    break
-        return top
-
 
 def scan_licences(docs: DataFrame, p: Scan = Scan(), every: bool = False) -> DataFrame:
     """Rows (doc_id, licence, dice, line): for each row of `docs` its best matching template and the line where its window begins, nulls if none reaches `p.least`.
@@ -154,7 +221,7 @@ def scan_licences(docs: DataFrame, p: Scan = Scan(), every: bool = False) -> Dat
     texts; ties then go by the greatest coefficient, the earlier line, the smaller identifier and template number. Lines are numbered from 1.
 
     Cases: null and empty texts have no match; repeated rows are reported each; an empty table gives no rows. Very long texts are read
-    whole, in time linear in their length for texts that hold few of a template's bigrams. Other columns don't matter, whatever their
+    whole, in time linear in their length. Other columns don't matter, whatever their
     names. Everything stays within the row, so nothing is shuffled.
     """
     bounded_batches(docs.sparkSession)

@@ -204,3 +204,47 @@ def test_manifest_reads_on_where_a_run_of_buckets_ends(spark):
     got = {r.doc_id: r for r in manifest.manifest(df, manifest.crc_is_even(F.col("doc_id"))).collect()}
     want = {r[0]: r for r in _plain_manifest(rows)}
     assert all(tuple(got[i]) == want[i] for i in want) and len(got) == 60_000
+
+
+# -- licence windows -----------------------------------------------------------------------------------------
+
+
+def test_licence_windows_of_repeats():
+    """Windows that begin or end in repeats, against all windows."""
+    from pathloom.llm import licences
+
+    rng = random.Random(10)
+    for _ in range(300):
+        template = [rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9))]
+        text = []
+        while len(text) < rng.randrange(4, 40):
+            text += rng.choice([template, template[:-1], ["a", "b"] * rng.randrange(1, 6), ["x"], [rng.choice("abcdefgh")]])
+        want_grams, best = set(zip(template, template[1:])), None
+        grams = list(zip(text, text[1:]))
+        for s in range(len(grams)):
+            if grams[s] not in want_grams:
+                continue
+            for e in range(s, len(grams)):
+                own = set(grams[s : e + 1])
+                dice = 2 * len(own & want_grams) / (len(own) + len(want_grams))
+                if dice >= 0.8 and (best is None or dice > best[0] + 1e-12):
+                    best = dice, s
+        got = licences.Scanner(licences.Scan(templates=(("T", " ".join(template)),), texts=())).best("\n".join(text))
+        assert (got is None) == (best is None) and (best is None or (got[1] == pytest.approx(best[0]) and got[2] == best[1] + 1)), (template, text, best, got)
+
+
+def test_licences_in_very_long_texts():
+    import time
+
+    from pathloom.llm import licences
+
+    scanner = licences.Scanner(licences.Scan())
+    mit = licences.normalised(dict(licences.whole_texts())["MIT"]).decode().split()
+    scattered = " filler ".join(" ".join(mit[i : i + 2]) for i in range(0, len(mit) - 1))
+    began = time.time()
+    text = scattered + " " + "the software " * 400_000 + " " + " ".join(mit)
+    assert scanner.best(text)[:2] == ("MIT", 1.0) and len(text) > 5_000_000
+    near = " ".join(["foo", *mit[:-3], "bar"])
+    assert scanner.best((near + " ") * 300)[0] == "MIT"
+    assert scanner.best("z" * 3_000_000 + " " + " ".join(mit))[:2] == ("MIT", 1.0)
+    assert time.time() - began < 60
