@@ -2,12 +2,12 @@
 repeated passages go, sources are mixed to their weights, and what is left is packed into sequences.
 
 A stage takes the session, the documents its predecessor kept and the folder of the tables; all but the last return the
-columns of `documents`. Stages cope with nulls, empty texts and repeated rows as their operators say.
+columns of `documents`. Stages cope with nulls, empty and very long texts, ties, repeated rows and ids, empty tables and columns of clashing
+names as their operators say; a doc_id that most rows share is spread over tasks in each of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pathloom.llm import common, mixing, neardup, packing, substrings, toxicity as tox
@@ -26,12 +26,13 @@ def _rows_told_apart(docs):
     key = F.col("doc_id").cast("long")
     if several.isEmpty():
         return docs.withColumn("__row", key)
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
     top = docs.agg(F.max(key)).first()[0]
-    again = docs.join(several, "doc_id").withColumn("__n", F.row_number().over(order))
-    again = again.withColumn("__row", F.when(F.col("__n") == 1, key).otherwise(F.lit(top) + 1 + F.monotonically_increasing_id())).drop("__n")
     # written, for copies must keep their numbers
-    return docs.join(several, "doc_id", "left_anti").withColumn("__row", key).unionByName(common.written(again, "repeated-rows"))
+    again = common.written(docs.join(several, "doc_id", "left_semi").withColumn("__at", F.monotonically_increasing_id()), "repeated-rows")
+    first = again.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "__at")).alias("__f")).select(F.col("__f.__at").alias("__at"), F.lit(True).alias("__first"))
+    number = F.when(F.col("__first"), key).otherwise(F.lit(top) + 1 + F.col("__at"))
+    again = again.join(first, "__at", "left").withColumn("__row", number).drop("__at", "__first")
+    return docs.join(several, "doc_id", "left_anti").withColumn("__row", key).unionByName(again)
 
 
 def near_duplicates(spark, docs, sf_dir):

@@ -170,7 +170,8 @@ def manifest(docs: DataFrame, tamper: Column | None = None, levels: int = LEVELS
     text = F.col("text").cast("string")
     leaf = _digest(encoded(*fields, text))
     changed = leaf if tamper is None else F.when(F.coalesce(tamper, F.lit(False)), _digest(encoded(*fields, F.replace(text, F.lit("\n"), F.lit(""))))).otherwise(leaf)
-    leaves = docs.select("source", F.col("doc_id").alias("id"), leaf.alias("leaf"), changed.alias("changed"))
+    # stored, for sorting by ranges reads its input twice and texts are long
+    leaves = written(docs.select("source", F.col("doc_id").alias("id"), leaf.alias("leaf"), changed.alias("changed")), "merkle-digests")
     out = proofs(leaves, levels).withColumn("folded_root", folded(F.col("changed"), F.col("path")))
     proof = _digest(F.array_join(F.transform("path", lambda s: F.concat(s["l"], s["r"])), ""))
     return out.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))

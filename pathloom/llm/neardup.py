@@ -286,8 +286,8 @@ def near_duplicates(docs: DataFrame, p: MinHash = MinHash()) -> DataFrame:
     classes = written(one_each.join(least.hint("merge"), ["doc_id", "f1", "f2"]).withColumnRenamed("doc_id", "id"), "classes")
     # a doc_id with several texts ties their classes together
     texts = usable.groupBy("doc_id").agg(F.min(F.struct("f1", "f2")).alias("x"), F.max(F.struct("f1", "f2")).alias("y")).filter("x != y").select("doc_id")
-    several = usable.join(texts, "doc_id", "left_semi").join(classes.select("f1", "f2", "id"), ["f1", "f2"]).select("doc_id", "id")
-    several = written(several.groupBy("doc_id").agg(F.min("id").alias("a"), F.collect_set("id").alias("o")).select("a", F.explode("o").alias("b")), "several")
+    several = usable.join(texts, "doc_id", "left_semi").join(classes.select("f1", "f2", "id"), ["f1", "f2"]).select("doc_id", "id").distinct()
+    several = written(salted(several, several.groupBy("doc_id").agg(F.min("id").alias("a")), ["doc_id"]).select("a", F.col("id").alias("b")), "several")
 
     bands = classes.select(F.explode("bands").alias("key"), "id")
     hubs = bands.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")

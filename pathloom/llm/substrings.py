@@ -113,12 +113,13 @@ _MESSAGE = "block long, bucket long, c0 binary"
 def _bucketed(docs: DataFrame, blocks: int, tasks: int) -> DataFrame:
     """The documents in `blocks` blocks, bucketed by block into `tasks` files in the shared folder.
 
+    A row's block follows its doc_id and its place, so that rows that repeat a doc_id lie in many: what is compared are doc_ids, not blocks.
     Only the catalog tells Spark of buckets; once the table is resolved, its entry there is dropped again. The files stay.
     """
     spark = docs.sparkSession
     name = f"pathloom_blocks_{uuid.uuid4().hex}"
     rest = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"r{i}") for i, c in enumerate(docs.columns)])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"), F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", rest.alias("rest"), F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(blocks)).alias("block"))
     rows = rows.withColumn("rest", F.col("rest").dropFields(f"r{docs.columns.index('text')}"))
     (rows.repartition(tasks, "block").sortWithinPartitions("block").write.option("compression", "zstd").option("path", scratch_path(spark, "blocks"))
      .bucketBy(tasks, "block").sortBy("block").saveAsTable(name))

@@ -1,9 +1,10 @@
 """Token files: concatenated ids with Elias-Fano coded document boundaries.
 
-A file holds, little-endian: the magic b"PLTF1\\0", the width of an id in bytes (2 or 4) and 0, then as int64 the number
+A file holds, little-endian: the magic b"PLTF2\\0", the width of an id in bytes (2 or 4) and 0, then as int64 the number
 of documents, of ids and of leading documents without a doc_id and the byte lengths of two Elias-Fano sequences, then the
-sequences (where each document ends; the doc_ids), then the ids. Offsets are found by select on the sequences, at
-about 2 + log2(ids / documents) bits a document.
+sequences (where each document ends; the doc_ids), then the ids. A sequence has, besides its bits, a directory of where every 256th value's
+high bits lie. Offsets are found by select through it, at about 2.5 + log2(ids / documents) bits a document; nothing
+of a file's bounds is decoded beyond the 256 values about those asked for.
 """
 
 from __future__ import annotations
@@ -22,22 +23,22 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, scratch_path, written
 from .tokens import default_path, encoder
 
-MAGIC = b"PLTF1\0"
+MAGIC = b"PLTF2\0"
+#: Documents whose bounds a reader holds at once.
+READ = 4096
 #: Ids in a file, at which a writer begins the next one.
 FILE_IDS = 4_000_000
 
 
 class EliasFano:
-    """A non-decreasing sequence of integers >= 0: low bits packed, high bits in unary, with select by samples."""
+    """A non-decreasing sequence of integers >= 0: low bits packed, high bits in unary, with select by a stored directory."""
 
     SAMPLE = 256
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray):
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, at: np.ndarray, before: np.ndarray):
         self.n, self.low_bits, self.low, self.high = n, low_bits, low, high
-        ones = np.cumsum(np.bitwise_count(high), dtype=np.int64)
         #: For every SAMPLE-th one, the byte that holds it; ones before that byte.
-        self.at = np.searchsorted(ones, np.arange(0, n, self.SAMPLE) + 1)
-        self.before = ones[self.at] - np.bitwise_count(high[self.at]) if n else self.at
+        self.at, self.before = at, before
 
     @classmethod
     def of(cls, values: np.ndarray) -> EliasFano:
@@ -45,35 +46,42 @@ class EliasFano:
         n = len(values)
         low_bits = max(0, (int(values[-1]) // n).bit_length() - 1) if n else 0
         bits = (values[:, None] >> np.arange(low_bits)) & 1
-        marks = np.zeros(n + (int(values[-1]) >> low_bits) + 1 if n else 0, np.uint8)
-        marks[(values >> low_bits) + np.arange(n)] = 1
-        return cls(n, low_bits, np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"), np.packbits(marks, bitorder="little"))
+        places = (values >> low_bits) + np.arange(n)
+        marks = np.zeros(int(places[-1]) + 1 if n else 0, np.uint8)
+        marks[places] = 1
+        high = np.packbits(marks, bitorder="little")
+        at = places[:: cls.SAMPLE] >> 3
+        before = np.searchsorted(places, at << 3)
+        return cls(n, low_bits, np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"), high, at, before)
 
     def to_bytes(self) -> bytes:
-        return struct.pack("<qqqq", self.n, self.low_bits, len(self.low), len(self.high)) + self.low.tobytes() + self.high.tobytes()
+        head = struct.pack("<qqqqq", self.n, self.low_bits, len(self.low), len(self.high), len(self.at))
+        return head + self.at.astype("<i8").tobytes() + self.before.astype("<i8").tobytes() + self.low.tobytes() + self.high.tobytes()
 
     @classmethod
     def from_bytes(cls, data: bytes) -> EliasFano:
-        n, low_bits, a, b = struct.unpack_from("<qqqq", data)
-        return cls(n, low_bits, np.frombuffer(data, np.uint8, a, 32), np.frombuffer(data, np.uint8, b, 32 + a))
-
-    def select(self, i: int) -> int:
-        """The i-th value, from a sampled byte and a scan of few more."""
-        byte, seen = int(self.at[i // self.SAMPLE]), int(self.before[i // self.SAMPLE])
-        while seen + int(self.high[byte]).bit_count() <= i:
-            seen += int(self.high[byte]).bit_count()
-            byte += 1
-        bit = np.flatnonzero(np.unpackbits(self.high[byte : byte + 1], bitorder="little"))[i - seen]
-        low = 0
-        for k in range(self.low_bits):
-            p = i * self.low_bits + k
-            low |= (int(self.low[p >> 3]) >> (p & 7) & 1) << k
-        return (byte * 8 + int(bit) - i) << self.low_bits | low
+        n, low_bits, a, b, m = struct.unpack_from("<qqqqq", data)
+        low = 40 + 16 * m
+        return cls(n, low_bits, np.frombuffer(data, np.uint8, a, low), np.frombuffer(data, np.uint8, b, low + a), np.frombuffer(data, "<i8", m, 40), np.frombuffer(data, "<i8", m, 40 + 8 * m))
+
+    def values(self, a: int, b: int) -> np.ndarray:
+        """The values a to b - 1, from the directory's entry before the first to that after the last."""
+        if a >= b:
+            return np.empty(0, np.int64)
+        j, k = a // self.SAMPLE, -(-b // self.SAMPLE)
+        first, last = int(self.at[j]), int(self.at[k]) + 1 if k < len(self.at) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[first:last], bitorder="little")) + 8 * first
+        high = ones[a - int(self.before[j]) : b - int(self.before[j])] - np.arange(a, b)
+        start, end = a * self.low_bits, b * self.low_bits
+        bits = np.unpackbits(self.low[start >> 3 : -(-end >> 3) if end else 0], bitorder="little")[start & 7 :][: end - start].reshape(b - a, self.low_bits)
+        return (high << self.low_bits) | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1, dtype=np.int64)
 
     def all(self) -> np.ndarray:
-        high = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[: self.n] - np.arange(self.n)
-        bits = np.unpackbits(self.low, bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-        return (high << self.low_bits) | (bits.astype(np.int64) << np.arange(self.low_bits)).sum(1, dtype=np.int64)
+        return self.values(0, self.n)
+
+    def select(self, i: int) -> int:
+        """The i-th value."""
+        return int(self.values(i, i + 1)[0])
 
 
 def encode_file(doc_ids: list[int | None], docs: list[np.ndarray]) -> bytes:
@@ -106,8 +114,11 @@ class TokenFile:
         a, b = self.bounds(i)
         return self.ids[a:b]
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + (self.names.all() + self.base).tolist()
+    def doc_ids(self, a: int = 0, b: int | None = None) -> list[int | None]:
+        """Those of the documents a to b - 1."""
+        b = self.n if b is None else b
+        named = self.names.values(max(0, a - self.nulls), max(0, b - self.nulls)) + self.base
+        return [None] * (min(b, self.nulls) - min(a, self.nulls)) + named.tolist()
 
 
 def _put(folder: str, name: str, data: bytes) -> None:
@@ -126,7 +137,9 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, fil
     """Writes the ids of `docs` (doc_id, text) in ascending doc_id order below `folder`; returns a row for each file.
 
     Nulls: a null text is an empty one, null doc_ids come first. Rows that repeat a doc_id are each written, ordered by
-    text. One shuffle, by ranges of doc_id; nothing else moves.
+    their texts' first 64 characters, then hashes. One shuffle, by ranges of all that, so a doc_id with any share of the rows lies in many;
+    nothing else moves. A very long text is encoded whole and lies in one file. An empty table gives no file. Other columns don't matter, whatever
+    their names.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -153,7 +166,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, fil
         if names:
             yield flush()
 
-    rows = docs.select(docs["doc_id"].cast("long"), docs["text"]).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], F.left("text", F.lit(64)).alias("opening"), F.xxhash64("text").alias("h"))
+    # ranges are drawn from a sample of these columns, which whole texts would make large; the last one parts equal rows
+    order = ["doc_id", "opening", "h", "place"]
+    rows = rows.withColumn("place", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     files = written(rows.mapInArrow(work, "part long, seq long, name string, n_docs long, n_ids long"), "token-manifest")
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file, not document
     return files.withColumn("first_id", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
@@ -166,14 +182,17 @@ def read_tokens(files: DataFrame, folder: str) -> DataFrame:
     def work(batches):
         for batch in batches:
             for first, data in zip(batch.column("first_id").to_pylist(), batch.column("content")):
-                f = TokenFile(data.as_buffer())
-                ends = f.ends.all()
-                starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-                crc = [zlib.crc32(f.ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(f.doc_ids(), pa.int64()), pa.array(starts + first), pa.array(ends - starts), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"],
-                )
+                f, start = TokenFile(data.as_buffer()), 0
+                for i in range(0, f.n, READ):
+                    j = min(f.n, i + READ)
+                    ends = f.ends.values(i, j)
+                    starts = np.concatenate([[start], ends[:-1]]).astype(np.int64)
+                    start = int(ends[-1])
+                    crc = [zlib.crc32(f.ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(f.doc_ids(i, j), pa.int64()), pa.array(starts + first), pa.array(ends - starts), pa.array(crc, pa.int64())],
+                        ["doc_id", "start", "n_tokens", "ids_crc32"],
+                    )
 
     blobs = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.bin").load(folder)
     blobs = blobs.select(F.element_at(F.split("path", "/"), -1).alias("name"), "content")

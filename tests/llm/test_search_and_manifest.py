@@ -248,3 +248,39 @@ def test_licences_in_very_long_texts():
     assert scanner.best((near + " ") * 300)[0] == "MIT"
     assert scanner.best("z" * 3_000_000 + " " + " ".join(mit))[:2] == ("MIT", 1.0)
     assert time.time() - began < 60
+
+
+# -- one doc_id on half the rows -----------------------------------------------------------------------------
+
+
+def test_hot_doc_id(spark, tmp_path):
+    import corpus_pipeline
+    from pathloom.llm import substrings, tokenfiles, tokens
+
+    rng = random.Random(11)
+    line = lambda n, tag: " ".join(f"{tag}{rng.randrange(10**6)}" for _ in range(n))
+    passage = line(20, "p")
+    hot = [(7, f"{line(10, 'h')} {passage} {line(10, 'i')}") for _ in range(150)] + [(7, "the same " * 20)] * 50
+    rest = [(i, line(30, "r") + (" " + passage if i % 5 == 0 else "")) for i in range(100, 300)]
+    df = spark.createDataFrame(hot + rest, "doc_id long, text string").withColumn("source", F.lit("s")).repartition(6)
+    # passages: rows of one doc_id don't take words from each other, larger ids lose what 7 holds
+    got = substrings.remove_repeats(df, substrings.Cover(megabytes=1)).collect()
+    assert all((r.n_removed == 0) == (r.doc_id == 7 or r.doc_id % 5 > 0) for r in got) and len(got) == 400
+    # token files: every row, in order, by the offsets read back
+    files = sorted(map(tuple, tokenfiles.tokenize_to_files(df).collect()), key=lambda r: r[1])
+    assert [r[0] for r in files] == sorted(d for d, _ in hot + rest) and all(a[1] + a[2] == b[1] for a, b in zip(files, files[1:]))
+    # near duplicates: texts of one doc_id are told apart, and one of each group of copies stays
+    kept = corpus_pipeline.near_duplicates(spark, df, None)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted(set(hot + rest)) and kept.columns == df.columns
+
+
+def test_elias_fano_by_parts():
+    from pathloom.llm.tokenfiles import EliasFano
+
+    rng = np.random.default_rng(12)
+    for values in ([], [0], [5, 5, 5], np.sort(rng.integers(0, 10**9, 5000)), np.arange(1000), np.sort(rng.integers(0, 40, 3000))):
+        values = np.array(values, np.int64)
+        f = EliasFano.from_bytes(EliasFano.of(values).to_bytes())
+        for a, b in [(0, len(values)), *(sorted(rng.integers(0, len(values) + 1, 2).tolist()) for _ in range(30))]:
+            assert (f.values(a, b) == values[a:b]).all()
+        assert [f.select(i) for i in range(0, len(values), 97)] == values[::97].tolist()
