@@ -136,3 +136,17 @@ def mask_iou(a: Column, b: Column) -> Column:
 def log_density(n: Column) -> Column:
     """The logarithm of a bin's count, 0 for an empty or missing one."""
     return F.when(n > 0, F.log(n.cast("double"))).otherwise(0.0)
+
+
+def packed_mask(bits: Column) -> Column:
+    """A mask (an array of booleans or 0 and 1, null for 0) as words of 64 bits; the last one may hold fewer."""
+    count = F.ceil(F.size(bits) / 64).cast("int")
+    word = lambda i: F.aggregate(F.slice(bits, i * 64 + 1, 64), F.lit(0).cast("long"), lambda w, b: F.shiftleft(w, 1).bitwiseOR(F.coalesce(b.cast("int").cast("long"), F.lit(0))))
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), word)).otherwise(F.array().cast("array<bigint>"))
+
+
+def packed_iou(a: Column, b: Column) -> Column:
+    """Intersection over union of two masks of one size, as packed_mask() makes them; null for masks of different sizes, 0 for empty ones."""
+    total = lambda words: F.aggregate(words, F.lit(0).cast("long"), lambda s, w: s + F.bit_count(w))
+    both, either = total(F.zip_with(a, b, lambda x, y: x.bitwiseAND(y))), total(F.zip_with(a, b, lambda x, y: x.bitwiseOR(y)))
+    return F.when(F.size(a) == F.size(b), F.when(either > 0, both / either).otherwise(0.0))

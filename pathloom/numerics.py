@@ -44,23 +44,76 @@ def peaks(y: np.ndarray, prominence: float) -> np.ndarray:
     return np.array(out, int)
 
 
+class _Cells:
+    """Points in the plane by cells so small that two of one cell are within `eps`; near cells are those within reach of it."""
+
+    NEAR = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if abs(i * j) < 4]
+
+    def __init__(self, points: np.ndarray, eps: float):
+        self.points, self.limit = points, eps * eps
+        # a shade less than eps / sqrt(2), for the corners of a cell must not be farther apart in floating point either
+        keys = np.floor(points / (eps / 1.4142136)).astype(np.int64)
+        order = np.lexsort((keys[:, 1], keys[:, 0]))
+        cuts = np.flatnonzero((keys[order][1:] != keys[order][:-1]).any(1)) + 1
+        self.cells = {tuple(keys[g[0]].tolist()): np.sort(g) for g in np.split(order, cuts)}
+
+    def near(self, cell: tuple[int, int]):
+        return ((c, self.cells[c]) for i, j in self.NEAR if (c := (cell[0] + i, cell[1] + j)) in self.cells)
+
+    def distances(self, a: np.ndarray, b: np.ndarray):
+        """Squared distances of the points a to the points b, some rows at a time."""
+        step = max(1, 1_000_000 // max(1, len(b)))
+        for k in range(0, len(a), step):
+            yield a[k : k + step], ((self.points[a[k : k + step], None] - self.points[None, b]) ** 2).sum(-1)
+
+
 def dbscan(points: np.ndarray, eps: float, least: int) -> np.ndarray:
-    """Density clusters: labels from 0, noise -1; a core point has `least` points, itself included, within eps."""
+    """Density clusters of points (x, y): labels from 0, noise -1; a core point has `least` points, itself included, within eps. Clusters are
+    numbered by their first core points, and a point near several of them belongs to the first.
+
+    Points meet by cells of eps / sqrt(2) (after Gunawan, 2013): a cell with `least` points is dense without a distance taken, cells are
+    joined by one pair of core points within eps, and memory follows the number of points.
+    """
     n = len(points)
-    near = ((points[:, None] - points[None]) ** 2).sum(-1) <= eps * eps if n else np.zeros((0, 0), bool)
-    core = near.sum(1) >= least
-    labels, k = np.full(n, -1), 0
-    for i in range(n):
-        if core[i] and labels[i] < 0:
-            stack = [i]
-            labels[i] = k
-            while stack:
-                p = stack.pop()
-                if core[p]:
-                    new = np.flatnonzero(near[p] & (labels < 0))
-                    labels[new] = k
-                    stack += new.tolist()
-            k += 1
+    labels = np.full(n, -1)
+    if not n:
+        return labels
+    points = np.asarray(points, float)
+    if eps <= 0 or not np.isfinite(points).all():
+        raise ValueError("eps must be positive and points finite")
+    grid = _Cells(points, eps)
+    core = np.zeros(n, bool)
+    for cell, own in grid.cells.items():
+        if len(own) >= least:
+            core[own] = True
+            continue
+        others = np.concatenate([x for _, x in grid.near(cell)])
+        for some, d in grid.distances(own, others):
+            core[some] = (d <= grid.limit).sum(1) >= least
+    cores = {c: own[core[own]] for c, own in grid.cells.items() if core[own].any()}
+    names = list(cores)
+    place = {c: k for k, c in enumerate(names)}
+    edges = []
+    for c in names:
+        for o, _ in grid.near(c):
+            if o in cores and o > c and any((d <= grid.limit).any() for _, d in grid.distances(cores[c], cores[o])):
+                edges.append((place[c], place[o]))
+    part = single_linkage(len(names), np.array(edges, int).reshape(-1, 2), np.zeros(len(edges)), 1.0)
+    first = np.full(part.max() + 1 if len(names) else 0, n)
+    for c, k in place.items():
+        first[part[k]] = min(first[part[k]], cores[c][0])
+    number = np.empty(len(first), int)
+    number[np.argsort(first)] = np.arange(len(first))
+    for c, k in place.items():
+        labels[cores[c]] = number[part[k]]
+    for cell, own in grid.cells.items():
+        rest = own[~core[own]]
+        around = [x[core[x]] for _, x in grid.near(cell)] if len(rest) else []
+        around = np.concatenate(around) if around else np.empty(0, int)
+        if len(around):
+            for some, d in grid.distances(rest, around):
+                best = np.where(d <= grid.limit, labels[around][None], n).min(1)
+                labels[some] = np.where(best < n, best, -1)
     return labels
 
 

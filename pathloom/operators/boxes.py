@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,30 +12,62 @@ from ..functions import boxes as B
 from ..session import ship
 
 BOX = ("x1", "y1", "x2", "y2")
+#: Rows that suppress() looks at together, but for a larger image.
+RUN_ROWS = 20_000
 
 
 def box(prefix: str = "") -> tuple:
     return tuple(F.col(prefix + c) for c in BOX)
 
 
-def pairs(left: DataFrame, right: DataFrame, on: list[str], left_id: str, right_id: str, kind: str = "iou", least: float | None = None) -> DataFrame:
-    """(on, left_id, right_id, value) for the boxes of the same image; value by functions.boxes.iou or 'ioa' (share of the right box)."""
+def _in_cells(df: DataFrame, cell: float, prefix: str = "") -> DataFrame:
+    """A row for each cell of the grid that a box touches: _cx and _cy."""
+    span = lambda lo, hi: F.sequence(F.floor(F.col(prefix + lo) / cell), F.floor(F.greatest(prefix + lo, prefix + hi) / cell))
+    return df.withColumn("_cx", F.explode(span("x1", "x2"))).withColumn("_cy", F.explode(span("y1", "y2")))
+
+
+def _touching(a: DataFrame, b: DataFrame, on: list[str], cell: float | None) -> DataFrame:
+    """Rows of `a` and `b`, boxes a_ and b_, of one image; with `cell`, those alone that share a point. A pair meets in all cells that both
+    touch, and is kept in the one that holds the first corner of what they share."""
+    if cell is None:
+        return a.join(b, on)
+    both = _in_cells(a, cell, "a_").join(_in_cells(b, cell, "b_"), [*on, "_cx", "_cy"])
+    own = lambda c: F.floor(F.greatest(f"a_{c}", f"b_{c}") / cell)
+    meet = lambda lo, hi: F.greatest(f"a_{lo}", f"b_{lo}") <= F.least(f"a_{hi}", f"b_{hi}")
+    return both.filter((F.col("_cx") == own("x1")) & (F.col("_cy") == own("y1")) & meet("x1", "x2") & meet("y1", "y2")).drop("_cx", "_cy")
+
+
+def pairs(left: DataFrame, right: DataFrame, on: list[str], left_id: str, right_id: str, kind: str = "iou", least: float | None = None, cell: float | None = None) -> DataFrame:
+    """(on, left_id, right_id, value) for the boxes of the same image; value by functions.boxes.iou or 'ioa' (share of the right box).
+
+    For crowded images give a `cell`, about as wide as most boxes: then boxes meet where a grid of such cells says that they touch, not all
+    with all. That takes a `least` above 0, for boxes that don't overlap aren't seen.
+    """
+    if cell is not None and (least is None or least <= 0 or kind not in ("iou", "ioa")):
+        raise ValueError("a grid finds overlapping boxes only: give `least`, and iou or ioa")
     a = left.select(*on, F.col(left_id).alias("_l"), *[F.col(c).alias(f"a_{c}") for c in BOX])
     b = right.select(*on, F.col(right_id).alias("_r"), *[F.col(c).alias(f"b_{c}") for c in BOX])
     value = B.over_second(box("a_"), box("b_")) if kind == "ioa" else B.iou(box("a_"), box("b_"), kind)
-    out = a.join(b, on).select(*on, F.col("_l").alias("left_id"), F.col("_r").alias("right_id"), value.alias("value"))
+    out = _touching(a, b, on, cell).select(*on, F.col("_l").alias("left_id"), F.col("_r").alias("right_id"), value.alias("value"))
     return out if least is None else out.filter(F.col("value") >= least)
 
 
-def without_enclosed(df: DataFrame, by: list[str], id_col: str, containment: float = 0.9, ratio: float = 0.6) -> DataFrame:
-    """Drops a box that a larger one of the same `by` holds: intersection over the smaller area >= containment and area ratio <= ratio."""
-    a, b = df.alias("a"), df.alias("b")
-    one, two = tuple(F.col(f"a.{c}") for c in BOX), tuple(F.col(f"b.{c}") for c in BOX)
-    same = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in by]
-    cond = (F.col(f"a.{id_col}") != F.col(f"b.{id_col}")) & (B.area(two) > B.area(one)) & (B.over_smaller(one, two) >= containment) & (B.area_ratio(one, two) <= ratio)
-    for s in same:
-        cond = cond & s
-    return a.join(b, cond, "left_anti")
+def without_enclosed(df: DataFrame, by: list[str], id_col: str, containment: float = 0.9, ratio: float = 0.6, cell: float | None = None) -> DataFrame:
+    """Drops a box that a larger one of the same `by` holds: intersection over the smaller area >= containment and area ratio <= ratio. `cell`
+    as for pairs()."""
+    a = df.select(*by, F.col(id_col).alias("_l"), *[F.col(c).alias(f"a_{c}") for c in BOX])
+    b = df.select(*by, F.col(id_col).alias("_r"), *[F.col(c).alias(f"b_{c}") for c in BOX])
+    one, two = box("a_"), box("b_")
+    holds = (F.col("_l") != F.col("_r")) & (B.area(two) > B.area(one)) & (B.over_smaller(one, two) >= containment) & (B.area_ratio(one, two) <= ratio)
+    gone = _touching(a, b, by, cell if containment > 0 else None).filter(holds).select(*by, F.col("_l").alias(id_col)).distinct()
+    return df.join(gone, [*by, id_col], "left_anti").select(*df.columns)
+
+
+def uncovered(df: DataFrame, others: DataFrame, on: list[str], id_col: str, most: float = 0.5, kind: str = "iou", cell: float | None = None) -> DataFrame:
+    """Boxes of `df` that no box of `others` of the same image overlaps by more than `most`; `kind` and `cell` as for pairs()."""
+    tagged = others.select(*on, *BOX, F.lit(0).alias("_o"))
+    hit = pairs(tagged, df, on, "_o", id_col, kind, max(most, 1e-12), cell).filter(F.col("value") > most)
+    return df.join(hit.select(*on, F.col("right_id").alias(id_col)).distinct(), [*on, id_col], "left_anti").select(*df.columns)
 
 
 def class_candidates(df: DataFrame, scores: str, conf: float = 0.25, many: bool = True, classes: list[int] | None = None) -> DataFrame:
@@ -57,9 +90,10 @@ def suppress(df: DataFrame, image: str, conf: float = 0.25, iou: float = 0.45, t
     """Non-maximum suppression within each image: (df columns) of the boxes that stay, best first.
 
     The best `most` boxes of an image are looked at and `top` of them kept at most; None sets no bound. Ties of confidence go by x1, y1,
-    x2, y2, cls. One image is one group; suppression depends on the order, so it runs in numpy.
+    x2, y2, cls. Images are sorted within partitions and stream through a worker one by one, so a task holds one image's best boxes.
     """
     ship(df.sparkSession)
+    names = df.columns
 
     def one(b: np.ndarray, cls: np.ndarray) -> list[int]:
         size = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
@@ -69,20 +103,40 @@ def suppress(df: DataFrame, image: str, conf: float = 0.25, iou: float = 0.45, t
                 out.append(i)
                 if len(out) == top:
                     break
-                w = np.minimum(b[i, 2], b[:, 2]) - np.maximum(b[i, 0], b[:, 0])
-                h = np.minimum(b[i, 3], b[:, 3]) - np.maximum(b[i, 1], b[:, 1])
+                w = np.minimum(b[i, 2], b[i:, 2]) - np.maximum(b[i, 0], b[i:, 0])
+                h = np.minimum(b[i, 3], b[i:, 3]) - np.maximum(b[i, 1], b[i:, 1])
                 both = np.clip(w, 0, None) * np.clip(h, 0, None)
-                alive &= ~((both / (size[i] + size - both + 1e-7) > iou) & (cls == cls[i]))
+                alive[i:] &= ~((both / (size[i] + size[i:] - both + 1e-7) > iou) & (cls[i:] == cls[i]))
         return out
 
-    def keep(g: pd.DataFrame) -> pd.DataFrame:
-        """All images of a bucket, so that small images don't cost a call each."""
-        g = g[g["conf"] >= conf].sort_values([image, "conf", *BOX, "cls"], ascending=[True, False, *[True] * 5], kind="stable")
-        b, cls = g[list(BOX)].to_numpy(float), pd.factorize(g["cls"])[0] if per_class else np.zeros(len(g))
-        edges = np.flatnonzero(np.r_[True, g[image].to_numpy()[1:] != g[image].to_numpy()[:-1], True]) if len(g) else np.array([0])
-        ends = edges[1:] if most is None else np.minimum(edges[1:], edges[:-1] + most)
-        rows = [i + k for i, j in zip(edges[:-1], ends) for k in one(b[i:j], cls[i:j])]
-        return g.iloc[rows].drop(columns="_bucket")
-
-    buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.withColumn("_bucket", F.pmod(F.xxhash64(image), F.lit(buckets))).groupBy("_bucket").applyInPandas(keep, df.schema)
+    def kept(table: pa.Table, edges: np.ndarray) -> list[pa.RecordBatch]:
+        b = np.stack([table.column(c).cast(pa.float64()).to_numpy() for c in BOX], 1)
+        cls = codes(table.column("cls")) if per_class else np.zeros(len(table), int)
+        rows = [i + k for i, j in zip(edges[:-1], edges[1:]) for k in one(b[i:j][:most], cls[i:j][:most])]
+        return table.take(pa.array(rows, pa.int64())).combine_chunks().to_batches()
+
+    def codes(column: pa.ChunkedArray) -> np.ndarray:
+        return pc.fill_null(column.combine_chunks().dictionary_encode().indices, -1).to_numpy()
+
+    def work(batches):
+        waiting, rows = [], 0
+        for batch in batches:
+            waiting.append(pa.Table.from_batches([batch]))
+            rows += len(batch)
+            if rows < RUN_ROWS:
+                continue
+            table = pa.concat_tables(waiting).combine_chunks()
+            name = codes(table.column(image))
+            edges = np.flatnonzero(np.r_[True, name[1:] != name[:-1]])
+            if len(edges) > 1:
+                yield from kept(table.slice(0, int(edges[-1])), edges)
+            last = table.slice(int(edges[-1]))  # this image may go on; beyond the best ones nothing of it is held
+            waiting = [last if most is None else last.slice(0, most)]
+            rows = 0 if most is not None and len(waiting[0]) >= most else len(waiting[0])
+        if waiting:
+            table = pa.concat_tables(waiting).combine_chunks()
+            name = codes(table.column(image))
+            yield from kept(table, np.flatnonzero(np.r_[True, name[1:] != name[:-1], True]) if len(name) else np.array([0]))
+
+    rows = df.filter(F.col("conf") >= conf).repartition(image).sortWithinPartitions(image, F.desc("conf"), *BOX, "cls")
+    return rows.select(*names).mapInArrow(work, df.schema)

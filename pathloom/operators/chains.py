@@ -76,46 +76,92 @@ def smooth_ball(ball: DataFrame, by: list[str], order: str, prominence: float =
     return filtered.groupBy(*by).applyInPandas(work, filtered.schema)
 
 
-def pick_ball(candidates: DataFrame, by: list[str], order: str, still: float = 2.0, patience: int = 10, jump: float = 100.0, static_factor: float = 50.0, jump_cost: float = 1000.0) -> DataFrame:
-    """One row of each frame: that of the least distance to where a constant-velocity filter expects the ball. A candidate that stands within
-    `still` of where one stood in each of the last `patience` frames costs `static_factor` times as much, one farther than
-    `jump` costs `jump_cost` more. Ties go by x, then y."""
+class BallFilter:
+    """A constant-velocity filter of a point in the plane, one step a frame. Both axes have one covariance, for nothing tells them apart."""
+
+    def __init__(self, at: np.ndarray, spread: float = 100.0, noise: float = 50.0, process: float = 10.0):
+        self.at, self.speed, self.cov = np.array(at, float), np.zeros(2), np.eye(2) * spread
+        self.noise, self.process = noise, process
+
+    def predict(self) -> np.ndarray:
+        step = np.array([[1.0, 1.0], [0.0, 1.0]])
+        self.at = self.at + self.speed
+        self.cov = step @ self.cov @ step.T + np.eye(2) * self.process
+        return self.at
+
+    def update(self, seen: np.ndarray) -> None:
+        gain = self.cov[:, 0] / (self.cov[0, 0] + self.noise)
+        off = seen - self.at
+        self.at, self.speed = self.at + gain[0] * off, self.speed + gain[1] * off
+        self.cov = self.cov - np.outer(gain, self.cov[0])
+
+
+class BallChoice:
+    """Picks a ball among the candidates of each frame.
+
+    The first frame's is the only one, or that nearest to the pitch's centre. Later a lone candidate counts unless it is farther than
+    `jump` from the ball before. Of several the one of least cost does: its distance to where the filter expects the ball, plus its distance to
+    the ball before (`jump_cost` if that is beyond `jump`), plus `static_cost` for every candidate of the last `window` frames within `still`
+    of it. The filter moves on in frames that count.
+    """
+
+    def __init__(self, jump: float, still: float, window: int, static_cost: float, jump_cost: float, pitch: tuple[float, float]):
+        self.jump, self.still, self.window, self.static_cost, self.jump_cost = jump, still, window, static_cost, jump_cost
+        self.centre, self.filter, self.last = np.array(pitch) / 2, None, None
+        self.recent: list[tuple[int, np.ndarray]] = []
+
+    def pick(self, frame: int, here: np.ndarray) -> int | None:
+        self.recent = [(f, p) for f, p in self.recent if f >= frame - self.window]
+        k: int | None = 0
+        if self.filter is None:
+            k = int(np.sqrt(((here - self.centre) ** 2).sum(1)).argmin())
+            self.filter = BallFilter(here[k])
+        elif len(here) == 1:
+            if np.sqrt(((here[0] - self.last) ** 2).sum()) > self.jump:
+                k = None
+            else:
+                self.filter.predict()
+                self.filter.update(here[0])
+        else:
+            far = np.sqrt(((here - self.filter.predict()) ** 2).sum(1))
+            moved = np.sqrt(((here - self.last) ** 2).sum(1))
+            before = np.concatenate([np.empty((0, 2)), *[p for _, p in self.recent]])
+            stood = (np.sqrt(((here[:, None] - before[None]) ** 2).sum(-1)) < self.still).sum(1)
+            k = int((far + self.static_cost * stood + np.where(moved > self.jump, self.jump_cost, moved)).argmin())
+            self.filter.update(here[k])
+        self.recent.append((frame, here))
+        self.last = here[k] if k is not None else self.last
+        return k
+
+
+def pick_ball(candidates: DataFrame, by: list[str], order: str, jump: float = 150.0, still: float = 5.0, window: int = 5, static_cost: float = 50.0, jump_cost: float = 1000.0, pitch: tuple[float, float] = (1060.0, 660.0)) -> DataFrame:
+    """One row of each frame (by, order, x, y) at most, as BallChoice says; ties go by x, then y. A group, such as a match, is a task; its
+    frames go through one by one, and only the candidates of the last `window` frames are held beside the rows."""
     ship(candidates.sparkSession)
 
     def work(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values([order, "x", "y"], kind="stable").reset_index(drop=True)
         f, p = g[order].to_numpy(), g[["x", "y"]].to_numpy(float)
         edges = np.flatnonzero(np.r_[True, f[1:] != f[:-1], True]) if len(f) else [0]
-        rows, recent, state, speed, last = [], [], None, np.zeros(2), None
-        for a, b in zip(edges[:-1], edges[1:]):
-            here = p[a:b]
-            cost = np.zeros(len(here))
-            if state is not None:
-                far = np.sqrt(((here - state - speed * (f[a] - last)) ** 2).sum(1))
-                stands = np.array([len(recent) == patience and all((np.sqrt(((q - h) ** 2).sum(1)) <= still).any() for q in recent) for h in here])
-                cost = far * np.where(stands, static_factor, 1.0) + np.where(far > jump, jump_cost, 0.0)
-            k = int(cost.argmin())
-            if state is not None:
-                # a steady-state filter: the gains of position and speed at which it settles
-                gap = f[a] - last
-                expected = state + speed * gap
-                state, speed = expected + 0.7 * (here[k] - expected), speed + 0.3 * (here[k] - expected) / gap
-            else:
-                state = here[k].copy()
-            last = f[a]
-            recent = [*recent, here][-patience:]
-            rows.append(a + k)
-        return g.iloc[rows]
+        choice = BallChoice(jump, still, window, static_cost, jump_cost, pitch)
+        picks = [(a, choice.pick(int(f[a]), p[a:b])) for a, b in zip(edges[:-1], edges[1:])]
+        return g.iloc[[a + k for a, k in picks if k is not None]]
 
     return candidates.groupBy(*by).applyInPandas(work, candidates.schema)
 
 
-def anchors(boxes: DataFrame, n: int = 9, seed: int = 0) -> list[tuple[float, float]]:
-    """`n` typical (w, h) of boxes, smallest first: the centres of k-means over sizes in units of their deviations."""
+def anchors(boxes: DataFrame, n: int = 9, seed: int = 0) -> DataFrame:
+    """(anchor, w, h): `n` typical sizes of boxes, smallest first, numbered from 0: the centres of k-means over sizes in units of their
+    deviations. Rows with a size that is null or not a number don't count; without rows there are no anchors."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import VectorAssembler
 
-    s = boxes.agg(F.stddev_pop("w").alias("w"), F.stddev_pop("h").alias("h")).first()
-    unit = boxes.select((F.col("w") / F.lit(s.w or 1.0)).alias("w"), (F.col("h") / F.lit(s.h or 1.0)).alias("h"))
+    spark, schema = boxes.sparkSession, "anchor int, w double, h double"
+    sizes = boxes.select(F.col("w").cast("double").alias("w"), F.col("h").cast("double").alias("h")).filter("w IS NOT NULL AND h IS NOT NULL AND NOT isnan(w) AND NOT isnan(h)")
+    s = sizes.agg(F.stddev_pop("w").alias("w"), F.stddev_pop("h").alias("h")).first()
+    if s.w is None:
+        return spark.createDataFrame([], schema)
+    unit = sizes.select((F.col("w") / F.lit(s.w or 1.0)).alias("w"), (F.col("h") / F.lit(s.h or 1.0)).alias("h"))
     model = KMeans(k=n, seed=seed, maxIter=30).fit(VectorAssembler(inputCols=["w", "h"], outputCol="features").transform(unit))
-    return sorted(((float(a * (s.w or 1.0)), float(b * (s.h or 1.0))) for a, b in model.clusterCenters()), key=lambda c: c[0] * c[1])
+    centres = sorted(((float(a * (s.w or 1.0)), float(b * (s.h or 1.0))) for a, b in model.clusterCenters()), key=lambda c: c[0] * c[1])
+    return spark.createDataFrame([(i, w, h) for i, (w, h) in enumerate(centres)], schema)

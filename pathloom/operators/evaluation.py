@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.geometry import packed_iou
+from ..storage import stored
 from . import joins, stats
 
 #: Overlaps from 0.5 to 0.95.
@@ -17,22 +19,23 @@ LEVELS = tuple(round(0.5 + 0.05 * i, 2) for i in range(10))
 def matches(pairs: DataFrame, by: list[str], levels: tuple = LEVELS) -> DataFrame:
     """(by, level, left, right, value) of pairs (by, left_id, right_id, value) of equal class: at every level one-to-one, first the
     best label of each detection, then of each label the detection of the smallest number."""
-    at = pairs.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).filter(F.col("value") >= F.col("level"))
-    return joins.best_pairs(at, [*by, "level"], "left_id", "right_id", "value", "left")
+    best = Window.partitionBy(*by, "left_id").orderBy(F.desc("value"), "right_id")  # whatever the level
+    one = pairs.filter(F.col("value") >= min(levels)).withColumn("_r", F.row_number().over(best)).filter("_r = 1").drop("_r")
+    at = one.withColumn("level", F.explode(F.array(*map(F.lit, levels)))).filter(F.col("value") >= F.col("level"))
+    first = Window.partitionBy(*by, "level", "right_id").orderBy("left_id")
+    return at.withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
 
 
 def curves(scored: DataFrame, by: list[str], positives: DataFrame, score: str = "conf", hit: str = "hit") -> DataFrame:
     """(by, rank, conf, tp, recall, precision) of rows in descending score; ties by `id`. `positives`: (by, positives), some of `by` suffice."""
-    w = Window.partitionBy(*by).orderBy(F.desc(score), "id").rowsBetween(Window.unboundedPreceding, 0)
-    c = scored.withColumn("tp", F.sum(F.col(hit).cast("long")).over(w)).withColumn("rank", F.count("*").over(w))
-    c = c.join(positives, [x for x in positives.columns if x != "positives"])
+    c = stats.ranked_hits(scored, by, score, hit).join(positives, [x for x in positives.columns if x != "positives"])
     return c.select(*by, "rank", F.col(score).alias("conf"), "tp", (F.col("tp") / (F.col("positives") + 1e-16)).alias("recall"), (F.col("tp") / F.col("rank")).alias("precision"))
 
 
 def average_precisions(curve: DataFrame, by: list[str]) -> DataFrame:
     """(by, ap): stats.average_precision() over several keys."""
-    keyed = curve.withColumn("_k", F.struct(*by))
-    return stats.average_precision(keyed, "_k").select("_k.*", "ap")
+    keyed = curve.withColumn("_key", F.struct(*by))
+    return stats.average_precision(keyed, "_key").select("_key.*", "ap")
 
 
 def working_points(curve: DataFrame, by: list[str], points: int = 1000, share: float = 0.1) -> DataFrame:
@@ -62,7 +65,7 @@ def working_points(curve: DataFrame, by: list[str], points: int = 1000, share: f
 def metric_bundle(scored: DataFrame, cls: str, level: str, positives: DataFrame) -> DataFrame:
     """(cls, precision, recall, ap50, ap) by class, with the means in a row of class null. Precision and recall are those of the
     lowest level's working point."""
-    c = curves(scored, [cls, level], positives)
+    c = stored(curves(scored, [cls, level], positives), "curves")
     ap = average_precisions(c, [cls, level])
     low = F.min(level).over(Window.partitionBy(F.lit(1)))
     ap50 = ap.withColumn("_l", low).filter(F.col(level) == F.col("_l")).select(cls, F.col("ap").alias("ap50"))
@@ -72,6 +75,23 @@ def metric_bundle(scored: DataFrame, cls: str, level: str, positives: DataFrame)
     return by.unionByName(mean.select(*by.columns))
 
 
+def mask_pairs(detections: DataFrame, labels: DataFrame, on: list[str], least: float = 0.5) -> DataFrame:
+    """(on, left_id, right_id, value): detections (on, det, mask) and labels (on, lab, mask) of one image whose packed masks have an
+    intersection over union of `least` or more."""
+    a = detections.select(*on, F.col("det").alias("left_id"), F.col("mask").alias("_a"))
+    b = labels.select(*on, F.col("lab").alias("right_id"), F.col("mask").alias("_b"))
+    return a.join(b, on).withColumn("value", packed_iou(F.col("_a"), F.col("_b"))).filter(F.col("value") >= least).select(*on, "left_id", "right_id", "value")
+
+
+def box_and_mask_bundle(boxes: DataFrame, masks: DataFrame, cls: str, level: str, positives: DataFrame) -> DataFrame:
+    """metric_bundle() of boxes and of masks side by side: (cls, box_precision, …, mask_ap), and fitness, 0.1 of either ap50 and 0.9 of either ap."""
+    names = ("precision", "recall", "ap50", "ap")
+    one, two = (metric_bundle(s, cls, level, positives).select(F.col(cls).alias(f"_{p}"), *[F.col(c).alias(f"{p}_{c}") for c in names]) for s, p in ((boxes, "box"), (masks, "mask")))
+    both = one.join(two, F.col("_box").eqNullSafe(F.col("_mask")), "full_outer")
+    part = lambda p: 0.1 * F.coalesce(f"{p}_ap50", F.lit(0.0)) + 0.9 * F.coalesce(f"{p}_ap", F.lit(0.0))
+    return both.select(F.coalesce("_box", "_mask").alias(cls), *[f"{p}_{c}" for p in ("box", "mask") for c in names], (part("box") + part("mask")).alias("fitness"))
+
+
 def class_map(bundle: DataFrame, classes: DataFrame, cls: str) -> DataFrame:
     """(cls, ap) for every class: its own, or the mean of all where it has none."""
     mean = bundle.filter(F.col(cls).isNull()).select(F.col("ap").alias("_m"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import bin_index, distance
+from ..storage import stored
 from . import tall
 from .numbering import numbered
 
@@ -115,11 +116,16 @@ def class_weights(df: DataFrame, cls: str) -> DataFrame:
     return c.select(cls, "n", (F.col("_w") / F.sum("_w").over(Window.partitionBy(F.lit(1)))).alias("weight"))
 
 
+def ranked_hits(df: DataFrame, by: list[str], score: str, hit: str) -> DataFrame:
+    """Adds rank, from 1 by falling score, ties by `id`, and tp, the hits up to there. A class of any share of the rows lies in many ranges of
+    scores, whose counts and hits before each come from a row a range."""
+    placed = numbered(df.withColumn("_t", F.col(hit).cast("long")), by, [F.desc(score), "id"], "_p")
+    return tall.running(placed, by, "_p", "_t", "tp").withColumn("rank", F.col("_p") + 1).drop("_p", "_t")
+
+
 def precision_recall(df: DataFrame, cls: str, score: str, hit: str, positives: DataFrame) -> DataFrame:
     """Curve rows (cls, rank, tp, fp, recall, precision) of scored rows; `positives`: (cls, positives). Rows tie by `id`."""
-    w = Window.partitionBy(cls).orderBy(F.desc(score), "id").rowsBetween(Window.unboundedPreceding, 0)
-    c = df.withColumn("tp", F.sum(F.col(hit).cast("long")).over(w)).withColumn("rank", F.count("*").over(w))
-    c = c.join(positives, cls)
+    c = ranked_hits(df, [cls], score, hit).join(positives, cls)
     return c.select(cls, "rank", "tp", (F.col("rank") - F.col("tp")).alias("fp"), (F.col("tp") / (F.col("positives") + 1e-16)).alias("recall"), (F.col("tp") / F.col("rank")).alias("precision"))
 
 
@@ -127,18 +133,19 @@ def average_precision(curve: DataFrame, cls: str) -> DataFrame:
     """(cls, ap): the precision envelope read at 101 recalls by linear interpolation between curve points, by trapezoids.
 
     The curve begins at (0, 1) and ends at (1, 0) beyond its last recall. Of points with equal recall the
-    last counts, as for interpolation on a sorted axis.
+    last counts, as for interpolation on a sorted axis. The envelope goes over chunks of ranks, so a class isn't one task.
     """
-    back = Window.partitionBy(cls).orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
-    pts = curve.select(cls, F.col("rank").alias("pos"), "recall", "precision")
-    ends = curve.select(cls).distinct()
-    last = curve.groupBy(cls).agg(F.max("rank").alias("m"))
-    pts = pts.unionByName(ends.select(cls, F.lit(0).cast("long").alias("pos"), F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"))).unionByName(last.select(cls, (F.col("m") + 1).alias("pos"), F.lit(1.0).alias("recall"), F.lit(0.0).alias("precision")))
-    pts = pts.withColumn("env", F.max("precision").over(back))
-    at = Window.partitionBy(cls).orderBy("pos")
-    pts = pts.withColumn("r2", F.lead("recall").over(at)).withColumn("e2", F.lead("env").over(at)).filter("r2 > recall")
-    grid = F.explode(F.filter(F.transform(F.sequence(F.lit(0), F.lit(100)), lambda i: i / 100.0), lambda r: (r >= F.col("recall")) & ((r < F.col("r2")) | ((r == 1.0) & (F.col("r2") >= 1.0)))))
-    read = pts.withColumn("r", grid).withColumn("p", F.col("env") + (F.col("e2") - F.col("env")) * (F.col("r") - F.col("recall")) / (F.col("r2") - F.col("recall")))
+    pts = stored(curve.select(cls, F.col("rank").alias("pos"), "recall", "precision"), "curves")
+    ends = pts.groupBy(cls).agg(F.max("pos").alias("m"))
+    edge = lambda pos, recall, precision: ends.select(cls, pos.cast("long").alias("pos"), F.lit(recall).alias("recall"), F.lit(precision).alias("precision"))
+    pts = pts.unionByName(edge(F.lit(0), 0.0, 1.0)).unionByName(edge(F.col("m") + 1, 1.0, 0.0)).withColumn("_q", -F.col("pos"))
+    pts = tall.running(pts, [cls], "_q", "precision", "env", greatest=True)
+    pts = tall.previous(pts, [cls], "pos", ["recall", "env"], ahead=True).filter("next_recall > recall")
+    # the recalls from this point to the next; at 1 the last one counts
+    grid = F.explode(F.sequence(F.ceil(F.col("recall") * 100 - 1e-6), F.floor(F.col("next_recall") * 100 + 1e-6)))
+    read = pts.withColumn("i", grid).withColumn("r", F.col("i") / 100.0)
+    read = read.filter((F.col("r") >= F.col("recall")) & ((F.col("r") < F.col("next_recall")) | ((F.col("r") == 1.0) & (F.col("next_recall") >= 1.0))))
+    read = read.withColumn("p", F.col("env") + (F.col("next_env") - F.col("env")) * (F.col("r") - F.col("recall")) / (F.col("next_recall") - F.col("recall")))
     weight = F.when((F.col("r") == 0.0) | (F.col("r") == 1.0), 0.005).otherwise(0.01)
     return read.groupBy(cls).agg(F.sum(F.col("p") * weight).alias("ap"))
 

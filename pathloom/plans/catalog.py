@@ -401,6 +401,17 @@ def nms_many_labels(spark, d):
     return boxes.suppress(boxes.class_candidates(b, "scores", 45_000), "image", 0.0, 0.3, None, None).select("image", "det", "cls", "conf")
 
 
+# one image a class, with boxes all over it; in SQL they meet by stripes
+@_query(f"""WITH {P.BOX}, cb AS (SELECT cls, image * 10 + det AS id, x1 + image % 4999 * 30 AS x1, y1 + det * 200 AS y1, x2 + image % 4999 * 30 AS x2, y2 + det * 200 AS y2 FROM box),
+st AS (SELECT *, unnest(range(CAST(floor(x1 / 60) AS BIGINT), CAST(floor(x2 / 60) AS BIGINT) + 1)) AS k FROM cb)
+SELECT DISTINCT a.cls, a.id AS left_id, b.id AS right_id, round({_INTER} / ({_AREA('a')} + {_AREA('b')} - {_INTER} + 1e-7::DOUBLE), 6) AS value FROM st a JOIN st b ON a.cls = b.cls AND a.k = b.k AND a.id < b.id WHERE {_INTER} / ({_AREA('a')} + {_AREA('b')} - {_INTER} + 1e-7::DOUBLE) >= 0.3::DOUBLE""")
+def crowd_pairs(spark, d):
+    b = P.box(spark, d)
+    x, y = F.col("image") % 4999 * 30, F.col("det") * 200
+    crowd = b.select("cls", (F.col("image") * 10 + F.col("det")).alias("id"), (F.col("x1") + x).alias("x1"), (F.col("y1") + y).alias("y1"), (F.col("x2") + x).alias("x2"), (F.col("y2") + y).alias("y2"))
+    return boxes.pairs(crowd, crowd, ["cls"], "id", "id", least=0.3, cell=60.0).filter("left_id < right_id").withColumn("value", F.round("value", 6))
+
+
 def _matches(spark, d):
     b = P.box(spark, d)
     return boxes.pairs(b.filter("det % 2 = 1"), b.filter("det % 2 = 0"), ["image"], "det", "det", least=0.02)

@@ -43,6 +43,32 @@ def ap_by_level(spark, d):
     return evaluation.average_precisions(evaluation.curves(s, ["cls", "level"], n), ["cls", "level"]).withColumn("ap", F.round("ap", 5))
 
 
+#: Masks of 64 points, the signs of a vector's components: odd ids are detections, even ones labels, a label an image.
+_MASKS = """WITH box AS (SELECT label AS image, vec_id AS det, CAST(vec_id % 3 AS VARCHAR) AS cls, CAST(1000 * (vec_id * 7919 % 97) AS DOUBLE) AS conf, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS m FROM embeddings),
+pr AS (SELECT * FROM (SELECT a.image, a.det AS left_id, b.det AS right_id, list_sum(list_transform(range(1, 65), lambda i: a.m[i] * b.m[i])) / CAST(list_sum(list_transform(range(1, 65), lambda i: greatest(a.m[i], b.m[i]))) AS DOUBLE) AS value
+ FROM box a JOIN box b ON a.image = b.image AND a.det % 2 = 1 AND b.det % 2 = 0 AND a.cls = b.cls) WHERE value >= 0.3)"""
+
+
+def _mask_hits(spark, d):
+    """Scored detections with a hit or none at each level, and the labels of each class, of the masks above."""
+    from ..functions.geometry import packed_mask
+
+    bits = F.transform("embedding", lambda x: F.when(x > 0, 1).otherwise(0))
+    b = P.table(spark, d, "embeddings").select(F.col("label").alias("image"), F.col("vec_id").alias("det"), (F.col("vec_id") % 3).cast("string").alias("cls"), (1000 * (F.col("vec_id") * 7919 % 97)).cast("double").alias("conf"), packed_mask(bits).alias("mask"))
+    labels = b.filter("det % 2 = 0")
+    pairs = evaluation.mask_pairs(b.filter("det % 2 = 1"), labels.withColumnRenamed("det", "lab"), ["image", "cls"], 0.3)
+    m = evaluation.matches(pairs, ["image"], (0.3, 0.4, 0.5)).select("image", "level", F.col("left_id").alias("det"), F.lit(True).alias("m"))
+    dets = b.filter("det % 2 = 1").select("image", "det", "cls", (F.col("conf") / 110_000).alias("conf"), F.explode(F.array(*map(F.lit, (0.3, 0.4, 0.5)))).alias("level"))
+    s = dets.join(m, ["image", "level", "det"], "left").select("cls", "level", "conf", (F.col("image") * 10 + F.col("det")).alias("id"), F.coalesce("m", F.lit(False)).alias("hit"))
+    return s, labels.groupBy("cls").agg(F.count("*").alias("positives"))
+
+
+@_query(_MASKS + _HITS[len(_PAIRS):].replace("[0.1::DOUBLE, 0.2::DOUBLE, 0.3::DOUBLE]", "[0.3::DOUBLE, 0.4::DOUBLE, 0.5::DOUBLE]") + " SELECT cls, level, round(ap, 5) AS ap FROM ap")
+def mask_ap_by_level(spark, d):
+    s, n = _mask_hits(spark, d)
+    return evaluation.average_precisions(evaluation.curves(s, ["cls", "level"], n), ["cls", "level"]).withColumn("ap", F.round("ap", 5))
+
+
 @_query(f"""WITH {_HITS}, lo AS MATERIALIZED (SELECT *, lead(conf) OVER w AS c2, lead(recall) OVER w AS r2, lead(precision) OVER w AS p2 FROM cv WHERE level < 0.15 WINDOW w AS (PARTITION BY cls ORDER BY conf DESC, rank)),
 top AS (SELECT cls, max(conf) AS hi, min(conf) AS low, arg_max(recall, rank) AS rl, arg_max(precision, rank) AS pl FROM lo GROUP BY cls), gr AS (SELECT i, i / 100.0::DOUBLE AS x FROM range(0, 101) t(i)),
 rd AS MATERIALIZED (SELECT cls, i, x, 0.0::DOUBLE AS recall, 1.0::DOUBLE AS precision FROM top JOIN gr ON x > hi UNION ALL SELECT cls, i, x, rl, pl FROM top JOIN gr ON x <= low

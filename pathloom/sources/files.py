@@ -66,19 +66,25 @@ def read_tracks(spark: SparkSession, path: str) -> DataFrame:
     return a.unionByName(b, allowMissingColumns=True)
 
 
-def read_histograms(spark: SparkSession, folder: str, prefix: str = r"^(.*?)(?:_\d+)?\.npy$") -> DataFrame:
-    """(team, name, histogram) of the .npy files in a folder: team is the name's beginning, values add up to 1. Nothing is unpickled; a file
-    that isn't a plain array of numbers raises."""
+def read_histograms(spark: SparkSession, folder: str, prefix: str = r"^(.*?)(?:_\d+)?\.np[yz]$") -> DataFrame:
+    """(team, name, histogram) of the .npy and .npz files in a folder: team is the name's beginning, values add up to 1. Of an archive's arrays
+    the one named hist counts, else the first by name; one without arrays has no histogram. Nothing is unpickled; a file that isn't made of plain
+    arrays of numbers raises."""
 
     @F.pandas_udf("array<double>")
     def decode(content: pd.Series) -> pd.Series:
         def one(data: bytes):
-            h = np.load(io.BytesIO(data), allow_pickle=False).astype(float).ravel()
+            h = np.load(io.BytesIO(data), allow_pickle=False)
+            if isinstance(h, np.lib.npyio.NpzFile):
+                if not h.files:
+                    return None
+                h = h["hist" if "hist" in h.files else min(h.files)]
+            h = h.astype(float).ravel()
             return (h / h.sum() if h.sum() > 0 else h).tolist()
 
         return content.map(one)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.npy").load(folder)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.np[yz]").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
     return files.select(F.regexp_extract(name, prefix, 1).alias("team"), name.alias("name"), decode("content").alias("histogram"))
 
@@ -193,13 +199,8 @@ def yolo_line(df: DataFrame, conf: bool = True, keypoints: str | None = None):
     return F.concat_ws(" ", *parts)
 
 
-def write_yolo(df: DataFrame, path: str, conf: bool = True, keypoints: str | None = None) -> None:
-    """Lines of yolo_line() in folders by image. Few images only; write_yolo_lines() is for many."""
-    df.select("image", yolo_line(df, conf, keypoints).alias("value")).write.partitionBy("image").mode("overwrite").text(path)
-
-
 def write_yolo_lines(df: DataFrame, path: str, conf: bool = True, keypoints: str | None = None) -> None:
-    """(image, labels): all lines of an image in one row of a Parquet table, so images don't make a folder each."""
+    """(image, labels): all lines of an image in one row of a Parquet table; labelfiles.write_label_files() makes files."""
     lines = df.select("image", yolo_line(df, conf, keypoints).alias("line")).groupBy("image").agg(F.array_sort(F.collect_list("line")).alias("l"))
     lines.select("image", F.array_join("l", "\n").alias("labels")).write.mode("overwrite").parquet(path)
 

@@ -4,7 +4,7 @@ import json
 
 import numpy as np
 
-from pathloom.sources import files
+from pathloom.sources import files, labelfiles
 
 
 def test_two_schemas(spark, tmp_path):
@@ -66,8 +66,8 @@ def test_exports(spark, tmp_path):
     df = spark.createDataFrame([(1, 0, 0.5, 0.25, 0.1, 0.2, 0.9, [[1.0, 2.0], [3.0, 4.0]]), (1, 2, 0.5, 0.5, 0.1, 0.2, 0.8, [[0.0, 0.0]])], "image long, cls int, cx double, cy double, w double, h double, conf double, k array<array<double>>")
     files.write_yolo_lines(df, str(tmp_path / "y"), conf=False, keypoints="k")
     assert spark.read.parquet(str(tmp_path / "y")).first().labels.split("\n")[0] == "0 0.500000 0.250000 0.100000 0.200000 1.000000 2.000000 3.000000 4.000000"
-    files.write_yolo(df, str(tmp_path / "z"))
-    assert spark.read.text(str(tmp_path / "z")).count() == 2
+    labelfiles.write_label_files(df, str(tmp_path / "z"))
+    assert spark.read.text(str(tmp_path / "z" / "part-*")).count() == 2
     files.write_csv(df.drop("k"), str(tmp_path / "c"))
     assert spark.read.option("header", "true").csv(str(tmp_path / "c")).columns == df.drop("k").columns
     files.write_by_clip(df.withColumnRenamed("image", "clip_id"), str(tmp_path / "j"))
