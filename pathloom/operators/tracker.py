@@ -19,6 +19,7 @@ from ..session import ship
 from ..storage import stored
 from . import joins
 from .graphs import components
+from .numbering import numbered
 
 BOX = ["x1", "y1", "x2", "y2"]
 
@@ -218,34 +219,25 @@ def track_in_chunks(detections: DataFrame, by: list[str], frame: str, conf: str,
     return rows.join(own, "_row", "left").drop("_row")
 
 
-class RecentCentre:
-    """Picks of each frame's points the one nearest to the mean of all points of the last frames, the frame itself included."""
+def nearest_to_recent(points: DataFrame, by: list[str], frame: str, frames: int = 10, size: int = 100_000) -> DataFrame:
+    """One row of each frame: that nearest to the mean of all rows (x, y) of the last `frames` frames that have rows, the frame itself included;
+    ties go by x, then y.
 
-    def __init__(self, frames: int = 10):
-        self.recent: deque = deque(maxlen=frames)
-
-    def pick(self, points: np.ndarray) -> int | None:
-        self.recent.append(points)
-        if not len(points):
-            return None
-        centre = np.concatenate(self.recent).mean(0)
-        return int(np.sqrt(((points - centre) ** 2).sum(1)).argmin())
-
-
-def nearest_to_recent(points: DataFrame, by: list[str], frame: str, frames: int = 10) -> DataFrame:
-    """One row of each frame: that nearest to the mean of all rows of the last `frames` frames that have rows."""
-    ship(points.sparkSession)
-
-    def work(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values([frame, "x", "y"], kind="stable").reset_index(drop=True)
-        recent, rows = RecentCentre(frames), []
-        f, p = g[frame].to_numpy(), g[["x", "y"]].to_numpy(float)
-        edges = np.flatnonzero(np.r_[True, f[1:] != f[:-1], True]) if len(f) else [0]
-        for a, b in zip(edges[:-1], edges[1:]):
-            rows.append(a + recent.pick(p[a:b]))
-        return g.iloc[rows]
-
-    return points.groupBy(*by).applyInPandas(work, points.schema)
+    A choice doesn't depend on those before, so a group's frames are numbered and go in chunks of `size`, of which each gets the last few frames of
+    the chunk before.
+    """
+    of = F.struct(F.lit(0), *by)
+    sums = points.groupBy(of.alias("_of"), F.col(frame).alias("_f")).agg(F.sum("x").alias("_x"), F.sum("y").alias("_y"), F.count("*").alias("_n"))
+    placed = numbered(sums, ["_of"], ["_f"], "_p")
+    chunks = F.array_distinct(F.array(F.expr(f"_p div {size}"), F.expr(f"(_p + {frames - 1}) div {size}")))
+    placed = placed.withColumn("_k", F.explode(chunks))
+    last = Window.partitionBy("_of", "_k").orderBy("_p").rangeBetween(1 - frames, 0)
+    mean = lambda c: (F.sum(c).over(last) / F.sum("_n").over(last)).alias(f"{c}m")
+    centres = placed.select("_of", "_f", "_p", "_k", mean("_x"), mean("_y")).filter(f"_k = _p div {size}").drop("_p", "_k")
+    near = points.withColumn("_of", of).withColumn("_f", F.col(frame)).join(centres, ["_of", "_f"])
+    far = F.sqrt((F.col("x") - F.col("_xm")) * (F.col("x") - F.col("_xm")) + (F.col("y") - F.col("_ym")) * (F.col("y") - F.col("_ym")))
+    first = Window.partitionBy("_of", "_f").orderBy(far, "x", "y")
+    return near.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*points.columns)
 
 
 class Ring:

@@ -53,10 +53,11 @@ def _boxes(spark, d):
 
 @_query()
 def box_tracks(spark, d):
-    return tracker.track(_boxes(spark, d), ["team"]).select("event_id", "track")
+    return tracker.track(_boxes(spark, d), ["team"], chunk=200).select("event_id", "track")
 
 
-@_query()
+@_query(_obs_sql("""SELECT event_id FROM (SELECT o.event_id, row_number() OVER (PARTITION BY o.team, o.frame ORDER BY sqrt((o.x - g.cx) * (o.x - g.cx) + (o.y - g.cy) * (o.y - g.cy)), o.x, o.y) AS r FROM obs o JOIN (
+ SELECT team, frame, sum(sx) OVER w / sum(n) OVER w AS cx, sum(sy) OVER w / sum(n) OVER w AS cy FROM (SELECT team, frame, sum(x) AS sx, sum(y) AS sy, count(*) AS n FROM obs GROUP BY team, frame) WINDOW w AS (PARTITION BY team ORDER BY frame ROWS 9 PRECEDING)) g ON g.team = o.team AND g.frame = o.frame) WHERE r = 1"""))
 def nearest_to_recent(spark, d):
     return tracker.nearest_to_recent(_boxes(spark, d).select("event_id", "team", "frame", "x", "y"), ["team"], "frame").select("event_id")
 
@@ -96,6 +97,29 @@ def smooth_ball(spark, d):
     return chains.smooth_ball(o, ["entity"], "rn", 20.0, 60.0, 5, {"window": 41, "step": 20, "prominence": 20.0})
 
 
-@_query()
+# the filter's place, speed and covariance (a, b, d of an axis) go from frame to frame of a day
+@_query("WITH RECURSIVE " + _obs_sql("")[5:].rstrip() + """, c AS MATERIALIZED (SELECT event_id, team, frame // 24 AS day, frame, x, y, dense_rank() OVER (PARTITION BY team, frame // 24 ORDER BY frame) AS i FROM obs),
+k AS MATERIALIZED (SELECT c.event_id, c.team, c.day, c.i, c.x, c.y, count(o.event_id) AS stood FROM c LEFT JOIN c o ON o.team = c.team AND o.day = c.day AND o.frame BETWEEN c.frame - 5 AND c.frame - 1 AND sqrt((o.x - c.x) * (o.x - c.x) + (o.y - c.y) * (o.y - c.y)) < 5 GROUP BY ALL),
+st AS (SELECT team, day, i, p.x AS x, p.y AS y, 0.0::DOUBLE AS vx, 0.0::DOUBLE AS vy, 100.0::DOUBLE AS a, 0.0::DOUBLE AS b, 100.0::DOUBLE AS d, p.x AS lx, p.y AS ly, p.id AS id
+  FROM (SELECT team, day, i, arg_min(struct_pack(x := x, y := y, id := event_id), struct_pack(f := sqrt((x - 530) * (x - 530) + (y - 330) * (y - 330)), x := x, y := y)) AS p FROM k WHERE i = 1 GROUP BY team, day, i) UNION ALL
+ SELECT team, day, i, CASE WHEN ok THEN x + vx + g0 * (p.x - x - vx) ELSE x END, CASE WHEN ok THEN y + vy + g0 * (p.y - y - vy) ELSE y END, CASE WHEN ok THEN vx + g1 * (p.x - x - vx) ELSE vx END, CASE WHEN ok THEN vy + g1 * (p.y - y - vy) ELSE vy END,
+  CASE WHEN ok THEN pa - g0 * pa ELSE a END, CASE WHEN ok THEN pb - g0 * pb ELSE b END, CASE WHEN ok THEN d + 10 - g1 * pb ELSE d END, CASE WHEN ok THEN p.x ELSE lx END, CASE WHEN ok THEN p.y ELSE ly END, CASE WHEN ok THEN p.id END
+  FROM (SELECT *, n > 1 OR sqrt((p.x - lx) * (p.x - lx) + (p.y - ly) * (p.y - ly)) <= 150 AS ok, pa / (pa + 50) AS g0, pb / (pa + 50) AS g1 FROM (
+   SELECT k.team, k.day, k.i, st.x, st.y, st.vx, st.vy, st.a, st.b, st.d, st.lx, st.ly, count(*) AS n, st.a + 2 * st.b + st.d + 10 AS pa, st.b + st.d AS pb, arg_min(struct_pack(x := k.x, y := k.y, id := k.event_id), struct_pack(cost := sqrt((k.x - st.x - st.vx) * (k.x - st.x - st.vx) + (k.y - st.y - st.vy) * (k.y - st.y - st.vy)) + 50 * k.stood
+     + CASE WHEN sqrt((k.x - st.lx) * (k.x - st.lx) + (k.y - st.ly) * (k.y - st.ly)) > 150 THEN 1000 ELSE sqrt((k.x - st.lx) * (k.x - st.lx) + (k.y - st.ly) * (k.y - st.ly)) END, x := k.x, y := k.y)) AS p
+   FROM st JOIN k ON k.team = st.team AND k.day = st.day AND k.i = st.i + 1 GROUP BY k.team, k.day, k.i, st.x, st.y, st.vx, st.vy, st.a, st.b, st.d, st.lx, st.ly)))
+SELECT id AS event_id FROM st WHERE id IS NOT NULL""")
 def pick_ball(spark, d):
-    return chains.pick_ball(_boxes(spark, d).select("event_id", "team", "frame", "x", "y"), ["team"], "frame").select("event_id")
+    b = _boxes(spark, d).select("event_id", "team", F.expr("frame div 24").alias("day"), "frame", "x", "y")
+    return chains.pick_ball(b, ["team", "day"], "frame").select("event_id")
+
+
+@_query(_obs_sql("""SELECT event_id FROM (SELECT event_id, floor(x / 5) AS cx, floor(y / 5) AS cy FROM b) o WHERE NOT EXISTS (SELECT 1 FROM dense q WHERE q.cx = o.cx AND q.cy = o.cy)""", "b AS (SELECT * FROM obs WHERE x BETWEEN 0 AND 400 AND y BETWEEN 0 AND 90)", "c AS (SELECT floor(x / 5) AS cx, floor(y / 5) AS cy, count(*) AS n FROM b GROUP BY ALL)",
+"dense AS (SELECT c.cx, c.cy FROM c WHERE n >= 10 OR (n >= 6 AND EXISTS (SELECT 1 FROM c p WHERE p.n >= 10 AND abs(p.cx - c.cx) <= 2 AND abs(p.cy - c.cy) <= 2 AND ((p.cx - c.cx) * (p.cx - c.cx) + (p.cy - c.cy) * (p.cy - c.cy)) * 25 <= 100)))"))
+def static_free_ball(spark, d):
+    return chains.static_free_ball(P.obs(spark, d), 400.0, 90.0, 5.0, 10, 6, 10.0).select("event_id")
+
+
+@_query()
+def anchor_sizes(spark, d):
+    return chains.anchors(P.box(spark, d).select((F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h")))
