@@ -152,11 +152,16 @@ def ransac_line(x: np.ndarray, y: np.ndarray, tolerance: float, rounds: int = 10
 
 
 def kalman_smooth(z: np.ndarray, order: int = 4, process: float = 1e-2, noise: float = 4.0, dt: float = 1.0) -> np.ndarray:
-    """Positions of a constant-derivative model of `order` states (position to jerk), filtered forward and smoothed backward
+    """The positions of kalman_states()."""
+    return kalman_states(z, order, process, noise, dt)[:, 0]
+
+
+def kalman_states(z: np.ndarray, order: int = 4, process: float = 1e-2, noise: float = 4.0, dt: float = 1.0) -> np.ndarray:
+    """Rows of position, speed, acceleration and so on of a constant-derivative model of `order` states, filtered forward and smoothed backward
     (Rauch, Tung and Striebel); process noise is white on the highest derivative."""
     n = len(z)
     if n < 2:
-        return np.asarray(z, float).copy()
+        return np.c_[np.asarray(z, float), np.zeros((n, order - 1))]
     from math import factorial
 
     a = np.array([[dt ** (j - i) / factorial(j - i) if j >= i else 0.0 for j in range(order)] for i in range(order)])
@@ -176,15 +181,37 @@ def kalman_smooth(z: np.ndarray, order: int = 4, process: float = 1e-2, noise: f
         xs.append(x)
         ps.append(p)
     out = xs[-1]
-    result = np.empty(n)
-    result[-1] = out[0]
+    result = np.empty((n, order))
+    result[-1] = out
     for k in range(n - 2, -1, -1):
         c = np.linalg.solve(pp[k + 1], a @ ps[k]).T
         out = xs[k] + c @ (out - xp[k + 1])
-        result[k] = out[0]
+        result[k] = out
     return result
 
 
+def apart(places: np.ndarray, heights: np.ndarray, least: int) -> np.ndarray:
+    """Of ascending places the highest, without those nearer than `least` to a higher one that stays; of equals the later stays."""
+    places, stays = np.asarray(places, int), np.ones(len(places), bool)
+    for k in np.argsort(heights, kind="stable")[::-1]:
+        if stays[k]:
+            near = np.abs(places - places[k]) < least
+            near[k] = False
+            stays &= ~near
+    return places[stays]
+
+
+def merged(spans: list[tuple[int, int]], share: float = 0.5) -> list[tuple[int, int]]:
+    """Spans [start, end] in order of their starts, each as one with the one before if they share `share` of the shorter one's places."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and min(b, out[-1][1]) - a + 1 >= share * (1 + min(b - a, out[-1][1] - out[-1][0])):
+            out[-1] = out[-1][0], max(out[-1][1], b)
+        else:
+            out.append((a, b))
+    return out
+
+
 def true_runs(mask: np.ndarray) -> list[tuple[int, int]]:
     """[start, end] of runs of true, both inclusive."""
     m = np.concatenate([[False], np.asarray(mask, bool), [False]])

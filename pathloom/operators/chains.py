@@ -6,9 +6,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import numerics as N
 from ..session import ship
+from ..storage import stored
 from . import filters, tall, tracks
 
 
@@ -76,6 +78,59 @@ def smooth_ball(ball: DataFrame, by: list[str], order: str, prominence: float =
     return filtered.groupBy(*by).applyInPandas(work, filtered.schema)
 
 
+def settled(x: np.ndarray, y: np.ndarray, factor: float = 5.0, rounds: int = 10) -> tuple[np.ndarray, np.ndarray]:
+    """(path, acceleration) of a point: either axis smoothed by a four-state model, again and again with points whose residual is `factor`
+    medians or more replaced by the path, until the limits of both move by less than a twentieth."""
+    z, last = np.c_[x, y].astype(float), None
+    for _ in range(rounds):
+        states = [N.kalman_states(z[:, k]) for k in (0, 1)]
+        path = np.c_[states[0][:, 0], states[1][:, 0]]
+        off = np.abs(path - np.c_[x, y])
+        limit = factor * np.median(np.abs(path - z), axis=0)
+        if last is not None and (np.abs(limit - last) < 0.05 * np.maximum(last, 1e-12)).all():
+            break
+        last = limit
+        z = np.where((np.abs(path - z) < limit) | (off < limit), z, path)
+    return path, np.hypot(states[0][:, 2], states[1][:, 2])
+
+
+def vertices(frame: np.ndarray, acceleration: np.ndarray, pieces: list[tuple[int, int]], margin: int = 8, apart: int = 24, prominence: float = 10.0) -> np.ndarray:
+    """The places where a path is pinned: its ends, both ends of every straight piece (one that two chunks or both directions
+    found is one), and between pieces, `margin` frames from either, the peaks of acceleration, `apart` places from a higher one."""
+    straight = N.merged([(a, b) for a, b, *_ in pieces])
+    every = N.peaks(acceleration, 0.0)
+    peaks = np.intersect1d(N.apart(every, acceleration[every], apart), N.peaks(acceleration, prominence))
+    free = np.ones(len(peaks), bool)
+    for a, b in straight:
+        free &= (frame[peaks] >= frame[b] + margin) | (frame[peaks] <= frame[a] - margin)
+    return np.unique(np.r_[0, len(frame) - 1, [k for s in straight for k in s], peaks[free]]).astype(int)
+
+
+def ball_path(
+    ball: DataFrame, by: list[str], order: str, static: dict | None = None, wave: dict | None = None, chunk: int = 2000, overlap: int = 200, residual: float = 8.0, least: int = 25, margin: int = 8, apart: int = 24, prominence: float = 10.0
+) -> DataFrame:
+    """(by, order, x, y) for every whole `order` from a ball's first to its last: what stands is dropped (tracks.static_clusters), the rest
+    settled and freed of sharp waves, straight pieces and the turns between them found, and the path drawn anew as straight lines from one
+    of those points to the next.
+
+    A ball track, such as a match's, is one task up to its points; the frames between them are many. Groups without points that move give nothing.
+    """
+    moving = tracks.static_clusters(ball, by, order, **(static or {}))
+    ship(ball.sparkSession)
+    kind = T.StructType([*[moving.schema[c] for c in by], T.StructField(order, T.LongType()), T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
+
+    def work(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(order, kind="stable").reset_index(drop=True)
+        f = g[order].to_numpy()
+        path, acceleration = settled(g["x"].to_numpy(float), g["y"].to_numpy(float))
+        path = tracks.without_waves(path[:, 0], path[:, 1], **(wave or {}))
+        at = vertices(f, acceleration, tracks.straight_pieces(path[:, 0], path[:, 1], chunk, overlap, residual, least), margin, apart, prominence)
+        return g[by].iloc[at].assign(**{order: f[at], "x": path[at, 0], "y": path[at, 1]})
+
+    pins = moving.select(*by, F.col(order).cast("long").alias(order), "x", "y").groupBy(*by).applyInPandas(work, kind)
+    return tall.interpolate(stored(pins, "pins"), by, order, ["x", "y"]).select(*by, order, "x", "y")
+
+
 class BallFilter:
     """A constant-velocity filter of a point in the plane, one step a frame. Both axes have one covariance, for nothing tells them apart."""
 

@@ -116,17 +116,23 @@ def spike_mask(
     return mask
 
 
+def without_waves(x: np.ndarray, y: np.ndarray, **options) -> np.ndarray:
+    """The points (x, y) with sharp waves replaced by straight lines between their neighbours."""
+    out = np.c_[x, y].astype(float)
+    for a, b in N.true_runs(spike_mask(x, y, **options)):
+        lo, hi = max(a - 1, 0), min(b + 1, len(out) - 1)
+        out[lo : hi + 1] = np.linspace(out[lo], out[hi], hi - lo + 1)
+    return out
+
+
 def repair_spikes(df: DataFrame, by: list[str], order: str, **options) -> DataFrame:
     """Replaces sharp waves of x and y by straight lines between their neighbours, and adds `repaired`."""
 
     def work(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(order, kind="stable").reset_index(drop=True)
-        mask = spike_mask(g["x"].to_numpy(), g["y"].to_numpy(), **options)
-        for a, b in N.true_runs(mask):
-            lo, hi = max(a - 1, 0), min(b + 1, len(g) - 1)
-            for c in ("x", "y"):
-                g.loc[lo:hi, c] = np.linspace(g[c][lo], g[c][hi], hi - lo + 1)
-        return g.assign(repaired=mask)
+        x, y = g["x"].to_numpy(float), g["y"].to_numpy(float)
+        path = without_waves(x, y, **options)
+        return g.assign(x=path[:, 0], y=path[:, 1], repaired=spike_mask(x, y, **options))
 
     return _grouped(df, by, work, _schema(df, ("repaired", T.BooleanType())))
 
@@ -257,27 +263,33 @@ def kalman(df: DataFrame, by: list[str], order: str, factor: float = 5.0, rounds
     return _grouped(df, by, work, df.schema)
 
 
+def straight_pieces(x: np.ndarray, y: np.ndarray, chunk: int = 2000, overlap: int = 200, residual: float = 8.0, least: int = 25) -> list[tuple[int, int, int]]:
+    """(start, end, points) of runs of more than `least` points that stay on one line, by random samples on overlapping chunks in either direction."""
+    found = set()
+    for a in range(0, max(1, len(x)), chunk - overlap):
+        i = np.arange(a, min(len(x), a + chunk))
+        for u, v in ((x, y), (y, x)):  # both regressions: steep pieces are straight in one of them only
+            free = np.ones(len(i), bool)
+            while free.sum() > least:
+                j = i[free]
+                ok = N.ransac_line(u[j], v[j], residual)[2]
+                runs = [(s, e) for s, e in N.true_runs(ok) if e - s + 1 > least]
+                if not runs:
+                    break
+                found |= {(int(j[s]), int(j[e]), e - s + 1) for s, e in runs}
+                free[np.flatnonzero(free)[ok]] = False
+    return sorted(found)
+
+
 def line_pieces(df: DataFrame, by: list[str], order: str, chunk: int = 2000, overlap: int = 200, residual: float = 8.0, least: int = 25) -> DataFrame:
-    """(by, start, end, n): runs of more than `least` rows that stay on one line, by random samples on chunks in either direction."""
+    """(by, start, end, n): the straight_pieces() of a group's path, as values of `order`."""
     keys = [df.schema[c] for c in by]
 
     def work(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(order, kind="stable").reset_index(drop=True)
         f, x, y = g[order].to_numpy(), g["x"].to_numpy(float), g["y"].to_numpy(float)
-        found = set()
-        for a in range(0, max(1, len(g)), chunk - overlap):
-            i = np.arange(a, min(len(g), a + chunk))
-            for u, v in ((x, y), (y, x)):  # both regressions: steep pieces are straight in one of them only
-                free = np.ones(len(i), bool)
-                while free.sum() > least:
-                    j = i[free]
-                    ok = N.ransac_line(u[j], v[j], residual)[2]
-                    runs = [(s, e) for s, e in N.true_runs(ok) if e - s + 1 > least]
-                    if not runs:
-                        break
-                    found |= {(int(f[j[s]]), int(f[j[e]]), e - s + 1) for s, e in runs}
-                    free[np.flatnonzero(free)[ok]] = False
-        return pd.DataFrame([(*[g[c].iloc[0] for c in by], *t) for t in sorted(found)], columns=[*by, "start", "end", "n"])
+        found = [(int(f[a]), int(f[b]), n) for a, b, n in straight_pieces(x, y, chunk, overlap, residual, least)]
+        return pd.DataFrame([(*[g[c].iloc[0] for c in by], *t) for t in found], columns=[*by, "start", "end", "n"])
 
     return _grouped(df, by, work, T.StructType([*keys, T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("n", T.LongType())]))
 

@@ -97,6 +97,12 @@ def smooth_ball(spark, d):
     return chains.smooth_ball(o, ["entity"], "rn", 20.0, 60.0, 5, {"window": 41, "step": 20, "prominence": 20.0})
 
 
+@_query()
+def ball_path(spark, d):
+    o = P.obs(spark, d).select("entity", "rn", "x", "y")
+    return chains.ball_path(o, ["entity"], "rn", {"eps": 20.0, "extent": 20.0}, {"window": 41, "step": 20, "prominence": 20.0}, residual=40.0, least=8, apart=5)
+
+
 # the filter's place, speed and covariance (a, b, d of an axis) go from frame to frame of a day
 @_query("WITH RECURSIVE " + _obs_sql("")[5:].rstrip() + """, c AS MATERIALIZED (SELECT event_id, team, frame // 24 AS day, frame, x, y, dense_rank() OVER (PARTITION BY team, frame // 24 ORDER BY frame) AS i FROM obs),
 k AS MATERIALIZED (SELECT c.event_id, c.team, c.day, c.i, c.x, c.y, count(o.event_id) AS stood FROM c LEFT JOIN c o ON o.team = c.team AND o.day = c.day AND o.frame BETWEEN c.frame - 5 AND c.frame - 1 AND sqrt((o.x - c.x) * (o.x - c.x) + (o.y - c.y) * (o.y - c.y)) < 5 GROUP BY ALL),
