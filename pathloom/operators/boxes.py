@@ -59,7 +59,12 @@ def without_enclosed(df: DataFrame, by: list[str], id_col: str, containment: flo
     b = df.select(*by, F.col(id_col).alias("_r"), *[F.col(c).alias(f"b_{c}") for c in BOX])
     one, two = box("a_"), box("b_")
     holds = (F.col("_l") != F.col("_r")) & (B.area(two) > B.area(one)) & (B.over_smaller(one, two) >= containment) & (B.area_ratio(one, two) <= ratio)
-    gone = _touching(a, b, by, cell if containment > 0 else None).filter(holds).select(*by, F.col("_l").alias(id_col)).distinct()
+    if cell is None or containment <= 0:
+        own = df.select("*", F.col(id_col).alias("_l"), *[F.col(c).alias(f"a_{c}") for c in BOX], *[F.col(c).alias(f"_by_{c}") for c in by])
+        for c in by:
+            holds = holds & (F.col(f"_by_{c}") == F.col(f"_o_{c}"))
+        return own.join(b.withColumnsRenamed({c: f"_o_{c}" for c in by}), holds, "left_anti").select(*df.columns)
+    gone = _touching(a, b, by, cell).filter(holds).select(*by, F.col("_l").alias(id_col)).distinct()
     return df.join(gone, [*by, id_col], "left_anti").select(*df.columns)
 
 

@@ -139,8 +139,15 @@ def average_precision(curve: DataFrame, cls: str) -> DataFrame:
     ends = pts.groupBy(cls).agg(F.max("pos").alias("m"))
     edge = lambda pos, recall, precision: ends.select(cls, pos.cast("long").alias("pos"), F.lit(recall).alias("recall"), F.lit(precision).alias("precision"))
     pts = pts.unionByName(edge(F.lit(0), 0.0, 1.0)).unionByName(edge(F.col("m") + 1, 1.0, 0.0)).withColumn("_q", -F.col("pos"))
-    pts = tall.running(pts, [cls], "_q", "precision", "env", greatest=True)
-    pts = tall.previous(pts, [cls], "pos", ["recall", "env"], ahead=True).filter("next_recall > recall")
+    if (ends.agg(F.max("m")).first()[0] or 0) <= tall.CHUNK:  # no class is more than one chunk
+        at = Window.partitionBy(cls).orderBy("pos")
+        back = Window.partitionBy(cls).orderBy("_q").rowsBetween(Window.unboundedPreceding, 0)  # a frame that grows, not one that shrinks
+        pts = pts.withColumn("env", F.max("precision").over(back))
+        pts = pts.withColumn("next_recall", F.lead("recall").over(at)).withColumn("next_env", F.lead("env").over(at))
+    else:
+        pts = tall.running(pts, [cls], "_q", "precision", "env", greatest=True)
+        pts = tall.previous(pts, [cls], "pos", ["recall", "env"], ahead=True)
+    pts = pts.filter("next_recall > recall")
     # the recalls from this point to the next; at 1 the last one counts
     grid = F.explode(F.sequence(F.ceil(F.col("recall") * 100 - 1e-6), F.floor(F.col("next_recall") * 100 + 1e-6)))
     read = pts.withColumn("i", grid).withColumn("r", F.col("i") / 100.0)

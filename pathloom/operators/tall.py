@@ -52,10 +52,10 @@ def runs(df: DataFrame, by: list[str], order: str, flag: str) -> DataFrame:
 def fill_gaps(df: DataFrame, by: list[str], order: str, flag: str, longest: int) -> DataFrame:
     """Adds `filled`: false runs of at most `longest` rows between true ones become true; leading and trailing ones stay."""
     w = _w(by, order)
-    back = F.last(F.when(F.col(flag), F.row_number().over(w)), True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     df = df.withColumn("_i", F.row_number().over(w)).withColumn("_on", F.when(F.col(flag), F.col("_i")))
     back = F.last("_on", True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("_on", True).over(w.rowsBetween(0, Window.unboundedFollowing))
+    # the next one, as the last in falling order: a frame that grows costs a step a row, one that shrinks all that is left
+    ahead = F.last("_on", True).over(_w(by, F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0))
     return df.withColumn("filled", F.col(flag) | F.coalesce(ahead - back - 1 <= longest, F.lit(False))).drop("_i", "_on")
 
 

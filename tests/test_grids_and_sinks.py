@@ -257,3 +257,17 @@ def test_streamed_windows_equal_the_table(spark, tmp_path):
         batch = sorted((r.user, r.start, r.n) for r in streaming.windows(df, "user", slide=slide).collect() if r.user < 9)
         live = streaming.drain(streaming.windows(streaming.stream(spark, str(tmp_path / "in"), df.schema), "user", slide=slide), f"live_windows{k}", str(tmp_path / f"cp{k}"))
         assert sorted((r.user, r.start, r.n) for r in live.collect() if r.user < 9) == batch and batch
+
+
+def test_precision_envelope_of_many_chunks(spark, monkeypatch):
+    from pathloom.operators import tall
+
+    rng = random.Random(8)
+    rows = [(c, i, round(rng.random(), 3), int(rng.random() < 0.3)) for c in "ab" for i in range(400)]
+    df = spark.createDataFrame(rows, "cls string, id long, score double, hit int")
+    curve = stats.precision_recall(df, "cls", "score", "hit", df.groupBy("cls").agg(F.sum("hit").alias("positives")))
+    whole = {r.cls: r.ap for r in stats.average_precision(curve, "cls").collect()}
+    monkeypatch.setattr(tall, "CHUNK", 37)
+    monkeypatch.setattr(tall.running, "__defaults__", (37, False))
+    monkeypatch.setattr(tall.previous, "__defaults__", (37, False))
+    assert {r.cls: r.ap for r in stats.average_precision(curve, "cls").collect()} == pytest.approx(whole)
