@@ -235,7 +235,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity())
     table gives no rows. Whole texts are read, however long. Scores never depend on doc_id, lang, source or labels of the scored row.
     """
     bounded_batches(docs.sparkSession)
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, p))  # bounded by p.stems and the trees
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, p))  # bounded by the words of a sample of p.rows texts, and the trees
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
