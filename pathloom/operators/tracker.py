@@ -219,9 +219,9 @@ def track_in_chunks(detections: DataFrame, by: list[str], frame: str, conf: str,
     return rows.join(own, "_row", "left").drop("_row")
 
 
-def nearest_to_recent(points: DataFrame, by: list[str], frame: str, frames: int = 10, size: int = 100_000) -> DataFrame:
+def nearest_to_recent(points: DataFrame, by: list[str], frame: str, frames: int = 10, size: int = 100_000, then: tuple = ()) -> DataFrame:
     """One row of each frame: that nearest to the mean of all rows (x, y) of the last `frames` frames that have rows, the frame itself included;
-    ties go by x, then y.
+    ties go by x, then y, then the columns `then`, without which rows at one place tie for good.
 
     A choice doesn't depend on those before, so a group's frames are numbered and go in chunks of `size`, of which each gets the last few frames of
     the chunk before.
@@ -236,7 +236,7 @@ def nearest_to_recent(points: DataFrame, by: list[str], frame: str, frames: int
     centres = placed.select("_of", "_f", "_p", "_k", mean("_x"), mean("_y")).filter(f"_k = _p div {size}").drop("_p", "_k")
     near = points.withColumn("_of", of).withColumn("_f", F.col(frame)).join(centres, ["_of", "_f"])
     far = F.sqrt((F.col("x") - F.col("_xm")) * (F.col("x") - F.col("_xm")) + (F.col("y") - F.col("_ym")) * (F.col("y") - F.col("_ym")))
-    first = Window.partitionBy("_of", "_f").orderBy(far, "x", "y")
+    first = Window.partitionBy("_of", "_f").orderBy(far, "x", "y", *then)
     return near.withColumn("_r", F.row_number().over(first)).filter("_r = 1").select(*points.columns)
 
 

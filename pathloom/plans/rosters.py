@@ -59,7 +59,7 @@ def box_tracks(spark, d):
 @_query(_obs_sql("""SELECT event_id FROM (SELECT o.event_id, row_number() OVER (PARTITION BY o.team, o.frame ORDER BY sqrt((o.x - g.cx) * (o.x - g.cx) + (o.y - g.cy) * (o.y - g.cy)), o.x, o.y) AS r FROM obs o JOIN (
  SELECT team, frame, sum(sx) OVER w / sum(n) OVER w AS cx, sum(sy) OVER w / sum(n) OVER w AS cy FROM (SELECT team, frame, sum(x) AS sx, sum(y) AS sy, count(*) AS n FROM obs GROUP BY team, frame) WINDOW w AS (PARTITION BY team ORDER BY frame ROWS 9 PRECEDING)) g ON g.team = o.team AND g.frame = o.frame) WHERE r = 1"""))
 def nearest_to_recent(spark, d):
-    return tracker.nearest_to_recent(_boxes(spark, d).select("event_id", "team", "frame", "x", "y"), ["team"], "frame").select("event_id")
+    return tracker.nearest_to_recent(_boxes(spark, d).select("event_id", "team", "frame", "x", "y"), ["team"], "frame", then=("event_id",)).select("event_id")
 
 
 @_query(_obs_sql("""SELECT entity, clip, rn AS frame FROM (WITH RECURSIVE o AS MATERIALIZED (SELECT entity, rn, role = 'error' AS t FROM obs),
