@@ -6,6 +6,7 @@ All but the last are set-based: each decision looks at the tracks as they come i
 from __future__ import annotations
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,11 +14,6 @@ from ..functions.labels import similar_numbers
 from ..session import ship
 from ..storage import stored
 from . import joins
-from .graphs import components
-
-
-#: So many tracks that give way are chosen for in one task, whether they meet or not: their rows and pairs are small.
-FEW = 2000
 
 
 def valid_numbers(tracks: DataFrame, roster: DataFrame) -> DataFrame:
@@ -65,7 +61,7 @@ def resolve_in_frames(rows: DataFrame, roster: DataFrame, match: tuple = ()) ->
     A track that has to give way somewhere, once for each number it wears, may take the similar numbers of the roster that no other track
     of the team wears in any of its frames. Tracks choose in order of confidence (the mean over the frames, then the smaller track), each
     the first of its options that no track with which it shares a frame has taken; with none left they are unsure. So no frame holds a
-    number twice. Choices follow from frame to frame only among tracks that meet, so a group of tracks that meet, not a team, is one task.
+    number twice. A (match, team) streams through one task in that order, which holds the numbers taken in each frame, not the tracks that meet.
     """
     on, who = [*match, "frame", "team"], [*match, "team", "track", "number"]
     worn = rows.filter(F.col("number").isNotNull())
@@ -75,42 +71,43 @@ def resolve_in_frames(rows: DataFrame, roster: DataFrame, match: tuple = ()) ->
     lost = stored(lost.withColumn("_id", F.monotonically_increasing_id()), "giving-way")
     frames = stored(ranked.drop("_r", "conf").join(lost.drop("conf"), who), "giving-way-frames")  # the frames of those who give way
     options = lost.join(roster, "team").select(*who, "_id", F.posexplode(similar_numbers(F.col("number"), F.col("numbers"))).alias("pos", "option")).filter("option <> number")
-    others = ranked.select(*on, F.col("track").alias("_o"), F.col("number").alias("option"))
-    taken = frames.join(others, on).filter("_o <> track").select("_id", "option").distinct()
+    # a frame's numbers, of which another track wears one unless it is the only one to do so
+    others = ranked.groupBy(*on, F.col("number").alias("option")).agg(F.min("track").alias("_a"), F.max("track").alias("_z"))
+    taken = frames.join(others, on).filter("option <> number AND (_a <> track OR _z <> track)").select("_id", "option").distinct()
     free = options.join(taken, ["_id", "option"], "left_anti").groupBy("_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "option"))), lambda o: o["option"]).alias("options"))
-    a, b = frames.select(*on, "track", F.col("_id").alias("a")), frames.select(*on, F.col("track").alias("_o"), F.col("_id").alias("b"))
-    meets = a.join(b, on).filter("a < b").select("a", "b").distinct()
-    chosen = _chosen(lost.select("_id", "conf", "track").join(free, "_id", "left"), meets)
-    named = lost.drop("conf").join(chosen, "_id").select(*who, F.lit(True).alias("_l"), F.col("choice").alias("_n"))
+    worn_in = frames.groupBy("_id").agg(F.collect_set("frame").alias("frames"))
+    chosen = _chosen(lost.select(F.struct(F.lit(0), *match, "team").alias("_of"), "_id", "conf", "track").join(free, "_id").join(worn_in, "_id"))
+    named = lost.drop("conf").join(chosen, "_id", "left").select(*who, F.lit(True).alias("_l"), F.col("choice").alias("_n"))
     out = rows.join(named, who, "left")
     state = F.when(F.col("_l").isNull(), "kept").when(F.col("_n").isNotNull(), "changed").otherwise("unsure")
     return out.withColumn("state", state).withColumn("number", F.when(F.col("_l").isNull(), F.col("number")).otherwise(F.col("_n"))).select(*rows.columns, "state")
 
 
-def _chosen(tracks: DataFrame, meets: DataFrame) -> DataFrame:
-    """(_id, choice): `tracks` (_id, conf, track, options) choose by falling confidence, then track and _id, the first option that none of
-    those they meet (a, b) has chosen before. Tracks that meet, directly or not, are one task; so are all, if they are few."""
+def _chosen(tracks: DataFrame) -> DataFrame:
+    """(_id, choice): `tracks` (_of, _id, conf, track, options, frames) of a group `_of` choose by falling confidence, then track and _id, the
+    first option that none before has chosen in one of their frames. A task holds the numbers chosen in each frame of one group."""
     ship(tracks.sparkSession)
-    nodes = tracks.select(F.col("_id").alias("node"))
-    few = tracks.limit(FEW + 1).count() <= FEW
-    group = nodes.withColumn("component", F.lit(0).cast("long")) if few else components(meets, nodes)
-    rows = tracks.join(group.select(F.col("node").alias("_id"), "component"), "_id")
-    pairs = meets.join(group.select(F.col("node").alias("a"), F.col("component").alias("of")), "a")
-
-    def work(t: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
-        near: dict[int, set] = {}
-        for a, b in zip(m["a"], m["b"]):
-            near.setdefault(a, set()).add(b)
-            near.setdefault(b, set()).add(a)
-        choice: dict[int, int | None] = {}
-        for r in t.sort_values(["conf", "track", "_id"], ascending=[False, True, True]).itertuples():
-            used = {choice.get(o) for o in near.get(r[names["_id"]], ())}
-            options = r[names["options"]]
-            choice[r[names["_id"]]] = next((int(o) for o in options if o not in used), None) if options is not None else None
-        return pd.DataFrame({"_id": pd.Series(list(choice), dtype="int64"), "choice": pd.Series(list(choice.values()), dtype="Int32")})
-
-    names = {c: i + 1 for i, c in enumerate(rows.columns)}
-    return rows.groupBy("component").cogroup(pairs.groupBy("of")).applyInPandas(work, "_id long, choice int")
+
+    def work(batches):
+        of, taken, bits = None, {}, {}  # by frame, a bit for each number
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("_key", "options", "frames"))
+            out = []
+            for key, options, frames in zip(*columns):
+                if key != of:
+                    of, taken = key, {}
+                used = 0
+                for f in frames:
+                    used |= taken.get(f, 0)
+                choice = next((o for o in options if not used & bits.setdefault(o, 1 << len(bits))), None)
+                if choice is not None:
+                    for f in frames:
+                        taken[f] = taken.get(f, 0) | bits[choice]
+                out.append(choice)
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(out, pa.int32())], ["_id", "choice"])
+
+    rows = tracks.repartition("_of").sortWithinPartitions("_of", F.desc("conf"), "track", "_id")
+    return rows.select(F.to_json("_of", {"ignoreNullFields": "false"}).alias("_key"), "_id", "options", "frames").mapInArrow(work, "_id long, choice int")
 
 
 class Countdown:
