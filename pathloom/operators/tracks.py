@@ -1,12 +1,16 @@
 """Order-dependent operators on tracks, one group at a time: splitting, smoothing, spike repair, stitching, clusters, ball pieces.
 
-A group is an entity or a (match, team); memory is bounded by it. Everything else on tracks is in tall.py and stats.py.
+A group is an entity or a (match, team); memory is bounded by it, or, in stitching, by what is active of it. Everything else on tracks is in tall.py and stats.py.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,8 +18,6 @@ from pyspark.sql import types as T
 from .. import numerics as N
 from ..functions.labels import letters
 from ..session import ship
-from ..storage import stored
-from .graphs import components
 
 
 def _schema(df: DataFrame, *more: tuple[str, T.DataType]) -> T.StructType:
@@ -137,54 +139,110 @@ def repair_spikes(df: DataFrame, by: list[str], order: str, **options) -> DataFr
     return _grouped(df, by, work, _schema(df, ("repaired", T.BooleanType())))
 
 
-def _may_meet(pieces: DataFrame, by: list[str], most_gap: int, most_overlap: int, reach: float) -> DataFrame:
-    """(a, b): numbers _id of pieces of which one can join a track that ended with the other.
-
-    A track's end is at most most_overlap after that of its last piece, so a piece can only join where one ended from most_gap +
-    most_overlap before its start to most_overlap after it, within reach. Ends and starts meet in cells of that time and place.
-    """
-    of, span, width = F.struct(F.lit(0), *by).alias("_of"), max(1, most_gap + 2 * most_overlap), max(reach, 1e-9)
-    cell = lambda c, d=0: (F.floor(F.col(c) / width) + d).cast("long")
-    ends = pieces.select(of, F.col("_id").alias("a"), "end", "x1", "y1", F.floor(F.col("end") / span).alias("_t"), cell("x1").alias("_x"), cell("y1").alias("_y"))
-    around = F.explode(F.array(*[F.struct(cell("x0", i).alias("_x"), cell("y0", j).alias("_y")) for i in (-1, 0, 1) for j in (-1, 0, 1)]))
-    low, high = F.col("start") - most_gap - most_overlap, F.col("start") + most_overlap
-    starts = pieces.select(of, F.col("_id").alias("b"), "start", "x0", "y0", around.alias("_c"))
-    starts = starts.select("_of", "b", "start", "x0", "y0", "_c._x", "_c._y", F.explode(F.sequence(F.floor(low / span), F.floor(high / span))).alias("_t"))
-    both = ends.join(starts, ["_of", "_t", "_x", "_y"]).filter((F.col("a") != F.col("b")) & F.col("end").between(low, high))
-    return both.filter(F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) <= reach * (1 + 1e-9)).select("a", "b")
-
-
-def stitch(pieces: DataFrame, by: list[str], most_gap: int = 20, most_overlap: int = 15, reach: float = 50.0, alone: int = 5000) -> DataFrame:
+class _Ends:
+    """Where tracks ended lately. Starts ascend, so an end comes into view once and leaves for good. Ends in view lie by place, in cells of
+    reach / 32: of each place a heap of (track, serial), of which those of an older serial than the track's own don't count."""
+
+    def __init__(self, most_gap: int, most_overlap: int, reach: float):
+        self.gap, self.overlap, self.reach, self.size = most_gap, most_overlap, reach, max(reach, 1e-9) / 32
+        self.later, self.until = [], []  # heaps by end: those to come into view, those that will leave it
+        self.cells: dict[tuple[int, int], dict[tuple[float, float], list]] = {}
+        self.serial, self.own = 0, {}
+
+    def add(self, track: int, end: int, x: float, y: float) -> None:
+        self.serial += 1
+        if math.isfinite(x) and math.isfinite(y):
+            heapq.heappush(self.later, (end, self.serial, track, x, y))
+
+    def _cell(self, x: float, y: float) -> tuple[int, int]:
+        return math.floor(x / self.size), math.floor(y / self.size)
+
+    def _oldest(self, cell: tuple[int, int], place: tuple[float, float]) -> int | None:
+        """The oldest track that ended at a place; places and cells that have become empty go."""
+        heap = self.cells[cell][place]
+        while heap and self.own.get(heap[0][0]) != heap[0][1]:
+            heapq.heappop(heap)
+        if heap:
+            return heap[0][0]
+        del self.cells[cell][place]
+        if not self.cells[cell]:
+            del self.cells[cell]
+
+    def _forward(self, start: int) -> None:
+        while self.later and self.later[0][0] <= start + self.overlap:
+            end, serial, track, x, y = heapq.heappop(self.later)
+            heapq.heappush(self.until, (end, serial, track, x, y))
+            heapq.heappush(self.cells.setdefault(self._cell(x, y), {}).setdefault((x, y), []), (track, serial))
+            self.own[track] = serial
+        while self.until and self.until[0][0] < start - self.gap:
+            _, serial, track, x, y = heapq.heappop(self.until)
+            if self.own.get(track) == serial:
+                del self.own[track]
+                self._oldest(self._cell(x, y), (x, y))
+
+    def _rings(self, cx: int, cy: int):
+        """(least distance, cells) about a cell, nearest first; where few cells are in use, all farther ones at once."""
+        for r in range(34):
+            if 8 * r > len(self.cells):
+                yield (r - 1) * self.size, [c for c in self.cells if max(abs(c[0] - cx), abs(c[1] - cy)) >= r]
+                return
+            side = range(cx - r, cx + r + 1)
+            yield (r - 1) * self.size, {(i, j) for j in (cy - r, cy + r) for i in side} | {(i, j) for i in (cx - r, cx + r) for j in range(cy - r, cy + r + 1)}
+
+    def take(self, start: int, x: float, y: float) -> int | None:
+        """The track that ended next to a piece's start, of equals the oldest; it leaves the view."""
+        self._forward(start)
+        if not (math.isfinite(x) and math.isfinite(y)):
+            return None
+        best, near = self.reach * (1 + 1e-9), []
+        for least, cells in self._rings(*self._cell(x, y)):
+            if least > best:
+                break
+            for cell in cells:
+                for place in list(self.cells.get(cell, ())):
+                    d = math.hypot(place[0] - x, place[1] - y)
+                    if d <= best * (1 + 1e-9) and (track := self._oldest(cell, place)) is not None:
+                        best = min(best, d)
+                        near.append((d, track, place, cell))
+        near = [(float(np.hypot(p[0] - x, p[1] - y)), t, p, c) for d, t, p, c in near if d <= best * (1 + 1e-9)]
+        d, track, place, cell = min(near, default=(math.inf, None, None, None))
+        if d > self.reach:
+            return None
+        del self.own[track]
+        self._oldest(cell, place)
+        return track
+
+
+def stitch(pieces: DataFrame, by: list[str], most_gap: int = 20, most_overlap: int = 15, reach: float = 50.0, alone: int | None = None) -> DataFrame:
     """Adds `track` to rows (by, piece, start, end, x0, y0, x1, y1): pieces of a team are joined, each once, in order of start and
     id: to the nearest active track that ended 0 to most_gap frames before, or overlaps by 1 to most_overlap, and ends within reach.
 
-    Pieces that can't meet in a track, directly or through others, don't matter to each other. Where a group has more than `alone` pieces,
-    those that can are a task each; the result is the same.
+    Each choice follows from those before, so a group streams through one task in that order; the task holds the ends of tracks that a
+    piece may yet go on, by place, and no pairs. `alone` is of no effect any more.
     """
-
-    def work(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["start", "piece"], kind="stable")
-        active, out = [], []
-        for r in g.itertuples():
-            active = [t for t in active if t[1] >= r.start - most_gap]
-            near = [(np.hypot(t[2] - r.x0, t[3] - r.y0), k) for k, t in enumerate(active) if -most_overlap <= r.start - t[1] <= most_gap]
-            d, k = min(near, default=(np.inf, -1))
-            if d <= reach:
-                active[k] = (active[k][0], max(active[k][1], r.end), r.x1, r.y1)
-                out.append(active[k][0])
-            else:
-                active.append((r.piece, r.end, r.x1, r.y1))
-                out.append(r.piece)
-        return g.assign(track=out)
-
-    largest = pieces.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-    if largest <= alone:
-        return _grouped(pieces, by, work, _schema(pieces, ("track", pieces.schema["piece"].dataType)))
-    pieces = stored(pieces.withColumn("_id", F.monotonically_increasing_id()), "pieces")
-    part = components(_may_meet(pieces, by, most_gap, most_overlap, reach), pieces.select(F.col("_id").alias("node")))
-    placed = pieces.join(part.select(F.col("node").alias("_id"), F.col("component").alias("_part")), "_id")
-    out = _grouped(placed, [*by, "_part"], work, _schema(placed, ("track", pieces.schema["piece"].dataType)))
-    return out.drop("_id", "_part")
+    ship(pieces.sparkSession)
+    names = pieces.columns
+
+    def work(batches):
+        of, ends, first, last = None, None, [], []  # of each track of a group its first piece and its end
+        for batch in batches:
+            number = lambda c: [math.nan if v is None else v for v in batch.column(c).to_pylist()]
+            out = []
+            for key, piece, start, end, x0, y0, x1, y1 in zip(batch.column("_key").to_pylist(), batch.column("piece").to_pylist(), *map(number, ("start", "end", "x0", "y0", "x1", "y1"))):
+                if key != of:
+                    of, ends, first, last = key, _Ends(most_gap, most_overlap, reach), [], []
+                track = ends.take(start, x0, y0)
+                if track is None:
+                    track = len(first)
+                    first.append(piece)
+                    last.append(end)
+                last[track] = max(last[track], end)
+                ends.add(track, last[track], x1, y1)
+                out.append(first[track])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(out, batch.column("piece").type)], [*names, "track"])
+
+    rows = pieces.withColumn("_key", F.to_json(F.struct(*by), {"ignoreNullFields": "false"})).repartition("_key").sortWithinPartitions("_key", "start", "piece")
+    return rows.mapInArrow(work, _schema(pieces, ("track", pieces.schema["piece"].dataType)))
 
 
 def _kth_distances(z: np.ndarray, k: int) -> np.ndarray:

@@ -2,7 +2,10 @@
 
 import random
 
-from pathloom.operators import roster, tracker
+import numpy as np
+
+from pathloom.operators import roster, tracker, tracks
+
 
 def test_rows_at_one_place_tie_by_the_columns_named(spark):
     rows = [(e, "h", f, float(e % 3), 0.0) for f in range(40) for e in range(f * 30, f * 30 + 30)]
@@ -10,6 +13,7 @@ def test_rows_at_one_place_tie_by_the_columns_named(spark):
     got = {r.frame: r.id for r in tracker.nearest_to_recent(df.orderBy("y", "frame", "x", -df.id).repartition(3), ["team"], "frame", then=("id",)).collect()}
     assert got == {f: f * 30 + 1 for f in range(40)}  # x = 1 is the centre
 
+
 def test_numbers_in_a_crowd_of_one_component(spark):
     """2500 tracks that all meet: in order of confidence, each the first option that is free in all of its frames."""
     rng, rows = random.Random(5), []
@@ -40,3 +44,32 @@ def test_numbers_in_a_crowd_of_one_component(spark):
             taken.setdefault(f, set()).add(o)
         want[t] = {(o, "changed" if o else "unsure")}
     assert got == want and sum(s == "changed" for v in want.values() for _, s in v) > 20
+
+
+def _stitched(rows, most_gap=20, most_overlap=15, reach=50.0):
+    active, out = [], {}
+    for team, p, s, e, x0, y0, x1, y1 in sorted(rows, key=lambda r: (r[2], r[1])):
+        active = [t for t in active if t[1] >= s - most_gap]
+        near = [(float(np.hypot(t[2] - x0, t[3] - y0)), k) for k, t in enumerate(active) if -most_overlap <= s - t[1] <= most_gap]
+        d, k = min(near, default=(np.inf, -1))
+        if d <= reach:
+            active[k] = (active[k][0], max(active[k][1], e), x1, y1)
+            out[p] = active[k][0]
+        else:
+            active.append((p, e, x1, y1))
+            out[p] = p
+    return out
+
+
+def test_stitching_a_crowd_makes_no_pairs(spark):
+    """Pieces that nearly all can meet, many at one place: as in order, and in the plan no join."""
+    rng, rows = random.Random(8), []
+    for i in range(3000):
+        s = rng.randrange(0, 200)
+        place = lambda: (float(rng.randrange(0, 60)), float(rng.randrange(0, 40)))
+        rows.append(("h", i, s, s + rng.randrange(0, 50), *place(), *place()))
+    rows += [("h", 3000 + i, 10 * i, 10 * i + 5, 1000.0 + 40 * i, 0.0, 1000.0 + 40 * i, 30.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "team string, piece long, start long, end long, x0 double, y0 double, x1 double, y1 double")
+    out = tracks.stitch(df, ["team"], alone=0)
+    assert {r.piece: r.track for r in out.collect()} == _stitched(rows)
+    assert "Join" not in out._jdf.queryExecution().toString()
