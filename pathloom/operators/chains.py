@@ -165,6 +165,38 @@ class BallChoice:
         self.centre, self.filter, self.last = np.array(pitch) / 2, None, None
         self.recent: list[tuple[int, np.ndarray]] = []
 
+    def _cheapest(self, here: np.ndarray, base: np.ndarray) -> int:
+        """The first candidate of least base + static_cost * (candidates of the last frames within `still`). Some of those are counted by
+        cells of still / 4 that lie wholly within reach, which bounds the cost from below; candidates are looked at by that bound."""
+        before = np.concatenate([np.empty((0, 2)), *[p for _, p in self.recent]])
+        before = before[np.isfinite(before).all(1)]
+        if not len(before) or self.static_cost <= 0 or self.still <= 0:
+            near = np.array([(np.sqrt(((before - p) ** 2).sum(1)) < self.still).sum() for p in here])
+            return int((base + self.static_cost * near).argmin())
+        size = self.still / 4
+        column = np.floor(before[:, 0] / size).astype(np.int64)
+        order = np.lexsort((before[:, 1], column))
+        before, column = before[order], column[order]
+        cells, at = np.unique(np.c_[column, np.floor(before[:, 1] / size)].astype(np.int64), axis=0, return_index=True)
+        held = dict(zip(map(tuple, cells.tolist()), np.diff(np.r_[at, len(before)]).tolist()))
+        sure = [(i, j) for i in range(-3, 4) for j in range(-3, 4) if (abs(i) + 1) ** 2 + (abs(j) + 1) ** 2 < 15.9]
+        own = np.floor(np.where(np.isfinite(here), here, 0) / size).astype(np.int64)
+        mine, back = np.unique(own, axis=0, return_inverse=True)
+        least = np.array([sum(held.get((a + i, b + j), 0) for i, j in sure) for a, b in mine.tolist()])[back.ravel()]
+        bound = np.where(np.isfinite(here).all(1), base + self.static_cost * least, base)
+        best, k, seen = np.inf, 0, {}
+        for c in np.argsort(bound, kind="stable").tolist():
+            if bound[c] > best:
+                break
+            place = (here[c, 0], here[c, 1])
+            if place not in seen:
+                lo, hi = np.searchsorted(column, [own[c, 0] - 5, own[c, 0] + 6])
+                seen[place] = int((np.sqrt(((before[lo:hi] - here[c]) ** 2).sum(1)) < self.still).sum())
+            cost = base[c] + self.static_cost * seen[place]
+            if cost < best or (cost == best and c < k):
+                best, k = cost, c
+        return k
+
     def pick(self, frame: int, here: np.ndarray) -> int | None:
         self.recent = [(f, p) for f, p in self.recent if f >= frame - self.window]
         k: int | None = 0
@@ -180,9 +212,8 @@ class BallChoice:
         else:
             far = np.sqrt(((here - self.filter.predict()) ** 2).sum(1))
             moved = np.sqrt(((here - self.last) ** 2).sum(1))
-            before = np.concatenate([np.empty((0, 2)), *[p for _, p in self.recent]])
-            stood = (np.sqrt(((here[:, None] - before[None]) ** 2).sum(-1)) < self.still).sum(1)
-            k = int((far + self.static_cost * stood + np.where(moved > self.jump, self.jump_cost, moved)).argmin())
+            base = far + np.where(moved > self.jump, self.jump_cost, moved)
+            k = self._cheapest(here, base)
             self.filter.update(here[k])
         self.recent.append((frame, here))
         self.last = here[k] if k is not None else self.last

@@ -73,3 +73,25 @@ def test_stitching_a_crowd_makes_no_pairs(spark):
     out = tracks.stitch(df, ["team"], alone=0)
     assert {r.piece: r.track for r in out.collect()} == _stitched(rows)
     assert "Join" not in out._jdf.queryExecution().toString()
+
+
+def test_ball_choice_of_a_crowd_by_bounds():
+    """The candidate of least cost as counting all with all finds it, and without a matrix of the candidates' square."""
+    import tracemalloc
+
+    from pathloom.operators.chains import BallChoice
+
+    rng = np.random.default_rng(4)
+    for n, span in ((3, 30), (60, 40), (700, 100), (5, 2000)):
+        for _ in range(20):
+            choice = BallChoice(150.0, 5.0, 5, 50.0, 1000.0, (1060.0, 660.0))
+            choice.recent = [(f, np.round(rng.uniform(-span, span, (n, 2)), 1)) for f in range(3)]
+            here, base = np.round(rng.uniform(-span, span, (n, 2)), 1), np.round(rng.uniform(0, 900, n))
+            before = np.concatenate([p for _, p in choice.recent])
+            stood = (np.sqrt(((here[:, None] - before[None]) ** 2).sum(-1)) < 5.0).sum(1)
+            assert choice._cheapest(here, base) == (base + 50.0 * stood).argmin()
+    choice.pick(0, rng.uniform(0, 500, (4000, 2)))
+    tracemalloc.start()
+    choice.pick(1, rng.uniform(0, 500, (4000, 2)))
+    assert tracemalloc.get_traced_memory()[1] < 30e6  # all with all took 256 MB for one of its arrays
+    tracemalloc.stop()
