@@ -5,7 +5,6 @@ All but the last are set-based: each decision looks at the tracks as they come i
 
 from __future__ import annotations
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -160,14 +159,22 @@ def relabel_in_turn(tracks: DataFrame, windows: DataFrame, most_conf: float = 0.
     """
     ship(tracks.sparkSession)
 
-    def work(key, t: pd.DataFrame, w: pd.DataFrame) -> pd.DataFrame:
-        team = key[0]
-        allowed = 1 if str(team).endswith("goalkeeper") or team == "referee" else 10
-        queue = [(int(r.start), int(r.end), int(r.n), frozenset(int(m) for m in r.members)) for r in w.sort_values(["start", "end", "n"]).itertuples()]
-        known = {int(r.track): (float(r.conf), int(r.start), int(r.end)) for r in t.itertuples()}
-        gone = Countdown(queue, known, allowed, most_conf, share).run()
-        return pd.DataFrame({"track": pd.Series(sorted(gone), dtype="int64"), "team": team})
-
-    gone = tracks.select("team", "track", "conf", "start", "end").groupBy("team").cogroup(windows.groupBy("team")).applyInPandas(work, "track long, team string")
+    def work(batches):
+        for batch in batches:
+            teams, gone = [], []
+            for team, t, w in zip(batch.column("team"), batch.column("_t"), batch.column("_w")):
+                team = team.as_py()
+                allowed = 1 if str(team).endswith("goalkeeper") or team == "referee" else 10
+                queue = [(r["start"], r["end"], r["n"], frozenset(r["members"])) for r in w.as_py()]
+                known = {r["track"]: (r["conf"], r["start"], r["end"]) for r in t.as_py()}
+                found = sorted(Countdown(queue, known, allowed, most_conf, share).run())
+                gone += found
+                teams += [team] * len(found)
+            yield pa.RecordBatch.from_arrays([pa.array(gone, pa.int64()), pa.array(teams, pa.string())], ["track", "team"])
+
+    # a row a team, so that small ones go to Python by the thousand
+    each = tracks.groupBy("team").agg(F.collect_list(F.struct(F.col("track").cast("long").alias("track"), F.col("conf").cast("double").alias("conf"), "start", "end")).alias("_t"))
+    queues = windows.groupBy("team").agg(F.array_sort(F.collect_list(F.struct("start", "end", "n", "members"))).alias("_w"))
+    gone = each.join(queues, "team").select(F.col("team").cast("string").alias("team"), "_t", "_w").mapInArrow(work, "track long, team string")
     out = tracks.join(gone.withColumn("relabelled", F.lit(True)), ["team", "track"], "left").withColumn("relabelled", F.coalesce("relabelled", F.lit(False)))
     return out.withColumn("team", F.when(F.col("relabelled") & (F.col("team") != "referee"), "unsure").otherwise(F.col("team"))).select(*tracks.columns, "relabelled")
