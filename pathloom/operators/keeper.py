@@ -8,7 +8,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ..session import ship
@@ -25,17 +26,18 @@ class Limits:
     right_area: float = 0.0
 
 
-def _angle(a, b, c) -> float:
+def _angles(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
     u, v = a - b, c - b
-    return float(np.degrees(np.arccos(np.clip(u @ v / (np.sqrt(u @ u) * np.sqrt(v @ v) + 1e-6), -1, 1))))
+    dot = lambda p, q: (p[:, None, :] @ q[:, :, None])[:, 0, 0]
+    return np.degrees(np.arccos(np.clip(dot(u, v) / (np.sqrt(dot(u, u)) * np.sqrt(dot(v, v)) + 1e-6), -1, 1)))
 
 
-def _inside(p, poly) -> bool:
-    odd = False
-    for a, b in zip(poly, np.roll(poly, -1, axis=0)):
-        if (a[1] > p[1]) != (b[1] > p[1]) and p[0] < (b[0] - a[0]) * (p[1] - a[1]) / (b[1] - a[1]) + a[0]:
-            odd = not odd
-    return odd
+def _inside(p: np.ndarray, poly: np.ndarray) -> np.ndarray:
+    """Whether each point lies in its polygon."""
+    a, b, x, y = poly, np.roll(poly, -1, axis=1), p[:, :1], p[:, 1:]
+    with np.errstate(all="ignore"):
+        cut = ((a[..., 1] > y) != (b[..., 1] > y)) & (x < (b[..., 0] - a[..., 0]) * (y - a[..., 1]) / (b[..., 1] - a[..., 1]) + a[..., 0])
+    return cut.sum(1) % 2 == 1
 
 
 def _points(skeleton) -> np.ndarray:
@@ -49,49 +51,50 @@ def tags(skeletons: list, balls: list, ball_speed: float | None, lim: Limits = L
     frames = [(_points(s), np.asarray(b, float)) for s, b in zip(skeletons, balls) if s is not None and b is not None]
     if not any(s is not None for s in skeletons) or not any(b is not None for b in balls):
         return [0]
+    s, b = (np.stack(x) for x in zip(*frames)) if frames else (np.empty((0, 17, 2)), np.empty((0, 4)))
+    return _tags(s, b, ball_speed, lim)
+
+
+def _tags(s: np.ndarray, b: np.ndarray, ball_speed: float | None, lim: Limits) -> list[int]:
+    """tags() of frames that have both: points (frames, 17, 2) and balls (frames, 4)."""
     slow = ball_speed is not None and ball_speed < lim.speed
     out: set[int] = set()
-    near, body, ball, reach = [], [], [], 0.0
-    angles: dict[str, list[float]] = {"l": [], "r": []}
-    feet, elbows, ears = ([], []), ([], []), []
-    there = lambda *p: bool(np.isfinite(np.concatenate(p)).all())
-    for s, b in frames:
-        c, size = np.array([(b[0] + b[2]) / 2, (b[1] + b[3]) / 2]), (b[2] - b[0]) * (b[3] - b[1])
-        legs = s[[11, 12, 14, 16, 15, 13]]
-        if there(legs.ravel()) and _inside(np.array([c[0], b[1]]), legs):
-            out.add(10)
-        for side, (sh, el, wr), least in (("l", (5, 7, 9), lim.left_area), ("r", (6, 8, 10), lim.right_area)):
-            if not there(s[sh], s[el]):
-                continue
-            reach = max(reach, 2 * float(np.hypot(*(s[sh] - s[el]))))  # of either arm, seen so far
-            if there(s[wr]):
-                angles[side].append(_angle(s[sh], s[el], s[wr]))
-            if np.hypot(*(s[sh] - c)) <= reach and size > least:
-                last = angles[side][-10:]
-                out |= {9} if slow else set()
-                out |= {7} if any(y < x for x, y in zip(last, last[1:])) else set()
-                out |= {6} if last and last[-1] < lim.elbow else set()
-        for i in (0, 1):
-            feet[i].extend(v for v in [s[15 + i][1]] if np.isfinite(v))
-            elbows[i].extend(v for v in [s[7 + i][1]] if np.isfinite(v))
-            ears.extend(v for v in [s[3 + i][1]] if np.isfinite(v))
-        d = np.sqrt(((s - c) ** 2).sum(1))
-        if np.isfinite(d).any():
-            near.append(float(np.nanmin(d)))
-        trunk = s[[5, 6, 11, 12]]
-        if there(trunk.ravel()):
-            body.append(trunk.mean(0))
-            ball.append(c)
+    there = lambda i: np.isfinite(s[:, i]).all((1, 2))
+    far = lambda v: np.hypot(v[..., 0], v[..., 1])
+    c, size = np.c_[(b[:, 0] + b[:, 2]) / 2, (b[:, 1] + b[:, 3]) / 2], (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
+    legs = [11, 12, 14, 16, 15, 13]
+    if (_inside(np.c_[c[:, 0], b[:, 1]], s[:, legs]) & there(legs)).any():
+        out.add(10)
+    arms = ((5, 7, 9), (6, 8, 10))
+    upper = np.stack([there([sh, el]) for sh, el, _ in arms], 1)
+    length = np.stack([2 * far(s[:, sh] - s[:, el]) for sh, el, _ in arms], 1)
+    reach = np.maximum.accumulate(np.where(upper, length, 0.0).ravel()).reshape(-1, 2)  # of either arm, seen so far
+    for k, ((sh, el, wr), least) in enumerate(zip(arms, (lim.left_area, lim.right_area))):
+        whole = upper[:, k] & there([wr])
+        angle = _angles(s[whole, sh], s[whole, el], s[whole, wr])
+        hits = upper[:, k] & (far(s[:, sh] - c) <= reach[:, k]) & (size > least)
+        out |= {9} if slow and hits.any() else set()
+        n = np.cumsum(whole)[hits]
+        n = n[n > 0]
+        falls = np.r_[0, np.cumsum(angle[1:] < angle[:-1])]  # up to each angle; the last ten count
+        out |= {7} if len(n) and (falls[n - 1] > falls[np.maximum(n - 10, 0)]).any() else set()
+        out |= {6} if len(n) and (angle[n - 1] < lim.elbow).any() else set()
+    fine = lambda v: v[np.isfinite(v)]
+    feet, elbows, ears = [fine(s[:, i, 1]) for i in (15, 16)], [fine(s[:, i, 1]) for i in (7, 8)], fine(s[:, [3, 4], 1].ravel())
+    d = np.sqrt(((s - c[:, None]) ** 2).sum(2))
+    near = np.where(np.isnan(d), np.inf, d).min(1)[np.isfinite(d).any(1)]
+    trunk = [5, 6, 11, 12]
+    body, ball = s[there(trunk)][:, trunk].mean(1), c[there(trunk)]
     if len(near) >= 10 and np.mean(near[-10:]) > lim.distance and len(body) > 1 and np.hypot(*(body[0] - body[-1])) < lim.movement:
         out |= {1, 2, 11}
     if len(body) >= 10:
         first, last, at = np.mean(body[:5], 0), np.mean(body[-5:], 0), np.mean(ball[-5:], 0)
         if np.hypot(*(last - at)) > np.hypot(*(first - at)):
             out.add(3)
-    high = bool(ball and ears) and ball[-1][1] < np.mean(ears)  # image rows grow downwards
-    if high and all(feet) and sum(np.ptp(f) for f in feet) < lim.jump:
+    high = bool(len(ball) and len(ears)) and ball[-1][1] < np.mean(ears)  # image rows grow downwards
+    if high and all(map(len, feet)) and sum(np.ptp(f) for f in feet) < lim.jump:
         out |= {4, 12}
-    if high and any(elbows) and max(min(e, default=0.0) for e in elbows) > np.mean(ears):
+    if high and any(map(len, elbows)) and max(e.min(initial=np.inf) if len(e) else 0.0 for e in elbows) > np.mean(ears):
         out.add(5)
     if slow:
         out.add(8)
@@ -102,10 +105,17 @@ def classify(clips: DataFrame, lim: Limits = Limits()) -> DataFrame:
     """(clip, tags) of rows (clip, frame, skel array<array<double>>, ball array<double>, ball_speed)."""
     ship(clips.sparkSession)
 
-    def work(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values("frame", kind="stable")
-        skel = list(g["skel"])
-        speed = g["ball_speed"].dropna()
-        return pd.DataFrame({"clip": [g["clip"].iloc[0]], "tags": [tags(skel, list(g["ball"]), float(speed.iloc[0]) if len(speed) else None, lim)]})
-
-    return clips.groupBy("clip").applyInPandas(work, "clip long, tags array<int>")
+    def work(g: pa.Table) -> pa.Table:
+        g = g.take(np.argsort(g.column("frame").to_numpy(), kind="stable"))
+        speed = next((v for v in g.column("ball_speed").to_pylist() if v is not None and v == v), None)
+        skel, ball = (g.column(c).combine_chunks() for c in ("skel", "ball"))
+        both = pc.and_(skel.is_valid(), ball.is_valid())
+        points, at = skel.filter(both), ball.filter(both)
+        flat = points.flatten()
+        if len(points) and not (flat.null_count or flat.flatten().null_count or at.flatten().null_count) and (flat.value_lengths().to_numpy() == 2).all() and (points.value_lengths().to_numpy() == 17).all() and (at.value_lengths().to_numpy() == 4).all():
+            found = _tags(flat.flatten().to_numpy().reshape(-1, 17, 2), at.flatten().to_numpy().reshape(-1, 4), speed, lim)
+        else:
+            found = tags(skel.to_pylist(), ball.to_pylist(), speed, lim)
+        return pa.table({"clip": g.column("clip").slice(0, 1).cast(pa.int64()), "tags": pa.array([found], pa.list_(pa.int32()))})
+
+    return clips.select("clip", "frame", "skel", "ball", "ball_speed").groupBy("clip").applyInArrow(work, "clip long, tags array<int>")
