@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+from math import factorial
+
 import numpy as np
 
 
@@ -14,14 +17,21 @@ def savgol(y: np.ndarray, window: int, order: int) -> np.ndarray:
     if window <= order or window < 3:
         return y.copy()
     half = window // 2
-    basis = np.vander(np.arange(-half, half + 1) / half, order + 1, increasing=True)
-    fit = np.linalg.pinv(basis)
+    basis, fit = _polynomials(window, order)
     out = np.convolve(y, fit[0][::-1], "same")
     out[:half] = (basis @ (fit @ y[:window]))[:half]
     out[-half:] = (basis @ (fit @ y[-window:]))[-half:]
     return out
 
 
+@lru_cache(maxsize=256)
+def _polynomials(window: int, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers at a window's places, and what fits them to values."""
+    half = window // 2
+    basis = np.vander(np.arange(-half, half + 1) / half, order + 1, increasing=True)
+    return basis, np.linalg.pinv(basis)
+
+
 def peaks(y: np.ndarray, prominence: float) -> np.ndarray:
     """Positions of local maxima (the middle of flat ones) that stand out by `prominence` or more from the higher of the lowest points
     on either side before a higher value."""
@@ -81,6 +91,8 @@ def dbscan(points: np.ndarray, eps: float, least: int) -> np.ndarray:
     points = np.asarray(points, float)
     if eps <= 0 or not np.isfinite(points).all():
         raise ValueError("eps must be positive and points finite")
+    if n <= 128:
+        return _few(points, eps, least)
     grid = _Cells(points, eps)
     core = np.zeros(n, bool)
     for cell, own in grid.cells.items():
@@ -117,6 +129,22 @@ def dbscan(points: np.ndarray, eps: float, least: int) -> np.ndarray:
     return labels
 
 
+def _few(points: np.ndarray, eps: float, least: int) -> np.ndarray:
+    """dbscan() of so few points that all meet all."""
+    n = len(points)
+    near = ((points[:, None] - points[None]) ** 2).sum(-1) <= eps * eps
+    core = near.sum(1) >= least
+    reach = near & core  # of a row the core points within eps
+    part = np.where(core, np.arange(n), n)
+    while True:
+        lower = np.where(core, np.where(reach, part, n).min(1, initial=n), n)
+        if (lower == part).all():
+            break
+        part = lower
+    part = np.where(core, part, np.where(reach, part, n).min(1, initial=n))
+    return np.where(part < n, np.searchsorted(np.unique(part[core]), part), -1)
+
+
 def single_linkage(n: int, edges: np.ndarray, lengths: np.ndarray, cut: float) -> np.ndarray:
     """Component labels of the graph with the edges no longer than `cut`."""
     root = np.arange(n)
@@ -134,17 +162,29 @@ def single_linkage(n: int, edges: np.ndarray, lengths: np.ndarray, cut: float) -
     return np.unique([find(i) for i in range(n)], return_inverse=True)[1] if n else root
 
 
+@lru_cache(maxsize=4096)
+def _draws(n: int, rounds: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of different places below n."""
+    rng = np.random.default_rng(seed)
+    pairs = np.array([rng.choice(n, 2, replace=False) for _ in range(rounds)])
+    return pairs[:, 0], pairs[:, 1]
+
+
 def ransac_line(x: np.ndarray, y: np.ndarray, tolerance: float, rounds: int = 100, seed: int = 0) -> tuple[float, float, np.ndarray]:
     """(slope, intercept, inliers) of the line that most points keep within `tolerance` of, refitted to those."""
-    rng = np.random.default_rng(seed)
-    best = np.zeros(len(x), bool)
-    for _ in range(rounds):
-        i, j = rng.choice(len(x), 2, replace=False)
-        if x[i] != x[j]:
-            m = (y[j] - y[i]) / (x[j] - x[i])
-            ok = np.abs(y - (y[i] + m * (x - x[i]))) <= tolerance
-            if ok.sum() > best.sum():
-                best = ok
+    i, j = _draws(len(x), rounds, seed)
+    fine = x[i] != x[j]
+    i, j = i[fine], j[fine]
+    best, most = np.zeros(len(x), bool), 0
+    step = max(1, 200_000 // max(1, len(x)))
+    for a in range(0, len(i), step):  # the first of those that most points keep to
+        p, q = i[a : a + step], j[a : a + step]
+        m = (y[q] - y[p]) / (x[q] - x[p])
+        ok = np.abs(y - (y[p, None] + m[:, None] * (x - x[p, None]))) <= tolerance
+        n = ok.sum(1)
+        k = int(n.argmax())
+        if n[k] > most:
+            best, most = ok[k], n[k]
     if best.sum() < 2 or np.ptp(x[best]) == 0:
         return 0.0, float(np.median(y)) if len(y) else 0.0, np.abs(y - (np.median(y) if len(y) else 0)) <= tolerance
     m, c = np.polyfit(x[best], y[best], 1)
@@ -159,35 +199,59 @@ def kalman_smooth(z: np.ndarray, order: int = 4, process: float = 1e-2, noise: f
 def kalman_states(z: np.ndarray, order: int = 4, process: float = 1e-2, noise: float = 4.0, dt: float = 1.0) -> np.ndarray:
     """Rows of position, speed, acceleration and so on of a constant-derivative model of `order` states, filtered forward and smoothed backward
     (Rauch, Tung and Striebel); process noise is white on the highest derivative."""
-    n = len(z)
+    n, z = len(z), np.asarray(z, float)
     if n < 2:
-        return np.c_[np.asarray(z, float), np.zeros((n, order - 1))]
-    from math import factorial
+        return np.c_[z, np.zeros((n, order - 1))]
+    a, gains, back = _gains(order, process, noise, dt, max(128, 1 << (n - 1).bit_length()))
+    if n <= 128:
+        return np.tensordot(_smoother(order, process, noise, dt, n), z, ([2], [0]))
+    xp, xs = np.empty((n, order)), np.empty((n, order))
+    x = np.r_[z[0], np.zeros(order - 1)]
+    for k in range(n):
+        if k:
+            x = a @ x
+        xp[k] = x
+        xs[k] = x = x + gains[k] * (z[k] - x[0])
+    result = xs.copy()
+    for k in range(n - 2, -1, -1):
+        result[k] += back[k] @ (result[k + 1] - xp[k + 1])
+    return result
+
 
+@lru_cache(maxsize=8)
+def _gains(order: int, process: float, noise: float, dt: float, n: int):
+    """(step, filter gains, smoother gains) of the first n places; none depend on what is seen."""
     a = np.array([[dt ** (j - i) / factorial(j - i) if j >= i else 0.0 for j in range(order)] for i in range(order)])
     q = np.array([[dt ** (2 * order - 1 - i - j) / ((2 * order - 1 - i - j) * factorial(order - 1 - i) * factorial(order - 1 - j)) for j in range(order)] for i in range(order)]) * process
-    x, p = np.zeros(order), np.eye(order) * 1e3
-    x[0] = z[0]
-    xs, ps, xp, pp = [], [], [], []
+    p, gains, back = np.eye(order) * 1e3, [], []
     for k in range(n):
         if k:
-            x, p = a @ x, a @ p @ a.T + q
-        xp.append(x)
-        pp.append(p)
-        gain = p[:, 0] / (p[0, 0] + noise)
-        x = x + gain * (z[k] - x[0])
-        p = p - np.outer(gain, p[0])
+            ahead = a @ p @ a.T + q
+            back.append(np.linalg.solve(ahead, a @ p).T)
+            p = ahead
+        gains.append(p[:, 0] / (p[0, 0] + noise))
+        p = p - np.outer(gains[-1], p[0])
         p = (p + p.T) / 2
-        xs.append(x)
-        ps.append(p)
-    out = xs[-1]
-    result = np.empty((n, order))
-    result[-1] = out
+    return a, np.array(gains), np.array(back)
+
+
+@lru_cache(maxsize=256)
+def _smoother(order: int, process: float, noise: float, dt: float, n: int) -> np.ndarray:
+    """(n, order, n): what a short series of n places is multiplied with, for filter and smoother are linear in it."""
+    a, gains, back = _gains(order, process, noise, dt, 128)
+    xp, xs = np.zeros((n, order, n)), np.zeros((n, order, n))
+    x = np.zeros((order, n))
+    x[0, 0] = 1.0
+    for k in range(n):
+        if k:
+            x = a @ x
+        xp[k] = x
+        off = -x[0]
+        off[k] += 1
+        xs[k] = x = x + np.outer(gains[k], off)
     for k in range(n - 2, -1, -1):
-        c = np.linalg.solve(pp[k + 1], a @ ps[k]).T
-        out = xs[k] + c @ (out - xp[k + 1])
-        result[k] = out
-    return result
+        xs[k] += back[k] @ (xs[k + 1] - xp[k + 1])
+    return xs
 
 
 def apart(places: np.ndarray, heights: np.ndarray, least: int) -> np.ndarray:

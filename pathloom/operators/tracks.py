@@ -118,10 +118,10 @@ def spike_mask(
     return mask
 
 
-def without_waves(x: np.ndarray, y: np.ndarray, **options) -> np.ndarray:
-    """The points (x, y) with sharp waves replaced by straight lines between their neighbours."""
+def without_waves(x: np.ndarray, y: np.ndarray, mask: np.ndarray | None = None, **options) -> np.ndarray:
+    """The points (x, y) with sharp waves, those of `mask` if it is known, replaced by straight lines between their neighbours."""
     out = np.c_[x, y].astype(float)
-    for a, b in N.true_runs(spike_mask(x, y, **options)):
+    for a, b in N.true_runs(spike_mask(x, y, **options) if mask is None else mask):
         lo, hi = max(a - 1, 0), min(b + 1, len(out) - 1)
         out[lo : hi + 1] = np.linspace(out[lo], out[hi], hi - lo + 1)
     return out
@@ -133,8 +133,9 @@ def repair_spikes(df: DataFrame, by: list[str], order: str, **options) -> DataFr
     def work(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(order, kind="stable").reset_index(drop=True)
         x, y = g["x"].to_numpy(float), g["y"].to_numpy(float)
-        path = without_waves(x, y, **options)
-        return g.assign(x=path[:, 0], y=path[:, 1], repaired=spike_mask(x, y, **options))
+        mask = spike_mask(x, y, **options)
+        path = without_waves(x, y, mask)
+        return g.assign(x=path[:, 0], y=path[:, 1], repaired=mask)
 
     return _grouped(df, by, work, _schema(df, ("repaired", T.BooleanType())))
 

@@ -95,3 +95,57 @@ def test_ball_choice_of_a_crowd_by_bounds():
     choice.pick(1, rng.uniform(0, 500, (4000, 2)))
     assert tracemalloc.get_traced_memory()[1] < 30e6  # all with all took 256 MB for one of its arrays
     tracemalloc.stop()
+
+
+def test_kernels_of_short_series_reuse_what_hangs_on_length_alone(monkeypatch):
+    """Gains, draws and fits are worked out once a length; short and long ways agree."""
+    from pathloom import numerics as N
+
+    rng = np.random.default_rng(2)
+    long, z = N.kalman_states(np.full(300, 5.0)), rng.exponential(50, 100)
+    assert np.allclose(long[:, 0], 5.0)
+    short = N.kalman_states(z)
+    a, gains, back = N._gains(4, 1e-2, 4.0, 1.0, 128)
+    x, seen, ahead = np.r_[z[0], 0, 0, 0], [], []
+    for k in range(100):
+        x = a @ x if k else x
+        ahead.append(x)
+        x = x + gains[k] * (z[k] - x[0])
+        seen.append(x)
+    for k in range(98, -1, -1):
+        seen[k] = seen[k] + back[k] @ (seen[k + 1] - ahead[k + 1])
+    assert np.allclose(short, seen, atol=1e-9)
+    N.ransac_line(z, z, 1.0), N.savgol(z, 11, 3)
+    for name in ("solve", "pinv"):
+        monkeypatch.setattr(np.linalg, name, None)
+    monkeypatch.setattr(np.random, "default_rng", None)
+    N.kalman_states(z), N.savgol(z, 11, 3), N.ransac_line(z, z, 1.0)
+
+
+def test_few_points_cluster_as_many_do():
+    from pathloom import numerics as N
+
+    rng = np.random.default_rng(3)
+    for n in (1, 5, 40, 100):
+        p = np.round(rng.uniform(0, 100, (n, 2)), 1)
+        far = np.c_[np.arange(200) * 1e4 + 1e6, np.zeros(200)]  # noise, so that there are many
+        assert (N.dbscan(p, 15.0, 4) == N.dbscan(np.r_[p, far], 15.0, 4)[:n]).all()
+
+
+def test_a_long_clip_is_tagged_by_columns(monkeypatch):
+    """Whole skeletons never become Python lists."""
+    from pathloom.operators import keeper
+
+    monkeypatch.setattr(keeper, "_points", None)
+    rng = np.random.default_rng(6)
+    assert 8 in keeper._tags(rng.uniform(0, 300, (500, 17, 2)), rng.uniform(0, 300, (500, 4)), 10.0, keeper.Limits())
+
+
+def test_small_teams_go_to_python_together(spark):
+    """Teams are rows of a stream, not a Python call each."""
+    t = [(f"t{i}", i * 100 + k, k / 100, 0, 50) for i in range(500) for k in range(13)]
+    tracks_ = spark.createDataFrame(t, "team string, track long, conf double, start long, end long")
+    w = spark.createDataFrame([(f"t{i}", 0, 50, 13, [i * 100 + k for k in range(13)]) for i in range(500)], "team string, start long, end long, n long, members array<long>")
+    out = roster.relabel_in_turn(tracks_, w, 0.5)
+    assert sorted(r.track for r in out.filter("relabelled").collect()) == [i * 100 + k for i in range(500) for k in range(3)]
+    assert "CoGroup" not in out._jdf.queryExecution().toString()
