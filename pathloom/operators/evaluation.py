@@ -5,10 +5,15 @@ Curves are keyed by the columns `by`, such as class and overlap level, so that a
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.geometry import packed_iou
+from ..session import ship
 from ..storage import stored
 from . import joins, stats
 
@@ -83,6 +88,54 @@ def mask_pairs(detections: DataFrame, labels: DataFrame, on: list[str], least: f
     return a.join(b, on).withColumn("value", packed_iou(F.col("_a"), F.col("_b"))).filter(F.col("value") >= least).select(*on, "left_id", "right_id", "value")
 
 
+def best_mask_pairs(detections: DataFrame, labels: DataFrame, on: list[str], least: float = 0.5, block: int = 4096) -> DataFrame:
+    """Of mask_pairs() the best of each detection, ties to the smaller label, without making the others: all of an image meet, but in blocks of
+    about `block` detections and labels, a task each, from which a row a detection comes out."""
+    ship(detections.sparkSession)
+    of = F.struct(F.lit(0), *on)
+    a = detections.filter(F.col("mask").isNotNull()).select(*on, F.col("det").alias("_id"), "mask")
+    b = labels.filter(F.col("mask").isNotNull()).select(*on, F.col("lab").alias("_id"), "mask")
+    for c in on:
+        a, b = a.filter(F.col(c).isNotNull()), b.filter(F.col(c).isNotNull())
+    sizes = lambda d, n: d.groupBy(of.alias("_of")).agg(F.ceil(F.count("*") / block).cast("int").alias(n))
+    cells = stored(sizes(a, "_na").join(sizes(b, "_nb"), "_of"), "mask-blocks")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("_id"), F.col(n)).cast("int")
+    a = a.withColumn("_of", of).join(cells, "_of").withColumn("_a", own("_na")).withColumn("_b", every("_nb"))
+    b = b.withColumn("_of", of).join(cells, "_of").withColumn("_b", own("_nb")).withColumn("_a", every("_na"))
+    names = [*on, "_id", "mask", "_a", "_b"]
+    schema = T.StructType([*[a.schema[c] for c in on], T.StructField("left_id", a.schema["_id"].dataType), T.StructField("right_id", b.schema["_id"].dataType), T.StructField("value", T.DoubleType())])
+
+    def bits(table: pa.Table, words: int) -> tuple[pa.Table, np.ndarray]:
+        table = table.filter(pc.equal(pc.list_value_length(table.column("mask")), words))
+        flat = table.column("mask").combine_chunks().flatten().to_numpy().astype("<i8").view(np.uint8).reshape(len(table), words * 8)
+        return table, np.unpackbits(flat, axis=1).astype(np.float32)
+
+    def work(x: pa.Table, y: pa.Table) -> pa.Table:
+        out = []
+        y = y.sort_by("_id")
+        for words in set(pc.list_value_length(x.column("mask")).to_pylist()) & set(pc.list_value_length(y.column("mask")).to_pylist()):
+            (p, u), (q, v) = bits(x, words), bits(y, words)
+            nu, nv = u.sum(1, dtype=float), v.sum(1, dtype=float)
+            for k in range(0, len(u), 512):
+                both = (u[k : k + 512] @ v.T).astype(float)  # whole numbers, exact
+                either = nu[k : k + 512, None] + nv[None] - both
+                value = np.divide(both, either, out=np.zeros_like(both), where=either > 0)
+                at = value.argmax(1)  # the first of equals
+                best = value[np.arange(len(at)), at]
+                ok = np.flatnonzero(best >= least)
+                some = p.slice(k, 512).take(pa.array(ok))
+                out.append(pa.Table.from_arrays([*(some.column(c) for c in on), some.column("_id"), q.column("_id").take(pa.array(at[ok])), pa.chunked_array([pa.array(best[ok])])], schema.fieldNames()))
+        none = [x.slice(0, 0).column(c) for c in (*on, "_id")] + [y.slice(0, 0).column("_id"), pa.chunked_array([pa.array([], pa.float64())])]
+        return pa.concat_tables(out) if out else pa.Table.from_arrays(none, schema.fieldNames())
+
+    a, b = (x.select(*[F.col(c).alias(f"{side}{c}") for c in names]) for x, side in ((a, "l"), (b, "r")))  # both may come from one table
+    keys = lambda side: [f"{side}{c}" for c in (*on, "_a", "_b")]
+    found = a.groupBy(*keys("l")).cogroup(b.groupBy(*keys("r"))).applyInArrow(lambda x, y: work(x.rename_columns(names), y.rename_columns(names)), schema)
+    best = found.groupBy(*on, "left_id").agg(F.min(F.struct((-F.col("value")).alias("v"), "right_id")).alias("_m"))
+    return best.select(*on, "left_id", "_m.right_id", (-F.col("_m.v")).alias("value"))
+
+
 def box_and_mask_bundle(boxes: DataFrame, masks: DataFrame, cls: str, level: str, positives: DataFrame) -> DataFrame:
     """metric_bundle() of boxes and of masks side by side: (cls, box_precision, …, mask_ap), and fitness, 0.1 of either ap50 and 0.9 of either ap."""
     names = ("precision", "recall", "ap50", "ap")

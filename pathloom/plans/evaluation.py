@@ -56,7 +56,7 @@ def _mask_hits(spark, d):
     bits = F.transform("embedding", lambda x: F.when(x > 0, 1).otherwise(0))
     b = P.table(spark, d, "embeddings").select(F.col("label").alias("image"), F.col("vec_id").alias("det"), (F.col("vec_id") % 3).cast("string").alias("cls"), (1000 * (F.col("vec_id") * 7919 % 97)).cast("double").alias("conf"), packed_mask(bits).alias("mask"))
     labels = b.filter("det % 2 = 0")
-    pairs = evaluation.mask_pairs(b.filter("det % 2 = 1"), labels.withColumnRenamed("det", "lab"), ["image", "cls"], 0.3)
+    pairs = evaluation.best_mask_pairs(b.filter("det % 2 = 1"), labels.withColumnRenamed("det", "lab"), ["image", "cls"], 0.3)
     m = evaluation.matches(pairs, ["image"], (0.3, 0.4, 0.5)).select("image", "level", F.col("left_id").alias("det"), F.lit(True).alias("m"))
     dets = b.filter("det % 2 = 1").select("image", "det", "cls", (F.col("conf") / 110_000).alias("conf"), F.explode(F.array(*map(F.lit, (0.3, 0.4, 0.5)))).alias("level"))
     s = dets.join(m, ["image", "level", "det"], "left").select("cls", "level", "conf", (F.col("image") * 10 + F.col("det")).alias("id"), F.coalesce("m", F.lit(False)).alias("hit"))

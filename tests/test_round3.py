@@ -149,3 +149,22 @@ def test_small_teams_go_to_python_together(spark):
     out = roster.relabel_in_turn(tracks_, w, 0.5)
     assert sorted(r.track for r in out.filter("relabelled").collect()) == [i * 100 + k for i in range(500) for k in range(3)]
     assert "CoGroup" not in out._jdf.queryExecution().toString()
+
+
+def test_best_masks_by_blocks(spark):
+    """The best of all pairs, whatever the blocks, without a row for each pair."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from pathloom.functions.geometry import packed_mask
+    from pathloom.operators import evaluation
+
+    rng = random.Random(1)
+    rows = [(i % 3, str(i % 2), i, [rng.random() < 0.4 for _ in range(70 if i % 11 else 5)]) for i in range(300)] + [(0, "0", 900, [False] * 70), (0, "0", 901, None)]
+    m = spark.createDataFrame(rows, "image long, cls string, det long, bits array<boolean>").select("image", "cls", "det", F.when(F.col("bits").isNotNull(), packed_mask(F.col("bits"))).alias("mask"))
+    d, lab = m.filter("det % 4 < 2"), m.filter("det % 4 >= 2 OR det >= 900").withColumnRenamed("det", "lab")
+    best = Window.partitionBy("image", "cls", "left_id").orderBy(F.desc("value"), "right_id")
+    for least in (0.0, 0.3):
+        want = {(r.left_id, r.right_id, r.value) for r in evaluation.mask_pairs(d, lab, ["image", "cls"], least).withColumn("r", F.row_number().over(best)).filter("r = 1").collect()}
+        for block in (7, 4096):
+            assert {(r.left_id, r.right_id, r.value) for r in evaluation.best_mask_pairs(d, lab, ["image", "cls"], least, block).collect()} == want and len(want) > 50
