@@ -148,16 +148,17 @@ def unletterbox_points(points: Column, from_size, to_size) -> Column:
 
 def resampled(points: Column, n: int) -> Column:
     """`n` points (x, y), evenly spaced by number along a closed polygon, whose first point is its last again."""
-    closed = F.concat(points, F.slice(points, 1, 1))
-    step = (F.size(closed) - 1) / F.lit(float(n - 1))
-
-    def at(i: Column) -> Column:
-        t = i * step
-        low = F.least(F.floor(t).cast("int"), F.size(closed) - 2)
-        a, b, share = closed[low], closed[low + 1], t - low
+    # the array isn't built anew for the last point: within a lambda that would be done for each of the n
+    size = F.size(points)
+    step = size / F.lit(float(n - 1))
+    place = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.struct((i * step).alias("t"), F.least(F.floor(i * step).cast("int"), size - 1).alias("low")))
+
+    def at(p: Column) -> Column:
+        low, share = p["low"], p["t"] - p["low"]
+        a, b = F.get(points, low), F.get(points, F.when(low + 1 < size, low + 1).otherwise(0))
         return F.struct((a["x"] + (b["x"] - a["x"]) * share).alias("x"), (a["y"] + (b["y"] - a["y"]) * share).alias("y"))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)
+    return F.transform(place, at)
 
 
 def four_forms(box, width, height) -> dict[str, tuple]:

@@ -168,3 +168,13 @@ def test_best_masks_by_blocks(spark):
         want = {(r.left_id, r.right_id, r.value) for r in evaluation.mask_pairs(d, lab, ["image", "cls"], least).withColumn("r", F.row_number().over(best)).filter("r = 1").collect()}
         for block in (7, 4096):
             assert {(r.left_id, r.right_id, r.value) for r in evaluation.best_mask_pairs(d, lab, ["image", "cls"], least, block).collect()} == want and len(want) > 50
+
+
+def test_a_polygon_is_not_closed_anew_for_each_point(spark):
+    from pyspark.sql import functions as F
+
+    from pathloom.functions.boxes import resampled
+
+    df = spark.createDataFrame([([(0.0, 0.0), (4.0, 0.0), (4.0, 4.0)],)], "p array<struct<x: double, y: double>>").select(resampled(F.col("p"), 7).alias("q"))
+    assert [tuple(q) for q in df.first().q] == [(0.0, 0.0), (2.0, 0.0), (4.0, 0.0), (4.0, 2.0), (4.0, 4.0), (2.0, 2.0), (0.0, 0.0)]
+    assert "concat" not in df._jdf.queryExecution().optimizedPlan().toString()
