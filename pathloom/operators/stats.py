@@ -119,13 +119,13 @@ def class_weights(df: DataFrame, cls: str) -> DataFrame:
 def ranked_hits(df: DataFrame, by: list[str], score: str, hit: str) -> DataFrame:
     """Adds rank, from 1 by falling score, ties by `id`, and tp, the hits up to there. A class of any share of the rows lies in many ranges of
     scores, whose counts and hits before each come from a row a range."""
-    placed = numbered(df.withColumn("_t", F.col(hit).cast("long")), by, [F.desc(score), "id"], "_p")
-    return tall.running(placed, by, "_p", "_t", "tp").withColumn("rank", F.col("_p") + 1).drop("_p", "_t")
+    placed = numbered(df.withColumn("_t", F.col(hit).cast("long")), by, [F.desc(score), "id"], "_p", ("_t", "tp"))
+    return placed.withColumn("rank", F.col("_p") + 1).drop("_p", "_t")
 
 
 def precision_recall(df: DataFrame, cls: str, score: str, hit: str, positives: DataFrame) -> DataFrame:
     """Curve rows (cls, rank, tp, fp, recall, precision) of scored rows; `positives`: (cls, positives). Rows tie by `id`."""
-    c = ranked_hits(df, [cls], score, hit).join(positives, cls)
+    c = ranked_hits(df, [cls], score, hit).join(F.broadcast(positives), cls)  # a row a class
     return c.select(cls, "rank", "tp", (F.col("rank") - F.col("tp")).alias("fp"), (F.col("tp") / (F.col("positives") + 1e-16)).alias("recall"), (F.col("tp") / F.col("rank")).alias("precision"))
 
 
@@ -133,21 +133,20 @@ def average_precision(curve: DataFrame, cls: str) -> DataFrame:
     """(cls, ap): the precision envelope read at 101 recalls by linear interpolation between curve points, by trapezoids.
 
     The curve begins at (0, 1) and ends at (1, 0) beyond its last recall. Of points with equal recall the
-    last counts, as for interpolation on a sorted axis. The envelope goes over chunks of ranks, so a class isn't one task.
+    last counts, as for interpolation on a sorted axis. Recall never falls along a curve, so only the points beside one of the 101 are read: the
+    curve is summed up in a row for each recall that a point lies before, and the envelope goes over those rows.
     """
-    pts = stored(curve.select(cls, F.col("rank").alias("pos"), "recall", "precision"), "curves")
-    ends = pts.groupBy(cls).agg(F.max("pos").alias("m"))
-    edge = lambda pos, recall, precision: ends.select(cls, pos.cast("long").alias("pos"), F.lit(recall).alias("recall"), F.lit(precision).alias("precision"))
-    pts = pts.unionByName(edge(F.lit(0), 0.0, 1.0)).unionByName(edge(F.col("m") + 1, 1.0, 0.0)).withColumn("_q", -F.col("pos"))
-    if (ends.agg(F.max("m")).first()[0] or 0) <= tall.CHUNK:  # no class is more than one chunk
-        at = Window.partitionBy(cls).orderBy("pos")
-        back = Window.partitionBy(cls).orderBy("_q").rowsBetween(Window.unboundedPreceding, 0)  # a frame that grows, not one that shrinks
-        pts = pts.withColumn("env", F.max("precision").over(back))
-        pts = pts.withColumn("next_recall", F.lead("recall").over(at)).withColumn("next_env", F.lead("env").over(at))
-    else:
-        pts = tall.running(pts, [cls], "_q", "precision", "env", greatest=True)
-        pts = tall.previous(pts, [cls], "pos", ["recall", "env"], ahead=True)
-    pts = pts.filter("next_recall > recall")
+    up = F.ceil(F.col("recall") * 100)
+    step = F.when(F.col("recall") >= 1, F.when(F.col("recall") > 1, 102).otherwise(101)).when(F.col("recall") <= (up - 1) / 100.0, up - 1).when(F.col("recall") > up / 100.0, up + 1).otherwise(up)
+    pts = curve.select(cls, F.col("rank").alias("pos"), "recall", "precision", step.alias("_s")).groupBy(cls, "_s")
+    pts = pts.agg(F.min("pos").alias("pos"), F.max("pos").alias("_z"), F.min_by("recall", "pos").alias("_r1"), F.max_by("recall", "pos").alias("recall"), F.max_by("precision", "pos").alias("precision"), F.max("precision").alias("_top"))
+    pts = stored(pts.drop("_s"), "curves")
+    ends = pts.groupBy(cls).agg(F.max("_z").alias("m"))
+    edge = lambda pos, recall, precision: ends.select(cls, pos.cast("long").alias("pos"), F.lit(recall).alias("_r1"), F.lit(recall).alias("recall"), F.lit(precision).alias("precision"), F.lit(precision).alias("_top"))
+    pts = pts.drop("_z").unionByName(edge(F.lit(0), 0.0, 1.0)).unionByName(edge(F.col("m") + 1, 1.0, 0.0)).withColumn("_q", -F.col("pos"))
+    later = Window.partitionBy(cls).orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
+    pts = pts.withColumn("next_env", F.max("_top").over(later)).withColumn("next_recall", F.lag("_r1").over(Window.partitionBy(cls).orderBy("_q")))
+    pts = pts.withColumn("env", F.greatest("precision", "next_env")).filter("next_recall > recall")
     # the recalls from this point to the next; at 1 the last one counts
     grid = F.explode(F.sequence(F.ceil(F.col("recall") * 100 - 1e-6), F.floor(F.col("next_recall") * 100 + 1e-6)))
     read = pts.withColumn("i", grid).withColumn("r", F.col("i") / 100.0)
