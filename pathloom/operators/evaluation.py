@@ -33,7 +33,7 @@ def matches(pairs: DataFrame, by: list[str], levels: tuple = LEVELS) -> DataFram
 
 def curves(scored: DataFrame, by: list[str], positives: DataFrame, score: str = "conf", hit: str = "hit") -> DataFrame:
     """(by, rank, conf, tp, recall, precision) of rows in descending score; ties by `id`. `positives`: (by, positives), some of `by` suffice."""
-    c = stats.ranked_hits(scored, by, score, hit).join(positives, [x for x in positives.columns if x != "positives"])
+    c = stats.ranked_hits(scored, by, score, hit).join(F.broadcast(positives), [x for x in positives.columns if x != "positives"])  # a row a class
     return c.select(*by, "rank", F.col(score).alias("conf"), "tp", (F.col("tp") / (F.col("positives") + 1e-16)).alias("recall"), (F.col("tp") / F.col("rank")).alias("precision"))
 
 
@@ -50,10 +50,16 @@ def working_points(curve: DataFrame, by: list[str], points: int = 1000, share: f
     confidence recall is 0 and precision 1, below the lowest the last row counts.
     """
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
-    down = Window.partitionBy(*by).orderBy(F.desc("conf"), "rank")
-    # of rows of one confidence the last is what a reading from above sees
-    c = curve.withColumn("_next", F.lead("conf").over(down)).withColumn("_r2", F.lead("recall").over(down)).withColumn("_p2", F.lead("precision").over(down))
-    top = curve.groupBy(*by).agg(F.max("conf").alias("_top"), F.min("conf").alias("_low"), F.max_by("recall", "rank").alias("_rl"), F.max_by("precision", "rank").alias("_pl"))
+    # only rows beside one of the confidences are read, so the curve is summed up in a row for each that its rows lie above; of rows of one
+    # confidence the last is what a reading from above sees
+    low = F.floor(F.col("conf") * (points - 1))
+    step = F.when(~F.isnan("conf"), F.when((low + 1) / (points - 1.0) <= F.col("conf"), low + 1).when(low / (points - 1.0) > F.col("conf"), low - 1).otherwise(low))
+    sides = lambda f, s: [f(x, "rank").alias(f"_{x}{s}") for x in ("conf", "recall", "precision")]
+    c = curve.withColumn("_s", step).groupBy(*by, "_s").agg(F.min("rank").alias("_a"), F.max("rank").alias("rank"), F.max("conf").alias("_top"), F.min("conf").alias("_low"), *sides(F.min_by, 1), *sides(F.max_by, 2))
+    c = stored(c.drop("_s"), "curve-steps")
+    top = c.groupBy(*by).agg(F.max("_top").alias("_top"), F.min("_low").alias("_low"), F.max_by("_recall2", "rank").alias("_rl"), F.max_by("_precision2", "rank").alias("_pl"))
+    down = Window.partitionBy(*by).orderBy("_a")
+    c = c.select(*by, F.col("_conf2").alias("conf"), F.col("_recall2").alias("recall"), F.col("_precision2").alias("precision"), *[F.lead(f"_{x}1").over(down).alias(n) for x, n in (("conf", "_next"), ("recall", "_r2"), ("precision", "_p2"))])
     at = top.withColumn("_i", grid).withColumn("x", F.col("_i") / (points - 1.0))
     above = at.filter("x > _top").select(*by, "_i", "x", F.lit(0.0).alias("recall"), F.lit(1.0).alias("precision"))
     below = at.filter("x <= _low").select(*by, "_i", "x", F.col("_rl").alias("recall"), F.col("_pl").alias("precision"))
@@ -71,10 +77,10 @@ def metric_bundle(scored: DataFrame, cls: str, level: str, positives: DataFrame)
     """(cls, precision, recall, ap50, ap) by class, with the means in a row of class null. Precision and recall are those of the
     lowest level's working point."""
     c = stored(curves(scored, [cls, level], positives), "curves")
-    ap = average_precisions(c, [cls, level])
-    low = F.min(level).over(Window.partitionBy(F.lit(1)))
-    ap50 = ap.withColumn("_l", low).filter(F.col(level) == F.col("_l")).select(cls, F.col("ap").alias("ap50"))
-    points = working_points(c.withColumn("_l", low).filter(F.col(level) == F.col("_l")).drop("_l", level), [cls]).select(cls, "precision", "recall")
+    ap = stored(average_precisions(c, [cls, level]), "average-precisions")
+    low = F.col(level) == F.lit(c.agg(F.min(level)).first()[0])
+    ap50 = ap.filter(low).select(cls, F.col("ap").alias("ap50"))
+    points = working_points(c.filter(low).drop(level), [cls]).select(cls, "precision", "recall")
     by = ap.groupBy(cls).agg(F.avg("ap").alias("ap")).join(ap50, cls, "left").join(points, cls, "left").select(cls, "precision", "recall", "ap50", "ap")
     mean = by.agg(F.lit(None).cast(by.schema[cls].dataType).alias(cls), *[F.avg(c).alias(c) for c in ("precision", "recall", "ap50", "ap")])
     return by.unionByName(mean.select(*by.columns))

@@ -45,6 +45,31 @@ def test_average_precision_keeps_few_rows(spark):
     assert got == {(c, lv): pytest.approx(_plain([r[2:] for r in rows if r[:2] == (c, lv)], 100)[0], abs=1e-9) for c in "xyz" for lv in (0.5, 0.75)}
 
 
+def test_metric_bundle_holds_no_curve_in_a_task(spark):
+    rows, df, positives = _scored(spark, 1500, 60, 2)
+    before = len(storage._paths)
+    bundle = evaluation.metric_bundle(df, "cls", "level", positives)
+    assert "windowspecdefinition(1" not in bundle._jdf.queryExecution().analyzed().toString()
+    steps = [p for p in storage._paths[before:] if "/curve-steps-" in p]
+    assert steps and spark.read.parquet(steps[0]).count() <= 3 * 102 < 3 * 1500
+    got = {r.cls: r for r in bundle.collect()}
+    curves = {c: _plain([r[2:] for r in rows if r[:2] == (c, 0.5)], 60) for c in "xyz"}
+    assert {c: got[c].ap50 for c in curves} == {c: pytest.approx(v[0], abs=1e-9) for c, v in curves.items()}
+    # the working point, read by straight lines from the last row of each confidence to the first of the next
+    i = 0
+    for c, (_, conf, recall, precision) in curves.items():
+        for k in range(1000):
+            x = k / 999.0
+            at = np.flatnonzero(conf >= x)
+            if len(at) == 0 or at[-1] + 1 == len(conf):
+                continue
+            a, b = at[-1], at[-1] + 1
+            r = recall[a] + (recall[b] - recall[a]) * (conf[a] - x) / (conf[a] - conf[b])
+            p = precision[a] + (precision[b] - precision[a]) * (conf[a] - x) / (conf[a] - conf[b])
+            i += abs(r - got[c].recall) < 1e-12 and abs(p - got[c].precision) < 1e-12
+    assert i >= 3
+
+
 def test_numbered_adds_totals(spark):
     rng = random.Random(3)
     rows = [(rng.choice(["a", "b", None]), rng.randrange(50), i, rng.choice([0, 1, 5, None])) for i in range(2000)]
