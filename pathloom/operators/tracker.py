@@ -11,6 +11,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,8 @@ from .graphs import components
 from .numbering import numbered
 
 BOX = ["x1", "y1", "x2", "y2"]
+#: Pairs of tracks and boxes whose costs are held at once; of more, a track's costs are made whenever they are looked at.
+DENSE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -50,14 +54,29 @@ def assignment(cost: np.ndarray) -> list[tuple[int, int]]:
         return []
     if cost.shape[0] > cost.shape[1]:
         return sorted((r, c) for c, r in assignment(cost.T))
-    n, m = cost.shape
+    return _assigned(cost.__getitem__, *cost.shape)
+
+
+def close_pairs(a: np.ndarray, b: np.ndarray, far: float) -> list[tuple[int, int]]:
+    """assignment() of boxes `a` and `b` by 1 - overlap, costs above `far` being alike; pairs above it are left out."""
+    turned = len(a) > len(b)
+    rows, columns = (b, a) if turned else (a, b)
+    row = lambda i: 1 - overlaps(rows[i : i + 1], columns)[0]
+    if len(a) * len(b) <= DENSE:
+        row = (1 - overlaps(rows, columns)).__getitem__
+    pairs = _assigned(lambda i: np.minimum(row(i), far + 1e-3), len(rows), len(columns)) if len(rows) else []
+    return sorted((c, r) if turned else (r, c) for r, c in pairs if row(r)[c] <= far)
+
+
+def _assigned(row_of, n: int, m: int) -> list[tuple[int, int]]:
+    """assignment() of n rows, no more than the m columns, whose costs `row_of` gives."""
     u, v, match = np.zeros(n + 1), np.zeros(m + 1), np.zeros(m + 1, int)
     for i in range(1, n + 1):
         match[0], j, way = i, 0, np.zeros(m + 1, int)
         least, used = np.full(m + 1, np.inf), np.zeros(m + 1, bool)
         while match[j]:
             used[j] = True
-            row = cost[match[j] - 1] - u[match[j]] - v[1:]
+            row = row_of(match[j] - 1) - u[match[j]] - v[1:]
             better = ~used[1:] & (row < least[1:])
             least[1:][better], way[1:][better] = row[better], j
             free = np.where(used, np.inf, least)
@@ -138,8 +157,7 @@ class Tracker:
         def meet(tracks: list, which: np.ndarray, far: float) -> tuple[list, np.ndarray]:
             if not tracks or not len(which):
                 return tracks, which
-            cost = 1 - overlaps(np.array([t.box() for t in tracks]), boxes[which])
-            pairs = [(r, c) for r, c in assignment(np.minimum(cost, far + 1e-3)) if cost[r, c] <= far]
+            pairs = close_pairs(np.array([t.box() for t in tracks]), boxes[which], far)
             for r, c in pairs:
                 tracks[r].update(boxes[which[c]], frame)
                 out[which[c]] = tracks[r].id
@@ -181,6 +199,51 @@ def _tracked(g: pd.DataFrame, frame: str, conf: str, p: Association) -> pd.DataF
     return g.assign(track=pd.array([None if t < 0 else int(t) for t in out], dtype="Int64"))
 
 
+def _streamed(keys: list[str], frame: str, conf: str, p: Association, home: str | None = None):
+    """For mapInArrow: adds `track` to rows sorted by keys, frame, falling confidence and place, and drops those of none. A task holds a batch
+    of rows or a frame, and the tracks alive. The last key is a chunk: with `home`, one that has no rows of its own first is left out."""
+
+    def codes(column: pa.ChunkedArray) -> np.ndarray:
+        return pc.fill_null(column.combine_chunks().dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+
+    def work(batches):
+        waiting, tracker, goes_on = None, None, False
+
+        def done(table: pa.Table, edges: np.ndarray, new: np.ndarray) -> list[pa.RecordBatch]:
+            nonlocal tracker
+            boxes = np.stack([table.column(c).cast(pa.float64()).to_numpy() for c in BOX], 1)
+            c, f = table.column(conf).cast(pa.float64()).to_numpy(), table.column(frame).to_numpy()
+            own = np.ones(len(table), bool) if home is None else table.column(home).to_numpy() == table.column(keys[-1]).to_numpy()
+            out = np.full(len(table), -1)
+            for a, b, fresh in zip(edges[:-1], edges[1:], new):
+                if fresh:
+                    tracker = Tracker(p) if own[a] else None
+                if tracker is not None:
+                    out[a:b] = tracker.update(int(f[a]), boxes[a:b], c[a:b])
+            return table.append_column("track", pa.array(out, pa.int64())).filter(pa.array(out >= 0)).combine_chunks().to_batches()
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if waiting is None else pa.concat_tables([waiting, table]).combine_chunks()
+            other = np.zeros(len(table) - 1, bool)
+            for k in keys:
+                at = codes(table.column(k))
+                other |= at[1:] != at[:-1]
+            f = codes(table.column(frame))
+            edges = np.flatnonzero(np.r_[True, other | (f[1:] != f[:-1])])
+            new = np.r_[not goes_on, other][edges]
+            waiting = table.slice(int(edges[-1]))  # this frame may go on
+            goes_on = not new[-1]
+            if len(edges) > 1:
+                yield from done(table.slice(0, int(edges[-1])), edges, new[:-1])
+        if waiting is not None:
+            yield from done(waiting, np.array([0, len(waiting)]), np.array([not goes_on]))
+
+    return work
+
+
 def track_in_chunks(detections: DataFrame, by: list[str], frame: str, conf: str, p: Association, chunk: int) -> DataFrame:
     """track() by tasks of `chunk` frames. A chunk goes on for twice the buffer into the next one, so a track that is lost at the seam is
     met again on both sides or on neither. Tracks of two chunks are the same if they hold the same boxes there, the most first, each
@@ -195,14 +258,11 @@ def track_in_chunks(detections: DataFrame, by: list[str], frame: str, conf: str,
     home = F.floor(F.col(frame) / chunk)
     chunks = F.when((F.col(frame) - home * chunk) < seam, F.array(home - 1, home)).otherwise(F.array(home))
     cut = rows.select(*by, frame, conf, *BOX, "_row", F.explode(chunks).alias("_chunk"), home.alias("_home"))
+    names, keys = [*by, "_row", "_chunk", "_home", frame], [*by, "_chunk"]
+    cut = cut.filter(F.col(frame).isNotNull()).repartition(*keys).sortWithinPartitions(*keys, frame, F.desc(conf), *BOX, "_row")
+    kind = T.StructType([*cut.schema.fields, T.StructField("track", T.LongType())])
     # a chunk that only goes on into the first rows of a group has nothing of its own
-    work = lambda g: _tracked(g, frame, conf, p)[[*by, "_row", "_chunk", "_home", frame, "track"]] if (g["_chunk"] == g["_home"]).any() else _nothing(g)
-
-    def _nothing(g: pd.DataFrame) -> pd.DataFrame:
-        return g.iloc[:0].assign(track=pd.array([], dtype="Int64"))[[*by, "_row", "_chunk", "_home", frame, "track"]]
-
-    kind = T.StructType([*[cut.schema[c] for c in (*by, "_row", "_chunk", "_home", frame)], T.StructField("track", T.LongType())])
-    found = stored(cut.groupBy(*by, "_chunk").applyInPandas(work, kind).filter("track IS NOT NULL"), "chunk-tracks")
+    found = stored(cut.mapInArrow(_streamed(keys, frame, conf, p, "_home"), kind).select(*names, "track"), "chunk-tracks")
     of = F.struct(F.lit(0), *by).alias("_of")
     nodes = stored(found.groupBy(*by, "_chunk", "track").agg(F.min(frame).alias("_first")).withColumn("node", F.monotonically_increasing_id()), "chunk-track-nodes")
     node = nodes.select(of, "_chunk", "track", "node")
