@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from dataclasses import dataclass
+from operator import mul
 
 import numpy as np
 import pandas as pd
@@ -45,6 +46,23 @@ class Toxicity:
 
 
 _EDGE = re.compile(r"^[^\w@$]+|[^\w@$]+$")
+_INNER = re.compile(r"[^\W\d_][^\w\s'’-]+[^\W\d_]|[^\W\d_]\d+[^\W\d_]")
+_APART = re.compile(r"[^\w]|_")
+_REPEAT = re.compile(r"(.)\1+")
+#: First and last letter of every insult; repeats that are taken out of a word leave both.
+_ENDS = frozenset(w[0] + w[-1] for w in INSULTS)
+
+#: Bytes of UTF-8 texts that stand for one ASCII character each.
+_ASCII = bytes(range(128))
+_EDGES = "".join(c for c in map(chr, _ASCII) if not c.isalnum() and c not in "_@$")
+_UPPER, _DIGITS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789"
+_MARKS = bytes(i for i in _ASCII if not chr(i).isalnum() and not chr(i).isspace())
+
+
+def bare(token: str) -> str:
+    """A token without what `_EDGE` matches; most tokens need no regular expression for that."""
+    word = token.strip(_EDGES)
+    return word if word.isalnum() else _EDGE.sub("", token)
 
 
 def stems_of(word: str) -> list[str]:
@@ -52,38 +70,62 @@ def stems_of(word: str) -> list[str]:
     return [word[:n] for n in (4, 5, 6) if len(word) >= n] or [word]
 
 
+class Words(dict):
+    """Token to the length of its word, and `facts` of the few tokens that count for more, under one lexicon: stem to (log odds, strong or not)."""
+
+    def __init__(self, lexicon: dict[str, tuple[float, bool]]):
+        super().__init__()
+        self.lexicon, self.openings, self.facts = lexicon, {s[:4] for s in lexicon}, {}
+
+    def __missing__(self, token: str) -> int:
+        word = token.strip(_EDGES)
+        if not word.isalpha() or word[0] + word[-1] in _ENDS or word[:4] in self.openings or word in SECOND_PERSON:
+            word = self._fact(token)
+        n = self[token] = len(word)
+        return n
+
+    def _fact(self, token: str) -> str:
+        """The token's word; what is known of it goes to `facts`, if anything."""
+        word = bare(token)
+        insult, second = word in INSULTS, word in SECOND_PERSON
+        plain = joined = word
+        inner = False
+        if not word.isalpha():  # letters alone disguise nothing
+            plain = word.translate(DISGUISE)
+            joined = plain if plain.isalnum() else _APART.sub("", plain)
+            inner = bool(_INNER.search(word))
+        hidden = not insult and (plain in INSULTS or joined in INSULTS or (joined[:1] + joined[-1:] in _ENDS and _REPEAT.sub(r"\1", joined) in INSULTS))
+        signs = [self.lexicon[s] for s in stems_of(word) if s in self.lexicon] if word[:4] in self.openings else []
+        if insult or hidden or signs or second or inner:
+            odds, strong = max(signs, default=(0.0, False))
+            self.facts[token] = (insult, hidden, strong, bool(signs), odds, second, inner)
+        return word
+
+    def clear(self) -> None:
+        super().clear()
+        self.facts.clear()
+
+
 class Reader:
-    """Features of texts under one lexicon: stem to (log odds, strong or not). Facts about words are remembered."""
+    """Features of texts under one lexicon. Up to `limit` tokens are remembered beside those of a text."""
 
     def __init__(self, lexicon: dict[str, tuple[float, bool]], limit: int = 200_000):
-        self.lexicon, self.limit, self.facts = lexicon, limit, {}
-
-    def _fact(self, token: str) -> tuple:
-        word = _EDGE.sub("", token)
-        plain = word.translate(DISGUISE)
-        joined = re.sub(r"[^\w]|_", "", plain)
-        hidden = word not in INSULTS and (plain in INSULTS or joined in INSULTS or re.sub(r"(.)\1+", r"\1", joined) in INSULTS)
-        signs = [self.lexicon[s] for s in stems_of(word) if s in self.lexicon]
-        odds, strong = max(signs, default=(0.0, False))
-        inner = bool(re.search(r"[^\W\d_][^\w\s'’-]+[^\W\d_]|[^\W\d_]\d+[^\W\d_]", word))
-        fact = (word in INSULTS, hidden, strong, bool(signs), odds, word in SECOND_PERSON, inner, len(word))
-        if len(self.facts) >= self.limit:
-            self.facts.clear()
-        self.facts[token] = fact
-        return fact
+        self.words, self.limit = Words(lexicon), limit
 
     def row(self, text: str | None) -> list[float]:
         text = text or ""
         lower = text.lower().split()
         n, chars = len(lower), max(1, len(text))
         counts = Counter(lower)
-        insult = hidden = strong = weak = second = disguised = letters = 0
+        if len(self.words) >= self.limit:
+            self.words.clear()
+        letters = sum(map(mul, map(self.words.__getitem__, counts), counts.values()))
+        insult = hidden = strong = weak = second = disguised = 0
         best = total = 0.0
-        facts = self.facts
-        marked = set()
-        for token, c in counts.items():
-            f = facts.get(token) or self._fact(token)
-            letters += f[7] * c
+        facts = self.words.facts
+        marked, meant = set(), set()
+        for token in filter(facts.__contains__, counts):
+            f, c = facts[token], counts[token]
             if f[0] or f[1] or f[3]:
                 insult += c * f[0]
                 hidden += c * f[1]
@@ -91,11 +133,13 @@ class Reader:
                 weak += c * (f[3] and not f[2])
                 best, total = max(best, f[4]), total + f[4] * c
                 marked.add(token)
-            second += c * f[5]
+            if f[5]:
+                second += c
+                meant.add(token)
             disguised += c * f[6]
         near = 0
         if marked and second:
-            places = [i for i, t in enumerate(lower) if (facts.get(t) or self._fact(t))[5]]
+            places = [i for i, t in enumerate(lower) if t in meant]
             k = 0
             for i, t in enumerate(lower):
                 if t in marked:
@@ -103,13 +147,16 @@ class Reader:
                         k += 1
                     near += abs(places[k] - i) <= 5
         w = max(1, n)
-        upper = sum(map(str.isupper, text)) if text else 0
-        marks = Counter(c for c in text if not c.isalnum() and not c.isspace()) if text else Counter()
-        shouted = sum(t.isupper() and len(t) > 2 for t in text.split())
+        data = text.encode("utf-8", "surrogatepass")
+        of = lambda some: len(data) - len(data.translate(None, some))
+        others = Counter(data.translate(None, _ASCII).decode("utf-8", "surrogatepass"))
+        upper = of(_UPPER) + sum(k for c, k in others.items() if c.isupper())
+        marks = of(_MARKS) + sum(k for c, k in others.items() if not c.isalnum() and not c.isspace())
+        shouted = sum(len(t) > 2 for t in filter(str.isupper, text.split())) if upper else 0
         return [
             np.log1p(n), insult, insult / w, hidden, hidden / w, strong, strong / w, weak, weak / w, best, total,
-            near / w, second / w, upper / chars, shouted / w, marks["!"] / w, marks["?"] / w, sum(marks.values()) / chars, (marks["*"] + marks["$"] + marks["#"] + marks["@"]) / w,
-            disguised / w, (max(counts.values()) / w) if counts else 0.0, len(counts) / w, letters / w, len(text.encode("utf-8", "surrogatepass")) / chars - 1, sum(map(text.count, "0123456789")) / chars,
+            near / w, second / w, upper / chars, shouted / w, data.count(b"!") / w, data.count(b"?") / w, marks / chars, of(b"*$#@") / w,
+            disguised / w, (max(counts.values()) / w) if counts else 0.0, len(counts) / w, letters / w, len(data) / chars - 1, of(_DIGITS) / chars,
         ]
 
     def matrix(self, texts) -> np.ndarray:
@@ -181,8 +228,8 @@ def fit(docs: DataFrame, labels: DataFrame, p: Toxicity = Toxicity()) -> Model:
         for batch in batches:
             found: dict[tuple[int, int], Counter] = {}
             for text, y, f in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = {_EDGE.sub("", t) for t in set((text or "").lower().split())}
-                found.setdefault((f, y), Counter()).update({s for w in words if w for s in stems_of(w)})
+                words = {bare(t) for t in set((text or "").lower().split())}
+                found.setdefault((f, y), Counter()).update({w[:n] for w in words for n in (4, 5, 6) if w})  # all of stems_of
             for (f, y), c in found.items():
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array([f * 2 + y] * len(c), pa.int64()), pa.array(list(c.values()), pa.int64())], ["stem", "kind", "n"])
 
